@@ -73,7 +73,8 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
               when 0 then {start} when 1 then concat('How to ', {start})
               when 2 then concat('TOP 10 ', {start}) when 3 then concat({start}, '?')
               when 4 then concat({start}, '!') when 5 then concat({start}, '\U0001F600\U0001F600✂')
-              when 6 then upper({start}) when 7 then upper(concat('! \U0001F600 ', {start}))
+              when 6 then upper(replace({start}, 'ß', 'ss'))
+              when 7 then upper(replace(concat('! \U0001F600 ', {start}), 'ß', 'ss'))
             end AS title""",
         f"""case o_orderkey % 7
               when 0 then text when 1 then concat(text, {links})
@@ -185,6 +186,14 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def uploads(spark: SparkSession, folder: str) -> DataFrame:
+    """Recent uploads of channels: one per event, the user being the channel."""
+    return table(spark, folder, "events").selectExpr(
+        f"{_CHANNEL_ID.format('user_id')} AS channel_id", f"{_VIDEO_ID.format('event_id')} AS video_id",
+        "ts AS published_at",
+    )
+
+
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """Raw observations: one per event, the user being the video."""
     return observation_columns(table(spark, folder, "events"))
