@@ -582,3 +582,65 @@ _add("classification_report", """SELECT round((tp + tn) / (tp + tn + fp + fn), 6
     cast(fn as bigint) fn, cast(tp as bigint) tp FROM (SELECT cast(count_if(label = 1 AND score >= 0.5) as double) tp,
     cast(count_if(label = 0 AND score < 0.5) as double) tn, cast(count_if(label = 0 AND score >= 0.5) as double) fp,
     cast(count_if(label = 1 AND score < 0.5) as double) fn FROM scored)""", scored=SCORED)
+
+_add("best_per_metric", """SELECT metric, arg_min(vertical, (-value, vertical)) best_model, round(max(value), 6) best_value,
+    arg_min(vertical, (value, vertical)) worst_model, round(min(value), 6) worst_value FROM (
+    SELECT vertical, 'label_rate' metric, round(avg(above_baseline), 9) value FROM eng GROUP BY 1
+    UNION ALL SELECT vertical, 'like_rate', round(avg(like_rate_24h), 9) FROM eng GROUP BY 1) GROUP BY 1""")
+_BENT = """SELECT * REPLACE (view_count_24h - 200000.5 AS view_count_24h, like_count_24h * 0.37 AS like_count_24h,
+    comment_count_7d - 90.25 AS comment_count_7d, hours_since_publish_24h - 25 AS hours_since_publish_24h) FROM eng"""
+
+
+def _whole(c: str) -> str:
+    return f"cast(round_even(cast(greatest({c}, 0) as double), 0) as bigint)"
+
+
+def _rising(m: str, wrap) -> str:
+    u, d, w = (wrap(f"{m}_{p}") for p in ("upload", "24h", "7d"))
+    return f"{u} AS {m}_upload, greatest({u}, {d}) AS {m}_24h, greatest({u}, {d}, {w}) AS {m}_7d"
+
+
+_add("synthetic_cleanup", "SELECT video_id, " + ", ".join(
+    [_rising(m, _whole) for m in ("view_count", "like_count", "comment_count")]
+    + [f"{_whole('subscriber_count_' + p)} AS subscriber_count_{p}" for p in ("upload", "24h", "7d")]
+    + [_rising("hours_since_publish", lambda c: f"round(greatest(cast({c} as double), 0), 6)")]
+) + " FROM bent", bent=_BENT)
+_add("synthetic_features", f"""SELECT video_id, round(e7, 6) engagement_7d,
+    cast(coalesce(e7 > eb, false) as bigint) above_baseline, {rs(*_PER_SUB)}, 0 title_length, 0 publish_hour,
+    cast(duration_seconds <= 60 as bigint) is_short, round(duration_seconds / 60, 6) duration_minutes FROM (SELECT *,
+      case when view_count_7d > 0 then cast(like_count_7d + comment_count_7d as double) / view_count_7d else 0.0 end e7,
+      case when baseline_median_views > 0 then (baseline_median_likes + baseline_median_comments) / baseline_median_views else 0.0 end eb,
+      {', '.join(f'cast({m}_count_{p} as double) / greatest(subscriber_count_upload, 1) {m}s_per_sub_{p}'
+                 for p in ("upload", "24h", "7d") for m in ("view", "like", "comment"))} FROM cleaned)""")
+_add("real_plus_synthetic", """SELECT video_id, cast(above_baseline as bigint) above_baseline, cast(NULL as bigint) view_count_7d,
+    false contains_synthetic_data FROM eng
+    UNION ALL SELECT concat('syn-', video_id), NULL, cast(view_count_7d as bigint), true FROM eng""")
+_add("channel_lookup", """SELECT DISTINCT channel_id, channel_handle, vertical, tier, baseline_video_count FROM cleaned""")
+_add("channel_draw", """SELECT id, channel_id FROM (SELECT o_orderkey id,
+      cast(concat('0x', substr(md5(concat(cast(o_orderkey as varchar), ':42')), 1, 13)) as bigint) % (SELECT sum(n) FROM wgt) pos FROM orders)
+    JOIN spn ON pos >= lo AND pos < lo + n""",
+     wgt="SELECT channel_id, count(*) n FROM kept GROUP BY 1",
+     spn="SELECT *, sum(n) OVER (ORDER BY substr(md5(channel_id), 1, 3), channel_id) - n lo FROM wgt")
+_add("snapshot_roundtrip", """SELECT 'videos' part, count(*) n FROM lab UNION ALL SELECT 'baselines', count(*) FROM bvid
+    UNION ALL SELECT 'medians', count(*) FROM med UNION ALL SELECT 'listed_videos', count(*) FROM lab
+    UNION ALL SELECT 'listed_baselines', count(*) FROM bvid""")
+_add("split_roundtrip", "SELECT split, cast(above_baseline as bigint) above_baseline, count(*) n FROM spl GROUP BY ALL", **_SPLIT)
+_add("raw_items_parsed", f"""SELECT video_id, channel_handle, vertical, concat('t', video_id) title, '' description, 0 tag_count,
+    cast(duration_seconds as bigint) duration_seconds, category_name,
+    round(date_diff('microsecond', published_at, timestamp '{HEALTH_NOW}') / 3.6e9, 2) hours_since_publish,
+    o_orderkey * 10 view_count, 0 like_count, cast(coalesce(comments, 0) as bigint) comment_count, subscriber_count,
+    coalesce(contains_synthetic_media, false) contains_synthetic_media FROM vids JOIN ch USING (channel_id)
+    LEFT JOIN (SELECT l_orderkey o_orderkey, sum(l_suppkey % 50) comments FROM lineitem GROUP BY 1) USING (o_orderkey)""")
+_REPORT = ORACLE["classification_report"]
+_add("validation_history", f"""SELECT 'v1.0' model_version, concat('2026-01-0', d, 'T00:00:00Z') run_timestamp, 'rule' model_name, 'd1' data_version,
+    {', '.join(f'round({m}, 4) {m}' for m in ('accuracy', 'precision_above', 'recall_above', 'f1_above', 'precision_below', 'recall_below', 'f1_below'))},
+    round(roc_auc, 4) roc_auc, support_above + support_below val_rows FROM ({_REPORT}), ({ORACLE['auc']}), (SELECT unnest([1, 2]) d)""")
+_add("sample_channels", "SELECT channel_id FROM ch ORDER BY md5(concat(channel_id, ':42')), channel_id LIMIT 500")
+_LABELLED = """SELECT * FROM (SELECT *, case when age BETWEEN 0 AND 6 then 'upload' when age BETWEEN 20 AND 30 then '24h'
+    when age BETWEEN 156 AND 180 then '7d' end poll_label FROM (SELECT *,
+    date_diff('microsecond', published_at, poll_timestamp) / 3.6e9 age FROM obs)) WHERE poll_label IS NOT NULL"""
+_add("stream_labels", f"SELECT event_id, video_id, poll_label FROM ({_LABELLED})")
+_add("stream_first", f"SELECT DISTINCT video_id, poll_label FROM ({_LABELLED})")
+_add("stream_tracking", f"""SELECT video_id, concat('UC', lpad(cast(cast(substr(video_id, 2) as bigint) % 40 as varchar), 8, '0')) channel_id,
+    bool_or(poll_label = 'upload') upload_poll_done,
+    bool_or(poll_label = '24h') day1_poll_done, bool_or(poll_label = '7d') day7_poll_done FROM ({_LABELLED}) GROUP BY 1""")

@@ -66,6 +66,10 @@ LISTICLE_WORDS = ["top ", " best ", " ways ", " things ", " tips "]
 WHITESPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 EMOJI_CLASS = r"[\x{1F600}-\x{1F9FF}\x{2702}-\x{27B0}\x{1FA00}-\x{1FA6F}]"
 
 # --- fixed values: model inputs ------------------------------------------------------------

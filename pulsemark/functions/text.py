@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pulsemark.constants import EMOJI_CLASS, LISTICLE_WORDS, WHITESPACE_CLASS
+from pulsemark.constants import EMOJI_CLASS, LISTICLE_WORDS, WHITESPACE, WHITESPACE_CLASS
 
 
 def strip(text: Column) -> Column:
-    """Drop leading and trailing Unicode whitespace; ``trim`` knows only the space character."""
-    head = F.regexp_replace(text, f"^{WHITESPACE_CLASS}+", "")
-    return F.regexp_replace(head, f"{WHITESPACE_CLASS}+$", "")
+    """Drop leading and trailing Unicode whitespace; plain ``trim`` knows only the space character."""
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def _count(text: Column, pattern: str) -> Column:

@@ -72,7 +72,8 @@ def new_videos(candidates: DataFrame, tracking: DataFrame, now: datetime | str)
 
 def sample_channels(channels: DataFrame, n: int = CHANNEL_BATCH, seed: int = 42) -> DataFrame:
     """L1: a seeded random batch; hashing the id makes it the same however the rows are partitioned."""
-    return channels.orderBy(F.xxhash64("channel_id", F.lit(seed)), "channel_id").limit(n)
+    place = F.md5(F.concat_ws(":", "channel_id", F.lit(str(seed))).cast("binary"))
+    return channels.orderBy(place, "channel_id").limit(n)
 
 
 def mark_done(tracking: DataFrame, done: DataFrame, label: str) -> DataFrame:

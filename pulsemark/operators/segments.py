@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.constants import TARGET, TIERS, VERTICALS
+from pulsemark.functions.polls import by_key
 
 SEGMENT = ["vertical", "tier"]
 
@@ -38,6 +39,19 @@ def segment_grid(spark) -> DataFrame:
     return spark.createDataFrame([(v, t) for v in VERTICALS for t in TIERS], SEGMENT)
 
 
+def with_segments(frame: DataFrame | None, base: DataFrame) -> DataFrame:
+    """Put vertical and tier back on a frame that lost them, matched by video id.
+
+    A frame that has them, or has no video id to match by, is returned as it is.
+    """
+    if frame is None:
+        raise ValueError("no active frame: run the clean or engineer step first")
+    missing = [c for c in SEGMENT if c not in frame.columns and c in base.columns]
+    if not missing or "video_id" not in frame.columns:
+        return frame
+    return frame.join(base.select("video_id", *missing), "video_id", "left")
+
+
 def split_composition(split: DataFrame) -> DataFrame:
     """Rows and positives of train and test per segment, zero where a segment is empty."""
     def part(name: str, value):
@@ -55,8 +69,6 @@ def split_composition(split: DataFrame) -> DataFrame:
 
 def category_distribution(df: DataFrame, column: str, names: dict[int, str]) -> DataFrame:
     """Rows per class code with its name."""
-    from pulsemark.functions.polls import by_key
-
     return df.groupBy(F.col(column).alias("code")).agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(column).alias("feature"), by_key(names, F.col("code")).alias("name"), "n"
     )
@@ -66,4 +78,5 @@ def target_balance(df: DataFrame) -> DataFrame:
     """Rows per target value and their share."""
     counted = df.groupBy(TARGET).agg(F.count(F.lit(1)).alias("n"))
     total = df.agg(F.count(F.lit(1)).alias("total"))
-    return counted.join(F.broadcast(total)).withColumn("share", F.col("n") / F.col("total"))
+    # One row beside the two target values.
+    return counted.join(F.broadcast(total), F.lit(True)).withColumn("share", F.col("n") / F.col("total"))

@@ -5,7 +5,9 @@ Every query reads whole tables. Doubles are rounded so that another engine's res
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +16,15 @@ from pyspark.sql import types as T
 from pulsemark import constants as C
 from pulsemark.functions import polls as P
 from pulsemark.operators import baselines, cleaning, collection, correlation, discovery, distributions
-from pulsemark.operators import evaluate, features, health, polls, profile, segments, splits
+from pulsemark.operators import evaluate, features, health, learners, polls, profile, segments, splits
+from pulsemark.operators import synthetic
 from pulsemark.operators.scaling import Scaler
 from pulsemark.plans import fixtures as X
 from pulsemark.plans.dataset import build_clean, engineer
-from pulsemark.session import cut
+from pulsemark.plans.training import augment
+from pulsemark.session import cut, shared_dir
+from pulsemark.sources import holdout_store, model_store, raw_items, snapshots as snapshot_store
+from pulsemark.streaming import collector
 
 HEALTH_NOW = "2001-08-15 00:00:00"
 DUE_NOW = "1998-11-18 14:00:00"
@@ -224,10 +230,6 @@ def text_features(spark, d):
     return tidy(features.add_text_features(_texts(spark, d)), "video_id", *TEXT, "tag_count", "has_tags")
 
 
-def _timed(spark, d):
-    return X.videos(spark, d).withColumn("duration_seconds", P.duration_seconds(F.col("duration")))
-
-
 @query
 def temporal(spark, d):
     return tidy(features.add_publish_time(X.videos(spark, d)), "video_id", *TIME)
@@ -235,18 +237,17 @@ def temporal(spark, d):
 
 @query
 def duration(spark, d):
-    return tidy(features.add_duration(_timed(spark, d)), "video_id", *DURATION)
+    return tidy(features.add_duration(X.timed_videos(spark, d)), "video_id", *DURATION)
 
 
 @query
 def parse_duration(spark, d):
-    return tidy(_timed(spark, d), "video_id", "duration_seconds")
+    return tidy(X.timed_videos(spark, d), "video_id", "duration_seconds")
 
 
 @query
 def category_name(spark, d):
-    named = X.videos(spark, d).withColumn("category_name", P.category_name(F.col("category_id")))
-    return named.groupBy("category_id", "category_name").agg(F.count(F.lit(1)).alias("n"))
+    return X.timed_videos(spark, d).groupBy("category_id", "category_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -426,19 +427,19 @@ def qualify_candidates(spark, d):
     return tidy(chosen, "channel_id", "vertical", "tier", "upload_velocity_per_week", "subscriber_count")
 
 
-def _drained(spark, d):
+def _taken(spark, d):
     return discovery.drain(X.candidates(spark, d), discovery.fill_plan(X.tracked_channels(spark, d)))
 
 
 @query
 def drain_candidates(spark, d):
-    return tidy(_drained(spark, d), "channel_id", "channel_handle", "vertical", "tier", "subscriber_count",
+    return tidy(_taken(spark, d), "channel_id", "channel_handle", "vertical", "tier", "subscriber_count",
                 "total_channel_views", "upload_velocity_per_week")
 
 
 @query
 def mark_consumed(spark, d):
-    return discovery.mark_consumed(X.candidates(spark, d), _drained(spark, d)).select(
+    return discovery.mark_consumed(X.candidates(spark, d), _taken(spark, d)).select(
         "channel_id", "added_to_tracking"
     )
 
@@ -615,3 +616,243 @@ def auc(spark, d):
 @query
 def classification_report(spark, d):
     return tidy(evaluate.classification_report(_scored(spark, d)))
+
+
+@query
+def best_per_metric(spark, d):
+    rows = numeric_rows(spark, d).groupBy("vertical").agg(
+        F.round(F.avg(C.TARGET), 9).alias("label_rate"), F.round(F.avg("like_rate_24h"), 9).alias("like_rate")
+    )
+    return tidy(evaluate.best_per_metric(rows, "vertical", ["label_rate", "like_rate"]))
+
+
+# --- synthetic rows -------------------------------------------------------------------------
+@query
+def synthetic_cleanup(spark, d):
+    bent = numeric_rows(spark, d).withColumns({
+        "view_count_24h": F.col("view_count_24h") - 200000.5,
+        "like_count_24h": F.col("like_count_24h") * 0.37,
+        "comment_count_7d": F.col("comment_count_7d") - 90.25,
+        "hours_since_publish_24h": F.col("hours_since_publish_24h") - 25,
+    })
+    return tidy(synthetic.clean_synthetic(bent), "video_id", *COUNTS, *HOURS)
+
+
+@query
+def synthetic_features(spark, d):
+    rows = synthetic.add_synthetic_features(numeric_clean(spark, d))
+    return tidy(rows, "video_id", "engagement_7d", "above_baseline", *PER_SUB, "title_length", "publish_hour",
+                "is_short", "duration_minutes")
+
+
+@query
+def real_plus_synthetic(spark, d):
+    rows = numeric_rows(spark, d)
+    made = rows.select(F.concat(F.lit("syn-"), "video_id").alias("video_id"), "view_count_7d")
+    both = synthetic.combine(rows.select("video_id", C.TARGET), made)
+    return tidy(both, "video_id", C.TARGET, "view_count_7d", "contains_synthetic_data")
+
+
+@query
+def channel_lookup(spark, d):
+    rows = synthetic.channel_lookup(numeric_clean(spark, d))
+    return tidy(rows, "channel_id", "channel_handle", "vertical", "tier", "baseline_video_count")
+
+
+@query
+def channel_draw(spark, d):
+    real = cleaning.drop_bad_baselines(numeric_clean(spark, d)).select("channel_id")
+    ids = X.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    return synthetic.draw_channels(ids, real)
+
+
+@query
+def synthetic_rows(spark, d):
+    """A quarter as many synthetic rows as real ones, with the real table's columns."""
+    real = cut(numeric_rows(spark, d))
+    return synthetic.generate(real, synthetic.rows_needed(real.count(), 0.8))
+
+
+# --- stores ---------------------------------------------------------------------------------
+def _place(spark: SparkSession) -> str:
+    """A fresh folder in the shared directory."""
+    return f"{shared_dir(spark)}/queries/{uuid.uuid4().hex}"
+
+
+_STAMP = datetime(2026, 1, 1)
+
+
+@query
+def snapshot_roundtrip(spark, d):
+    """Save poll rows, baseline videos and medians under a tag, list them, and load them by tag."""
+    root = _place(spark)
+    snapshot_store.save_raw(
+        X.labelled(spark, d, with_text=False), (X.baseline_videos(spark, d), medians(spark, d)), root, "v1.0", _STAMP
+    )
+    rows, history, middle = snapshot_store.load_inputs(spark, "snapshots", root, "v1.0")
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
+        for name, df in (("videos", rows), ("baselines", history), ("medians", middle))
+    ]
+    listed = snapshot_store.list_snapshots(spark, root).select(
+        F.concat(F.lit("listed_"), "kind").alias("part"),
+        F.coalesce("total_rows", "baseline_video_rows").alias("n"),
+    )
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(listed)
+
+
+@query
+def split_roundtrip(spark, d):
+    """Lock a holdout, split against it, save the splits and load them back."""
+    root = _place(spark)
+    rows = cut(numeric_rows(spark, d).select(*_SPLIT_KEYS))
+    store = holdout_store.HoldoutStore(spark, root)
+    holdout_store.create_holdout(rows, store, _STAMP)
+    snapshot_store.save_splits(holdout_store.split_against(rows, store), root, "v1.0", _STAMP)
+    loaded = snapshot_store.load_splits(spark, root, "v1.0")
+    return loaded.groupBy("split", C.TARGET).agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("split").cast("string").alias("split"), F.col(C.TARGET).cast("long").alias(C.TARGET), "n"
+    )
+
+
+@query
+def raw_items_parsed(spark, d):
+    """Videos written as API items in JSON and parsed back to typed poll rows."""
+    totals = X.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(F.expr("l_suppkey % 50")).alias("comments")
+    )
+    items = X.videos(spark, d).join(totals, "o_orderkey", "left").selectExpr(
+        "channel_id",
+        """to_json(named_struct('id', video_id,
+            'snippet', named_struct('title', concat('t', video_id), 'publishedAt',
+                date_format(published_at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), 'categoryId', category_id),
+            'statistics', named_struct('viewCount', cast(o_orderkey * 10 as string), 'commentCount', cast(comments as string)),
+            'contentDetails', named_struct('duration', duration),
+            'status', named_struct('containsSyntheticMedia', contains_synthetic_media))) AS payload""",
+    )
+    rows = raw_items.snapshot_rows(items, X.channels(spark, d), "7d", HEALTH_NOW)
+    return tidy(rows.withColumn("tag_count", F.size("tags")), "video_id", "channel_handle", "vertical", "title",
+                "description", "tag_count", "duration_seconds", "category_name", "hours_since_publish",
+                "view_count", "like_count", "comment_count", "subscriber_count", "contains_synthetic_media")
+
+
+@query
+def validation_history(spark, d):
+    """One scored table evaluated, recorded twice and read back as history."""
+    root, result = _place(spark), evaluate.evaluate(_scored(spark, d))
+    for day in (1, 2):
+        model_store.append_validation(spark, root, "v1.0", "d1", {"rule": result}, datetime(2026, 1, day))
+    return tidy(model_store.validation_history(spark, root))
+
+
+@query
+def sample_channels(spark, d):
+    return collection.sample_channels(X.channels(spark, d)).select("channel_id")
+
+
+# --- models ---------------------------------------------------------------------------------
+_SMALL = {
+    "lr_l1": {"max_iter": 100},
+    "rf": {"n_estimators": 20, "max_depth": 6},
+    "gbt": {"n_estimators": 10, "max_depth": 4},
+}
+_INPUTS = VELOCITY + RATIOS + [c for c in PER_SUB if not c.endswith("7d")] + ["duration_seconds"]
+
+
+def _divided(spark, d):
+    rows = cut(cleaning.fill_missing(numeric_rows(spark, d)))
+    return cut(splits.split(rows, splits.draw_holdout(rows)))
+
+
+def _by_split(rows):
+    return (rows.where(F.col("split") == name) for name in ("train", "test", "val"))
+
+
+@query
+def train_and_compare(spark, d):
+    """Train the four models, save them, and compare them by their saved records."""
+    root = _place(spark)
+    train, test, _ = _by_split(_divided(spark, d))
+    for name, entry in learners.train(train, test, _INPUTS, _SMALL).items():
+        model_store.save_model(spark, entry, root, f"v1.0_{name}", "d1", _STAMP)
+    return model_store.compare_models(model_store.model_records(spark, root))
+
+
+@query
+def retro_validate(spark, d):
+    """Two saved versions of a model, loaded and validated on the holdout, beside their test metrics."""
+    root = _place(spark)
+    train, test, val = _by_split(_divided(spark, d))
+    for version, wanted in (("v1.0", _INPUTS), ("v1.1", _INPUTS[:8])):
+        entry = learners.train(train, test, wanted, _SMALL, kinds=("lr_l1",))["lr_l1"]
+        model_store.save_model(spark, entry, root, f"{version}_lr_l1", "d1", _STAMP)
+    family = model_store.load_family(spark, root, ["v1.0", "v1.1"])
+    return evaluate.three_way(spark, {
+        "hist_test": {name: entry.result for name, entry in family.items()},
+        "curr_test": learners.validate(family, test),
+        "val": learners.validate(family, val),
+    })
+
+
+@query
+def tune_model(spark, d):
+    """Every combination of a small grid with its cross-validated area under ROC."""
+    train, _, _ = _by_split(_divided(spark, d))
+    found = learners.tune("lr_l1", train, _INPUTS, {"C": [0.1, 1.0], "max_iter": [50]}, "grid", cv=3)
+    rows = [(t["C"], t["max_iter"], float(auc)) for t, auc in found["trials"]]
+    return spark.createDataFrame(rows, "C double, max_iter int, roc_auc double")
+
+
+@query
+def feature_weights(spark, d):
+    """Features of a linear model by absolute weight."""
+    train, test, _ = _by_split(_divided(spark, d))
+    entry = learners.train(train, test, _INPUTS, _SMALL, kinds=("lr_l1",))["lr_l1"]
+    rows = [(w["feature"], w["coefficient"]) for w in entry.importances()]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@query
+def augmented_train(spark, d):
+    """Train rows with synthetic rows added until four in five are real; the other splits unchanged."""
+    rows = cut(engineer(full_clean(spark, d)))
+    divided = cut(splits.split(rows, splits.draw_holdout(rows)))
+    return augment(divided, 0.8).groupBy("split", "contains_synthetic_data").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- streams --------------------------------------------------------------------------------
+def _stream(spark, d):
+    """The events table as a stream of observations."""
+    events = spark.readStream.schema(X.schema_of("events")).option("pathGlobFilter", "events.parquet").parquet(d)
+    return X.observation_columns(events)
+
+
+def _drained(stream, root):
+    """Write a stream's available rows to Parquet and read them back."""
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/state").option(
+        "path", f"{root}/rows"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/rows")
+
+
+@query
+def stream_labels(spark, d):
+    rows = _drained(collector.label_stream(_stream(spark, d)), _place(spark))
+    return tidy(rows, "event_id", "video_id", "poll_label")
+
+
+@query
+def stream_first(spark, d):
+    rows = _drained(collector.first_per_label(collector.label_stream(_stream(spark, d))), _place(spark))
+    return rows.select("video_id", "poll_label")
+
+
+@query
+def stream_tracking(spark, d):
+    """Snapshots recorded batch by batch, then the tracking flags they set."""
+    root = _place(spark)
+    labelled = collector.label_stream(_stream(spark, d))
+    collector.record_stream(labelled, f"{root}/tables", f"{root}/state").awaitTermination()
+    return collector.Recorder(spark, f"{root}/tables").tracking.read().select(
+        "video_id", "channel_id", "upload_poll_done", "day1_poll_done", "day7_poll_done"
+    )

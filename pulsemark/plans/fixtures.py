@@ -14,8 +14,25 @@ _CHANNEL_ID = "concat('UC', lpad(cast({0} as string), 8, '0'))"
 _VIDEO_ID = "concat('v', lpad(cast({0} as string), 9, '0'))"
 
 
+_SCHEMAS = {
+    "customer": "c_custkey bigint, c_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double",
+    "part": "p_partkey bigint, p_name string",
+    "documents": "doc_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
+def schema_of(name: str) -> str:
+    return _SCHEMAS[name]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """The columns used of one table, with a given schema."""
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def channels(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,6 +71,14 @@ def videos(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def timed_videos(spark: SparkSession, folder: str) -> DataFrame:
+    """Videos with parsed duration and category name."""
+    return videos(spark, folder).withColumns({
+        "duration_seconds": duration_seconds(F.col("duration")),
+        "category_name": category_name(F.col("category_id")),
+    })
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Title, description and tags per order; documents and parts are matched by equi-joins."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -85,35 +110,28 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_POLLS = """
-    l_orderkey AS o_orderkey,
-    case l_linenumber when 1 then 'upload' when 2 then '24h' when 3 then '7d' end AS poll_label,
-    case l_linenumber when 1 then round(l_tax * 50, 2) when 2 then round(20 + l_discount * 100, 2)
-                      when 3 then round(156 + l_quantity * 0.48, 2) else round(l_quantity, 2)
-    end AS hours_since_publish,
-    cast(round(l_extendedprice) * (l_linenumber * l_linenumber) as bigint) AS view_count,
-    cast(round(l_quantity * 40) * l_linenumber as bigint) AS like_count,
-    cast(l_suppkey % 50 as bigint) * l_linenumber AS comment_count,
-    cast(l_orderkey % 3 as int) AS face_count,
-    l_tax * 1000 AS brightness,
-    l_discount * 500 AS colorfulness
-"""
+_POLLS = [
+    "l_orderkey AS o_orderkey",
+    "case l_linenumber when 1 then 'upload' when 2 then '24h' when 3 then '7d' end AS poll_label",
+    """case l_linenumber when 1 then round(l_tax * 50, 2) when 2 then round(20 + l_discount * 100, 2)
+         when 3 then round(156 + l_quantity * 0.48, 2) else round(l_quantity, 2) end AS hours_since_publish""",
+    "cast(round(l_extendedprice) * (l_linenumber * l_linenumber) as bigint) AS view_count",
+    "cast(round(l_quantity * 40) * l_linenumber as bigint) AS like_count",
+    "cast(l_suppkey % 50 as bigint) * l_linenumber AS comment_count",
+    "cast(l_orderkey % 3 as int) AS face_count",
+    "l_tax * 1000 AS brightness",
+    "l_discount * 500 AS colorfulness",
+]
 
 
 def snapshots(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
     """Poll rows of tracked videos, with natural duplicates and unlabelled rows."""
-    lines = table(spark, folder, "lineitem").selectExpr(*[
-        part.strip() for part in _split_columns(_POLLS)
-    ])
-    tracked = videos(spark, folder).where("is_tracked").drop("is_tracked")
+    lines = table(spark, folder, "lineitem").selectExpr(*_POLLS)
+    tracked = timed_videos(spark, folder).where("is_tracked").drop("is_tracked")
     rows = lines.join(tracked, "o_orderkey").join(channels(spark, folder).drop("c_custkey"), "channel_id")
-    rows = rows.withColumns({
-        "poll_timestamp": F.expr(
-            "timestampadd(MICROSECOND, cast(round(hours_since_publish * 3600000000) as bigint), published_at)"
-        ),
-        "duration_seconds": duration_seconds(F.col("duration")),
-        "category_name": category_name(F.col("category_id")),
-    })
+    rows = rows.withColumn("poll_timestamp", F.expr(
+        "published_at + make_dt_interval(0, 0, 0, cast(round(hours_since_publish * 3600, 6) as decimal(18,6)))"
+    ))
     columns = [
         "video_id", "poll_timestamp", "poll_label", "channel_id", "channel_handle", "vertical", "tier",
         "title", "description", "tags", "duration_seconds", "category_id", "category_name",
@@ -125,19 +143,6 @@ def snapshots(spark: SparkSession, folder: str, with_text: bool = True) -> DataF
     return rows.join(texts(spark, folder), "o_orderkey").select(*columns)
 
 
-def _split_columns(text: str) -> list[str]:
-    parts, depth, current = [], 0, ""
-    for ch in text:
-        depth += ch == "("
-        depth -= ch == ")"
-        if ch == "," and depth == 0:
-            parts.append(current)
-            current = ""
-        else:
-            current += ch
-    return [*parts, current]
-
-
 def labelled(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
     return snapshots(spark, folder, with_text).where("poll_label is not null")
 
@@ -149,12 +154,10 @@ def baseline_videos(spark: SparkSession, folder: str) -> DataFrame:
         F.sum(F.expr("round(l_quantity * 40)")).cast("bigint").alias("like_count"),
         F.sum(F.expr("l_suppkey % 50")).cast("bigint").alias("comment_count"),
     )
-    base = videos(spark, folder).where("not is_tracked").join(totals, "o_orderkey")
+    base = timed_videos(spark, folder).where("not is_tracked").join(totals, "o_orderkey")
     return base.join(channels(spark, folder), "channel_id").select(
         "channel_id", "channel_handle", "vertical", "tier", "video_id", "published_at",
-        duration_seconds(F.col("duration")).alias("duration_seconds"), "category_id",
-        category_name(F.col("category_id")).alias("category_name"),
-        "view_count", "like_count", "comment_count", "subscriber_count",
+        "duration_seconds", "category_id", "category_name", "view_count", "like_count", "comment_count", "subscriber_count",
     )
 
 
@@ -162,7 +165,7 @@ def tracking(spark: SparkSession, folder: str) -> DataFrame:
     """Tracked videos with flags; some rows left out so that orphan snapshots exist."""
     return videos(spark, folder).where("is_tracked and o_orderkey % 97 <> 0").selectExpr(
         "video_id", "channel_id", "published_at",
-        "timestampadd(HOUR, 1, published_at) AS first_seen_at",
+        "published_at + interval 1 hour AS first_seen_at",
         "o_orderkey % 10 <> 9 AS upload_poll_done",
         "o_orderkey % 10 < 8 AS day1_poll_done",
         "o_orderkey % 10 < 6 AS day7_poll_done",
@@ -181,7 +184,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
         "cast(c_custkey * 1000 as bigint) AS total_channel_views",
         "cast(c_custkey % 300 as bigint) AS total_channel_videos",
         "cast(c_custkey % 8 as double) / 4 AS upload_velocity_per_week",
-        "timestampadd(HOUR, cast(c_custkey % 500 as int), timestamp_ntz'2001-01-01 00:00:00') AS discovered_at",
+        "timestamp_ntz'2001-01-01 00:00:00' + make_dt_interval(0, cast(c_custkey % 500 as int)) AS discovered_at",
         "c_custkey % 20 = 0 AS added_to_tracking",
     )
 
@@ -204,6 +207,6 @@ def observation_columns(events: DataFrame) -> DataFrame:
         "event_id", f"{_VIDEO_ID.format('user_id')} AS video_id",
         f"{_CHANNEL_ID.format('user_id % 40')} AS channel_id",
         "ts AS poll_timestamp",
-        "timestampadd(HOUR, cast(user_id as int), timestamp_ntz'2024-01-01 00:00:00') AS published_at",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(user_id as int)) AS published_at",
         "cast(round(value * 100) as bigint) AS view_count",
     )

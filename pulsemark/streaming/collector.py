@@ -20,10 +20,14 @@ def label_stream(observations: DataFrame) -> DataFrame:
 
 
 def first_per_label(labelled: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame:
-    """T2 on a stream: one row per (video_id, poll_label). State is dropped once the watermark passes."""
-    return labelled.withWatermark("poll_timestamp", delay).dropDuplicatesWithinWatermark(
+    """T2 on a stream: one row per (video_id, poll_label). State is dropped once the watermark passes.
+
+    A watermark needs a zoned time, so a zoned copy of the poll time carries it.
+    """
+    timed = labelled.withColumn("_event_time", F.col("poll_timestamp").cast("timestamp"))
+    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
         ["video_id", "poll_label"]
-    )
+    ).drop("_event_time")
 
 
 class Recorder:
