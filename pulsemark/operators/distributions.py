@@ -84,10 +84,14 @@ def winsorize(
     caps = exact_quantiles(df, keys, columns, [p]).groupBy(*keys).agg(*[
         F.max(F.when(F.col("feature") == c, F.col("value"))).alias(f"_cap_{c}") for c in columns
     ])
-    near = beside(caps, keys)
-    joined = df.join(near, list(keys), "left") if keys else df.join(near, how="left")
+    if keys:
+        joined = df.join(beside(caps, keys), list(keys), "left")
+        high = {c: F.col(f"_cap_{c}") for c in columns}
+    else:
+        row = caps.first()
+        joined, high = df, {c: F.lit(row[f"_cap_{c}"]).cast("double") for c in columns}
     return joined.withColumns({
-        c: cap_at(F.col(c).cast("double"), F.col(f"_cap_{c}")) for c in columns
+        c: cap_at(F.col(c).cast("double"), high[c]) for c in columns
     }).select(*df.columns)
 
 

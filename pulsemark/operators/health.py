@@ -31,8 +31,8 @@ def completion(tracking: DataFrame, now: datetime | str) -> DataFrame:
     return counted.withColumn("completion_pct", F.coalesce(pct, F.lit(0.0)))
 
 
-def poll_audit(tracking: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Tracking rows beside their snapshot counts, one full join for every per-video check.
+def poll_audit(tracking: DataFrame, snapshots: DataFrame, how: str = "full") -> DataFrame:
+    """Tracking rows beside their snapshot counts, one join for every per-video check.
 
     Snapshots are counted per video first, so a video with a third of all rows is one row here.
     """
@@ -41,12 +41,12 @@ def poll_audit(tracking: DataFrame, snapshots: DataFrame) -> DataFrame:
     ])
     flags = [flag for flag, _, _ in POLL_STAGES.values()]
     known = tracking.select("video_id", "channel_id", "published_at", *flags, F.lit(True).alias("tracked"))
-    return known.join(counts, "video_id", "full")
+    return known.join(counts, "video_id", how)
 
 
 def mismatches(tracking: DataFrame, snapshots: DataFrame) -> DataFrame:
     """A stage is flagged done but has no snapshot with its label."""
-    audit = poll_audit(tracking, snapshots)
+    audit = poll_audit(tracking, snapshots, "left")
     missing = F.array(*[
         F.when(F.col(flag) & (F.coalesce(F.col(f"rows_{stage}"), F.lit(0)) == 0), F.lit(stage))
         for stage, (flag, _, _) in POLL_STAGES.items()

@@ -86,36 +86,41 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def snapshot_profile(df: DataFrame) -> DataFrame:
-    """A snapshot's size and composition as (measure, key, n) rows.
+    """A snapshot's size and composition as (measure, key, n) rows, in one scan.
 
-    Distinct ids are counted from one combined count per id, the three breakdowns in one pass of
-    grouping sets.
+    Every listed column is one grouping set. The groups of the two id columns are counted again, which
+    gives the distinct ids and the rows.
     """
-    breakdown = [c for c in ("poll_label", "vertical", "tier") if c in df.columns]
-    totals = df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("total_rows").alias("measure"), F.lit("all").alias("key"), "n"
-    )
-    for column, name in (("video_id", "unique_videos"), ("channel_id", "unique_channels")):
-        distinct = df.select(column).distinct().agg(F.count(column).alias("n"))
-        totals = totals.unionByName(
-            distinct.select(F.lit(name).alias("measure"), F.lit("all").alias("key"), "n")
-        )
-    if "contains_synthetic_data" in df.columns:
-        totals = totals.unionByName(df.agg(F.count_if("contains_synthetic_data").alias("n")).select(
-            F.lit("synthetic_rows").alias("measure"), F.lit("all").alias("key"), "n"
-        ))
-    if not breakdown:
-        return totals
-    sets = df.groupingSets([[c] for c in breakdown], *breakdown).agg(
-        F.count(F.lit(1)).alias("n"), *[F.grouping(c).alias(f"g_{c}") for c in breakdown]
-    )
-    name = F.lit(None).cast("string")
-    for c in breakdown:
-        name = F.when(F.col(f"g_{c}") == 0, F.lit(c)).otherwise(name)
-    counted = sets.select(
-        name.alias("measure"), F.coalesce(*breakdown).alias("key"), "n"
-    ).where("key is not null")
-    return totals.unionByName(counted)
+    ids = {"video_id": "unique_videos", "channel_id": "unique_channels"}
+    flags = [c for c in ("contains_synthetic_data",) if c in df.columns]
+    breakdown = [c for c in ("poll_label", "vertical", "tier") if c in df.columns] + flags
+    columns = [c for c in ids if c in df.columns] + breakdown
+    sets = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).groupingSets(
+        [[c] for c in columns], *columns
+    ).agg(F.count(F.lit(1)).alias("n"), *[F.grouping(c).alias(f"g_{c}") for c in columns])
+
+    measure, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for c in columns:
+        measure = F.when(F.col(f"g_{c}") == 0, F.lit(c)).otherwise(measure)
+        value = F.when(F.col(f"g_{c}") == 0, F.col(c)).otherwise(value)
+    named = sets.select(measure.alias("measure"), value.alias("value"), "n")
+    is_id = F.col("measure").isin(*ids)
+    counted = named.groupBy(
+        "measure", F.when(is_id, F.lit("all")).otherwise(F.col("value")).alias("key")
+    ).agg(F.sum("n").alias("n"), F.count("value").alias("groups"))
+
+    def entry(name, key, number):
+        return F.struct(name.alias("measure"), key.alias("key"), number.alias("n"))
+
+    every = F.lit("all")
+    distinct = F.when(F.col("measure") == "video_id", F.lit(ids["video_id"])).otherwise(F.lit(ids["channel_id"]))
+    entries = F.when(is_id, F.array(
+        entry(distinct, every, F.col("groups")),
+        entry(F.when(F.col("measure") == columns[0], F.lit("total_rows")), every, F.col("n")),
+    )).when(F.col("measure").isin(*flags, ""), F.array(
+        entry(F.when(F.col("key") == "true", F.lit("synthetic_rows")), every, F.col("n")),
+    )).otherwise(F.array(entry(F.col("measure"), F.col("key"), F.col("n"))))
+    return counted.select(F.inline(entries)).where("measure is not null and key is not null")
 
 
 def publish_range(df: DataFrame) -> DataFrame:

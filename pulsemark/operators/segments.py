@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemark.constants import TARGET, TIERS, VERTICALS
@@ -77,6 +77,6 @@ def category_distribution(df: DataFrame, column: str, names: dict[int, str]) ->
 def target_balance(df: DataFrame) -> DataFrame:
     """Rows per target value and their share."""
     counted = df.groupBy(TARGET).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    # One row beside the two target values.
-    return counted.join(F.broadcast(total), F.lit(True)).withColumn("share", F.col("n") / F.col("total"))
+    # The window runs over the counted rows, one per target value.
+    everything = Window.partitionBy(F.lit(0))
+    return counted.withColumn("share", F.col("n") / F.sum("n").over(everything))
