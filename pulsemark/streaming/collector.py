@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsemark.constants import POLL_STAGES
 from pulsemark.operators.collection import first_observations, label_observations
+from pulsemark.schemas import VIDEOS_TO_TRACK
 from pulsemark.sources.tracking_store import VersionedTable
 
 # The widest window is open for 24 hours, so a repeat can follow its first row by that long.
@@ -30,40 +31,54 @@ def first_per_label(labelled: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame
     ).drop("_event_time")
 
 
+class TrackingLog:
+    """Tracking rows as one small folder per micro-batch, merged per video when read.
+
+    A batch writes what it saw and nothing else, so its cost does not grow with the table. The merge
+    combines before the shuffle. ``publish`` writes the merged rows as the next version of a table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id:010d}")
+
+    def read(self) -> DataFrame:
+        return merge_tracking(self.spark.read.schema(VIDEOS_TO_TRACK).parquet(self.path))
+
+    def publish(self, table: VersionedTable) -> str:
+        return table.write(self.read())
+
+
+def merge_tracking(rows: DataFrame) -> DataFrame:
+    """One row per video: first seen time, and every flag that any row has set."""
+    flags = [flag for flag, _, _ in POLL_STAGES.values()]
+    return rows.groupBy("video_id").agg(
+        *[F.min(c).alias(c) for c in ("channel_id", "published_at", "first_seen_at")],
+        *[F.bool_or(f).alias(f) for f in flags],
+    )
+
+
 class Recorder:
-    """One micro-batch into the snapshot and tracking tables.
+    """One micro-batch into the snapshot table and the tracking log.
 
     Snapshots are written first, flags after, so a flag never stands without its snapshot. A batch
-    replaces its own folder, so repeating it after a failure changes nothing.
+    replaces its own folders, so repeating it after a failure changes nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.snapshots = f"{root.rstrip('/')}/video_snapshots"
-        self.tracking = VersionedTable(spark, f"{root.rstrip('/')}/videos_to_track")
+        self.tracking = TrackingLog(spark, f"{root.rstrip('/')}/tracking_log")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         target = f"{self.snapshots}/batch={batch_id:010d}"
         first_observations(batch).write.mode("overwrite").parquet(target)
-        written = spark.read.parquet(target)
-        seen = written.groupBy("video_id").agg(
-            F.min("channel_id").alias("channel_id"), F.min("published_at").alias("published_at"),
-            F.min("poll_timestamp").alias("first_seen_at"),
-            *[F.max((F.col("poll_label") == label).cast("int")).alias(flag)
-              for label, (flag, _, _) in POLL_STAGES.items()],
-        )
-        flags = [flag for flag, _, _ in POLL_STAGES.values()]
-        fresh = seen.withColumns({f: F.col(f) == 1 for f in flags})
-        if not self.tracking.exists():
-            self.tracking.write(fresh)
-            return
-        current = self.tracking.read()
-        joined = current.alias("t").join(fresh.alias("s"), "video_id", "full")
-        self.tracking.write(joined.select(
-            "video_id",
-            *[F.coalesce(f"t.{c}", f"s.{c}").alias(c) for c in ("channel_id", "published_at", "first_seen_at")],
-            *[(F.coalesce(f"t.{f}", F.lit(False)) | F.coalesce(f"s.{f}", F.lit(False))).alias(f) for f in flags],
-        ))
+        written = batch.sparkSession.read.schema(batch.schema).parquet(target)
+        self.tracking.add(merge_tracking(written.select(
+            "video_id", "channel_id", "published_at", F.col("poll_timestamp").alias("first_seen_at"),
+            *[(F.col("poll_label") == label).alias(flag) for label, (flag, _, _) in POLL_STAGES.items()],
+        )), batch_id)
 
 
 def record_stream(labelled: DataFrame, root: str, checkpoint: str) -> StreamingQuery:

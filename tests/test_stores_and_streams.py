@@ -133,6 +133,9 @@ def test_recorder_keeps_flags_behind_snapshots(spark, folder):
         flagged = {r.video_id for r in track.where(flag).collect()}
         written = {r.video_id for r in stored.where(F.col("poll_label") == label).collect()}
         assert flagged == written
+    table = VersionedTable(spark, f"{folder}/published")
+    recorder.tracking.publish(table)
+    assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, track.select(*table.read().columns).collect()))
     before = (track.count(), stored.count())
     last = stored.where("batch = 0").drop("batch")
     recorder(last, 0)
