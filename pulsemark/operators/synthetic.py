@@ -204,7 +204,7 @@ def generate(real: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` synthetic rows with the real frame's columns and the flag."""
     spark = real.sparkSession
     measured = sample_copula(spark, fit_copula(real), n, seed).drop("vertical", "tier")
-    placed = measured.join(draw_channels(measured.select("id"), real, seed), "id")
+    placed = measured.join(draw_channels(spark.range(n), real, seed), "id")
     known = placed.join(channel_lookup(real), "channel_id")
     rows = add_synthetic_features(add_placeholders(clean_synthetic(known)))
     kept = [f for f in real.schema.fields if f.name != "contains_synthetic_data"]

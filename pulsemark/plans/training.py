@@ -18,7 +18,7 @@ from pulsemark.session import cut
 
 def augment(split: DataFrame, target_real_pct: float, seed: int = 42) -> DataFrame:
     """Synthetic rows, engineered like real ones, added to train; nothing if none are needed."""
-    real = split.where("split = 'train'").drop("split")
+    real = cut(split.where("split = 'train'").drop("split"))
     n = rows_needed(real.count(), target_real_pct)
     if n <= 0:
         return split.withColumn("contains_synthetic_data", F.lit(False))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 
 def matches(spark: SparkSession, pattern: str) -> list[str]:
@@ -35,10 +34,3 @@ def write_record(spark: SparkSession, record: dict, path: str, mode: str = "erro
 def read_record(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
-
-def counts_of(df: DataFrame, column: str) -> dict[str, int]:
-    """Rows per value of a small category column, NULL left out."""
-    if column not in df.columns:
-        return {}
-    rows = df.where(F.col(column).isNotNull()).groupBy(column).count().orderBy(column).collect()
-    return {str(r[column]): r["count"] for r in rows}

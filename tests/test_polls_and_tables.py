@@ -181,3 +181,29 @@ def test_segments_put_back_only_when_missing(spark):
     assert segments.with_segments(bare, base) is bare
     with pytest.raises(ValueError):
         segments.with_segments(None, base)
+
+
+def test_small_set_operations(spark):
+    df = spark.createDataFrame([("a", "c1", True, 1), ("b", "c1", False, 2)],
+                               "video_id string, channel_id string, contains_synthetic_data boolean, x int")
+    assert [r.video_id for r in cleaning.only_real(df).collect()] == ["b"]
+    assert [r.video_id for r in cleaning.only_real(df, real=False).collect()] == ["a"]
+    assert polls.combine_polls(df, df.select(*reversed(df.columns)), df).count() == 6
+    assert collection.distinct_channels(df).count() == 1
+    assert cleaning.align(df, ["x", "new", "video_id"]).first()[:] == (1, None, "a")
+    assert cleaning.numeric_columns(df, ["x"]) == []
+    assert cleaning.varying_columns(df.withColumn("flat", F.lit(1)), ["x", "flat"]) == ["x"]
+
+
+def test_one_video_with_a_third_of_all_rows(spark):
+    hot = [poll("hot", label, hours + i / 1000, i) for i in range(300) for label, hours in (("upload", 1), ("24h", 24), ("7d", 160))]
+    rest = [poll(f"v{i}", label, hours, i) for i in range(600) for label, hours in (("upload", 1), ("24h", 24), ("7d", 160))]
+    df = frame(spark, *hot, *rest).repartition(8)
+    wide = polls.pivot_polls(df)
+    assert wide.count() == 601
+    row = wide.where("video_id = 'hot'").first()
+    assert (row.view_count_upload, row.view_count_24h, row.view_count_7d) == (299, 299, 299)
+    assert polls.pivot_multiplicity(df).where("video_id = 'hot'").first().joined_rows == 300 ** 4
+    track = tracking(spark, ("hot", True, True, True))
+    lost = {r.stage: r.orphaned_snapshots for r in health.orphans(track, df).collect()}
+    assert lost == {"upload": 600, "24h": 600, "7d": 600}
