@@ -30,6 +30,10 @@ SKETCH = 1 << 21
 SLOT = 1 << 12
 #: Pieces into which the global order is cut.
 FRAGMENTS = 8
+#: Bits of the filter that tells which texts are read again; past that size it lets more texts through.
+FILTER_BITS = 1 << 26
+#: Up to so many counted pairs go to every task; more are joined by shuffles.
+BROADCAST_PAIRS = 300_000
 
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                  0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3], np.uint64)
@@ -193,12 +197,35 @@ def _around_centers(batches):
             ["key", "node", "n", "center", "center_n"])
 
 
-def _segments(n: int, shared, pivots: np.ndarray):
+def _place(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _id_places(batches):
+    for batch in batches:
+        at = _place(batch.column(0).drop_null().to_numpy())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at >> 6), pa.array(np.uint64(1) << (at & 63).astype(np.uint64)).view(pa.int64())], ["word", "bits"])
+
+
+def _filter_of(ids: DataFrame) -> np.ndarray:
+    """A bit per hashed id; at most FILTER_BITS / 64 rows reach the driver."""
+    words = ids.mapInArrow(_id_places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words.word.to_numpy(np.int64)] = words.bits.to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _segments(n: int, shared, wanted, pivots: np.ndarray):
+    """Segments per fragment of the sets of the wanted rows, and of a few others by chance."""
     def run(batches):
-        classes = shared.value
+        classes, bits = shared.value, wanted.value
         for batch in batches:
             nodes, parts, places = [], [], []
-            for found in shingle_sets(batch.column(0), n):
+            at = _place(batch.column(1).fill_null(0).to_numpy())
+            hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            texts = batch.column(0).filter(pa.array(hit | batch.column(1).is_null().to_numpy(zero_copy_only=False)))
+            for found in shingle_sets(texts, n):
                 if not len(found):
                     continue
                 ordered, name = _ordered(found, classes), _name(found)
@@ -223,9 +250,13 @@ def _close(percent: int):
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose overlaps, counted per fragment and summed, reach the threshold."""
+    pairs = cut(pairs.select("a", "a_n", "b", "b_n"))
+    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda df: df
+    ends = pairs.select(F.col("b").alias("node")).distinct()
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("places").alias("a_places"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("places").alias("b_places"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
+    right = segments.join(few(ends), "node", "left_semi").select(
+        F.col("node").alias("b"), "fragment", F.col("places").alias("b_places"))
+    partial = left.join(few(pairs), "a").join(right, ["b", "fragment"]).select(
         "a", "b", "a_n", "b_n", "fragment", F.size(F.array_intersect("a_places", "b_places")).alias("overlap"))
     # A repeated input row repeats its segments: one count per fragment.
     once = partial.groupBy("a", "b", "a_n", "b_n", "fragment").agg(F.max("overlap").alias("overlap"))
@@ -260,9 +291,9 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
         F.col("center_n").alias("b_n"), "hits").where(_close(percent)))
     touched = around.select("node").union(around.select(F.col("center").alias("node"))).distinct()
     holders = members.join(touched, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    wanted = holders.select(F.col("id").alias("_id")).distinct()
-    segments = cut(rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text").mapInArrow(
-        _segments(n, shared, pivots), "node long, fragment int, places array<long>"))
+    wanted = spark.sparkContext.broadcast(_filter_of(holders.select("id")))
+    segments = cut(rows.select("text", "id").mapInArrow(
+        _segments(n, shared, wanted, pivots), "node long, fragment int, places array<long>"))
 
     # 1: every node with the center it shares most rare shingles with.
     best = pairs.groupBy("a", "a_n").agg(F.max(F.struct("hits", "b", "b_n")).alias("m")).select(
