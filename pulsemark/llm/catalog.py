@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsemark.llm import ngram_join
+from pulsemark.llm import langid, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +16,26 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _remainder(column: str, m: int):
+    """crc32 of a column as text modulo m; 0 for null."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % m, F.lit(0))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the two thirds that are not held out."""
+    docs = _table(spark, folder, "documents").withColumn("held_out", _remainder("doc_id", 3) == 1)
+    model = langid.fit(docs.where("not held_out"))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and component of every document among links of Jaccard similarity 0.8 over 5-word shingles."""
     return ngram_join.near_components(_table(spark, folder, "documents"), n=5, percent=80)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op9_ngram_jaccard_join,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op4_language_id, op9_ngram_jaccard_join,
+)}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"""
@@ -31,7 +46,7 @@ ORACLE: dict[str, str] = {
         sets AS (
             SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
                 WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS s
+                ELSE [array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)] END) AS s
             FROM words),
         sizes AS (SELECT doc_id, len(s) AS n FROM sets),
         items AS (SELECT doc_id, unnest(s) AS g FROM sets),
