@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemark.llm import langid, ngram_join
+from pulsemark.llm import langid, lines, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,14 @@ def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_components(_table(spark, folder, "documents"), n=5, percent=80)
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and dropped lines of every document, and the digest of what is left of its text."""
+    kept = lines.drop_recurring(_table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op4_language_id, op9_ngram_jaccard_join,
+    op4_language_id, op9_ngram_jaccard_join, op10_line_dedup,
 )}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -63,4 +69,51 @@ ORACLE: dict[str, str] = {
         SELECT s.doc_id, s.n AS n_shingles, m.component_id
         FROM sizes s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
     """,
+    "op10_line_dedup": """
+        WITH raw AS (
+            SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS k_
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+        clean AS (SELECT doc_id, k_, line, trim(translate(line, chr(9) || chr(13), '  '), ' ') AS c FROM raw),
+        masked AS (SELECT doc_id, k_, line, regexp_replace(c, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m FROM clean),
+        around AS (
+            SELECT *, lag(m, 1, '<end>') OVER w AS before, lead(m, 1, '<end>') OVER w AS after
+            FROM masked WINDOW w AS (PARTITION BY doc_id ORDER BY k_)),
+        parsed AS (
+            SELECT *, string_split_regex(m, ' +') AS t FROM around WHERE m <> ''),
+        placed AS (SELECT *, len(t) AS size, {'n': len(t), 'h': t[1:4]} AS leaf FROM parsed),
+        leaves AS (
+            SELECT leaf FROM placed WHERE size > 4 GROUP BY leaf
+            HAVING count(*) >= 3 AND count(DISTINCT m) > 1 AND count(DISTINCT doc_id) > 1),
+        found AS (
+            SELECT m, any_value(leaf) AS leaf, any_value(t) AS t, any_value(size) AS size,
+                count(DISTINCT doc_id) AS weight
+            FROM placed SEMI JOIN leaves USING (leaf) WHERE size > 4 GROUP BY m),
+        fields AS (SELECT m, leaf, size, weight, unnest(t) AS token, generate_subscripts(t, 1) AS k_ FROM found),
+        votes AS (SELECT leaf, k_, token, sum(weight) AS w FROM fields GROUP BY ALL),
+        agreed AS (
+            SELECT leaf, k_, arg_max(token, w) AS constant FROM votes GROUP BY ALL HAVING max(w) * 2 > sum(w)),
+        fit AS (
+            SELECT m, leaf, size, count(*) AS n, count_if(token = constant) AS same
+            FROM fields JOIN agreed USING (leaf, k_) GROUP BY ALL),
+        general AS (
+            SELECT m, leaf FROM fit JOIN (SELECT leaf, count(*) AS nc FROM agreed GROUP BY leaf) c USING (leaf)
+            WHERE same = n AND n = nc AND n >= 0.6 * size),
+        named AS (
+            SELECT p.doc_id, p.k_, p.before, p.after,
+                CASE WHEN g.m IS NULL THEN 'line ' || p.m ELSE 'leaf ' || g.leaf::VARCHAR END AS template
+            FROM placed p LEFT JOIN general g ON p.m = g.m),
+        recurring AS (
+            SELECT template FROM named GROUP BY template
+            HAVING count(DISTINCT doc_id) >= 3
+                AND greatest(count(DISTINCT before), count(DISTINCT after)) >= 3
+                AND greatest(count(DISTINCT before), count(DISTINCT after)) * 2 >= count(DISTINCT doc_id)),
+        dropped AS (SELECT doc_id, k_ FROM named SEMI JOIN recurring USING (template)),
+        kept AS (
+            SELECT r.doc_id, count(*) AS n_lines, count(d.k_) AS n_dropped,
+                string_agg(CASE WHEN d.k_ IS NULL THEN r.line END, chr(10) ORDER BY r.k_) AS text
+            FROM raw r LEFT JOIN dropped d ON r.doc_id = d.doc_id AND r.k_ = d.k_ GROUP BY r.doc_id)
+        SELECT o.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped,
+            CASE WHEN o.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS text_sha256
+        FROM documents o LEFT JOIN kept k USING (doc_id)
+    """,
 }

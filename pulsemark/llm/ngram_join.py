@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm.components import connected, relabel
+from pulsemark.llm.sizes import few
 from pulsemark.llm.text import Words, mix, runs
 from pulsemark.session import cut
 
@@ -251,12 +252,12 @@ def _close(percent: int):
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose overlaps, counted per fragment and summed, reach the threshold."""
     pairs = cut(pairs.select("a", "a_n", "b", "b_n"))
-    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda df: df
+    small = few(pairs, BROADCAST_PAIRS)
     ends = pairs.select(F.col("b").alias("node")).distinct()
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("places").alias("a_places"))
-    right = segments.join(few(ends), "node", "left_semi").select(
+    right = segments.join(few(cut(ends), BROADCAST_PAIRS), "node", "left_semi").select(
         F.col("node").alias("b"), "fragment", F.col("places").alias("b_places"))
-    partial = left.join(few(pairs), "a").join(right, ["b", "fragment"]).select(
+    partial = left.join(small, "a").join(right, ["b", "fragment"]).select(
         "a", "b", "a_n", "b_n", "fragment", F.size(F.array_intersect("a_places", "b_places")).alias("overlap"))
     # A repeated input row repeats its segments: one count per fragment.
     once = partial.groupBy("a", "b", "a_n", "b_n", "fragment").agg(F.max("overlap").alias("overlap"))
