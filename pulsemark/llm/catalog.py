@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemark.llm import langid, lines, ngram_join
+from pulsemark.llm import langid, lines, lm, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,13 @@ def _remainder(column: str, m: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % m, F.lit(0))
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-bilinear and unigram scores of every document, learned from those that are not held out."""
+    docs = _table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), (_remainder("doc_id", 7) == 2).alias("held_out"), "text")
+    return lm.score_texts(docs).withColumnRenamed("id", "doc_id")
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from the two thirds that are not held out."""
     docs = _table(spark, folder, "documents").withColumn("held_out", _remainder("doc_id", 3) == 1)
@@ -40,7 +47,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op4_language_id, op9_ngram_jaccard_join, op10_line_dedup,
+    op1_lm_scoring, op4_language_id, op9_ngram_jaccard_join, op10_line_dedup,
 )}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
