@@ -3,7 +3,8 @@
 The global order of all shingles runs from rare to frequent (frequencies from a counting sketch over all
 texts, ties by hash). Pivots cut the order into fragments, so that each text's set becomes one segment per
 fragment. Overlaps are counted per pair and fragment and summed per pair. Pairs to count come from the
-rare end of the order: two sets that are similar enough share a shingle there.
+rare end of the order: two sets that are similar enough share a shingle there, and how far from the end their
+first common one may lie depends on both sizes.
 
 Identical sets are one node throughout. In a large group of near copies the pairs are not all counted:
 each node is first compared with one well connected node per shared shingle, and after that only pairs whose
@@ -145,7 +146,7 @@ def _rare_ends(n: int, percent: int, shared):
     def run(batches):
         classes = shared.value
         for batch in batches:
-            keys, nodes, sizes, ranks = [], [], [], []
+            keys, nodes, sizes, ranks, spots = [], [], [], [], []
             for found in shingle_sets(batch.column(0), n):
                 if not len(found):
                     continue
@@ -157,18 +158,20 @@ def _rare_ends(n: int, percent: int, shared):
                 nodes.append(np.full(len(keys[-1]), _name(found), np.int64))
                 sizes.append(np.full(len(keys[-1]), size, np.int32))
                 ranks.append(np.full(len(keys[-1]), -common, np.int32))
+                spots.append(np.arange(len(keys[-1]), dtype=np.int32))
                 if len(keys) >= 1000:
-                    yield _rare_rows(keys, nodes, sizes, ranks)
-                    keys, nodes, sizes, ranks = [], [], [], []
+                    yield _rare_rows(keys, nodes, sizes, ranks, spots)
+                    keys, nodes, sizes, ranks, spots = [], [], [], [], []
             if keys:
-                yield _rare_rows(keys, nodes, sizes, ranks)
+                yield _rare_rows(keys, nodes, sizes, ranks, spots)
     return run
 
 
-def _rare_rows(keys, nodes, sizes, ranks):
+def _rare_rows(keys, nodes, sizes, ranks, spots):
+    keys = [x.view(np.int64) for x in keys]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes)),
-         pa.array(np.concatenate(sizes)), pa.array(np.concatenate(ranks))], ["key", "node", "n", "rank"])
+        [pa.array(np.concatenate(x)) for x in (keys, nodes, sizes, ranks, spots)],
+        ["key", "node", "n", "rank", "spot"])
 
 
 def _around_centers(batches):
@@ -177,9 +180,9 @@ def _around_centers(batches):
     Keeps the current key's first node only, however many rows a key has.
     """
     key0 = node0 = None
-    center, center_n = 0, 0
+    center, center_n, center_spot = 0, 0, 0
     for batch in batches:
-        key, node, size = (batch.column(k).to_numpy() for k in range(3))
+        key, node, size, spot = (batch.column(k).to_numpy() for k in range(4))
         if not len(key):
             continue
         fresh = np.ones(len(key), bool)  # not the row before once more
@@ -190,12 +193,14 @@ def _around_centers(batches):
         begins[0] = key[0] != key0
         at = np.maximum.accumulate(np.where(begins, np.arange(len(key)), -1))
         centers = np.where(at < 0, center, node[at])
-        centers_n = np.where(at < 0, center_n, size[at])
-        key0, node0, center, center_n = key[-1], node[-1], int(centers[-1]), int(centers_n[-1])
+        centers_n = np.where(at < 0, center_n, size[at]).astype(np.int32)
+        spots = np.where(at < 0, center_spot, spot[at]).astype(np.int32)
+        key0, node0 = key[-1], node[-1]
+        center, center_n, center_spot = int(centers[-1]), int(centers_n[-1]), int(spots[-1])
         out = fresh & (node != centers)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[out]) for x in (key, node, size, centers, centers_n.astype(np.int32))],
-            ["key", "node", "n", "center", "center_n"])
+            [pa.array(x[out]) for x in (key, node, size, spot, centers, centers_n, spots)],
+            ["key", "node", "n", "spot", "center", "center_n", "center_spot"])
 
 
 def _place(ids: np.ndarray) -> np.ndarray:
@@ -245,8 +250,10 @@ def _segments(n: int, shared, wanted, pivots: np.ndarray):
     return run
 
 
-def _close(percent: int):
-    return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+def _possible(percent: int):
+    """Whether a pair can be similar if the shingle at these spots is its first common one in the order."""
+    need = F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
+    return (F.col("a_n") - F.col("a_spot") >= need) & (F.col("b_n") - F.col("b_spot") >= need)
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -282,14 +289,16 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     classes, pivots = _order(measured.where("slot is not null"))
     shared = spark.sparkContext.broadcast(classes)
     rare = rows.select("text").mapInArrow(
-        _rare_ends(n, percent, shared), "key long, node long, n int, rank int")
+        _rare_ends(n, percent, shared), "key long, node long, n int, rank int, spot int")
     grouped = rare.repartition("key").sortWithinPartitions("key", "rank", "node")
-    around = cut(grouped.select("key", "node", "n").mapInArrow(
-        _around_centers, "key long, node long, n int, center long, center_n int"))
-
-    pairs = cut(around.groupBy("node", "n", "center", "center_n").agg(F.count("*").alias("hits")).select(
-        F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("center").alias("b"),
-        F.col("center_n").alias("b_n"), "hits").where(_close(percent)))
+    around = cut(grouped.select("key", "node", "n", "spot").mapInArrow(
+        _around_centers,
+        "key long, node long, n int, spot int, center long, center_n int, center_spot int"))
+
+    met = around.select(
+        F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("spot").alias("a_spot"),
+        F.col("center").alias("b"), F.col("center_n").alias("b_n"), F.col("center_spot").alias("b_spot"))
+    pairs = cut(met.where(_possible(percent)).groupBy("a", "a_n", "b", "b_n").agg(F.count("*").alias("hits")))
     touched = around.select("node").union(around.select(F.col("center").alias("node"))).distinct()
     holders = members.join(touched, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
     wanted = spark.sparkContext.broadcast(_filter_of(holders.select("id")))
@@ -304,15 +313,16 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     rest = pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")
     labels = _merged(rest, labels, segments, percent)
     # 3: all other pairs at a rare shingle, where the components still differ.
-    places = around.select("key", "node", "n").union(
-        around.select("key", F.col("center").alias("node"), F.col("center_n").alias("n")).distinct())
+    places = around.select("key", "node", "n", "spot").union(around.select(
+        "key", F.col("center").alias("node"), F.col("center_n").alias("n"),
+        F.col("center_spot").alias("spot")).distinct())
     placed = cut(_labelled(places, labels, "node", "label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     open_rows = cut(placed.join(mixed.select("key"), "key", "left_semi"))
-    a = open_rows.select("key", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
-    b = open_rows.select("key", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
-    left = a.join(b, "key").where(F.col("a_label") < F.col("b_label")).where(_close(percent))
-    left = left.select("a", "a_n", "b", "b_n").distinct()
+    a, b = (open_rows.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "spot", "label")])
+            for side in "ab")
+    left = a.join(b, "key").where(F.col("a_label") < F.col("b_label")).where(_possible(percent)).select(
+        F.col("a_node").alias("a"), "a_n", F.col("b_node").alias("b"), "b_n").distinct()
     known = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = _merged(left.join(known, ["a", "b"], "left_anti"), labels, segments, percent)
 
