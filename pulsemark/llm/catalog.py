@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemark.llm import langid, lines, lm, ngram_join
+from pulsemark.llm import (
+    chat, decontaminate, langid, lines, lm, lz_print, ngram_join, quality, spiece, token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +18,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _remainder(column: str, m: int):
+def remainder(column: str, m: int):
     """crc32 of a column as text modulo m; 0 for null."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % m, F.lit(0))
 
@@ -24,17 +26,66 @@ def _remainder(column: str, m: int):
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log-bilinear and unigram scores of every document, learned from those that are not held out."""
     docs = _table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), (_remainder("doc_id", 7) == 2).alias("held_out"), "text")
+        F.col("doc_id").alias("id"), (remainder("doc_id", 7) == 2).alias("held_out"), "text")
     return lm.score_texts(docs).withColumnRenamed("id", "doc_id")
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document, the digest of their ids, and whether decoding gives the text back."""
+    docs = _table(spark, folder, "documents").withColumn("_sha", F.sha2(F.col("text"), 256))
+    coded = spiece.encode(docs, ["doc_id", "_sha"])
+    return coded.select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("piece_ids", " "), 256).alias("pieces_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        (F.sha2(F.col("decoded"), 256) == F.coalesce("_sha", F.sha2(F.lit(""), 256))).alias("round_trip"))
+
+
+def grades(labels: DataFrame) -> DataFrame:
+    """Graded ratings from the labels: 0 toxic, 1 not toxic but of low quality, 2 good."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, 0).otherwise(1 + F.col("quality")).alias("grade"))
+
+
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document, and whether it is rather good than not."""
+    docs = _table(spark, folder, "documents")
+    model = quality.fit(docs, grades(_table(spark, folder, "labels")), top=2)
+    return quality.grade(docs, model, ["doc_id"]).withColumn("keep", F.col("p_at_least_2") >= 0.5)
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from the two thirds that are not held out."""
-    docs = _table(spark, folder, "documents").withColumn("held_out", _remainder("doc_id", 3) == 1)
+    docs = _table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
     model = langid.fit(docs.where("not held_out"))
     return langid.predict(docs, model, ["doc_id", "held_out"])
 
 
+def op5_lz_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, compared with each other and the next one's."""
+    docs = _table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return lz_print.fingerprints_with_next(docs).withColumnRenamed("id", "doc_id")
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Words, word pieces and unknown words of every document."""
+    return token_counts.count_tokens(_table(spark, folder, "documents"), ["doc_id"])
+
+
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """What is read back from every formatted conversation, and from one that says the control strings."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    table = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.check_format(table.union(extra))
+
+
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item within the edit budget, one row per document and item."""
+    docs = _table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return decontaminate.find_leaks(docs, _table(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and component of every document among links of Jaccard similarity 0.8 over 5-word shingles."""
     return ngram_join.near_components(_table(spark, folder, "documents"), n=5, percent=80)
@@ -47,7 +98,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_lm_scoring, op4_language_id, op9_ngram_jaccard_join, op10_line_dedup,
+    op1_lm_scoring, op2_sentencepiece, op3_quality_classifier, op4_language_id, op5_lz_fingerprint,
+    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup,
 )}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -123,4 +175,24 @@ ORACLE: dict[str, str] = {
             CASE WHEN o.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS text_sha256
         FROM documents o LEFT JOIN kept k USING (doc_id)
     """,
+    "op7_chat_format": """
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        sized AS (
+            SELECT *, length(text)
+                + len(regexp_extract_all(text, '\\\\|</?s>|\\[/?INST\\]|<</?SYS>>|<</?ROLE>>')) AS n,
+                length(role)
+                + len(regexp_extract_all(role, '\\\\|</?s>|\\[/?INST\\]|<</?SYS>>|<</?ROLE>>')) AS r
+            FROM said)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+                AS loss_sha256,
+            sum(n + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 4 WHEN 'system' THEN 15
+                ELSE r + 21 END)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
 }

@@ -16,14 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
-from pulsemark.llm.text import Words, prefix_sums, runs, span_hashes
+from pulsemark.llm.text import Memory, Words, prefix_sums, runs, span_hashes, sum_by_row
 
 #: The fit takes about this many documents of each language, drawn by hash; everything else sees all rows.
 FIT_DOCS = 600
 #: Rounds of expectation maximisation, and what each piece counts beforehand.
 ROUNDS, PRIOR = 2, 0.05
-#: Distinct words whose probabilities a task remembers.
-REMEMBERED = 300_000
 _START = np.uint64(0x5851F42D4C957F2D)  # sets pieces at the start of a word apart
 
 
@@ -183,45 +181,10 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, path: str = vocab.PIECES) ->
     return Model(languages, np.stack(columns, axis=1), table)
 
 
-class _Memory:
-    """Log probabilities of words by hash; forgets all when full."""
-
-    def __init__(self, columns: int):
-        self.columns = columns
-        self.clear()
-
-    def clear(self):
-        self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros((0, self.columns), np.float32)
-
-    def look_up(self, words: Words, score) -> np.ndarray:
-        """Rows of all words; ``score(picked)`` gives those of words not known yet."""
-        found, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, found)
-        known = np.zeros(len(found), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == found[inside]
-        rows = np.zeros((len(found), self.columns), np.float32)
-        rows[known] = self.rows[at[known]]
-        rows[~known] = score(first[~known])
-        if len(self.hashes) > REMEMBERED:
-            self.clear()
-            known[:] = False
-        hashes = np.concatenate([self.hashes, found[~known]])
-        order = np.argsort(hashes)
-        self.hashes, self.rows = hashes[order], np.concatenate([self.rows, rows[~known]])[order]
-        return rows[back]
-
-
-def sum_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of the values of each row, where ``bounds`` has the rows' first values."""
-    sums = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return sums[bounds[1:]] - sums[bounds[:-1]]
-
-
 def _predict(shared):
     def run(batches):
         model = shared.value
-        memory = _Memory(len(model.languages))
+        memory = Memory(len(model.languages))
         names = np.array([*model.languages, "und"], object)
         for batch in batches:
             best, score = [], []

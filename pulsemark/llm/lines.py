@@ -16,38 +16,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.llm.sizes import few
+from pulsemark.llm.sizes import FEW, few
 from pulsemark.session import cut
 
 DEPTH, MIN_DOCS, CONSTANT = 4, 3, 0.6
 MASK = "<*>"
 
 
-def _cleaned(line):
-    return F.trim(F.translate(line, "\t\r", "  "))
+def _masked(docs: DataFrame) -> DataFrame:
+    """(_key, lines): the lines, trimmed, with single blanks between tokens and a mask for fields with digits.
+
+    The whole text is changed at once, and only where it has such characters.
+    """
+    text = F.col("_text")
+    tabs = F.when(text.contains("\t") | text.contains("\r"), F.translate(text, "\t\r", "  ")).otherwise(text)
+    docs = docs.select("_key", tabs.alias("_text"))
+    docs = docs.select("_key", F.when(text.contains("  "), F.regexp_replace(text, " +", " ")).otherwise(text).alias("_text"))
+    field = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
+    docs = docs.select("_key", F.when(text.rlike("[0-9]"), F.regexp_replace(text, field, MASK)).otherwise(text).alias("_text"))
+    return docs.select("_key", F.transform(F.split(text, "\n", -1), F.trim).alias("lines"))
 
 
-def _masked(line):
-    clean = _cleaned(line)
-    return F.when(clean.rlike("[0-9]"), F.regexp_replace(clean, "[^ ]*[0-9][^ ]*", MASK)).otherwise(clean)
+def _leaf(line, depth: int):
+    """The hash of the number of tokens and the first ones; null if there are no more than these."""
+    size = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    return F.when(size > depth, F.xxhash64(size, F.substring_index(line, " ", depth)))
 
 
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
-    """One row per line with a token: document key, place, masked line, tokens, hash, leaf and neighbours.
+    """One row per line with a token: document key, place, hash, leaf and neighbours.
 
     ``before`` and ``after`` are the hashes of the lines around it; 0 stands for the text's ends.
     """
     end = F.array(F.lit(0).cast("long"))
-    masked = docs.select("_key", F.transform(F.split("_text", "\n", -1), _masked).alias("masked"))
-    hashed = masked.select("_key", "masked", F.transform("masked", lambda x: F.xxhash64(x)).alias("hash"))
+    hashed = _masked(docs).select("_key", "lines", F.transform("lines", lambda x: F.xxhash64(x)).alias("hash"))
     zipped = hashed.select("_key", F.arrays_zip(
-        "masked", "hash",
+        "lines", "hash",
         F.concat(end, F.slice("hash", F.lit(1), F.size("hash") - 1)).alias("before"),
         F.concat(F.slice("hash", F.lit(2), F.size("hash") - 1), end).alias("after")).alias("z"))
-    lines = zipped.select("_key", F.posexplode("z").alias("at", "line")).select("_key", "at", "line.*")
-    lines = lines.where("masked <> ''").withColumn("tokens", F.split("masked", " +"))
-    return lines.withColumn("size", F.size("tokens")).withColumn(
-        "leaf", F.xxhash64("size", F.slice("tokens", 1, depth)))
+    rows = zipped.select("_key", F.posexplode("z").alias("at", "z")).where("z.lines <> ''")
+    return rows.select("_key", "at", F.col("z.hash").alias("hash"), _leaf(F.col("z.lines"), depth).alias("leaf"),
+                       F.col("z.before").alias("before"), F.col("z.after").alias("after"))
 
 
 def _general(docs: DataFrame, placed: DataFrame, depth: int, min_docs: int, constant: float) -> DataFrame:
@@ -58,9 +67,11 @@ def _general(docs: DataFrame, placed: DataFrame, depth: int, min_docs: int, cons
     wanted = few(cut(leaves.where(f"n >= {min_docs} and h0 <> h1 and k0 <> k1").select("leaf")))
     weights = placed.join(wanted, "leaf", "left_semi").select("hash", "_key").distinct().groupBy("hash").agg(
         F.count("*").alias("weight"))
-    found = _parsed(docs, depth).where(F.col("size") > depth).join(wanted, "leaf", "left_semi")
-    distinct = found.select("hash", "leaf", "size", F.transform("tokens", lambda t: F.xxhash64(t)).alias("t")).groupBy(
-        "hash", "leaf", "size").agg(F.first("t").alias("t"))
+    lines = _masked(docs).select(F.explode("lines").alias("line"))
+    found = lines.select("line", _leaf(F.col("line"), depth).alias("leaf")).where("leaf is not null").join(
+        wanted, "leaf", "left_semi").groupBy(F.xxhash64("line").alias("hash"), "leaf").agg(F.min("line").alias("line"))
+    distinct = found.withColumn("t", F.split("line", " ")).select(
+        "hash", "leaf", F.size("t").alias("size"), F.transform("t", lambda t: F.xxhash64(t)).alias("t"))
     fields = cut(distinct.join(weights, "hash").select(
         "hash", "leaf", "size", "weight", F.posexplode("t").alias("at", "token")))
     votes = fields.groupBy("leaf", "at", "token").agg(F.sum("weight").alias("w"))
@@ -89,8 +100,7 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
     docs = docs.select(*[f"`{c}`" for c in kept], F.xxhash64(F.col(f"`{id_column}`"), text).alias("_key"))
     keyed = docs.select("_key", text.alias("_text"))
     keyed = keyed.where("_text is not null")
-    placed = cut(_parsed(keyed, depth).select(
-        "_key", "at", "hash", F.when(F.col("size") > depth, F.col("leaf")).alias("leaf"), "before", "after"))
+    placed = cut(_parsed(keyed, depth))
     general = _general(keyed, placed.where("leaf is not null"), depth, min_docs, constant)
 
     near = placed.groupBy("hash").agg(F.count("*").alias("n"))
@@ -103,7 +113,10 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
     around = F.greatest("before", "after")
     recurring = seen.where((F.col("docs") >= min_docs) & (around >= min_docs) & (around * 2 >= F.col("docs")))
     bad = often.join(recurring, "template", "left_semi").select("hash")
-    dropped = placed.join(bad, "hash", "left_semi").groupBy("_key").agg(F.collect_set("at").alias("_drop"))
+    places = cut(placed.join(bad, "hash", "left_semi").select("_key", "at").distinct())
+    dropped = places.groupBy("_key").agg(F.collect_list("at").alias("_drop"))
+    if places.count() <= FEW:
+        dropped = F.broadcast(dropped)
 
     lines = F.split(text, "\n", -1)
     rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_drop"), lambda k: F.get(lines, k))

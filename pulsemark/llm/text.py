@@ -106,3 +106,38 @@ class Words:
 
     def text(self, k: int) -> str:
         return self.data[self.starts[k]: self.ends[k]].tobytes().decode("utf-8", "replace")
+
+
+class Memory:
+    """Numbers of words by hash, kept from one run of rows to the next; forgets all when full."""
+
+    def __init__(self, columns: int, limit: int = 300_000):
+        self.columns, self.limit = columns, limit
+        self.clear()
+
+    def clear(self):
+        self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros((0, self.columns), np.float32)
+
+    def look_up(self, words: Words, score) -> np.ndarray:
+        """Rows of all words; ``score(picked)`` gives those of words not known yet."""
+        found, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, found)
+        known = np.zeros(len(found), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == found[inside]
+        rows = np.zeros((len(found), self.columns), np.float32)
+        rows[known] = self.rows[at[known]]
+        rows[~known] = score(first[~known])
+        if len(self.hashes) > self.limit:
+            self.clear()
+            known[:] = False
+        hashes = np.concatenate([self.hashes, found[~known]])
+        order = np.argsort(hashes)
+        self.hashes, self.rows = hashes[order], np.concatenate([self.rows, rows[~known]])[order]
+        return rows[back]
+
+
+def sum_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the values of each row, where ``bounds`` has the rows' first values."""
+    sums = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
+    return sums[bounds[1:]] - sums[bounds[:-1]]

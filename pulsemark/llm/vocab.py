@@ -31,4 +31,7 @@ def load(path: str = PIECES) -> Pieces:
             single[int(piece[1:-1], 16)] = k
         elif not (model.is_control(k) or model.is_unknown(k) or model.is_unused(k)):
             ids[piece], scores[piece] = k, model.get_score(k)
+    # Marker runs carry a placeholder far below all others, beside which sums would lose the rest.
+    lowest = min((x for x in scores.values() if x > -1e8), default=0.0)
+    scores = {piece: max(x, lowest) for piece, x in scores.items()}
     return Pieces(ids, scores, single, model.unk_id(), model.vocab_size())
