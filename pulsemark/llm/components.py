@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.session import cut
+from pulsemark.llm.sizes import store
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, rows: int) -> DataFrame:
     """Rows (node, label) for the nodes of the edges (a, b); the label is the smallest node reachable.
 
     Large-star and small-star steps alternate until nothing changes, a number of rounds that grows with the
-    logarithm of the nodes. Neighbours are never gathered in one row: each step is an aggregation and a join.
+    logarithm of the nodes. ``rows`` bounds the number of edges from above. Neighbours are never gathered in one row: each step is an aggregation and a join.
     """
-    current = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    current = store(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(
+        "u <> v").distinct(), rows)
     mark = _mark(current)
     while mark[0]:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -23,7 +24,7 @@ def connected(edges: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = cut(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        new = store(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), 2 * mark[0])
         after = _mark(new)
         done = after == mark
         current, mark = new, after
@@ -38,9 +39,9 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def relabel(labels: DataFrame, higher: DataFrame) -> DataFrame:
+def relabel(labels: DataFrame, higher: DataFrame, rows: int) -> DataFrame:
     """Labels after components were merged: ``higher`` maps labels (or nodes without one) to new labels."""
-    up = cut(higher.select(F.col("node").alias("label"), F.col("label").alias("_up")))
+    up = higher.select(F.col("node").alias("label"), F.col("label").alias("_up"))
     moved = labels.join(up, "label", "left").select("node", F.coalesce("_up", "label").alias("label"))
     lone = up.join(labels.select("label").distinct(), "label", "left_anti")
-    return cut(moved.union(lone.select(F.col("label").alias("node"), F.col("_up").alias("label"))))
+    return store(moved.union(lone.select(F.col("label").alias("node"), F.col("_up").alias("label"))), rows)

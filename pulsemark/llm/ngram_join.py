@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm.components import connected, relabel
-from pulsemark.llm.sizes import few
+from pulsemark.llm.sizes import store
 from pulsemark.llm.text import Words, mix, runs
 from pulsemark.session import cut
 
@@ -256,20 +256,25 @@ def _possible(percent: int):
     return (F.col("a_n") - F.col("a_spot") >= need) & (F.col("b_n") - F.col("b_spot") >= need)
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose overlaps, counted per fragment and summed, reach the threshold."""
-    pairs = cut(pairs.select("a", "a_n", "b", "b_n"))
-    small = few(pairs, BROADCAST_PAIRS)
+def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """Pairs (a, b) whose overlaps, counted per fragment and summed, reach the threshold; at most how many.
+
+    ``pairs`` is a stored frame.
+    """
+    count = pairs.count()
+    pairs = pairs.select("a", "a_n", "b", "b_n")
+    small = F.broadcast(pairs) if count <= BROADCAST_PAIRS else pairs
     ends = pairs.select(F.col("b").alias("node")).distinct()
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("places").alias("a_places"))
-    right = segments.join(few(cut(ends), BROADCAST_PAIRS), "node", "left_semi").select(
+    right = segments.join(F.broadcast(ends) if count <= BROADCAST_PAIRS else ends, "node", "left_semi").select(
         F.col("node").alias("b"), "fragment", F.col("places").alias("b_places"))
     partial = left.join(small, "a").join(right, ["b", "fragment"]).select(
         "a", "b", "a_n", "b_n", "fragment", F.size(F.array_intersect("a_places", "b_places")).alias("overlap"))
     # A repeated input row repeats its segments: one count per fragment.
     once = partial.groupBy("a", "b", "a_n", "b_n", "fragment").agg(F.max("overlap").alias("overlap"))
     total = once.groupBy("a", "b", "a_n", "b_n").agg(F.sum("overlap").alias("c"))
-    return total.where(F.col("c") * 100 >= percent * (F.col("a_n") + F.col("b_n") - F.col("c"))).select("a", "b")
+    close = total.where(F.col("c") * 100 >= percent * (F.col("a_n") + F.col("b_n") - F.col("c"))).select("a", "b")
+    return close, count
 
 
 def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: str = "doc_id",
@@ -298,7 +303,8 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     met = around.select(
         F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("spot").alias("a_spot"),
         F.col("center").alias("b"), F.col("center_n").alias("b_n"), F.col("center_spot").alias("b_spot"))
-    pairs = cut(met.where(_possible(percent)).groupBy("a", "a_n", "b", "b_n").agg(F.count("*").alias("hits")))
+    rows_met = around.count()
+    pairs = store(met.where(_possible(percent)).groupBy("a", "a_n", "b", "b_n").agg(F.count("*").alias("hits")), rows_met)
     touched = around.select("node").union(around.select(F.col("center").alias("node"))).distinct()
     holders = members.join(touched, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
     wanted = spark.sparkContext.broadcast(_filter_of(holders.select("id")))
@@ -306,27 +312,27 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
         _segments(n, shared, wanted, pivots), "node long, fragment int, places array<long>"))
 
     # 1: every node with the center it shares most rare shingles with.
-    best = pairs.groupBy("a", "a_n").agg(F.max(F.struct("hits", "b", "b_n")).alias("m")).select(
-        "a", "a_n", "m.b", "m.b_n")
-    labels = connected(_verified(best, segments, percent))
+    best = store(pairs.groupBy("a", "a_n").agg(F.max(F.struct("hits", "b", "b_n")).alias("m")).select(
+        "a", "a_n", "m.b", "m.b_n"), pairs.count())
+    labels = connected(*_verified(best, segments, percent))
     # 2: its other centers, where the components still differ.
     rest = pairs.join(best.select("a", "b"), ["a", "b"], "left_anti")
-    labels = _merged(rest, labels, segments, percent)
+    labels = _merged(rest, pairs.count(), labels, segments, percent)
     # 3: all other pairs at a rare shingle, where the components still differ.
     places = around.select("key", "node", "n", "spot").union(around.select(
         "key", F.col("center").alias("node"), F.col("center_n").alias("n"),
         F.col("center_spot").alias("spot")).distinct())
-    placed = cut(_labelled(places, labels, "node", "label"))
+    placed = store(_labelled(places, labels, "node", "label"), 2 * rows_met)
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    open_rows = cut(placed.join(mixed.select("key"), "key", "left_semi"))
+    open_rows = placed.join(mixed.select("key"), "key", "left_semi")
     a, b = (open_rows.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "spot", "label")])
             for side in "ab")
     left = a.join(b, "key").where(F.col("a_label") < F.col("b_label")).where(_possible(percent)).select(
         F.col("a_node").alias("a"), "a_n", F.col("b_node").alias("b"), "b_n").distinct()
     known = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = _merged(left.join(known, ["a", "b"], "left_anti"), labels, segments, percent)
+    labels = _merged(left.join(known, ["a", "b"], "left_anti"), 2 * rows_met, labels, segments, percent)
 
-    named = cut(_labelled(members.where("n > 0"), labels, "node", "label"))
+    named = _labelled(members.where("n > 0"), labels, "node", "label")
     smallest = named.groupBy("label").agg(F.min("id").alias("component"))
     linked = named.join(smallest, "label").select("id", "n", "component")
     alone = members.where("n = 0").select("id", "n", F.col("id").alias("component"))
@@ -341,10 +347,11 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
         name, F.coalesce("_label", node)).drop("_node", "_label")
 
 
-def _merged(pairs: DataFrame, labels: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def _merged(pairs: DataFrame, rows: int, labels: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Labels after linking the similar ones among the pairs of different components."""
     both = _labelled(_labelled(pairs, labels, "a", "a_label"), labels, "b", "b_label")
-    tested = _verified(both.where("a_label <> b_label").select("a", "a_n", "b", "b_n"), segments, percent)
-    both = _labelled(_labelled(tested, labels, "a", "a_label"), labels, "b", "b_label")
-    higher = connected(both.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
-    return relabel(labels, higher)
+    differ = store(both.where("a_label <> b_label"), rows)
+    close, count = _verified(differ, segments, percent)
+    joined = close.join(differ.select("a", "b", "a_label", "b_label"), ["a", "b"])
+    higher = connected(joined.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")), count)
+    return relabel(labels, higher, labels.count() + 2 * count)
