@@ -376,8 +376,12 @@ def _add(name: str, body: str, **extra: str) -> None:
     ORACLE[name] = sql(body, **extra)
 
 
-_add("entry_label_rates", f"SELECT vertical, tier, cast(n as bigint) n, {rs('rate', 'rate_low', 'rate_high')} FROM "
-     f"(SELECT vertical, tier, {_RATE_CI} FROM tgt GROUP BY GROUPING SETS ((vertical), (tier), (vertical, tier)))")
+_LEVELS = {"vertical": "vertical, NULL AS tier", "tier": "NULL AS vertical, tier", "vertical_tier": "vertical, tier"}
+_add("entry_label_rates", f"SELECT level, vertical, tier, cast(n as bigint) n, {rs('rate', 'rate_low', 'rate_high')} FROM ("
+     + " UNION ALL ".join(
+         f"SELECT '{level}' AS level, {keys}, {_RATE_CI} FROM tgt WHERE "
+         + " AND ".join(f"{k} IS NOT NULL" for k in level.split("_")) + f" GROUP BY {', '.join(level.split('_'))}"
+         for level, keys in _LEVELS.items()) + ")")
 _add("label_heatmap", "SELECT vertical, " + ", ".join(
     f"round(avg(above_baseline) FILTER (tier = '{t}') * 100, 6) AS {t}_pct, "
     f"nullif(count(*) FILTER (tier = '{t}'), 0) AS {t}_n" for t in TIERS) + " FROM tgt GROUP BY 1")

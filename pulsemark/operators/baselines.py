@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemark.constants import BASELINE_KEEP, BASELINE_POOL
+from pulsemark.functions.numbers import finite
 from pulsemark.operators.quantiles import exact_quantiles
 
 # A group this large is not gathered by the built-in percentile.
 HOT_GROUP_ROWS = 200_000
+_COUNTED = ("view_count", "like_count", "comment_count")
 _MEDIANS = {
     "median_views": "view_count", "median_likes": "like_count",
     "median_comments": "comment_count", "median_engagement_rate": "engagement_rate",
@@ -41,19 +43,18 @@ def channel_medians(videos: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) ->
 
     The built-in median holds a group's distinct values in one buffer. That is right for the usual
     channel with tens of uploads; channels over ``hot_group_rows`` take the bracketed way instead,
-    whose per-task state stays small. A count over the key column alone decides.
+    whose per-task state stays small. NaN and infinities count as missing in both.
     """
     rated = videos.select(
-        "channel_id", "channel_handle", "view_count", "like_count", "comment_count",
-        F.try_divide(
-            (F.col("like_count") + F.col("comment_count")).cast("double"), F.col("view_count")
-        ).alias("engagement_rate"),
-    )
+        "channel_id", "channel_handle", *[finite(F.col(c)).alias(c) for c in _COUNTED],
+    ).withColumn("engagement_rate", finite(F.try_divide(
+        (F.col("like_count") + F.col("comment_count")).cast("double"), F.col("view_count"))))
+    # A null channel is a group of its own and keeps to the built-in median.
     hot = (
-        rated.groupBy("channel_id").count().where(F.col("count") > hot_group_rows)
-        .select("channel_id")
+        rated.groupBy("channel_id").count()
+        .where((F.col("count") > hot_group_rows) & F.col("channel_id").isNotNull()).select("channel_id")
     )
-    if hot.isEmpty():
+    if hot.isEmpty():  # the same medians without the second way's passes
         return _plain_medians(rated)
     cold = _plain_medians(rated.join(hot, "channel_id", "left_anti"))
     large = _hot_medians(rated.join(hot, "channel_id", "left_semi"))

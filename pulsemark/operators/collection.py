@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,8 +58,11 @@ def new_videos(candidates: DataFrame, tracking: DataFrame, now: datetime | str)
     """Candidates fresh enough for the first poll and not yet tracked, as tracking rows."""
     low, high = POLL_WINDOWS["upload"]
     at = ntz(now)
-    age = hours_between(F.col("published_at"), at)
-    fresh = candidates.where(age.between(low, high)).select("video_id", "channel_id", "published_at")
+    # As a range on the stored time, which reaches the scan; ages are inclusive at both ends.
+    moment = now if isinstance(now, datetime) else datetime.fromisoformat(now)
+    first, last = (ntz(moment - timedelta(hours=h)) for h in (high, low))
+    fresh = candidates.where(F.col("published_at").between(first, last)).select(
+        "video_id", "channel_id", "published_at")
     fresh = fresh.groupBy("video_id").agg(
         F.min("channel_id").alias("channel_id"), F.min("published_at").alias("published_at")
     )

@@ -14,7 +14,10 @@ from pulsemark.functions.polls import by_key, ntz, tier_of
 from pulsemark.operators.collection import set_flag
 from pulsemark.operators.segments import SEGMENT, segment_grid
 
-_LARGEST_TARGET = max(TIER_TARGETS.values())
+
+def _largest(plan: DataFrame) -> int:
+    """The most that any segment of the plan needs; a plan has one row per segment."""
+    return plan.agg(F.max("needed")).first()[0] or 0
 
 
 def channel_counts(channels: DataFrame) -> DataFrame:
@@ -61,7 +64,7 @@ def qualify(
 ) -> DataFrame:
     """Unknown channels in a tier's range that upload often enough, at most ``needed`` each.
 
-    ``needed`` never exceeds the largest target, so the literal rank limit drops nothing and lets
+    The plan's largest number is a literal limit, which drops nothing that the plan asks for and lets
     Spark trim every segment before the shuffle.
     """
     placed = found.withColumn("tier", tier_of(F.col("subscriber_count"))).where("tier is not null")
@@ -71,7 +74,7 @@ def qualify(
     )
     order = Window.partitionBy(*SEGMENT).orderBy("discovered_at", "channel_id")
     ranked = paced.withColumn("_rank", F.row_number().over(order)).where(
-        F.col("_rank") <= _LARGEST_TARGET
+        F.col("_rank") <= _largest(plan)
     )
     chosen = ranked.join(plan.select(*SEGMENT, "needed"), SEGMENT).where("_rank <= needed")
     return chosen.select(
@@ -87,7 +90,7 @@ def drain(candidates: DataFrame, plan: DataFrame) -> DataFrame:
     order = Window.partitionBy(*SEGMENT).orderBy("discovered_at", "channel_id")
     waiting = candidates.where(~F.col("added_to_tracking")).withColumn(
         "_rank", F.row_number().over(order)
-    ).where(F.col("_rank") <= _LARGEST_TARGET)
+    ).where(F.col("_rank") <= _largest(plan))
     taken = waiting.join(plan.select(*SEGMENT, "needed"), SEGMENT).where("_rank <= needed")
     return taken.select(
         "channel_id", "channel_handle", *SEGMENT, "subscriber_count",

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.constants import TARGET
-from pulsemark.operators.evaluate import evaluate
+from pulsemark.operators.evaluate import evaluate, training_composition
 from pulsemark.operators.scaling import Scaler
 from pulsemark.session import cut
 
@@ -61,6 +61,8 @@ GRIDS: dict[str, dict[str, list]] = {
         "gamma": [0, 0.1, 0.3, 0.5],
     },
 }
+# Parameters without a default of their own.
+EXTRA: dict[str, set[str]] = {"lr_l1": {"l1_ratio"}, "rf": set(), "gbt": {"max_bin"}}
 STRATEGIES = ("random", "halving", "grid")
 VOTE_WEIGHTS = {"rf": 1.0, "gbt": 2.0}
 TOP_FEATURES = 20
@@ -68,7 +70,12 @@ TOP_FEATURES = 20
 
 def make(kind: str, params: Mapping, rows: int, seed: int = 42) -> Estimator:
     """M4-M6: a learner from its parameters. ``rows`` turns C into MLlib's per-row penalty."""
-    p = {**DEFAULTS.get(kind, {}), **params}
+    if kind not in DEFAULTS:
+        raise ValueError(f"unknown model type {kind!r}; choose from {sorted(DEFAULTS)}")
+    unknown = sorted(set(params) - set(DEFAULTS[kind]) - EXTRA[kind])
+    if unknown:
+        raise ValueError(f"{kind} has no parameter {', '.join(unknown)}")
+    p = {**DEFAULTS[kind], **params}
     common = {"featuresCol": "features", "labelCol": TARGET}
     if kind == "lr_l1":
         mixing = {"l1": 1.0, "l2": 0.0}.get(p["penalty"], p.get("l1_ratio", 1.0))
@@ -86,9 +93,10 @@ def make(kind: str, params: Mapping, rows: int, seed: int = 42) -> Estimator:
         return GBTClassifier(
             maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
             subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample"]),
-            minInstancesPerNode=p["min_child_weight"], minInfoGain=float(p["gamma"]), seed=seed, **common,
+            minInstancesPerNode=p["min_child_weight"], minInfoGain=float(p["gamma"]), seed=seed,
+            maxBins=p.get("max_bin", 32), **common,
         )
-    raise ValueError(f"unknown model type {kind!r}; choose from {sorted(DEFAULTS)}")
+    raise ValueError(f"unknown model type {kind!r}")
 
 
 def assemble(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
@@ -154,12 +162,14 @@ def train(
     seed: int = 42,
     kinds: Sequence[str] = ("lr_l1", "rf", "gbt", "ensemble"),
 ) -> dict[str, Entry]:
-    """Fit on train, evaluate on test. The scaler is fitted on train only.
+    """Fit on train, evaluate on test. The scaler is fitted on real train rows only.
 
-    The vector table is written once; every learner and boosting round reads it.
+    The vector table is written once; every learner and boosting round reads it. Each entry keeps
+    the make-up of its training rows (A27).
     """
     columns, params = list(columns), params or {}
-    scaler = Scaler().fit(train_rows, columns)
+    scaler = Scaler().fit(real_rows(train_rows), columns)
+    about = about_training(train_rows, test_rows)
     fit_on = cut(assemble(scaler.transform(train_rows), columns, TARGET))
     test_on = cut(assemble(scaler.transform(test_rows), columns, TARGET))
     rows = fit_on.count()
@@ -174,10 +184,32 @@ def train(
         entry = Entry(kind, members, columns, scaler, params=dict(params.get(kind, DEFAULTS.get(kind, {}))))
         entry.result = evaluate(entry.predict(test_on))
         entry.result["top_features"] = entry.importances()
+        entry.training = dict(about)
         entries[kind] = entry
     return entries
 
 
+def real_rows(rows: DataFrame) -> DataFrame:
+    """The rows that are not synthetic, all where there is no flag."""
+    flag = "contains_synthetic_data"
+    return rows.where(~F.coalesce(F.col(flag), F.lit(False))) if flag in rows.columns else rows
+
+
+def about_training(train_rows: DataFrame, test_rows: DataFrame) -> dict:
+    """A27 for the record of a model: sizes, the synthetic share and the balance of the target."""
+    def part(rows: DataFrame, name: str) -> DataFrame:
+        flag = F.col("contains_synthetic_data") if "contains_synthetic_data" in rows.columns else F.lit(False)
+        return rows.select(F.lit(name).alias("split"), TARGET, flag.alias("contains_synthetic_data"))
+
+    row = training_composition(part(train_rows, "train").unionByName(part(test_rows, "test"))).first().asDict()
+    return {
+        **{k: row[k] for k in ("real_train_rows", "synthetic_train_rows", "total_train_rows",
+                               "test_rows", "synthetic_pct")},
+        "target_balance_train": {"0": row["train_0"], "1": row["train_1"]},
+        "target_balance_test": {"0": row["test_0"], "1": row["test_1"]},
+    }
+
+
 def prepare(entry: Entry, rows: DataFrame) -> DataFrame:
     """A frame as one model expects it. A missing feature takes the training mean, which scales
     to 0, or 0.0 for a model fitted unscaled."""
@@ -241,13 +273,15 @@ def tune(
     """M8: search a grid by cross-validated area under ROC.
 
     ``random`` tries ``n_iter`` seeded combinations, ``grid`` all of them, and ``halving`` all of them on
-    few rows, then the best third on three times as many, until one round sees every row.
+    few rows, then the best third on three times as many, until one round sees every row. Columns are
+    scaled first, as in training, so that a penalty means the same in both.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose from {list(STRATEGIES)}")
     trials = combinations(grid or grid_for(kind))
     hashed = F.pmod(F.xxhash64("video_id", F.lit(seed)), F.lit(1 << 30))
-    rows = assemble(train_rows, columns, "video_id", TARGET).select(
+    scaled = Scaler().fit(real_rows(train_rows), columns).transform(train_rows)
+    rows = assemble(scaled, columns, "video_id", TARGET).select(
         TARGET, "features", F.pmod(F.xxhash64("video_id", F.lit(seed + 1)), F.lit(cv)).cast("int").alias("fold"),
         (hashed / float(1 << 30)).alias("place"),
     )

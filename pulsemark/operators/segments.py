@@ -14,16 +14,20 @@ SEGMENT = ["vertical", "tier"]
 def label_rates(df: DataFrame) -> DataFrame:
     """Share of videos above their baseline by vertical, by tier and by both, in one pass.
 
-    The interval is the normal approximation of the mean's 95 % interval.
+    ``level`` names the grouping; rows without a key are left out of the levels that use it. The interval is the normal approximation of the mean's 95 % interval.
     """
     label = F.col(TARGET).cast("double")
     half = 1.96 * F.stddev_samp(label) / F.sqrt(F.count(label))
-    return df.groupingSets(
+    over_vertical, over_tier = F.grouping("vertical") == 1, F.grouping("tier") == 1
+    rates = df.groupingSets(
         [["vertical"], ["tier"], SEGMENT], *SEGMENT
     ).agg(
+        F.when(over_tier, "vertical").when(over_vertical, "tier").otherwise("vertical_tier").alias("level"),
         F.count(label).alias("n"), F.avg(label).alias("rate"),
         (F.avg(label) - half).alias("rate_low"), (F.avg(label) + half).alias("rate_high"),
     )
+    keyed = (F.col("level") == "tier") | F.col("vertical").isNotNull()
+    return rates.where(keyed & ((F.col("level") == "vertical") | F.col("tier").isNotNull()))
 
 
 def label_heatmap(df: DataFrame) -> DataFrame:

@@ -32,11 +32,11 @@ _Z = np.linspace(-6.0, 6.0, 4001)
 _P = np.array([NormalDist().cdf(z) for z in _Z])
 
 
-def fit_copula(rows: DataFrame) -> dict:
+def fit_copula(rows: DataFrame, max_categories: int = MAX_CATEGORIES) -> dict:
     """Marginals as quantile grids and category shares, and the correlation of normal scores.
 
     What reaches the driver is bounded: a fixed grid per column, the categories of three columns and
-    one number per column pair.
+    one number per column pair. A column with more than ``max_categories`` values is refused, not cut.
     """
     shares = [i / (GRID_POINTS - 1) for i in range(GRID_POINTS)]
     row = rows.agg(*[
@@ -45,9 +45,9 @@ def fit_copula(rows: DataFrame) -> dict:
     grids = {c: np.asarray(row[c] or [0.0] * GRID_POINTS, dtype="float64") for c in NUMERIC}
     categories = {}
     for c in SYNTHETIC_CATEGORIES:
-        counted = rows.groupBy(c).count().orderBy(F.desc("count"), c).limit(MAX_CATEGORIES + 1).collect()
-        if len(counted) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} values; it is not a category")
+        counted = rows.groupBy(c).count().orderBy(F.desc("count"), c).limit(max_categories + 1).collect()
+        if len(counted) > max_categories:
+            raise ValueError(f"{c} has more than {max_categories} values; it is not a category")
         n = np.array([r["count"] for r in counted], dtype="float64")
         categories[c] = ([r[c] for r in counted], np.cumsum(n) / n.sum())
 
@@ -190,6 +190,7 @@ def add_placeholders(rows: DataFrame) -> DataFrame:
 def add_synthetic_features(rows: DataFrame) -> DataFrame:
     """target, speeds and per-subscriber values; text and time features are zero."""
     rows = add_duration(add_per_subscriber(add_velocity(add_target(rows))))
+    # What a row without text and time has nothing of.
     zero = [
         "title_length", "title_word_count", "title_category", "desc_length", "desc_link_count",
         "desc_hashtag_count", "desc_category", "tag_count", "has_tags",
@@ -200,10 +201,10 @@ def add_synthetic_features(rows: DataFrame) -> DataFrame:
     })
 
 
-def generate(real: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def generate(real: DataFrame, n: int, seed: int = 42, max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """``n`` synthetic rows with the real frame's columns and the flag."""
     spark = real.sparkSession
-    measured = sample_copula(spark, fit_copula(real), n, seed).drop("vertical", "tier")
+    measured = sample_copula(spark, fit_copula(real, max_categories), n, seed).drop("vertical", "tier")
     placed = measured.join(draw_channels(spark.range(n), real, seed), "id")
     known = placed.join(channel_lookup(real), "channel_id")
     rows = add_synthetic_features(add_placeholders(clean_synthetic(known)))

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.constants import TARGET
-from pulsemark.operators.evaluate import training_composition
 from pulsemark.operators.features import feature_columns
 from pulsemark.operators.learners import Entry, train, tune, validate
 from pulsemark.operators.synthetic import append_to_train, generate, rows_needed
@@ -53,12 +51,4 @@ def full_run(
         for kind in ("lr_l1", "rf", "gbt"):
             chosen[kind] = tune(kind, parts["train"], columns, seed=seed, **tune_with)["best_params"]
     entries = train(parts["train"], parts["test"], columns, chosen, seed, kinds)
-    about = training_composition(divided.select("split", TARGET, "contains_synthetic_data")).first().asDict()
-    for entry in entries.values():
-        entry.training = {
-            **{k: about[k] for k in ("real_train_rows", "synthetic_train_rows", "total_train_rows",
-                                     "test_rows", "synthetic_pct")},
-            "target_balance_train": {"0": about["train_0"], "1": about["train_1"]},
-            "target_balance_test": {"0": about["test_0"], "1": about["test_1"]},
-        }
     return entries, validate(entries, parts["val"]), divided

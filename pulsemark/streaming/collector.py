@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +33,16 @@ def first_per_label(labelled: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame
     ).drop("_event_time")
 
 
+def batch_name(run: str, batch_id: int) -> str:
+    """A batch's folder. The run keeps batches of another checkpoint, which count from 0 too, apart."""
+    return f"batch={run}-{batch_id:010d}"
+
+
+def run_of(checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to; the same after a restart."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 class TrackingLog:
     """Tracking rows as one small folder per micro-batch, merged per video when read.
 
@@ -38,11 +50,11 @@ class TrackingLog:
     combines before the shuffle. ``publish`` writes the merged rows as the next version of a table.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, run: str = "0"):
+        self.spark, self.path, self.run = spark, path.rstrip("/"), run
 
     def add(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id:010d}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/{batch_name(self.run, batch_id)}")
 
     def read(self) -> DataFrame:
         return merge_tracking(self.spark.read.schema(VIDEOS_TO_TRACK).parquet(self.path))
@@ -67,12 +79,18 @@ class Recorder:
     replaces its own folders, so repeating it after a failure changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, run: str = "0"):
+        self.spark, self.run = spark, run
         self.snapshots = f"{root.rstrip('/')}/video_snapshots"
-        self.tracking = TrackingLog(spark, f"{root.rstrip('/')}/tracking_log")
+        self.tracking = TrackingLog(spark, f"{root.rstrip('/')}/tracking_log", run)
+
+    def read_snapshots(self) -> DataFrame:
+        """T2 across batches and runs: the first row per video and label."""
+        rows = self.spark.read.parquet(self.snapshots)
+        return first_observations(rows.drop("batch"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        target = f"{self.snapshots}/batch={batch_id:010d}"
+        target = f"{self.snapshots}/{batch_name(self.run, batch_id)}"
         first_observations(batch).write.mode("overwrite").parquet(target)
         written = batch.sparkSession.read.schema(batch.schema).parquet(target)
         self.tracking.add(merge_tracking(written.select(
@@ -83,7 +101,7 @@ class Recorder:
 
 def record_stream(labelled: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Run the recorder over what is available now, then stop."""
-    recorder = Recorder(labelled.sparkSession, root)
+    recorder = Recorder(labelled.sparkSession, root, run_of(checkpoint))
     return (
         labelled.writeStream.foreachBatch(recorder).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
