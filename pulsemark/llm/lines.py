@@ -34,7 +34,7 @@ def _masked(docs: DataFrame) -> DataFrame:
     docs = docs.select("_key", F.when(text.contains("  "), F.regexp_replace(text, " +", " ")).otherwise(text).alias("_text"))
     field = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
     docs = docs.select("_key", F.when(text.rlike("[0-9]"), F.regexp_replace(text, field, MASK)).otherwise(text).alias("_text"))
-    return docs.select("_key", F.transform(F.split(text, "\n", -1), F.trim).alias("lines"))
+    return docs.select("_key", F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)).alias("lines"))
 
 
 def _leaf(line, depth: int):
@@ -54,7 +54,8 @@ def _parsed(docs: DataFrame, depth: int) -> DataFrame:
         "lines", "hash",
         F.concat(end, F.slice("hash", F.lit(1), F.size("hash") - 1)).alias("before"),
         F.concat(F.slice("hash", F.lit(2), F.size("hash") - 1), end).alias("after")).alias("z"))
-    rows = zipped.select("_key", F.posexplode("z").alias("at", "z")).where("z.lines <> ''")
+    # The outer form: for the other one Spark infers a filter that computes the whole array again.
+    rows = zipped.select("_key", F.posexplode_outer("z").alias("at", "z")).where("z.lines <> ''")
     return rows.select("_key", "at", F.col("z.hash").alias("hash"), _leaf(F.col("z.lines"), depth).alias("leaf"),
                        F.col("z.before").alias("before"), F.col("z.after").alias("after"))
 
@@ -67,13 +68,13 @@ def _general(docs: DataFrame, placed: DataFrame, depth: int, min_docs: int, cons
     wanted = few(cut(leaves.where(f"n >= {min_docs} and h0 <> h1 and k0 <> k1").select("leaf")))
     weights = placed.join(wanted, "leaf", "left_semi").select("hash", "_key").distinct().groupBy("hash").agg(
         F.count("*").alias("weight"))
-    lines = _masked(docs).select(F.explode("lines").alias("line"))
+    lines = _masked(docs).select(F.explode_outer("lines").alias("line"))
     found = lines.select("line", _leaf(F.col("line"), depth).alias("leaf")).where("leaf is not null").join(
         wanted, "leaf", "left_semi").groupBy(F.xxhash64("line").alias("hash"), "leaf").agg(F.min("line").alias("line"))
     distinct = found.withColumn("t", F.split("line", " ")).select(
         "hash", "leaf", F.size("t").alias("size"), F.transform("t", lambda t: F.xxhash64(t)).alias("t"))
     fields = cut(distinct.join(weights, "hash").select(
-        "hash", "leaf", "size", "weight", F.posexplode("t").alias("at", "token")))
+        "hash", "leaf", "size", "weight", F.posexplode_outer("t").alias("at", "token")))
     votes = fields.groupBy("leaf", "at", "token").agg(F.sum("weight").alias("w"))
     agreed = votes.groupBy("leaf", "at").agg(F.sum("w").alias("all"), F.max(F.struct("w", "token")).alias("top")).where(
         F.col("top.w") * 2 > F.col("all")).select("leaf", "at", F.col("top.token").alias("constant"))
@@ -123,6 +124,7 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
     out = docs.join(dropped, "_key", "left")
     columns = [F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(rest, "\n")).alias(c)
                if c == text_column else F.col(f"`{c}`") for c in kept]
+    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return out.select(
-        *columns, F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        *columns, F.coalesce(ends + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
