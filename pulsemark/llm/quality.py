@@ -1,8 +1,9 @@
 """Quality of texts by ordinal regression with cumulative links on hashed features.
 
 One set of weights over hashed text features and ordered thresholds give, for every grade, the probability
-that a text is at least that good. Features are the distinct words, the distinct ends of words in a sign, and
-coarse shapes of the whole text, so that a long text is not judged by the number of its words.
+that a text is at least that good. Features are the distinct words without signs around them, their distinct
+beginnings, the distinct ends of words in a sign, and coarse shapes of the whole text, so that a long text is
+not judged by the number of its words.
 """
 
 from __future__ import annotations
@@ -14,14 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import Words, mix, runs, sum_by_row
+from pulsemark.llm.text import Words, mix, runs, span_hashes, sum_by_row
 
 #: Hashed features.
-FEATURES = 1 << 18
+FEATURES = 1 << 20
 #: The fit takes about this many labelled rows, drawn by hash.
-FIT_ROWS = 6000
+FIT_ROWS = 8000
 #: Features of fewer fitted rows get no weight; penalty, step and number of steps of the fit.
-MIN_ROWS, PENALTY, STEP, STEPS = 6, 2e-4, 0.05, 250
+MIN_ROWS, PENALTY, STEP, STEPS = 6, 1e-3, 0.05, 200
+#: Bytes in the beginnings of words.
+BEGINNINGS = (4, 6)
 _SIGN = np.ones(256, bool)
 _SIGN[48:58] = _SIGN[65:91] = _SIGN[97:123] = _SIGN[128:] = False
 _KINDS = mix(np.arange(11, 15, dtype=np.uint64))
@@ -32,14 +35,24 @@ def _features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     n_rows = len(words.bounds) - 1
     counts = np.diff(words.bounds)
     row = np.repeat(np.arange(n_rows), counts)
-    named = words.hashes % np.uint64(FEATURES)
+    starts, ends = words.starts.copy(), words.ends.copy()
+    for _ in range(4):  # up to four signs on either side do not count
+        starts += _SIGN[words.data[starts]] & (starts + 1 < ends)
+        ends -= _SIGN[words.data[ends - 1]] & (starts + 1 < ends)
+    named = [span_hashes(words.sums, starts, ends) % np.uint64(FEATURES)]
+    of = [row]
+    for size in BEGINNINGS:
+        longer = ends - starts > size
+        at = starts[longer]
+        named.append(mix(_KINDS[3] ^ span_hashes(words.sums, at, at + size)) % np.uint64(FEATURES))
+        of.append(row[longer])
     last, tail = words.data[words.ends - 1], words.ends - words.starts
     second = words.data[np.maximum(words.ends - 2, words.starts)]
     signed = _SIGN[last] & (tail > 1)
-    ends = mix(_KINDS[0] ^ (last.astype(np.uint64) << np.uint64(8) | second))[signed] % np.uint64(FEATURES)
+    tails = mix(_KINDS[0] ^ (last.astype(np.uint64) << np.uint64(8) | second))[signed] % np.uint64(FEATURES)
     size = mix(_KINDS[1] + np.minimum(np.log2(counts + 1), 20).astype(np.uint64))
-    rows = np.concatenate([row, row[signed], np.arange(n_rows)])
-    found = np.concatenate([named, ends, size % np.uint64(FEATURES)])
+    rows = np.concatenate([*of, row[signed], np.arange(n_rows)])
+    found = np.concatenate([*named, tails, size % np.uint64(FEATURES)])
     keys = np.unique(rows.astype(np.uint64) * np.uint64(FEATURES) + found)
     rows, found = (keys // np.uint64(FEATURES)).astype(np.int64), keys % np.uint64(FEATURES)
     bounds = np.searchsorted(rows, np.arange(n_rows + 1))
@@ -76,11 +89,12 @@ def fit_model(grades: np.ndarray, features: list[np.ndarray], top: int) -> Model
     P(grade >= k) = logistic(score - threshold k); the thresholds stay ordered as sums of positive gaps.
     """
     sizes = np.array([len(x) for x in features])
-    flat = np.concatenate([*features, np.zeros(0, np.int64)]).astype(np.int64)
+    flat = np.concatenate([*features, np.zeros(0, np.int32)]).astype(np.int32)
     often = np.bincount(flat, minlength=FEATURES) >= MIN_ROWS
-    row = np.repeat(np.arange(len(grades)), sizes)[often[flat]]
+    row = np.repeat(np.arange(len(grades), dtype=np.int32), sizes)[often[flat]]
     flat = flat[often[flat]]
-    used, flat = np.unique(flat, return_inverse=True)
+    used = np.flatnonzero(often)
+    flat = (np.cumsum(often) - 1)[flat].astype(np.int32)
     weights = np.zeros(len(used))
     share = [np.clip((grades >= k).mean() if len(grades) else 0.5, 1e-3, 1 - 1e-3) for k in range(1, top + 1)]
     first = -np.log(share[0] / (1 - share[0]))

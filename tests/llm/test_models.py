@@ -150,7 +150,7 @@ def test_quality_of_held_out_rows(spark):
     rows = quality.grade(docs, model, ["doc_id"]).join(grades.where("doc_id % 4 = 0"), "doc_id").collect()
     assert all(0 <= r.p_at_least_2 <= r.p_at_least_1 <= 1 for r in rows)
     right = [abs(r.expected_grade - r.grade) < 0.5 for r in rows]
-    assert sum(right) / len(right) > 0.85
+    assert sum(right) / len(right) > 0.8
 
 
 def test_quality_cases(spark):
