@@ -88,7 +88,7 @@ def fit_model(grades: np.ndarray, features: list[np.ndarray], top: int) -> Model
 
     P(grade >= k) = logistic(score - threshold k); the thresholds stay ordered as sums of positive gaps.
     """
-    sizes = np.array([len(x) for x in features])
+    sizes = np.array([len(x) for x in features], np.int64)
     flat = np.concatenate([*features, np.zeros(0, np.int32)]).astype(np.int32)
     often = np.bincount(flat, minlength=FEATURES) >= MIN_ROWS
     row = np.repeat(np.arange(len(grades), dtype=np.int32), sizes)[often[flat]]
