@@ -9,6 +9,8 @@ in byte pieces. The marker character itself in a text is spelt in bytes too, whi
 
 from __future__ import annotations
 
+from array import array
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,24 @@ from pulsemark.llm.vocab import SPACE
 
 UNKNOWN = 10.0
 #: Spans whose pieces a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 _SPANS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+class _Memory(dict):
+    """Encoded spans by their text, as bytes of 32-bit ids; forgets all when full."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, text: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[text] = array("i", self.encode(text)).tobytes()
+        return found
+
+
 class Encoder:
     """Encodes texts to piece ids and back."""
 
@@ -37,7 +53,15 @@ class Encoder:
         self.floor = min(pieces.scores.values()) - UNKNOWN
         self.texts = {number: text for text, number in pieces.ids.items()}
         self.single = {number: byte for byte, number in enumerate(pieces.bytes)}
-        self.known: dict[str, list[int]] = {}
+        self.spelt = {number: text.replace(SPACE, " ").encode() for number, text in self.texts.items()}
+        self.spelt.update({number: bytes([byte]) for number, byte in self.single.items()})
+        self.marker = np.array([pieces.bytes[x] for x in SPACE.encode()], np.int32).tobytes()
+        self.spans = _Memory(self.span)
+        self.words = _Memory(self.word)
+
+    def word(self, text: str) -> list[int]:
+        """The best pieces of a word after one marker."""
+        return self.span(SPACE + text)
 
     def span(self, text: str) -> list[int]:
         """The best pieces of one span; of equal scores the one found with the shortest last piece wins."""
@@ -75,32 +99,25 @@ class Encoder:
 
     def encode(self, text: str) -> list[int]:
         """Piece ids of a text; an empty text has none."""
+        return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
+
+    def encode_bytes(self, text: str) -> bytes:
+        """The piece ids as 32-bit numbers in the machine's order."""
         if not text:
-            return []
-        out: list[int] = []
-        known = self.known
-        for k, part in enumerate(text.split(SPACE)):
-            if k:  # a marker character of the text itself
-                out.extend(self.pieces.bytes[x] for x in SPACE.encode())
-            for span in _SPANS.findall((part if k else " " + part).replace(" ", SPACE)):
-                ids = known.get(span)
-                if ids is None:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    ids = known[span] = self.span(span)
-                out.extend(ids)
-        return out
+            return b""
+        if SPACE not in text:
+            return self._plain(" " + text)
+        first, *rest = text.split(SPACE)  # marker characters of the text itself stand between the parts
+        return self._plain(" " + first) + b"".join(self.marker + self._plain(part) for part in rest)
+
+    def _plain(self, text: str) -> bytes:
+        if text[:1] == " " and "  " not in text:  # one marker before every word
+            return b"".join(map(self.words.__getitem__, text[1:].split(" ")))
+        return b"".join(map(self.spans.__getitem__, _SPANS.findall(text.replace(" ", SPACE))))
 
     def decode(self, ids) -> str:
         """The text of piece ids; broken UTF-8 of byte pieces becomes the replacement character."""
-        parts = bytearray()
-        for number in ids:
-            byte = self.single.get(number)
-            if byte is None:
-                parts += self.texts[number].replace(SPACE, " ").encode()
-            else:
-                parts.append(byte)
-        text = parts.decode("utf-8", "replace")
+        text = b"".join(map(self.spelt.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
@@ -110,12 +127,14 @@ def _encoded(shared):
         for batch in batches:
             for lo in range(0, max(1, batch.num_rows), 512):
                 part = batch.slice(lo, 512)
-                rows = [encoder.encode(x) if x else [] for x in part.column(0).to_pylist()]
+                rows = [encoder.encode_bytes(x) if x else b"" for x in part.column(0).to_pylist()]
                 offsets = np.zeros(len(rows) + 1, np.int32)
-                np.cumsum([len(x) for x in rows], out=offsets[1:])
-                flat = np.fromiter((x for row in rows for x in row), np.int32, int(offsets[-1]))
+                np.cumsum([len(x) // 4 for x in rows], out=offsets[1:])
+                flat = np.frombuffer(b"".join(rows), np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                decoded = pa.array([encoder.decode(row) for row in rows], pa.string())
+                numbers = flat.tolist()
+                decoded = pa.array([encoder.decode(numbers[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())],
+                                   pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], ids, decoded], [*part.schema.names[1:], "piece_ids", "decoded"])
     return run
