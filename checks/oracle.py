@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from pulsemark.constants import (
-    CATEGORY_NAMES, DENSITY_FEATURES, EMOJI_CLASS, LISTICLE_WORDS, METRIC_COLS, TIERS, VERTICALS,
+    CATEGORY_NAMES, DENSITY_FEATURES, DENSITY_PAIRS, EMOJI_CLASS, LISTICLE_WORDS, METRIC_COLS, TIERS, VERTICALS,
     WHITESPACE_CLASS,
 )
 
@@ -266,14 +266,19 @@ def _spot(stage: str, flag: str) -> str:
 
 
 # --- profile tables over the modelling rows -------------------------------------------------
-PROFILED = [c for c in _WIDE_COUNTS if not c.startswith("subscriber")] + ["duration_seconds", "brightness"]
+_PER_SUB = [f"{m}s_per_sub_{p}" for p in ("upload", "24h", "7d") for m in ("view", "like", "comment")]
+PROFILED = [
+    *_WIDE_COUNTS, *_WIDE_HOURS, "baseline_video_count", "baseline_median_views", "baseline_median_likes",
+    "baseline_median_comments", "baseline_median_engagement_rate", "duration_seconds", "face_count", "brightness",
+    "colorfulness", "engagement_7d", "baseline_engagement", *[f"{m}_velocity_24h" for m in METRIC_COLS],
+    "view_velocity_upload", "like_velocity_upload", "view_velocity_per_sub_24h", "like_velocity_per_sub_24h",
+    "view_velocity_ratio", "view_velocity_acceleration", "like_velocity_acceleration",
+    "view_count_upload_vs_baseline", "like_count_upload_vs_baseline", "like_rate_upload", "like_rate_24h", *_PER_SUB,
+]
 _LONG = " UNION ALL ".join(
     f"SELECT video_id, vertical, tier, above_baseline, '{c}' feature, cast({c} as double) value FROM eng" for c in PROFILED
 )
-CORRELATED = [
-    "view_count_upload", "view_count_24h", "view_count_7d", "like_count_24h", "comment_count_24h",
-    "subscriber_count_upload", "duration_seconds", "view_velocity_ratio", "like_rate_24h", "above_baseline",
-]
+CORRELATED = [*PROFILED, "above_baseline"]
 
 
 def _features(names: list[str], keys: str = "video_id, vertical, tier, above_baseline") -> str:
@@ -325,17 +330,19 @@ def _box(keys: list[str], column: str) -> str:
 
 
 _FAKE = "(CAST(substr(video_id, 2) AS bigint) % 7 = 0)"
-_PAIRS = " UNION ALL ".join(
-    f"SELECT '{a}' feature_a, '{b}' feature_b, count(*) n, corr({a}, {b}) r FROM eng"
-    for i, a in enumerate(CORRELATED) for b in CORRELATED[:i]
-)
 
 
-def _shift(where: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{a}' feature_a, '{b}' feature_b, corr({a}, {b}) r FROM eng {where}"
-        for i, a in enumerate(CORRELATED) for b in CORRELATED[:i]
-    )
+def _pairs(where: str = "") -> str:
+    """All pairs from one pass: one list of pairs with their correlations, unnested."""
+    items = ", ".join(
+        f"{{'feature_a': '{a}', 'feature_b': '{b}', 'n': count(CASE WHEN {b} IS NOT NULL THEN {a} END), 'r': corr({a}, {b})}}"
+        for i, a in enumerate(CORRELATED) for b in CORRELATED[:i])
+    return f"SELECT unnest(p, recursive := true) FROM (SELECT unnest([{items}]) p FROM (SELECT * FROM eng {where}))"
+
+
+def _varied(where: str = "") -> str:
+    items = ", ".join(f"{{'c': '{c}', 'v': var_samp({c})}}" for c in CORRELATED)
+    return f"SELECT p.c AS c FROM (SELECT unnest([{items}]) p FROM (SELECT * FROM eng {where})) WHERE p.v > 0.01"
 
 
 def _quota(source: str, drawn: str) -> dict[str, str]:
@@ -503,7 +510,12 @@ _add("mark_consumed", f"""SELECT channel_id, added_to_tracking OR channel_id IN
     FROM cand""", plan=_PLAN, drained=_DRAIN)
 _add("mark_flags", """SELECT video_id, upload_poll_done, day1_poll_done OR video_id IN
     (SELECT video_id FROM lab WHERE poll_label = '24h') day1_poll_done, day7_poll_done FROM trk""")
-_NULLS = ["title", "description", "contains_synthetic_media", "baseline_median_views", "baseline_video_count", "video_id"]
+_NULLS = [
+    "title", "description", "channel_id", "video_id", "channel_handle", "duration_seconds", "category_id", "category_name",
+    "published_at", "vertical", "tier", "contains_synthetic_media", "face_count", "brightness", "colorfulness",
+    *_WIDE_COUNTS, *_WIDE_HOURS, "baseline_channel_handle", "baseline_video_count", "baseline_median_views",
+    "baseline_median_likes", "baseline_median_comments", "baseline_median_engagement_rate",
+]
 _add("null_profile", "SELECT feature, null_count, null_pct FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' feature, count(*) - count({c}) null_count, round((count(*) - count({c})) * 1.0 / count(*) * 100, 2) null_pct "
     "FROM (SELECT c.*, t.title, t.description FROM cleaned c JOIN ctext t USING (o_orderkey))" for c in _NULLS
@@ -537,23 +549,25 @@ _add("box_stats_by_tier", _box(["tier", "vertical"], "engagement_7d"))
 _add("winsorize", """SELECT video_id, round(case when view_velocity_ratio > c1 then c1 else view_velocity_ratio end, 6) view_velocity_ratio,
     round(case when like_rate_24h > c2 then c2 else like_rate_24h end, 6) like_rate_24h FROM eng JOIN (SELECT above_baseline,
     quantile_cont(view_velocity_ratio, 0.99) c1, quantile_cont(like_rate_24h, 0.99) c2 FROM eng GROUP BY 1) USING (above_baseline)""")
-_add("density_2d", """SELECT cast(above_baseline as bigint) above_baseline,
+def _cap2(x: str, y: str) -> str:
+    return f"""SELECT above_baseline, '{x} {y}' pair, least({x}, c1) x, least({y}, c2) y FROM eng JOIN
+    (SELECT above_baseline, quantile_cont({x}, 0.99) c1, quantile_cont({y}, 0.99) c2 FROM eng GROUP BY 1)
+    USING (above_baseline)"""
+
+
+_add("density_2d", """SELECT cast(above_baseline as bigint) above_baseline, pair,
     cast(least(floor((x - xl) / ((xh - xl) / 40)) + 1, 40) as bigint) bin_x,
     cast(least(floor((y - yl) / ((yh - yl) / 40)) + 1, 40) as bigint) bin_y, count(*) n
-    FROM cap2 JOIN (SELECT above_baseline, min(x) xl, max(x) xh, min(y) yl, max(y) yh FROM cap2 GROUP BY 1) USING (above_baseline)
-    GROUP BY ALL""", cap2="""SELECT above_baseline, least(view_velocity_ratio, c1) x, least(like_rate_24h, c2) y FROM eng JOIN
-    (SELECT above_baseline, quantile_cont(view_velocity_ratio, 0.99) c1, quantile_cont(like_rate_24h, 0.99) c2 FROM eng GROUP BY 1)
-    USING (above_baseline)""")
-_KEEP = "(" + " UNION ALL ".join(f"SELECT '{c}' c FROM eng HAVING var_samp({c}) > 0.01" for c in CORRELATED) + ")"
+    FROM cap2 JOIN (SELECT above_baseline, pair, min(x) xl, max(x) xh, min(y) yl, max(y) yh FROM cap2 GROUP BY ALL)
+    USING (above_baseline, pair) GROUP BY ALL""", cap2=" UNION ALL ".join(_cap2(x, y) for x, y in DENSITY_PAIRS))
 _add("correlation", "SELECT feature_a, feature_b, cast(n as bigint) n, round(r, 6) r FROM prs WHERE feature_a IN (SELECT c FROM keep) "
-     "AND feature_b IN (SELECT c FROM keep)", prs=_PAIRS, keep=_KEEP[1:-1])
+     "AND feature_b IN (SELECT c FROM keep)", prs=_pairs(), keep=_varied())
 _add("target_correlation", "SELECT case when feature_a = 'above_baseline' then feature_b else feature_a end feature, "
      "cast(n as bigint) n, round(r, 6) r FROM prs WHERE (feature_a = 'above_baseline' OR feature_b = 'above_baseline') "
-     "AND feature_a IN (SELECT c FROM keep) AND feature_b IN (SELECT c FROM keep)", prs=_PAIRS, keep=_KEEP[1:-1])
+     "AND feature_a IN (SELECT c FROM keep) AND feature_b IN (SELECT c FROM keep)", prs=_pairs(), keep=_varied())
 _add("correlation_shift", "SELECT feature_a, feature_b, round(m.r, 6) r_mixed, round(q.r, 6) r_real, round(m.r - q.r, 6) shift "
      "FROM mix m JOIN rea q USING (feature_a, feature_b) WHERE feature_a IN (SELECT c FROM keep) AND feature_b IN (SELECT c FROM keep)",
-     mix=_shift(""), rea=_shift(f"WHERE NOT {_FAKE}"),
-     keep=" UNION ALL ".join(f"SELECT '{c}' c FROM eng WHERE NOT {_FAKE} HAVING var_samp({c}) > 0.01" for c in CORRELATED))
+     mix=_pairs(), rea=_pairs(f"WHERE NOT {_FAKE}"), keep=_varied(f"WHERE NOT {_FAKE}"))
 _TNAMES = "['neutral', 'question', 'exclamation', 'listicle', 'how_to', 'emoji_heavy', 'all_caps', 'clickbait']"
 _DNAMES = "['neutral', 'has_timestamps', 'has_links', 'link_heavy', 'has_hashtags', 'minimal', 'long_form']"
 _add("category_distribution", f"""SELECT 'title_category' feature, {_TNAMES}[title_category + 1] name, count(*) n FROM tclass GROUP BY ALL

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +51,13 @@ TEXT = ["title_length", "title_word_count", "desc_length", "desc_link_count", "d
 TIME = ["publish_hour", "publish_dayofweek", "publish_is_weekend"]
 DURATION = ["is_short", "is_long", "duration_bucket"]
 ENCODED = ["tier_encoded"] + [f"vertical_{v}" for v in C.VERTICALS]
-PROFILED = [c for c in COUNTS if not c.startswith("subscriber")] + ["duration_seconds", "brightness"]
-CORRELATED = [
-    "view_count_upload", "view_count_24h", "view_count_7d", "like_count_24h", "comment_count_24h",
-    "subscriber_count_upload", "duration_seconds", "view_velocity_ratio", "like_rate_24h", "above_baseline",
+# Every numeric column of the model rows, without the excluded ones and with the target for correlations.
+PROFILED = [
+    c for c in [*COUNTS, *HOURS, *[f"baseline_{c}" for c in ["video_count", *MEDIANS]], "duration_seconds", "face_count",
+                "brightness", "colorfulness", "engagement_7d", "baseline_engagement", C.TARGET, *VELOCITY, *RATIOS, *PER_SUB]
+    if c not in C.NOT_PROFILED
 ]
+CORRELATED = [*PROFILED, C.TARGET]
 
 
 def query(fn: Query) -> Query:
@@ -452,9 +455,7 @@ def snapshot_profile(spark, d):
 
 @query
 def null_profile(spark, d):
-    wanted = ["title", "description", "contains_synthetic_media", "baseline_median_views",
-              "baseline_video_count", "video_id"]
-    return tidy(profile.null_profile(full_clean(spark, d).select(*wanted)))
+    return tidy(profile.null_profile(full_clean(spark, d)))
 
 
 @query
@@ -517,8 +518,12 @@ def winsorize(spark, d):
 
 @query
 def density_2d(spark, d):
-    x, y = C.DENSITY_PAIRS[0]
-    return tidy(distributions.density_2d(profile_rows(spark, d, C.TARGET, x, y), x, y, C.TARGET))
+    rows = profile_rows(spark, d, C.TARGET, *{c: None for pair in C.DENSITY_PAIRS for c in pair})
+    parts = [
+        distributions.density_2d(rows.select(C.TARGET, x, y), x, y, C.TARGET).withColumn("pair", F.lit(f"{x} {y}"))
+        for x, y in C.DENSITY_PAIRS
+    ]
+    return tidy(reduce(DataFrame.unionByName, parts))
 
 
 @query
