@@ -19,6 +19,8 @@ from pulsemark.session import cut
 HOLDOUT_FRACTION = 0.30
 TEST_FRACTION = 0.20
 _PREFIX = 4
+# Strata are counted; up to so many, their quotas and thresholds go to every task.
+BROADCAST_STRATA = 10_000
 
 
 def stratum() -> Column:
@@ -46,43 +48,57 @@ def quotas(counts: DataFrame, drawn: int, total: int) -> DataFrame:
     return shared.withColumn("quota", given.cast("long")).select("stratum", "n", "quota")
 
 
-def thresholds(keyed: DataFrame, quota: DataFrame) -> DataFrame:
+def thresholds(keyed: DataFrame, quota: DataFrame, few: bool = False) -> DataFrame:
     """The last (hash, id) inside each stratum's quota. ``keyed`` has stratum, hash and video_id, one
-    row per id."""
+    row per id. ``few``: there are so few strata that they may be broadcast."""
+    beside = F.broadcast if few else lambda df: df
     prefix = F.substring("hash", 1, _PREFIX)
     histogram = keyed.groupBy("stratum", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("prefix"))
-    edge = histogram.withColumn("upto", upto).join(quota.select("stratum", "quota"), "stratum").where(
+    edge = histogram.withColumn("upto", upto).join(beside(quota.select("stratum", "quota")), "stratum").where(
         (F.col("quota") > F.col("upto") - F.col("n")) & (F.col("quota") <= F.col("upto"))
     ).select("stratum", "prefix", (F.col("quota") - (F.col("upto") - F.col("n"))).alias("inside"))
     order = Window.partitionBy("stratum", "prefix").orderBy("hash", "video_id")
     return (
-        keyed.withColumn("prefix", prefix).join(edge, ["stratum", "prefix"])
+        keyed.withColumn("prefix", prefix).join(beside(edge), ["stratum", "prefix"])
         .withColumn("rank", F.row_number().over(order)).where("rank = inside")
         .select("stratum", F.col("hash").alias("last_hash"), F.col("video_id").alias("last_id"))
     )
 
 
-def _keyed(df: DataFrame, seed: int) -> DataFrame:
-    """The narrow key table, cut once because three passes read it."""
+def hashed_keys(df: DataFrame, seed: int = 42) -> DataFrame:
+    """The narrow key table, cut once because several passes read it; a holdout and a split may share it."""
     hashed = F.md5(F.concat_ws(":", F.col("video_id"), F.lit(str(seed))).cast("binary"))
     return cut(df.select("video_id", stratum().alias("stratum"), hashed.alias("hash")))
 
 
-def _within(keyed: DataFrame, quota: DataFrame) -> DataFrame:
-    """``keyed`` with a flag for rows inside the quota."""
-    marked = keyed.join(thresholds(keyed, quota), "stratum", "left")
+def _within(keyed: DataFrame, quota: DataFrame, strata: int) -> DataFrame:
+    """``keyed`` with a flag for rows inside the quota; with few strata no row is shuffled for it."""
+    few = strata <= BROADCAST_STRATA
+    last = thresholds(keyed, quota, few)
+    marked = keyed.join(F.broadcast(last) if few else last, "stratum", "left")
     before = (F.col("hash") < F.col("last_hash")) | (
         (F.col("hash") == F.col("last_hash")) & (F.col("video_id") <= F.col("last_id"))
     )
     return marked.select("video_id", "stratum", F.coalesce(before, F.lit(False)).alias("inside"))
 
 
-def draw_holdout(df: DataFrame, fraction: float = HOLDOUT_FRACTION, seed: int = 42) -> DataFrame:
-    """M1: ids and strata of a new holdout. Raises on an empty table or a stratum of one row."""
-    keyed = _keyed(df, seed)
+def _counted(keyed: DataFrame) -> tuple[DataFrame, int, int]:
+    """Rows per stratum, all rows and the number of strata."""
     counts = cut(keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    row = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    return counts, row[0] or 0, row[1]
+
+
+def draw_holdout(
+    df: DataFrame, fraction: float = HOLDOUT_FRACTION, seed: int = 42, keyed: DataFrame | None = None
+) -> DataFrame:
+    """M1: ids and strata of a new holdout. Raises on an empty table or a stratum of one row.
+
+    ``keyed`` is the table's ``hashed_keys`` with the seed, where the caller has it already.
+    """
+    keyed = hashed_keys(df, seed) if keyed is None else keyed
+    counts, total, strata = _counted(keyed)
     if total == 0:
         raise ValueError(
             "no rows to draw a holdout from: check for videos with all three polls and for channels "
@@ -92,27 +108,27 @@ def draw_holdout(df: DataFrame, fraction: float = HOLDOUT_FRACTION, seed: int =
     if small:
         raise ValueError(f"cannot stratify, strata with fewer than 2 rows: {sorted(small)}")
     drawn = total - math.ceil(total * (1 - fraction))
-    return _within(keyed, quotas(counts, drawn, total)).where("inside").select("video_id", "stratum")
+    return _within(keyed, quotas(counts, drawn, total), strata).where("inside").select("video_id", "stratum")
 
 
 def split(
-    df: DataFrame, holdout_ids: DataFrame, seed: int = 42, test_fraction: float = TEST_FRACTION
+    df: DataFrame, holdout_ids: DataFrame, seed: int = 42, test_fraction: float = TEST_FRACTION,
+    keyed: DataFrame | None = None,
 ) -> DataFrame:
     """The table with a ``split`` column of val, train or test.
 
     Every recorded id is kept out of train and test, also ids not present now. A stratum of one row
-    among the rest cannot be split and raises.
+    among the rest cannot be split and raises. ``keyed`` as in ``draw_holdout``.
     """
     recorded = holdout_ids.select("video_id").distinct()
-    keyed = _keyed(df, seed)
-    rest = keyed.join(recorded, "video_id", "left_anti")
-    counts = cut(rest.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    keyed = hashed_keys(df, seed) if keyed is None else keyed
+    rest = cut(keyed.join(recorded, "video_id", "left_anti"))
+    counts, total, strata = _counted(rest)
     lone = [r["stratum"] for r in counts.where("n < 2").limit(50).collect()]
     if lone:
         raise ValueError(f"cannot split, strata with fewer than 2 rows: {sorted(lone)}")
     train = total - math.ceil(total * test_fraction)
-    marked = _within(rest, quotas(counts, train, total)).select(
+    marked = _within(rest, quotas(counts, train, total), strata).select(
         "video_id", F.when(F.col("inside"), "train").otherwise("test").alias("split")
     )
     return df.join(marked, "video_id", "left").withColumn(

@@ -560,12 +560,18 @@ def target_balance(spark, d):
 
 
 # --- splits and scaling ---------------------------------------------------------------------
+def _with_new_holdout(rows):
+    """Rows split against a holdout drawn from them, over one hashed key table."""
+    keyed = splits.hashed_keys(rows)
+    return splits.split(rows, splits.draw_holdout(rows, keyed=keyed), keyed=keyed)
+
+
 _SPLIT_KEYS = ["video_id", "vertical", "tier", C.TARGET]
 
 
 def _split_rows(spark, d, *more):
     rows = cut(numeric_rows(spark, d).select(*_SPLIT_KEYS, *more))
-    return splits.split(rows, splits.draw_holdout(rows))
+    return _with_new_holdout(rows)
 
 
 @query
@@ -766,7 +772,7 @@ _INPUTS = VELOCITY + RATIOS + [c for c in PER_SUB if not c.endswith("7d")] + ["d
 
 def _divided(spark, d):
     rows = cut(cleaning.fill_missing(numeric_rows(spark, d)))
-    return cut(splits.split(rows, splits.draw_holdout(rows)))
+    return cut(_with_new_holdout(rows))
 
 
 def _by_split(rows):
@@ -821,7 +827,7 @@ def feature_weights(spark, d):
 def augmented_train(spark, d):
     """Train rows with synthetic rows added until four in five are real; the other splits unchanged."""
     rows = cut(engineer(full_clean(spark, d)))
-    divided = cut(splits.split(rows, splits.draw_holdout(rows)))
+    divided = cut(_with_new_holdout(rows))
     return augment(divided, 0.8).groupBy("split", "contains_synthetic_data").agg(F.count(F.lit(1)).alias("n"))
 
 
