@@ -107,13 +107,13 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
     near = placed.groupBy("hash").agg(F.count("*").alias("n"))
     merged = general.join(near, "hash", "right").select(
         "hash", F.coalesce("template", "hash").alias("template"), F.col("template").isNotNull().alias("many"), "n")
-    often = cut(merged.where((F.col("n") >= min_docs) | F.col("many")).select("hash", "template"))
+    often = few(cut(merged.where((F.col("n") >= min_docs) | F.col("many")).select("hash", "template")))
     seen = placed.join(often, "hash").groupBy("template").agg(
         F.count_distinct("_key").alias("docs"), F.count_distinct("before").alias("before"),
         F.count_distinct("after").alias("after"))
     around = F.greatest("before", "after")
     recurring = seen.where((F.col("docs") >= min_docs) & (around >= min_docs) & (around * 2 >= F.col("docs")))
-    bad = often.join(recurring, "template", "left_semi").select("hash")
+    bad = few(cut(often.join(recurring, "template", "left_semi").select("hash")))
     places = cut(placed.join(bad, "hash", "left_semi").select("_key", "at").distinct())
     dropped = places.groupBy("_key").agg(F.collect_list("at").alias("_drop"))
     if places.count() <= FEW:
