@@ -506,6 +506,8 @@ _DRAIN = """SELECT * FROM (SELECT c.*, needed, row_number() OVER (PARTITION BY c
     FROM cand c JOIN plan p ON p.vertical = c.vertical AND p.tier = c.tier WHERE NOT added_to_tracking) WHERE rk <= needed"""
 _add("drain_candidates", f"SELECT channel_id, channel_handle, vertical, tier, {big('subscriber_count', 'total_channel_views')}, "
      f"{rs('upload_velocity_per_week')} FROM ({_DRAIN})", plan=_PLAN)
+_add("drain_large_plan", """SELECT channel_id, 'Tech' vertical, 'S' tier FROM cand WHERE NOT added_to_tracking
+    ORDER BY discovered_at, channel_id LIMIT 400""")
 _add("mark_consumed", f"""SELECT channel_id, added_to_tracking OR channel_id IN (SELECT channel_id FROM drained) added_to_tracking
     FROM cand""", plan=_PLAN, drained=_DRAIN)
 _add("mark_flags", """SELECT video_id, upload_poll_done, day1_poll_done OR video_id IN
@@ -653,12 +655,28 @@ _REPORT = ORACLE["classification_report"]
 _add("validation_history", f"""SELECT 'v1.0' model_version, concat('2026-01-0', d, 'T00:00:00Z') run_timestamp, 'rule' model_name, 'd1' data_version,
     {', '.join(f'round({m}, 4) {m}' for m in ('accuracy', 'precision_above', 'recall_above', 'f1_above', 'precision_below', 'recall_below', 'f1_below'))},
     round(roc_auc, 4) roc_auc, support_above + support_below val_rows FROM ({_REPORT}), ({ORACLE['auc']}), (SELECT unnest([1, 2]) d)""")
+_add("roc_curve", """SELECT round(score, 6) threshold, round(count_if(label = 0 AND s >= score) * 1.0 / count_if(label = 0), 6) fpr,
+    round(count_if(label = 1 AND s >= score) * 1.0 / count_if(label = 1), 6) tpr
+    FROM (SELECT DISTINCT score FROM scored), (SELECT label, score s FROM scored) GROUP BY score""", scored=SCORED)
+_MEASURES = ("accuracy", "precision_above", "recall_above", "f1_above", "precision_below", "recall_below", "f1_below")
+_MODELS = f"""SELECT v || '_rule' version, v generation, {', '.join(f'round({m}, 4) {m}' for m in _MEASURES)}, round(roc_auc, 4) roc_auc,
+    {{}} FROM ({_REPORT}), ({ORACLE['auc']}), (SELECT unnest(['v1.0', 'v1.1']) v)"""
+_SIZES = "(SELECT count(*) FROM ({}) WHERE score {} 0.4)"
+_RECORDS = _MODELS.format(f"{_SIZES.format(SCORED, '<')} real_rows, {_SIZES.format(SCORED, '>=')} test_rows")
+_add("model_comparison", f"""SELECT version, 'rule' model_type, 'd1' data_snapshot, '2026-01-01' training_date, real_rows,
+    cast(0 as bigint) synth_rows, {', '.join(_MEASURES)}, roc_auc FROM ({_RECORDS})""")
+_add("model_listing", f"""SELECT version, 'rule' model_type, roc_auc, real_rows, cast(0 as bigint) synth_rows, 'd1' data_snapshot,
+    '2026-01-01' training_date, 'by rule' notes FROM ({_RECORDS})""")
+_add("model_generations", f"""SELECT version model_name, version, generation, 'd1' data_snapshot, 'rule' model_type,
+    real_rows train_rows, test_rows, accuracy, roc_auc, cast(22 as bigint) features_count FROM ({_RECORDS})""")
 _add("sample_channels", "SELECT channel_id FROM ch ORDER BY md5(concat(channel_id, ':42')), channel_id LIMIT 500")
 _LABELLED = """SELECT * FROM (SELECT *, case when age BETWEEN 0 AND 6 then 'upload' when age BETWEEN 20 AND 30 then '24h'
     when age BETWEEN 156 AND 180 then '7d' end poll_label FROM (SELECT *,
     date_diff('microsecond', published_at, poll_timestamp) / 3.6e9 age FROM obs)) WHERE poll_label IS NOT NULL"""
 _add("stream_labels", f"SELECT event_id, video_id, poll_label FROM ({_LABELLED})")
 _add("stream_first", f"SELECT DISTINCT video_id, poll_label FROM ({_LABELLED})")
+_add("stream_snapshots", f"""SELECT video_id, poll_label, strftime(min(poll_timestamp), '%Y-%m-%d %H:%M:%S') polled,
+    round_even(arg_min(age, poll_timestamp), 2) hours_since_publish FROM ({_LABELLED}) GROUP BY ALL""")
 _add("stream_tracking", f"""SELECT video_id, concat('UC', lpad(cast(cast(substr(video_id, 2) as bigint) % 40 as varchar), 8, '0')) channel_id,
     bool_or(poll_label = 'upload') upload_poll_done,
     bool_or(poll_label = '24h') day1_poll_done, bool_or(poll_label = '7d') day7_poll_done FROM ({_LABELLED}) GROUP BY 1""")

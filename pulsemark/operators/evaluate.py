@@ -29,6 +29,23 @@ def roc_auc(scored: DataFrame, label: str = TARGET, score: str = "score") -> Dat
     ).select(F.try_divide(F.col("wins"), F.col("p") * F.col("n")).alias("roc_auc"))
 
 
+def roc_curve(scored: DataFrame, label: str = TARGET, score: str = "score") -> DataFrame:
+    """The ROC curve: per distinct score as threshold, the rates of rows at or above it in each class."""
+    positive = (F.col(label) == 1).cast("long")
+    counts = cut(scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
+    ).where("threshold is not null"))
+    total = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    ranked = value_buckets(counts, "threshold")
+    for part in ("pos", "neg"):
+        ranked = running_total(ranked, part, ["threshold"], f"{part}_below")
+
+    def rate(part: str, all_rows):
+        return F.try_divide(F.lit(all_rows).cast("double") - F.col(f"{part}_below"), F.lit(all_rows).cast("double"))
+
+    return ranked.select("threshold", rate("neg", total.n).alias("fpr"), rate("pos", total.p).alias("tpr"))
+
+
 def confusion(scored: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
     """The four cells as one row; tn, fp, fn, tp."""
     def cell(actual: int, guess: int):

@@ -440,6 +440,14 @@ def drain_candidates(spark, d):
                 "total_channel_views", "upload_velocity_per_week")
 
 
+@query
+def drain_large_plan(spark, d):
+    """A plan that asks for more of a segment than any target does."""
+    plan = discovery.fill_plan(X.tracked_channels(spark, d)).withColumn("needed", F.lit(400))
+    candidates = X.candidates(spark, d).withColumns({"vertical": F.lit("Tech"), "tier": F.lit("S")})
+    return discovery.drain(candidates, plan).select("channel_id", "vertical", "tier")
+
+
 @query
 def mark_consumed(spark, d):
     return discovery.mark_consumed(X.candidates(spark, d), _taken(spark, d)).select(
@@ -756,6 +764,40 @@ def validation_history(spark, d):
     return tidy(model_store.validation_history(spark, root))
 
 
+@query
+def roc_curve(spark, d):
+    return tidy(evaluate.roc_curve(_scored(spark, d)))
+
+
+def _recorded(spark, d):
+    """Records of two models of one rule's scores, saved and read back."""
+    root, scored = _place(spark), cut(_scored(spark, d))
+    about = learners.about_training(scored.where("score < 0.4"), scored.where("score >= 0.4"))
+    for version in ("v1.0_rule", "v1.1_rule"):
+        entry = learners.Entry("rule", {}, _INPUTS, result=evaluate.evaluate(scored), training=about)
+        model_store.save_model(spark, entry, root, version, "d1", _STAMP, notes="by rule")
+    return model_store.model_records(spark, root)
+
+
+@query
+def model_comparison(spark, d):
+    """Saved records side by side."""
+    return tidy(model_store.compare_models(_recorded(spark, d)))
+
+
+@query
+def model_listing(spark, d):
+    return tidy(model_store.list_models(_recorded(spark, d)))
+
+
+@query
+def model_generations(spark, d):
+    """The wide record of each model with its generation."""
+    rows = model_store.model_table(_recorded(spark, d))
+    return tidy(rows, "model_name", "version", "generation", "data_snapshot", "model_type", "train_rows", "test_rows",
+                "accuracy", "roc_auc", "features_count")
+
+
 @query
 def sample_channels(spark, d):
     return collection.sample_channels(X.channels(spark, d)).select("channel_id")
@@ -858,6 +900,18 @@ def stream_first(spark, d):
     return rows.select("video_id", "poll_label")
 
 
+@query
+def stream_snapshots(spark, d):
+    """The first observation per video and label of two runs over the same events."""
+    root = _place(spark)
+    for run in ("a", "b"):
+        labelled = collector.label_stream(_stream(spark, d))
+        collector.record_stream(labelled, f"{root}/tables", f"{root}/state-{run}").awaitTermination()
+    rows = collector.Recorder(spark, f"{root}/tables").read_snapshots()
+    return tidy(rows.withColumn("polled", F.date_format("poll_timestamp", "yyyy-MM-dd HH:mm:ss")),
+                "video_id", "poll_label", "polled", "hours_since_publish")
+
+
 @query
 def stream_tracking(spark, d):
     """Snapshots recorded batch by batch, then the tracking flags they set."""
