@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,8 +107,8 @@ def kde(
     """Gaussian density of each column on an even grid from its minimum to its maximum.
 
     Bandwidth is n^(-1/5) times the sample deviation; groups of fewer than two rows or without
-    spread have none. Equal values are counted once before the grid is laid over them, and the grid
-    sums are combined in each task, so only ``points`` rows per group and task are shuffled.
+    spread have none. Each task folds its values into one grid per group, so only ``points`` sums per
+    group and task are shuffled, and values never are.
     ``cells`` snaps values to that many steps first, for a fast approximate curve.
     """
     group = [*keys, "feature"]
@@ -115,23 +117,38 @@ def kde(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
         (F.stddev_samp("value") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).alias("h"),
     ).where("n >= 2 and h > 0")
-    stats = beside(stats, keys)
+    placed = long.join(beside(stats, keys), group)
     if cells:
         step = (F.col("hi") - F.col("lo")) / cells
-        snapped = F.col("lo") + F.round((F.col("value") - F.col("lo")) / step) * step
-        long = long.join(stats, group).select(*group, snapped.alias("value"))
-    weighted = long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("times"))
-    x = F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / (points - 1)
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    return (
-        weighted.join(stats, group)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", x)
-        .groupBy(*group, "i", "x", "n", "h")
-        .agg(F.sum(F.col("times") * F.exp(-0.5 * z * z)).alias("mass"))
-        .select(*group, "i", "x",
-                (F.col("mass") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
-    )
+        placed = placed.withColumn("value", F.col("lo") + F.round((F.col("value") - F.col("lo")) / step) * step)
+    facts = [*group, "n", "lo", "hi", "h"]
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.select(*facts).schema)
+    folded = placed.select(*facts, "value").mapInPandas(_folded(facts, points), f"{kept}, masses array<double>")
+    total = folded.select(*facts, F.posexplode("masses").alias("i", "mass")).groupBy(*facts, "i").agg(
+        F.sum("mass").alias("mass"))
+    return total.select(
+        *group, "i", (F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / (points - 1)).alias("x"),
+        (F.col("mass") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
+
+
+def _folded(facts: list[str], points: int):
+    """Per task one row per group: the kernel sums of its values at every point of the grid."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for key, part in batch.groupby(facts, dropna=False, sort=False):
+                lo, hi, h = key[-3:]
+                grid = lo + np.arange(points) * (hi - lo) / (points - 1)
+                values, times = np.unique(part["value"].to_numpy(), return_counts=True)
+                mass = sums.setdefault(key, np.zeros(points))
+                for at in range(0, len(values), 2000):
+                    z = (grid[:, None] - values[None, at: at + 2000]) / h
+                    mass += np.exp(-0.5 * z * z) @ times[at: at + 2000]
+        if sums:
+            out = pd.DataFrame(list(sums), columns=facts)
+            out["masses"] = [m.tolist() for m in sums.values()]
+            yield out
+    return run
 
 
 def box_stats(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
