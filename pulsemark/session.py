@@ -50,6 +50,20 @@ def cut(df: DataFrame) -> DataFrame:
     filter pushdown and a known size, which a checkpoint of rows would not.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut/{uuid.uuid4().hex}"
+    path = f"{_cuts(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _cuts(spark: SparkSession) -> str:
+    """The folder of this application's cuts, which no other application writes to."""
+    return f"{shared_dir(spark)}/cut/{spark.sparkContext.applicationId}"
+
+
+def discard_cuts(spark: SparkSession) -> None:
+    """Delete what ``cut`` has written in this application, once its results are stored.
+
+    Frames that still read it cannot be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_cuts(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

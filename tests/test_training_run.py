@@ -114,3 +114,16 @@ def test_two_runs_of_the_recorder(spark, folder):
     assert [(r.video_id, r.n) for r in kept] == [("v1", 1)]
     assert two.tracking.read().count() == 1
     assert collector.run_of("/x/state/") == collector.run_of("/x/state") != collector.run_of("/x/other")
+
+
+def test_cuts_of_the_application_can_be_discarded(spark):
+    from pulsemark.session import discard_cuts
+    from pulsemark.sources.files import matches
+
+    kept = cut(spark.range(3))
+    assert kept.count() == 3
+    folder = kept.inputFiles()[0].rsplit("/", 2)[0]
+    assert spark.sparkContext.applicationId in folder and matches(spark, folder)
+    discard_cuts(spark)
+    assert not matches(spark, folder)
+    assert cut(spark.range(2)).count() == 2
