@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
-from pulsemark.llm.text import Memory, Words, prefix_sums, runs, span_hashes, sum_by_row
+from pulsemark.llm.text import Memory, Words, prefix_sums, runs, short_batches, span_hashes, sum_by_row
 
 #: The fit takes about this many documents of each language, drawn by hash; everything else sees all rows.
 FIT_DOCS = 600
@@ -218,7 +218,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     or has no letter is `und` with score 0, and so is every text if the model has no language. Ties go to
     the first language in alphabetical order. No column in ``keep`` may be called lang_pred or score.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = short_batches(docs.sparkSession).sparkContext.broadcast(model)
     asked = docs.select(
         F.col("text").alias("_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), *keep)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)

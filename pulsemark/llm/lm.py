@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import _LOWER, Words, mix, runs
+from pulsemark.llm.text import _LOWER, Words, mix, runs, short_batches
 from pulsemark.session import cut
 
 #: Classes: words of their own, and classes of word endings.
@@ -327,7 +327,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     held_out counts as false. Without training rows the model knows no word and every class is alike. An empty
     table gives an empty result.
     """
-    spark = docs.sparkSession
+    spark = short_batches(docs.sparkSession)
     rows = docs.select("id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
     blocks = cut(rows.mapInArrow(_into_blocks, _BLOCKS))
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "seen", "endings")).alias("at", "z")).select(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import mix, powers, span_hashes
+from pulsemark.llm.text import mix, powers, short_batches, span_hashes
 from pulsemark.session import cut
 
 K = 64
@@ -148,7 +148,7 @@ def fingerprints_with_next(docs: DataFrame, parts: int | None = None) -> DataFra
     Each text is shuffled once, to one of many ranges of ids; the first row of a range also goes to the end of
     the range before.
     """
-    spark = docs.sparkSession
+    spark = short_batches(docs.sparkSession)
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = -(1 << 63)
     rows = docs.select("id", "text", F.coalesce("id", F.lit(least)).alias("place"), F.xxhash64("text").alias("tie"))

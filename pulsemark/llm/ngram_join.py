@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pulsemark.llm.components import connected, relabel
 from pulsemark.llm.sizes import store
-from pulsemark.llm.text import Words, mix, runs
+from pulsemark.llm.text import Words, mix, runs, short_batches
 from pulsemark.session import cut
 
 #: Counters of the frequency sketch, in slots of SLOT counters each. Only the quality of the order depends on it.
@@ -287,7 +287,7 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     returned. A null id stays null and is never a component's name unless all ids of the component are null.
     An empty table gives an empty result. Further columns are ignored.
     """
-    spark = docs.sparkSession
+    spark = short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     measured = cut(rows.mapInArrow(_measure(n), "id long, node long, n long, slot int, counts binary"))
     members = measured.where("slot is null").select("id", "node", "n")

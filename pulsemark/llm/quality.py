@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import Words, mix, runs, span_hashes, sum_by_row
+from pulsemark.llm.text import Words, mix, runs, short_batches, span_hashes, sum_by_row
 
 #: Hashed features.
 FEATURES = 1 << 20
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, top: int, fit_rows: int = FIT_ROWS)
     Labels with a null id, a null grade or no document teach nothing. More than ``fit_rows`` labels are
     represented by about so many, drawn by a hash of the id, which the driver holds as features.
     """
-    spark = docs.sparkSession
+    spark = short_batches(docs.sparkSession)
     known = labels.where("doc_id is not null and grade between 0 and %d" % top).select("doc_id", "grade")
     rate = min(1.0, fit_rows / max(1, known.count()))
     drawn = known.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20)))
@@ -173,5 +173,5 @@ def grade(docs: DataFrame, model: Model, keep: list[str], text_column: str = "te
                         *[F.col(f"`{c}`") for c in keep])
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
     tails = ", ".join(f"p_at_least_{k + 1} double" for k in range(top))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = short_batches(docs.sparkSession).sparkContext.broadcast(model)
     return asked.mapInArrow(_graded(shared, top), f"{kept}expected_grade double, {tails}")

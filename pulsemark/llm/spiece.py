@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
+from pulsemark.llm.text import short_batches
 from pulsemark.llm.vocab import SPACE
 
 UNKNOWN = 10.0
 #: Spans whose pieces a task remembers.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _SPANS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -146,7 +147,7 @@ def encode(docs: DataFrame, keep: list[str], text_column: str = "text", path: st
     A null or empty text has no ids and is decoded to an empty text. Each row stands alone: repeated rows
     and null ids are kept, an empty table gives an empty result. No kept column may have the new names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Encoder(vocab.load(path)))
+    shared = short_batches(docs.sparkSession).sparkContext.broadcast(Encoder(vocab.load(path)))
     asked = docs.select(F.col(f"`{text_column}`").alias("_text"), *[F.col(f"`{c}`") for c in keep])
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
     return asked.mapInArrow(_encoded(shared), f"{kept}piece_ids array<int>, decoded string")

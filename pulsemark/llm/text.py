@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of text handled at once; a longer text is one run of its own.
 RUN_BYTES = 1 << 19
@@ -63,9 +64,20 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * powers(len(sums))[1][starts])
 
 
+def short_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """Let Arrow batches of the session hold at most so many rows.
+
+    Texts are long, and a batch lies in the executor and in its Python worker at once, on the way in and out.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+    return spark
+
+
 def plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the offsets of its rows; null counts as empty."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = (pc.fill_null(column, "") if column.null_count else column).cast(pa.large_string())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset: column.offset + len(column) + 1]
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at

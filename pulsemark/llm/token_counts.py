@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
-from pulsemark.llm.text import Memory, Words, runs, sum_by_row
+from pulsemark.llm.text import Memory, Words, runs, short_batches, sum_by_row
 
 
 class LongestMatch:
@@ -93,7 +93,7 @@ def count_tokens(docs: DataFrame, keep: list[str], text_column: str = "text", pa
     A null or empty text has none of each. Each row stands alone: repeated rows and null ids are kept, an
     empty table gives an empty result. No kept column may have the new names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(LongestMatch(vocab.load(path).ids))
+    shared = short_batches(docs.sparkSession).sparkContext.broadcast(LongestMatch(vocab.load(path).ids))
     asked = docs.select(F.col(f"`{text_column}`").alias("_text"), *[F.col(f"`{c}`") for c in keep])
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
     return asked.mapInArrow(_counted(shared), f"{kept}n_words long, n_tokens long, n_unknown long")
