@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemark.constants import MIN_COMPLETION_PCT, POLL_STAGES
 from pulsemark.functions.polls import older_than
+from pulsemark.session import cut
 
 
 def completion(tracking: DataFrame, now: datetime | str) -> DataFrame:
@@ -85,27 +86,22 @@ def missing_baselines(tracking: DataFrame, medians: DataFrame) -> DataFrame:
 def spot_check(tracking: DataFrame, snapshots: DataFrame, n: int = 5) -> DataFrame:
     """For each stage, the snapshots of the newest videos flagged done.
 
-    Only ``n`` tracking rows per stage enter the join, so broadcasting them is safe.
+    One scan of either table: ``n`` tracking rows per stage are found first and, being so few, broadcast.
+    The literal row number lets Spark limit each stage before the shuffle.
     """
-    shown = ["stage", "video_id", "published_at", "poll_label", "hours_since_publish",
-             "view_count", "like_count", "comment_count"]
-    parts = []
-    for stage, (flag, _, _) in POLL_STAGES.items():
-        newest = tracking.where(F.col(flag)).select("video_id", "published_at").orderBy(
-            F.desc("published_at"), "video_id"
-        ).limit(n)
-        polls = snapshots.where(F.col("poll_label") == stage).select(
-            "video_id", "poll_label", "hours_since_publish", "view_count", "like_count", "comment_count"
-        )
-        hit = polls.join(F.broadcast(newest), "video_id")
-        order = [F.desc("published_at"), F.asc("video_id")] + [
-            F.desc_nulls_last(c) for c in ("hours_since_publish", "view_count", "like_count", "comment_count")
-        ]
-        top = hit.orderBy(*order).limit(n)
-        lone = newest.join(top.select("video_id").distinct(), "video_id", "left_anti")
-        both = top.unionByName(lone, allowMissingColumns=True)
-        parts.append(both.orderBy(*order).limit(n).withColumn("stage", F.lit(stage)).select(*shown))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    metrics = ["hours_since_publish", "view_count", "like_count", "comment_count"]
+    stages = F.array(*[F.when(F.col(flag), F.lit(stage)) for stage, (flag, _, _) in POLL_STAGES.items()])
+    flagged = tracking.select("video_id", "published_at", F.explode(stages).alias("stage")).where("stage is not null")
+    by_age = [F.desc("published_at"), F.asc("video_id")]
+    newest = cut(flagged.withColumn(
+        "_place", F.row_number().over(Window.partitionBy("stage").orderBy(*by_age))
+    ).where(F.col("_place") <= n).drop("_place"))
+    polls = snapshots.select("video_id", "poll_label", *metrics).join(
+        F.broadcast(newest.select("video_id", F.col("stage").alias("poll_label"))), ["video_id", "poll_label"], "left_semi")
+    both = newest.join(polls.withColumn("stage", F.col("poll_label")), ["video_id", "stage"], "left")
+    order = by_age + [F.desc_nulls_last(c) for c in metrics]
+    ranked = both.withColumn("_place", F.row_number().over(Window.partitionBy("stage").orderBy(*order)))
+    return ranked.where(F.col("_place") <= n).select("stage", "video_id", "published_at", "poll_label", *metrics)
 
 
 def tracking_summary(tracking: DataFrame) -> DataFrame:
