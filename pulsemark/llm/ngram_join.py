@@ -223,30 +223,28 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def _segments(n: int, shared, wanted, pivots: np.ndarray):
-    """Segments per fragment of the sets of the wanted rows, and of a few others by chance."""
+    """The segments, one per fragment, of the sets of the wanted rows and of a few others by chance."""
     def run(batches):
         classes, bits = shared.value, wanted.value
         for batch in batches:
-            nodes, parts, places = [], [], []
+            nodes, counts, places = [], [], []
             at = _place(batch.column(1).fill_null(0).to_numpy())
             hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
             texts = batch.column(0).filter(pa.array(hit | batch.column(1).is_null().to_numpy(zero_copy_only=False)))
             for found in shingle_sets(texts, n):
                 if not len(found):
                     continue
-                ordered, name = _ordered(found, classes), _name(found)
+                ordered = _ordered(found, classes)
                 ends = np.concatenate([[0], np.searchsorted(ordered, pivots), [len(ordered)]])
-                for k in range(FRAGMENTS):
-                    if ends[k + 1] > ends[k]:
-                        nodes.append(name)
-                        parts.append(k)
-                        places.append(ordered[ends[k]: ends[k + 1]].view(np.int64))
+                nodes.append(_name(found))
+                counts.append(np.diff(ends))
+                places.append(ordered.view(np.int64))
             if nodes:
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in places])]).astype(np.int32)
+                inner = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+                segments = pa.ListArray.from_arrays(pa.array(inner), pa.array(np.concatenate(places)))
+                outer = pa.array(np.arange(0, FRAGMENTS * len(nodes) + 1, FRAGMENTS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(places)))],
-                    ["node", "fragment", "places"])
+                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(outer, segments)], ["node", "segments"])
     return run
 
 
@@ -265,14 +263,13 @@ def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> tuple[Data
     pairs = pairs.select("a", "a_n", "b", "b_n")
     small = F.broadcast(pairs) if count <= BROADCAST_PAIRS else pairs
     ends = pairs.select(F.col("b").alias("node")).distinct()
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("places").alias("a_places"))
+    left = segments.select(F.col("node").alias("a"), F.col("segments").alias("a_segments"))
     right = segments.join(F.broadcast(ends) if count <= BROADCAST_PAIRS else ends, "node", "left_semi").select(
-        F.col("node").alias("b"), "fragment", F.col("places").alias("b_places"))
-    partial = left.join(small, "a").join(right, ["b", "fragment"]).select(
-        "a", "b", "a_n", "b_n", "fragment", F.size(F.array_intersect("a_places", "b_places")).alias("overlap"))
-    # A repeated input row repeats its segments: one count per fragment.
-    once = partial.groupBy("a", "b", "a_n", "b_n", "fragment").agg(F.max("overlap").alias("overlap"))
-    total = once.groupBy("a", "b", "a_n", "b_n").agg(F.sum("overlap").alias("c"))
+        F.col("node").alias("b"), F.col("segments").alias("b_segments"))
+    partial = [F.size(F.array_intersect(F.col("a_segments")[k], F.col("b_segments")[k])) for k in range(FRAGMENTS)]
+    counted = left.join(small, "a").join(right, "b").select("a", "b", "a_n", "b_n", sum(partial, F.lit(0)).alias("c"))
+    # A repeated input row repeats its segments.
+    total = counted.groupBy("a", "b", "a_n", "b_n").agg(F.max("c").alias("c"))
     close = total.where(F.col("c") * 100 >= percent * (F.col("a_n") + F.col("b_n") - F.col("c"))).select("a", "b")
     return close, count
 
@@ -309,7 +306,7 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     holders = members.join(touched, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
     wanted = spark.sparkContext.broadcast(_filter_of(holders.select("id")))
     segments = cut(rows.select("text", "id").mapInArrow(
-        _segments(n, shared, wanted, pivots), "node long, fragment int, places array<long>"))
+        _segments(n, shared, wanted, pivots), "node long, segments array<array<long>>"))
 
     # 1: every node with the center it shares most rare shingles with.
     best = store(pairs.groupBy("a", "a_n").agg(F.max(F.struct("hits", "b", "b_n")).alias("m")).select(
