@@ -79,7 +79,7 @@ def log_words(table: PieceTable, probs: np.ndarray, words: Words, picked: np.nda
     lengths = words.ends[picked] - words.starts[picked]
     for length in np.unique(lengths):
         of = np.flatnonzero(lengths == length)
-        step = max(1, (1 << 20) // int(length + 1))
+        step = max(1, (1 << 18) // int(length + 1))  # keeps the arrays of a step near 8 MB
         for lo in range(0, len(of), step):
             some = of[lo: lo + step]
             out[some] = _forward(table, probs, words, words.starts[picked[some]], int(length))
