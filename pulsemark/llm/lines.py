@@ -3,7 +3,9 @@
 Every line is parsed to a fixed depth: its number of tokens and its first tokens, fields with digits masked,
 name a leaf. Where lines of several documents meet in a leaf, each position keeps its token if more than half
 of the lines agree on it and becomes a variable field otherwise; lines that fit these constants, if there are
-enough of them, share the leaf's template. Every other line is its own template, with digit fields masked.
+enough of them, share a template. The other lines of the leaf vote again, in groups divided by a position on
+which they are at odds where none fit, so that a leaf holds any number of templates. A line that fits none is its own template,
+with digit fields masked.
 
 A template recurs if at least ``min_docs`` documents hold it and its surroundings differ: there are at least
 ``min_docs`` different lines before it, or after it, and at least half as many as documents. Boilerplate
@@ -13,6 +15,8 @@ left to document deduplication. All lines of recurring templates are dropped.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +65,7 @@ def _parsed(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def _general(docs: DataFrame, placed: DataFrame, depth: int, min_docs: int, constant: float) -> DataFrame:
-    """Rows (hash, template) of the masked lines that fit the constants of their leaf."""
+    """Rows (hash, template) of the masked lines that fit the constants of a vote in their leaf."""
     leaves = placed.groupBy("leaf").agg(
         F.count("*").alias("n"), F.min("hash").alias("h0"), F.max("hash").alias("h1"),
         F.min("_key").alias("k0"), F.max("_key").alias("k1"))
@@ -75,15 +79,53 @@ def _general(docs: DataFrame, placed: DataFrame, depth: int, min_docs: int, cons
         "hash", "leaf", F.size("t").alias("size"), F.transform("t", lambda t: F.xxhash64(t)).alias("t"))
     fields = cut(distinct.join(weights, "hash").select(
         "hash", "leaf", "size", "weight", F.posexplode_outer("t").alias("at", "token")))
+    found = []
+    while fields is not None:
+        fit, fields = _vote(fields, len(found), min_docs, constant)
+        found.append(fit)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _vote(fields: DataFrame, turn: int, min_docs: int, constant: float) -> tuple[DataFrame, DataFrame | None]:
+    """One vote in every group of lines: rows (hash, template) of those that fit, and the fields that vote again.
+
+    Lines that fit leave their group, the others of it vote again. A group in which none fit is divided by its most
+    voted position among those on which it is at odds: no token has the majority, or a second one has ``min_docs``
+    votes too. Tokens with so many votes get a group each, all others one together. As each turn takes lines out
+    of a group or divides it, the turns come to an end.
+    """
     votes = fields.groupBy("leaf", "at", "token").agg(F.sum("weight").alias("w"))
-    agreed = votes.groupBy("leaf", "at").agg(F.sum("w").alias("all"), F.max(F.struct("w", "token")).alias("top")).where(
-        F.col("top.w") * 2 > F.col("all")).select("leaf", "at", F.col("top.token").alias("constant"))
+    tops = cut(votes.groupBy("leaf", "at").agg(
+        F.sum("w").alias("all"), F.max(F.struct("w", "token")).alias("top"),
+        F.count_if(F.col("w") >= min_docs).alias("choices")))
+    agreed = tops.where(F.col("top.w") * 2 > F.col("all")).select("leaf", "at", F.col("top.token").alias("constant"))
     constants = agreed.groupBy("leaf").agg(F.count("*").alias("n_constant"))
     fit = fields.join(agreed, ["leaf", "at"]).groupBy("hash", "leaf", "size").agg(
-        F.count_if(F.col("token") == F.col("constant")).alias("same"), F.count("*").alias("n"))
-    fit = fit.where("same = n").join(constants, "leaf").where(
-        (F.col("n") == F.col("n_constant")) & (F.col("n") >= constant * F.col("size")))
-    return fit.select("hash", F.xxhash64(F.lit("leaf"), "leaf").alias("template"))
+        F.count_if(F.col("token") == F.col("constant")).alias("same"), F.count("*").alias("n"), F.max("weight").alias("weight"))
+    fit = cut(fit.where("same = n").join(constants, "leaf").where(
+        (F.col("n") == F.col("n_constant")) & (F.col("n") >= constant * F.col("size"))).select("hash", "leaf", "weight"))
+    # Lines of a later template that too few documents hold stay in their group.
+    reached = fit.groupBy("leaf").agg(F.sum("weight").alias("w")).where(F.lit(turn == 0) | (F.col("w") >= min_docs)).select("leaf")
+    if turn:
+        fit = cut(fit.join(reached, "leaf", "left_semi"))
+        reached = fit.select("leaf").distinct()
+    name = F.xxhash64(F.lit("leaf"), "leaf", *[F.lit(turn)] * (turn > 0))
+    named = fit.select("hash", name.alias("template"))
+
+    odds = (F.col("choices") > 1) | ((F.col("choices") > 0) & (F.col("top.w") * 2 <= F.col("all")))
+    cuts = cut(tops.where(odds).join(reached, "leaf", "left_anti").groupBy("leaf").agg(
+        F.max(F.struct("top.w", "at")).alias("best")).select("leaf", F.col("best.at").alias("at")))
+    rest = fields.join(few(fit.select("hash")), "hash", "left_anti")
+    left = rest.join(reached, "leaf", "left_semi")
+    if cuts.count():
+        sides = votes.join(few(cuts), ["leaf", "at"]).where(F.col("w") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("own"))
+        moved = rest.join(few(cuts), ["leaf", "at"]).join(sides, ["leaf", "at", "token"], "left").select(
+            "hash", F.xxhash64("leaf", "at", F.when(F.col("own"), F.col("token"))).alias("to"))
+        left = left.unionByName(rest.join(moved, "hash").withColumn("leaf", F.col("to")).drop("to"))
+    left = cut(left)
+    going = cut(left.where("at = 0").groupBy("leaf").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).where(
+        f"n > 1 and w >= {min_docs}").select("leaf"))
+    return named, left.join(few(going), "leaf", "left_semi") if going.count() else None
 
 
 def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH,

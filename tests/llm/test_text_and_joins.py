@@ -138,3 +138,16 @@ def test_lines_generalise_fields(spark):
     out = lines.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
     assert [r.n_dropped for r in out] == [2] * 4  # the session line, and the masked note
     assert lines.drop_recurring(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_lines_several_templates_in_a_leaf(spark):
+    def name(k):
+        return "".join("abcdefghij"[int(d)] for d in str(k))
+    kinds = [(40, "the session of user {} was closed by the main server"), (12, "the session of user {} could not reach its own host"),
+             (12, "the session of user {} asked twice for another shared file"), (5, "the session of user {} had then been idle all day")]
+    texts = [line.format(name(k)) for n, line in kinds for k in range(100 * n, 101 * n)]
+    texts += ["the session of user zz was like no other session here", "the session of user yy went on for hours and hours"]
+    rows = [(k, f"own words {name(k)} of it\n{line}\nand own {name(k)} end") for k, line in enumerate(texts)]
+    out = lines.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r.text.split("\n")[1:-1] for r in out}
+    assert [k for k in sorted(got) if got[k]] == [len(texts) - 2, len(texts) - 1]
