@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemark.llm import (
-    chat, decontaminate, langid, lines, lm, lz_print, ngram_join, quality, spiece, token_counts,
+    chat, decontaminate, langid, lines, lm, lz_print, ngram_join, periods, quality, spiece, token_counts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,9 +97,40 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) in which every tenth id's text, by hash, ends in a loop of its own words.
+
+    With h = crc32(doc_id as text) and g = h div 10, words from a = g mod n on become the p words from a on, again
+    and again, with p = 1 + (n - a) div (3 + g mod 8). Rows with a null id keep their text.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), found.alias("w"))
+    sized = split.withColumn("n", F.when(F.size("w") > 0, F.size("w"))).withColumn("a", F.expr("int(g % n)"))
+    placed = sized.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    loop = F.expr("flatten(array_repeat(slice(w, a + 1, p), int(ceil((n - a) / p))))")
+    new = F.array_join(F.concat(F.expr("slice(w, 1, a)"), F.slice(loop, F.lit(1), F.expr("n - a"))), " ")
+    return placed.select("doc_id", F.when(F.col("n").isNull(), F.col("text")).otherwise(new).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, the longest one, and what is left without the repeats."""
+    docs = looped(_table(spark, folder, "documents"))
+    found = periods.find_runs(docs, ["doc_id"])
+    rows = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["start"]).alias("start"),
+        best["length"].alias("length"), (-best["period"]).alias("period"),
+        F.floor(-1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(rows, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_scoring, op2_sentencepiece, op3_quality_classifier, op4_language_id, op5_lz_fingerprint,
-    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup,
+    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup, op13_periodic_runs,
 )}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
