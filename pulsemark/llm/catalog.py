@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemark.llm import (
-    chat, decontaminate, langid, lines, lm, lz_print, ngram_join, periods, quality, spiece, token_counts,
+    alignment, chat, decontaminate, langid, lines, lm, lz_print, ngram_join, periods, quality, spiece, token_counts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,13 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document, scored by counts of the corpus."""
+    found = alignment.aligned(_table(spark, folder, "documents"), ["doc_id"])
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return alignment.with_link_counts(found.withColumn("groups_sha256", digest).drop("groups"))
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text) in which every tenth id's text, by hash, ends in a loop of its own words.
 
@@ -130,7 +137,8 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_scoring, op2_sentencepiece, op3_quality_classifier, op4_language_id, op5_lz_fingerprint,
-    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup, op13_periodic_runs,
+    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup, op12_tokenizer_alignment,
+    op13_periodic_runs,
 )}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
