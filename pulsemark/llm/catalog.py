@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemark.llm import (
-    alignment, chat, decontaminate, langid, lines, lm, lz_print, ngram_join, periods, quality, spiece, token_counts,
+    alignment, chat, decontaminate, langid, lines, lm, lz_print, ngram_join, periods, quality, spiece, token_counts, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,20 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
+#: Documents of at least this probability are predicted to be toxic.
+TOXIC = 0.3
+
+
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability that a document is toxic, learned from labels of those that are not held out."""
+    docs = _table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    model = toxicity.fit(docs, _table(spark, folder, "labels").where(remainder("doc_id", 4) != 2))
+    graded = toxicity.grade(docs, model, ["doc_id", "held_out"])
+    return graded.select(
+        "doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+        F.transform("evidence", lambda e: e["id"].cast("long")).alias("nearest"), "terms")
+
+
 def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers in every document, scored by counts of the corpus."""
     found = alignment.aligned(_table(spark, folder, "documents"), ["doc_id"])
@@ -137,8 +151,8 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_scoring, op2_sentencepiece, op3_quality_classifier, op4_language_id, op5_lz_fingerprint,
-    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup, op12_tokenizer_alignment,
-    op13_periodic_runs,
+    op6_token_counts, op7_chat_format, op8_decontamination, op9_ngram_jaccard_join, op10_line_dedup,
+    op11_toxicity, op12_tokenizer_alignment, op13_periodic_runs,
 )}
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
