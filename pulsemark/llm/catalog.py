@@ -187,38 +187,37 @@ ORACLE: dict[str, str] = {
             FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
         clean AS (SELECT doc_id, k_, line, trim(translate(line, chr(9) || chr(13), '  '), ' ') AS c FROM raw),
         masked AS (SELECT doc_id, k_, line, regexp_replace(c, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m FROM clean),
-        around AS (
-            SELECT *, lag(m, 1, '<end>') OVER w AS before, lead(m, 1, '<end>') OVER w AS after
-            FROM masked WINDOW w AS (PARTITION BY doc_id ORDER BY k_)),
-        parsed AS (
-            SELECT *, string_split_regex(m, ' +') AS t FROM around WHERE m <> ''),
-        placed AS (SELECT *, len(t) AS size, {'n': len(t), 'h': t[1:4]} AS leaf FROM parsed),
+        placed AS (
+            SELECT *, len(t) AS size, CASE WHEN len(t) > 4 THEN {'n': len(t), 'h': t[1:4]} END AS leaf
+            FROM (SELECT doc_id, k_, string_split_regex(m, ' +') AS t FROM masked WHERE m <> '')),
+        sentences AS (
+            SELECT DISTINCT doc_id, s FROM (
+                SELECT doc_id, unnest(string_split_regex(text, '[.' || chr(10) || '] ?')) AS s FROM documents)
+            WHERE s <> ''),
+        often AS (SELECT s FROM sentences GROUP BY s HAVING count(*) >= 3),
+        copies AS (
+            SELECT doc_id FROM sentences LEFT JOIN (SELECT s, true AS o FROM often) USING (s) GROUP BY doc_id
+            HAVING 2 * sum(CASE WHEN o THEN length(s) ELSE 0 END) >= sum(length(s))),
+        held AS (SELECT DISTINCT doc_id, t, leaf, size FROM placed),
         leaves AS (
-            SELECT leaf FROM placed WHERE size > 4 GROUP BY leaf
-            HAVING count(*) >= 3 AND count(DISTINCT m) > 1 AND count(DISTINCT doc_id) > 1),
-        found AS (
-            SELECT m, any_value(leaf) AS leaf, any_value(t) AS t, any_value(size) AS size,
-                count(DISTINCT doc_id) AS weight
-            FROM placed SEMI JOIN leaves USING (leaf) WHERE size > 4 GROUP BY m),
-        fields AS (SELECT m, leaf, size, weight, unnest(t) AS token, generate_subscripts(t, 1) AS k_ FROM found),
-        votes AS (SELECT leaf, k_, token, sum(weight) AS w FROM fields GROUP BY ALL),
-        agreed AS (
-            SELECT leaf, k_, arg_max(token, w) AS constant FROM votes GROUP BY ALL HAVING max(w) * 2 > sum(w)),
-        fit AS (
-            SELECT m, leaf, size, count(*) AS n, count_if(token = constant) AS same
-            FROM fields JOIN agreed USING (leaf, k_) GROUP BY ALL),
+            SELECT leaf FROM held WHERE leaf IS NOT NULL GROUP BY leaf HAVING count(*) >= 3 AND count(DISTINCT t) > 1),
+        lines AS (SELECT t, leaf, size, count(*) AS docs FROM held SEMI JOIN leaves USING (leaf) GROUP BY ALL),
+        fields AS (SELECT t, leaf, size, docs, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM lines),
+        votes AS (SELECT leaf, pos, token FROM fields GROUP BY ALL HAVING sum(docs) >= 3),
+        stay AS (SELECT *, count(*) OVER (PARTITION BY leaf, pos) AS kinds FROM votes QUALIFY kinds <= 8),
         general AS (
-            SELECT m, leaf FROM fit JOIN (SELECT leaf, count(*) AS nc FROM agreed GROUP BY leaf) c USING (leaf)
-            WHERE same = n AND n = nc AND n >= 0.6 * size),
+            SELECT t, leaf, list(CASE WHEN s.token IS NULL THEN '<*>' ELSE 'is ' || f.token END ORDER BY f.pos) AS names
+            FROM fields f LEFT JOIN stay s USING (leaf, pos, token) GROUP BY t, leaf, size
+            HAVING count(s.token) >= 0.6 * size),
         named AS (
-            SELECT p.doc_id, p.k_, p.before, p.after,
-                CASE WHEN g.m IS NULL THEN 'line ' || p.m ELSE 'leaf ' || g.leaf::VARCHAR END AS template
-            FROM placed p LEFT JOIN general g ON p.m = g.m),
+            SELECT p.doc_id, p.k_, CASE WHEN g.t IS NULL THEN ['line', p.t::VARCHAR]
+                ELSE list_concat(['leaf'], g.names) END AS template
+            FROM placed p LEFT JOIN general g ON p.t = g.t),
         recurring AS (
-            SELECT template FROM named GROUP BY template
-            HAVING count(DISTINCT doc_id) >= 3
-                AND greatest(count(DISTINCT before), count(DISTINCT after)) >= 3
-                AND greatest(count(DISTINCT before), count(DISTINCT after)) * 2 >= count(DISTINCT doc_id)),
+            SELECT template FROM named LEFT JOIN (SELECT doc_id, true AS copy FROM copies) USING (doc_id)
+            GROUP BY template
+            HAVING count(DISTINCT CASE WHEN copy IS NULL THEN doc_id END) >= 3
+                AND 10 * count(DISTINCT CASE WHEN copy IS NULL THEN doc_id END) >= count(DISTINCT doc_id)),
         dropped AS (SELECT doc_id, k_ FROM named SEMI JOIN recurring USING (template)),
         kept AS (
             SELECT r.doc_id, count(*) AS n_lines, count(d.k_) AS n_dropped,

@@ -1,44 +1,47 @@
 """Line deduplication with a log-template tree, in DataFrame operations only.
 
 Every line is parsed to a fixed depth: its number of tokens and its first tokens, fields with digits masked,
-name a leaf. Where lines of several documents meet in a leaf, each position keeps its token if more than half
-of the lines agree on it and becomes a variable field otherwise; lines that fit these constants, if there are
-enough of them, share a template. The other lines of the leaf vote again, in groups divided by a position on
-which they are at odds where none fit, so that a leaf holds any number of templates. A line that fits none is its own template,
-with digit fields masked.
-
-A template recurs if at least ``min_docs`` documents hold it and its surroundings differ: there are at least
-``min_docs`` different lines before it, or after it, and at least half as many as documents. Boilerplate
-stands between different lines; a line of a copied document has the copy's own neighbours, and copies are
-left to document deduplication. All lines of recurring templates are dropped.
+name a leaf. In a leaf that several documents reach, a token stays where at least ``min_docs`` documents have it at
+its position; all others become a variable field, and a position with more than ``choices`` such tokens is a field as
+a whole. What results, if ``constant`` of its positions stay, is the line's template; any number of templates
+share a leaf. A line that stays with too little is its own template, with digit fields masked.
+
+A template recurs by the documents that hold it. Copies hold all their lines together, which makes no line boilerplate:
+a document is a copy if sentences that ``min_docs`` documents hold make up half of its text. At least ``min_docs``
+documents with texts of their own must hold a template, and at least one of ``one_in`` of all that hold it. All lines of
+recurring templates are dropped, from copies too.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm.sizes import FEW, few
 from pulsemark.session import cut
 
-DEPTH, MIN_DOCS, CONSTANT = 4, 3, 0.6
+DEPTH, MIN_DOCS, CONSTANT, CHOICES, ONE_IN = 4, 3, 0.6, 8, 10
 MASK = "<*>"
 
 
-def _masked(docs: DataFrame) -> DataFrame:
-    """(_key, lines): the lines, trimmed, with single blanks between tokens and a mask for fields with digits.
+def _masked(text):
+    """The lines, trimmed, with single blanks between tokens and a mask for fields with digits.
 
     The whole text is changed at once, and only where it has such characters.
     """
-    text = F.col("_text")
-    tabs = F.when(text.contains("\t") | text.contains("\r"), F.translate(text, "\t\r", "  ")).otherwise(text)
-    docs = docs.select("_key", tabs.alias("_text"))
-    docs = docs.select("_key", F.when(text.contains("  "), F.regexp_replace(text, " +", " ")).otherwise(text).alias("_text"))
-    field = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
-    docs = docs.select("_key", F.when(text.rlike("[0-9]"), F.regexp_replace(text, field, MASK)).otherwise(text).alias("_text"))
-    return docs.select("_key", F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)).alias("lines"))
+    def changed(found, new):
+        return F.when(found, new).otherwise(F.col("x"))
+
+    x = F.col("x")
+    steps = [
+        changed(x.contains("\t") | x.contains("\r"), F.translate(x, "\t\r", "  ")),
+        changed(x.contains("  "), F.regexp_replace(x, " +", " ")),
+        changed(x.rlike("[0-9]"), F.regexp_replace(x, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", MASK)),
+    ]
+    docs = text.select("k", "x", F.col("x").alias("raw"))
+    for step in steps:
+        docs = docs.select("k", step.alias("x"), "raw")
+    return docs.select("k", F.transform(F.split("x", "\n", -1), lambda y: F.trim(y)).alias("line"), "raw")
 
 
 def _leaf(line, depth: int):
@@ -47,126 +50,89 @@ def _leaf(line, depth: int):
     return F.when(size > depth, F.xxhash64(size, F.substring_index(line, " ", depth)))
 
 
-def _parsed(docs: DataFrame, depth: int) -> DataFrame:
-    """One row per line with a token: document key, place, hash, leaf and neighbours.
-
-    ``before`` and ``after`` are the hashes of the lines around it; 0 stands for the text's ends.
-    """
-    end = F.array(F.lit(0).cast("long"))
-    hashed = _masked(docs).select("_key", "lines", F.transform("lines", lambda x: F.xxhash64(x)).alias("hash"))
-    zipped = hashed.select("_key", F.arrays_zip(
-        "lines", "hash",
-        F.concat(end, F.slice("hash", F.lit(1), F.size("hash") - 1)).alias("before"),
-        F.concat(F.slice("hash", F.lit(2), F.size("hash") - 1), end).alias("after")).alias("z"))
-    # The outer form: for the other one Spark infers a filter that computes the whole array again.
-    rows = zipped.select("_key", F.posexplode_outer("z").alias("at", "z")).where("z.lines <> ''")
-    return rows.select("_key", "at", F.col("z.hash").alias("hash"), _leaf(F.col("z.lines"), depth).alias("leaf"),
-                       F.col("z.before").alias("before"), F.col("z.after").alias("after"))
-
-
-def _general(docs: DataFrame, placed: DataFrame, depth: int, min_docs: int, constant: float) -> DataFrame:
-    """Rows (hash, template) of the masked lines that fit the constants of a vote in their leaf."""
-    leaves = placed.groupBy("leaf").agg(
-        F.count("*").alias("n"), F.min("hash").alias("h0"), F.max("hash").alias("h1"),
-        F.min("_key").alias("k0"), F.max("_key").alias("k1"))
-    wanted = few(cut(leaves.where(f"n >= {min_docs} and h0 <> h1 and k0 <> k1").select("leaf")))
-    weights = placed.join(wanted, "leaf", "left_semi").select("hash", "_key").distinct().groupBy("hash").agg(
-        F.count("*").alias("weight"))
-    lines = _masked(docs).select(F.explode_outer("lines").alias("line"))
-    found = lines.select("line", _leaf(F.col("line"), depth).alias("leaf")).where("leaf is not null").join(
-        wanted, "leaf", "left_semi").groupBy(F.xxhash64("line").alias("hash"), "leaf").agg(F.min("line").alias("line"))
-    distinct = found.withColumn("t", F.split("line", " ")).select(
-        "hash", "leaf", F.size("t").alias("size"), F.transform("t", lambda t: F.xxhash64(t)).alias("t"))
-    fields = cut(distinct.join(weights, "hash").select(
-        "hash", "leaf", "size", "weight", F.posexplode_outer("t").alias("at", "token")))
-    found = []
-    while fields is not None:
-        fit, fields = _vote(fields, len(found), min_docs, constant)
-        found.append(fit)
-    return reduce(DataFrame.unionByName, found)
-
-
-def _vote(fields: DataFrame, turn: int, min_docs: int, constant: float) -> tuple[DataFrame, DataFrame | None]:
-    """One vote in every group of lines: rows (hash, template) of those that fit, and the fields that vote again.
-
-    Lines that fit leave their group, the others of it vote again. A group in which none fit is divided by its most
-    voted position among those on which it is at odds: no token has the majority, or a second one has ``min_docs``
-    votes too. Tokens with so many votes get a group each, all others one together. As each turn takes lines out
-    of a group or divides it, the turns come to an end.
-    """
-    votes = fields.groupBy("leaf", "at", "token").agg(F.sum("weight").alias("w"))
-    tops = cut(votes.groupBy("leaf", "at").agg(
-        F.sum("w").alias("all"), F.max(F.struct("w", "token")).alias("top"),
-        F.count_if(F.col("w") >= min_docs).alias("choices")))
-    agreed = tops.where(F.col("top.w") * 2 > F.col("all")).select("leaf", "at", F.col("top.token").alias("constant"))
-    constants = agreed.groupBy("leaf").agg(F.count("*").alias("n_constant"))
-    fit = fields.join(agreed, ["leaf", "at"]).groupBy("hash", "leaf", "size").agg(
-        F.count_if(F.col("token") == F.col("constant")).alias("same"), F.count("*").alias("n"), F.max("weight").alias("weight"))
-    fit = cut(fit.where("same = n").join(constants, "leaf").where(
-        (F.col("n") == F.col("n_constant")) & (F.col("n") >= constant * F.col("size"))).select("hash", "leaf", "weight"))
-    # Lines of a later template that too few documents hold stay in their group.
-    reached = fit.groupBy("leaf").agg(F.sum("weight").alias("w")).where(F.lit(turn == 0) | (F.col("w") >= min_docs)).select("leaf")
-    if turn:
-        fit = cut(fit.join(reached, "leaf", "left_semi"))
-        reached = fit.select("leaf").distinct()
-    name = F.xxhash64(F.lit("leaf"), "leaf", *[F.lit(turn)] * (turn > 0))
-    named = fit.select("hash", name.alias("template"))
-
-    odds = (F.col("choices") > 1) | ((F.col("choices") > 0) & (F.col("top.w") * 2 <= F.col("all")))
-    cuts = cut(tops.where(odds).join(reached, "leaf", "left_anti").groupBy("leaf").agg(
-        F.max(F.struct("top.w", "at")).alias("best")).select("leaf", F.col("best.at").alias("at")))
-    rest = fields.join(few(fit.select("hash")), "hash", "left_anti")
-    left = rest.join(reached, "leaf", "left_semi")
-    if cuts.count():
-        sides = votes.join(few(cuts), ["leaf", "at"]).where(F.col("w") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("own"))
-        moved = rest.join(few(cuts), ["leaf", "at"]).join(sides, ["leaf", "at", "token"], "left").select(
-            "hash", F.xxhash64("leaf", "at", F.when(F.col("own"), F.col("token"))).alias("to"))
-        left = left.unionByName(rest.join(moved, "hash").withColumn("leaf", F.col("to")).drop("to"))
-    left = cut(left)
-    going = cut(left.where("at = 0").groupBy("leaf").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).where(
-        f"n > 1 and w >= {min_docs}").select("leaf"))
-    return named, left.join(few(going), "leaf", "left_semi") if going.count() else None
+def _parsed(texts: DataFrame, depth: int) -> DataFrame:
+    """One row per document (k, x): its lines with hashes and leaves, and the hashes and sizes of its sentences."""
+    sentences = F.array_distinct(F.filter(F.split("raw", r"[.\n] ?", -1), lambda s: s != ""))
+    docs = _masked(texts).select("k", "line", sentences.alias("s"))
+    return docs.select(
+        "k", "line", F.transform("line", lambda y: F.xxhash64(y)).alias("hash"),
+        F.transform("line", lambda y: _leaf(y, depth)).alias("leaf"),
+        F.transform("s", lambda y: F.xxhash64(y)).alias("s"), F.transform("s", lambda y: F.length(y)).alias("n"))
+
+
+def _copies(parsed: DataFrame, min_docs: int) -> DataFrame:
+    """(k) of the documents of which sentences in ``min_docs`` documents make up half or more."""
+    often = cut(parsed.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("docs")).where(
+        F.col("docs") >= min_docs).select("s"))
+    sizes = parsed.select("k", F.explode(F.arrays_zip("s", "n")).alias("z"), F.aggregate(
+        "n", F.lit(0).cast("long"), lambda a, b: a + b).alias("total")).select("k", "z.s", "z.n", "total")
+    held = sizes.join(few(often), "s").groupBy("k").agg(F.sum("n").alias("n"), F.max("total").alias("total"))
+    return held.where("n * 2 >= total").select("k")
+
+
+def _templates(parsed: DataFrame, held: DataFrame, min_docs: int, constant: float, choices: int) -> DataFrame:
+    """Rows (hash, template) of the masked lines that keep enough of their tokens in their leaf."""
+    leaves = held.where("leaf is not null").groupBy("leaf").agg(
+        F.count("*").alias("n"), F.min("hash").alias("h0"), F.max("hash").alias("h1"))
+    wanted = few(cut(leaves.where(f"n >= {min_docs} and h0 <> h1").select("leaf")))
+    lines = parsed.select(F.explode(F.array_distinct(F.arrays_zip("line", "hash", "leaf"))).alias("z")).select(
+        "z.line", "z.hash", "z.leaf").where("leaf is not null")
+    distinct = lines.join(wanted, "leaf", "left_semi").groupBy("hash", "leaf").agg(
+        F.min("line").alias("line"), F.count("*").alias("docs"))
+    tokens = F.transform(F.split("line", " "), lambda t: F.xxhash64(t))
+    fields = cut(distinct.select("hash", "leaf", "docs", tokens.alias("t")).select(
+        "hash", "leaf", "docs", F.size("t").alias("size"), F.posexplode("t").alias("at", "token")))
+    votes = cut(fields.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs")).where(
+        F.col("docs") >= min_docs).select("leaf", "at", "token"))
+    kinds = votes.groupBy("leaf", "at").agg(F.count("*").alias("n")).where(F.col("n") > choices).select("leaf", "at")
+    stay = cut(votes.join(few(cut(kinds)), ["leaf", "at"], "left_anti").withColumn("name", F.xxhash64("at", "token")))
+    named = fields.join(few(stay), ["leaf", "at", "token"], "left").groupBy("hash", "leaf", "size").agg(
+        F.count("name").alias("n"), F.bit_xor("name").alias("names"))
+    return named.where(F.col("n") >= constant * F.col("size")).select(
+        "hash", F.xxhash64(F.lit("template"), "leaf", "names").alias("template"))
 
 
 def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH,
-                   min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
+                   min_docs: int = MIN_DOCS, constant: float = CONSTANT, choices: int = CHOICES,
+                   one_in: int = ONE_IN) -> DataFrame:
     """The rows with recurring lines taken out of the text, and ``n_lines`` and ``n_dropped`` added.
 
     Lines end at \\n; a line's tokens are split at spaces, tabs and \\r; lines without a token are never
-    dropped. A null text stays null with 0 lines; an empty text is one empty line. A document is a pair of id and
-    text: the same pair repeated counts as one document and each of its rows is returned, a null id is an id
-    like another. An empty table gives an empty result. The columns besides are kept as they are.
+    dropped and count for nothing. Sentences end at \\n and at full stops, and a document's different ones count, in
+    characters. A null text stays null with 0 lines; an empty text is one empty line. Rows with the same id and text
+    are copies of each other that hold a template once, and each is returned; a null id is an id like another. An empty
+    table gives an empty result. Any columns besides are kept as they are, but columns called n_lines or
+    n_dropped are replaced.
     """
-    clash = {"n_lines", "n_dropped"} & set(docs.columns)
-    kept = [c for c in docs.columns if c not in clash]
-    text = F.col(f"`{text_column}`")
-    docs = docs.select(*[f"`{c}`" for c in kept], F.xxhash64(F.col(f"`{id_column}`"), text).alias("_key"))
-    keyed = docs.select("_key", text.alias("_text"))
-    keyed = keyed.where("_text is not null")
-    placed = cut(_parsed(keyed, depth))
-    general = _general(keyed, placed.where("leaf is not null"), depth, min_docs, constant)
-
-    near = placed.groupBy("hash").agg(F.count("*").alias("n"))
-    merged = general.join(near, "hash", "right").select(
-        "hash", F.coalesce("template", "hash").alias("template"), F.col("template").isNotNull().alias("many"), "n")
-    often = few(cut(merged.where((F.col("n") >= min_docs) | F.col("many")).select("hash", "template")))
-    seen = placed.join(often, "hash").groupBy("template").agg(
-        F.count_distinct("_key").alias("docs"), F.count_distinct("before").alias("before"),
-        F.count_distinct("after").alias("after"))
-    around = F.greatest("before", "after")
-    recurring = seen.where((F.col("docs") >= min_docs) & (around >= min_docs) & (around * 2 >= F.col("docs")))
-    bad = few(cut(often.join(recurring, "template", "left_semi").select("hash")))
-    places = cut(placed.join(bad, "hash", "left_semi").select("_key", "at").distinct())
-    dropped = places.groupBy("_key").agg(F.collect_list("at").alias("_drop"))
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    # The caller's columns travel in one struct, so that none has a name of this function's.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.xxhash64(
+        F.col(f"`{id_column}`"), F.col(f"`{text_column}`")).alias("k"), F.col(f"`{text_column}`").alias("x"))
+    parsed = cut(_parsed(rows.where("x is not null").select("k", "x"), depth))
+    copies = few(cut(_copies(parsed, min_docs)))
+    held = parsed.select("k", F.explode(F.array_distinct(F.arrays_zip("hash", "leaf"))).alias("z")).select(
+        "k", "z.hash", "z.leaf").where(F.col("hash") != F.xxhash64(F.lit("")))
+    general = cut(_templates(parsed, held, min_docs, constant, choices))
+
+    docs_of = held.groupBy("hash").agg(F.count("*").alias("n"))
+    named = docs_of.join(general, "hash", "left").where((F.col("n") >= min_docs) | F.col("template").isNotNull())
+    often = few(cut(named.select("hash", F.coalesce("template", "hash").alias("template"))))
+    own = held.join(often, "hash").join(copies.withColumn("copy", F.lit(1)), "k", "left")
+    found = own.select("template", "k", "copy").distinct().groupBy("template").agg(
+        F.count("*").alias("docs"), F.count_if(F.col("copy").isNull()).alias("own"))
+    recurring = found.where((F.col("own") >= min_docs) & (F.col("own") * one_in >= F.col("docs")))
+    bad = few(cut(often.join(recurring.select("template"), "template", "left_semi").select("hash")))
+    places = parsed.select("k", F.posexplode("hash").alias("at", "hash")).join(bad, "hash", "left_semi")
+    places = cut(places.select("k", "at").distinct())
+    dropped = places.groupBy("k").agg(F.collect_list("at").alias("drop"))
     if places.count() <= FEW:
         dropped = F.broadcast(dropped)
 
-    lines = F.split(text, "\n", -1)
-    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_drop"), lambda k: F.get(lines, k))
-    out = docs.join(dropped, "_key", "left")
-    columns = [F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(rest, "\n")).alias(c)
-               if c == text_column else F.col(f"`{c}`") for c in kept]
-    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
-    return out.select(
-        *columns, F.coalesce(ends + 1, F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    lines = F.split("x", "\n", -1)
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop"), lambda i: F.get(lines, i))
+    text = F.when(F.col("drop").isNull(), F.col("x")).otherwise(F.array_join(rest, "\n"))
+    ends = F.octet_length("x") - F.octet_length(F.replace(F.col("x"), F.lit("\n"), F.lit("")))
+    return rows.join(dropped, "k", "left").select(
+        *[text.alias(c) if c == text_column else F.col("row").getField(c).alias(c) for c in kept],
+        F.coalesce(ends + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -1,7 +1,9 @@
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -110,34 +112,77 @@ def test_query_agrees_with_sql(spark, name):
     assert ok, note
 
 
-def test_lines_cases(spark):
-    def doc(k, *own):
-        return "\n".join([f"first words of document {k} are its own", *own, f"so are the last ones of {k} {k}x"])
-    banner = "Copyright by the makers of this site"
-    rows = [(k, doc("abcdefg"[k], banner, f"Read {k} of {k * 7} comments below the text of this page")) for k in range(5)]
-    copied = "a line that is only in copies of one text"
-    rows += [(10 + k, f"before it\n{copied}\nafter it") for k in range(4)]
-    rows += [(20, None), (21, ""), (22, "\n\n"), (None, doc("h", banner)), (23, banner), (23, banner), (24, banner + "\n")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9 as n_lines", "'k' as hash")
-    out = [(r.doc_id, r.text, r.n_lines, r.n_dropped, r.hash) for r in lines.drop_recurring(df).collect()]
-    assert len(out) == len(rows)
+def plain_words(seed, n):
+    """Words of one document's own."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+
+def both(spark, rows):
+    """Texts after line deduplication by id, from Spark and, equal to them, from the query's SQL."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.drop_recurring(docs).collect()}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    for k, n, dropped, digest in con.sql(
+            f"SELECT doc_id, n_lines, n_dropped, text_sha256 FROM ({catalog.ORACLE['op10_line_dedup']})").fetchall():
+        text = got[k].text
+        assert (got[k].n_lines, got[k].n_dropped) == (n, dropped)
+        assert (hashlib.sha256(text.encode()).hexdigest() if text is not None else None) == digest
+    return {k: r.text for k, r in got.items()}
+
+
+BANNER = "Copyright by the makers of this site"
+
+
+def test_lines_edge_rows(spark):
+    own = {k: plain_words(k, 20) + "\n{}\n" + plain_words(100 + k, 20) for k in range(6)}
+    rows = [(k, own[k].format(BANNER + f"\nRead {k} of {k * 7} comments below")) for k in range(5)]
+    rows += [(20, None), (21, ""), (22, "\n\n"), (None, own[5].format(BANNER)), (23, BANNER), (23, BANNER), (24, BANNER + "\n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "9 as n_lines", "'k' as hash", "1 as k", "2 as drop", "3 as x", "4 as _key", "5 as _drop", "'r' as row")
+    out = lines.drop_recurring(df).collect()
+    assert out[0].asDict().keys() == {*df.columns, "n_dropped"} and len(out) == len(rows)
     got = defaultdict(list)
     for r in out:
-        got[r[0]].append(r[1:])
+        got[r.doc_id].append((r.text, r.n_lines, r.n_dropped, r.hash + r.row, r.k + r.drop + r.x + r._key + r._drop))
+    rest = ("kr", 15)
     for k in range(5):
-        assert got[k] == [(doc("abcdefg"[k]), 4, 2, "k")]
-    assert all(got[10 + k] == [(rows[5 + k][1], 3, 0, "k")] for k in range(4))
-    assert got[20] == [(None, 0, 0, "k")] and got[21] == [("", 1, 0, "k")] and got[22] == [("\n\n", 3, 0, "k")]
-    assert got[None] == [(doc("h"), 3, 1, "k")]
-    assert got[23] == [("", 1, 1, "k")] * 2 and got[24] == [("", 2, 1, "k")]
+        assert got[k] == [(own[k].format("").replace("\n\n", "\n"), 4, 2, *rest)]
+    assert got[20] == [(None, 0, 0, *rest)] and got[21] == [("", 1, 0, *rest)] and got[22] == [("\n\n", 3, 0, *rest)]
+    assert got[None] == [(own[5].format("").replace("\n\n", "\n"), 3, 1, *rest)]
+    assert got[23] == [("", 1, 1, *rest)] * 2 and got[24] == [("", 2, 1, *rest)]
+    assert lines.drop_recurring(df.limit(0)).count() == 0
+
+
+def test_lines_of_footers_and_banners(spark):
+    footer = "Terms of use\nPrivacy and cookies of this site\nWrite to us at any time"
+    rows = [(k, plain_words(k, 40) + "\n" + plain_words(-k - 1, 20) + "\n" + footer) for k in range(40)]
+    rows += [(100 + k, plain_words(100 + k, 20) + "\n\n" + BANNER + "\n\n" + plain_words(900 + k, 20)) for k in range(40)]
+    got = both(spark, rows)
+    assert all(got[k] == plain_words(k, 40) + "\n" + plain_words(-k - 1, 20) for k in range(40))
+    assert all(got[100 + k] == plain_words(100 + k, 20) + "\n\n\n" + plain_words(900 + k, 20) for k in range(40))
+
+
+def test_lines_of_copies(spark):
+    page = "\n".join(plain_words(7000 + k, 15) for k in range(8))
+    near = [page.replace(plain_words(7000 + k % 8, 15), plain_words(7000 + k % 8, 14) + f" edit {plain_words(k, 1)}") for k in range(30)]
+    rows = [(k, page) for k in range(30)] + [(100 + k, text) for k, text in enumerate(near)]
+    assert both(spark, rows) == dict(rows)  # all lines recur, but in copies alone
+    rows = [(k, plain_words(k, 30) + "\n" + BANNER) for k in range(10)] + [(100 + k, page + "\n" + BANNER) for k in range(30)]
+    got = both(spark, rows)
+    assert all(BANNER not in text for text in got.values()) and all(got[100 + k] == page for k in range(30))
+    assert all(got[k] == plain_words(k, 30) for k in range(10))
+    rows = [(k, plain_words(k, 30) + "\n" + BANNER) for k in range(2)]
+    assert both(spark, rows) == dict(rows)  # two documents are too few
 
 
 def test_lines_generalise_fields(spark):
     names = ["ann", "bob", "cy", "dee"]
-    rows = [(k, f"note {k}x\nthe session of user {n} was closed by the server\nend {n}") for k, n in enumerate(names)]
-    out = lines.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r.n_dropped for r in out] == [2] * 4  # the session line, and the masked note
-    assert lines.drop_recurring(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    rows = [(k, f"note {k}x\n{plain_words(k, 20)}\nthe session of user {n} was closed by the server\nend {n}")
+            for k, n in enumerate(names)]
+    got = both(spark, rows)
+    assert got == {k: f"{plain_words(k, 20)}\nend {n}" for k, n in enumerate(names)}
 
 
 def test_lines_several_templates_in_a_leaf(spark):
@@ -147,7 +192,13 @@ def test_lines_several_templates_in_a_leaf(spark):
              (12, "the session of user {} asked twice for another shared file"), (5, "the session of user {} had then been idle all day")]
     texts = [line.format(name(k)) for n, line in kinds for k in range(100 * n, 101 * n)]
     texts += ["the session of user zz was like no other session here", "the session of user yy went on for hours and hours"]
-    rows = [(k, f"own words {name(k)} of it\n{line}\nand own {name(k)} end") for k, line in enumerate(texts)]
-    out = lines.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    got = {r.doc_id: r.text.split("\n")[1:-1] for r in out}
+    rows = [(k, f"{plain_words(k, 30)}\n{line}\n{plain_words(-k - 1, 9)}") for k, line in enumerate(texts)]
+    got = {k: text.split("\n")[1:-1] for k, text in both(spark, rows).items()}
     assert [k for k in sorted(got) if got[k]] == [len(texts) - 2, len(texts) - 1]
+
+
+def test_lines_position_of_many_values_is_a_field(spark):
+    towns = [plain_words(k, 1) for k in range(400, 420)]
+    rows = [(k, f"{plain_words(k, 40)}\nsend our news and offers to {towns[k % 20]} and also to {towns[k * 7 // 20 % 20]} by mail each week")
+            for k in range(100)]
+    assert both(spark, rows) == {k: plain_words(k, 40) for k in range(100)}
