@@ -26,8 +26,9 @@ from pulsemark.session import cut
 
 #: Examples and terms at most; the index holds no more than their product.
 FIT_ROWS, TERMS = 20_000, 1_000
-#: A term is in so many examples at least, and its likelihood ratio reaches this.
-MIN_DOCS, MIN_RATIO = 3, 15.0
+#: A term is in so many examples at least, its likelihood ratio reaches this, and label 1 is so many times as frequent,
+#: or as rare, where it stands as elsewhere. Words that most texts hold tell little and would make all texts neighbours.
+MIN_DOCS, MIN_RATIO, MIN_LIFT = 3, 15.0, 2.0
 #: Neighbours that vote, examples in a block, blocks opened at once.
 K, BLOCK, OPEN = 15, 64, 4
 #: Added to every distance before a vote is weighted by its inverse.
@@ -179,7 +180,7 @@ class Model:
         return float(np.interp(self.vote(best, near), *self.knots)) if len(best) else self.lone
 
 
-def _select(examples: DataFrame, n_terms: int, min_docs: int, min_ratio: float) -> list[str]:
+def _select(examples: DataFrame, n_terms: int, min_docs: int, min_ratio: float, min_lift: float) -> list[str]:
     """The words that tell most about the label among the examples: rows (text, label)."""
     totals = examples.agg(F.count("*").alias("n"), F.sum("label").alias("n1")).first()
     n, n1 = totals.n, totals.n1 or 0
@@ -194,7 +195,10 @@ def _select(examples: DataFrame, n_terms: int, min_docs: int, min_ratio: float)
     m, m1, rate = F.col("m"), F.col("m1"), n1 / n
     ratio = 2 * (part(m1, m * rate) + part(m - m1, m * (1 - rate)) + part(n1 - m1, (n - m) * rate)
                  + part(n - n1 - m + m1, (n - m) * (1 - rate)))
-    best = held.select("word", ratio.alias("ratio")).where(F.col("ratio") >= min_ratio)
+    # The rate of label 1 with the word against that without it, each with one more example of the base rate.
+    lift = ((m1 + rate) / (m + 1)) / ((n1 - m1 + rate) / (n - m + 1))
+    best = held.select("word", ratio.alias("ratio"), lift.alias("lift")).where(
+        (F.col("ratio") >= min_ratio) & ((F.col("lift") >= min_lift) | (F.col("lift") <= 1 / min_lift)))
     return [r.word for r in best.orderBy(F.desc("ratio"), "word").limit(n_terms).collect()]
 
 
@@ -232,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_col
     drawn = cut(named.orderBy(mixed, "id").limit(fit_rows))
     rows = docs.select(F.col(quoted(id_column)).alias("id"), F.col("text").cast("string").alias("text"))
     examples = cut(rows.join(F.broadcast(drawn), "id"))
-    terms = _select(examples, n_terms, MIN_DOCS, MIN_RATIO)
+    terms = _select(examples, n_terms, MIN_DOCS, MIN_RATIO, MIN_LIFT)
     n, held = _held(docs, terms) if terms else (0, np.zeros(0))
     idf = np.log1p(n / np.maximum(held, 1))
     kept = examples.orderBy(mixed, "id", F.xxhash64("text")).limit(fit_rows) if examples.count() > fit_rows else examples
