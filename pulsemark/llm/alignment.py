@@ -13,7 +13,7 @@ at most ``HOT`` links can be held ``rows / HOT`` times or more. All others meet
 
 from __future__ import annotations
 
-import os
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,6 +34,8 @@ NEAR = 8
 #: Links whose counts are sent to every task.
 HOT = 200_000
 _BLANK = "▁"
+# Fixed value: how byte-level vocabularies of this kind cut a text before pieces are merged.
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -47,21 +49,29 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Encoders:
-    """Both tokenizers in one task, and the bytes of their tokens."""
+    """Both tokenizers in one task, and the bytes of their tokens.
+
+    The byte-level file lists its merges in the order of the ids they make, so that an id is a rank and the merges
+    need no table of their own.
+    """
 
     def __init__(self, byte_level: str, pieces: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.encode_special_tokens = True
+        import tiktoken
+
+        with open(byte_level, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        alphabet, entries = byte_alphabet(), model["vocab"]
+        made = [entries["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if any(x >= y for x, y in zip(made, made[1:])):
+            raise ValueError(f"{byte_level}: merges are not in the order of their ids")
+        merged = set(made)  # an entry that no merge makes is a special token
+        ranks = {bytes(alphabet[c] for c in e): k for e, k in entries.items() if len(e) == 1 or k in merged}
+        self.a = tiktoken.Encoding("bytes", pat_str=_CUTS, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [b""] * (max(ranks.values(), default=-1) + 1)
+        for data, k in ranks.items():
+            self.a_bytes[k] = data
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        alphabet = byte_alphabet()
-        entries = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(entries.values(), default=-1) + 1)
-        for entry, k in entries.items():
-            self.a_bytes[k] = bytes(alphabet[c] for c in entry)
         self.b_bytes = [self._piece(k) for k in range(self.b.vocab_size())]
 
     def _piece(self, k: int) -> bytes:
@@ -70,7 +80,7 @@ class Encoders:
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of each text by both; two empty lists if the text is empty or one does not spell its bytes."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = [self.a.encode_ordinary(" " + t) for t in texts]
         out = []
         for text, x, y in zip(texts, a, self.b.encode(texts, num_threads=1)):
             wanted = b" " + text.encode()

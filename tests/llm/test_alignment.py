@@ -148,3 +148,16 @@ def test_query_equals_plain_python(spark):
     for d, want in zip(docs, plain_rows([d.text for d in docs])):
         r = got[d.doc_id]
         assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.groups_sha256, r.n_best, r.count_sum) == want
+
+
+def test_byte_level_encoder_equals_library():
+    coders = alignment.Encoders(alignment.BYTE_LEVEL, alignment.PIECES)
+    library = Tokenizer.from_file(alignment.BYTE_LEVEL)
+    library.encode_special_tokens = True
+    rng, entries = random.Random(11), [t.decode("utf-8", "ignore") for t in coders.a_bytes if t]
+    points = [chr(c) for c in range(1, 0x3000)] + list("  \n\t'sdllve") * 200 + ["🙂", "你", "<|endoftext|>"] * 50
+    texts = ["".join(rng.choice(rng.choice([entries, points])) for _ in range(rng.randrange(1, 60))) for _ in range(8000)]
+    texts += ["".join(rng.choice("abcdeinorst' ") for _ in range(200)) for _ in range(1000)]
+    for text, e in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False)):
+        assert coders.a.encode_ordinary(text) == e.ids
+        assert b"".join(coders.a_bytes[k] for k in e.ids) == text.encode()
