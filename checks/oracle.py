@@ -6,11 +6,12 @@ is its own SELECT behind them.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pulsemark.constants import (
-    CATEGORY_NAMES, DENSITY_FEATURES, DENSITY_PAIRS, EMOJI_CLASS, LISTICLE_WORDS, METRIC_COLS, TIERS, VERTICALS,
-    WHITESPACE_CLASS,
+    CATEGORY_NAMES, DENSITY_FEATURES, DENSITY_PAIRS, EMOJI_CLASS, LISTICLE_WORDS, METRIC_COLS, TIER_RANGES, TIERS,
+    VERTICALS, WHITESPACE_CLASS,
 )
 
 HEALTH_NOW = "2001-08-15 00:00:00"
@@ -389,6 +390,17 @@ _add("entry_label_rates", f"SELECT level, vertical, tier, cast(n as bigint) n, {
          f"SELECT '{level}' AS level, {keys}, {_RATE_CI} FROM tgt WHERE "
          + " AND ".join(f"{k} IS NOT NULL" for k in level.split("_")) + f" GROUP BY {', '.join(level.split('_'))}"
          for level, keys in _LEVELS.items()) + ")")
+# Each row counts Poisson(1) times in a replicate, by three numbers of its hash.
+_SEEDS = ", ".join(f"('0x' || substr(md5(video_id), {1 + 8 * k}, 8))::BIGINT % 2147483647 s{k}" for k in range(3))
+_STEPS = [math.floor(2147483647 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(9)]
+_add("label_rates_bootstrap", f"SELECT level, vertical, tier, cast(n as bigint) n, {rs('rate', 'rate_low', 'rate_high', places=9)} FROM ("
+     + " UNION ALL ".join(
+         f"""SELECT '{level}' AS level, {keys}, max(n) n, max(rate) rate, quantile_cont(wy / w, 0.025) rate_low, quantile_cont(wy / w, 0.975) rate_high
+         FROM (SELECT {', '.join(level.split('_'))}, b, sum(w) w, sum(w * above_baseline) wy, count(*) n, avg(above_baseline) rate FROM drawn
+           WHERE {' AND '.join(f'{k} IS NOT NULL' for k in level.split('_'))} GROUP BY ALL) WHERE w > 0 GROUP BY {', '.join(level.split('_'))}"""
+         for level, keys in _LEVELS.items()) + ")",
+     drawn="SELECT vertical, tier, above_baseline, b, " + " + ".join(f"(u >= {step})::INT" for step in _STEPS) + f""" w FROM (
+         SELECT *, (s0 + s1 * b + s2 * (b * b)) % 2147483647 u FROM (SELECT vertical, tier, above_baseline, {_SEEDS} FROM tgt), range(1000) g(b))""")
 _add("label_heatmap", "SELECT vertical, " + ", ".join(
     f"round(avg(above_baseline) FILTER (tier = '{t}') * 100, 6) AS {t}_pct, "
     f"nullif(count(*) FILTER (tier = '{t}'), 0) AS {t}_n" for t in TIERS) + " FROM tgt GROUP BY 1")
@@ -495,6 +507,12 @@ _add("upload_velocity", f"SELECT channel_id, {r('velocity')} FROM ({_VEL})")
 _TIER = """case when subscriber_count >= 1000 and subscriber_count < 100000 then 'S'
     when subscriber_count >= 100000 and subscriber_count < 1000000 then 'M'
     when subscriber_count >= 1000000 and subscriber_count < 10000000 then 'L' end"""
+_add("range_join", """SELECT channel_id, band, cast(low as bigint) low, cast(high as bigint) high FROM ch JOIN bands
+    ON (low IS NULL OR subscriber_count >= low) AND (high IS NULL OR subscriber_count < high)""",
+     bands="SELECT * FROM (VALUES " + ", ".join(f"('{t}', {a}, {b})" for t, (a, b) in TIER_RANGES.items())
+     + """, ('below', NULL, 1000), ('above', 500000, NULL)) v(band, low, high) UNION ALL
+     SELECT vertical, cast(trunc(quantile_cont(subscriber_count, 0.25)) as bigint), cast(trunc(quantile_cont(subscriber_count, 0.75)) as bigint)
+     FROM ch GROUP BY 1""")
 _add("tier_range", f"SELECT channel_id, {_TIER} tier FROM ch")
 _add("qualify_candidates", f"""SELECT channel_id, vertical, tier, {r('velocity', 'upload_velocity_per_week')},
     cast(subscriber_count as bigint) subscriber_count FROM (
@@ -542,9 +560,9 @@ _CAPPED = """SELECT above_baseline, feature, least(value, cap) value FROM raw JO
 _add("class_histogram", _hist("capped", ["above_baseline"]),
      raw=_features(["view_count_velocity_24h", "view_velocity_ratio", "view_velocity_acceleration"]),
      capped=_CAPPED, ends=_ends("capped", ["above_baseline"]))
-_add("kde", "SELECT feature, cast(i as bigint) i, round(x, 4) x, round(density, 12) density FROM kd",
+_add("kde", "SELECT feature, cast(i as bigint) i, round(x, 4) x, round(density, 9) density FROM kd",
      long=_features(DENSITY_FEATURES), **_kde("long", []))
-_add("kde_by_vertical", "SELECT vertical, feature, cast(i as bigint) i, round(x, 4) x, round(density, 12) density FROM kd",
+_add("kde_by_vertical", "SELECT vertical, feature, cast(i as bigint) i, round(x, 4) x, round(density, 9) density FROM kd",
      long=_features(["view_count_24h"]), **_kde("long", ["vertical"]))
 _add("box_stats", _box(["vertical"], "view_count_24h"))
 _add("box_stats_by_tier", _box(["tier", "vertical"], "engagement_7d"))
@@ -683,3 +701,24 @@ _add("stream_tracking", f"""SELECT video_id, concat('UC', lpad(cast(cast(substr(
 _add("augmented_train", """SELECT split, false contains_synthetic_data, count(*) n FROM spl GROUP BY 1
     UNION ALL SELECT 'train', true, cast(floor(n / cast(0.8 as double)) - n as bigint) FROM
     (SELECT count(*) n FROM spl WHERE split = 'train')""", **_SPLIT)
+
+_INPUTS = [f"{m}_velocity_24h" for m in METRIC_COLS] + [
+    "view_velocity_upload", "like_velocity_upload", "view_velocity_per_sub_24h", "like_velocity_per_sub_24h",
+    "view_velocity_ratio", "view_velocity_acceleration", "like_velocity_acceleration", "view_count_upload_vs_baseline",
+    "like_count_upload_vs_baseline", "like_rate_upload", "like_rate_24h",
+    *[f"{m}s_per_sub_{p}" for p in ("upload", "24h") for m in ("view", "like", "comment")], "duration_seconds"]
+# At the first split every gradient is 0.5 less the label and every Hessian 0.25.
+_add("boosting_first_splits", """SELECT feature, round(gain, 6) gain, round(e, 6) threshold, missing_left FROM (
+    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, e NULLS LAST, missing_left DESC) k FROM (
+      SELECT feature, e, missing_left, round(0.5 * (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)), 9) gain,
+        hl, h - hl hr FROM (
+        SELECT feature, e, missing_left, sum(d) g, sum(0.25) h,
+          coalesce(sum(d) FILTER (goes), 0) gl, coalesce(sum(0.25) FILTER (goes), 0) hl FROM (
+          SELECT l.feature, e, missing_left, 0.5 - above_baseline d,
+            case when l.value IS NULL then missing_left else e IS NULL OR l.value <= e end goes
+          FROM lng l JOIN edge USING (feature), (VALUES (true), (false)) m(missing_left)) GROUP BY ALL))
+      WHERE hl >= 5 AND hr >= 5 AND gain > 0) WHERE k = 1""",
+     lng=" UNION ALL ".join(f"""SELECT above_baseline, '{c}' feature,
+         case when isfinite(cast({c} as double)) then cast({c} as double) end AS value FROM eng""" for c in _INPUTS),
+     edge="""SELECT DISTINCT feature, e FROM (SELECT feature, unnest(quantile_cont(value, [k / 64.0 for k in range(1, 64)])) e
+         FROM lng GROUP BY 1) UNION ALL SELECT DISTINCT feature, NULL FROM lng""")

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from pulsemark import constants as C
 from pulsemark.functions import polls as P
-from pulsemark.operators import baselines, cleaning, collection, correlation, discovery, distributions
+from pulsemark.operators import baselines, boosting, cleaning, collection, correlation, discovery, distributions
 from pulsemark.operators import evaluate, features, health, learners, polls, profile, segments, splits
-from pulsemark.operators import synthetic
+from pulsemark.operators import ranges, synthetic
 from pulsemark.operators.scaling import Scaler
 from pulsemark.plans import fixtures as X
 from pulsemark.plans.dataset import build_clean, engineer
@@ -115,6 +115,12 @@ def entry_label_rates(spark, d):
     return tidy(segments.label_rates(target_rows(spark, d)))
 
 
+@query
+def label_rates_bootstrap(spark, d):
+    """Label rates with bootstrap intervals."""
+    return tidy(segments.bootstrap_rates(target_rows(spark, d)), places=9)
+
+
 @query
 def label_heatmap(spark, d):
     return tidy(segments.label_heatmap(target_rows(spark, d)))
@@ -416,6 +422,19 @@ def upload_velocity(spark, d):
     return tidy(discovery.upload_velocity(X.uploads(spark, d), VELOCITY_NOW))
 
 
+@query
+def range_join(spark, d):
+    """Tracked channels with every subscriber band that holds them; bands overlap and have open ends."""
+    bands = spark.createDataFrame(
+        [(name, low, high) for name, (low, high) in C.TIER_RANGES.items()], "band string, low long, high long")
+    open_ends = spark.createDataFrame([("below", None, 1000), ("above", 500_000, None)], bands.schema)
+    own = X.channels(spark, d).groupBy(F.col("vertical").alias("band")).agg(
+        F.expr("percentile(subscriber_count, 0.25)").cast("long").alias("low"),
+        F.expr("percentile(subscriber_count, 0.75)").cast("long").alias("high"))
+    found = ranges.join_ranges(X.channels(spark, d), bands.union(open_ends).union(own), "subscriber_count", "low", "high")
+    return found.select("channel_id", "band", "low", "high")
+
+
 @query
 def tier_range(spark, d):
     return X.channels(spark, d).select("channel_id", P.tier_of(F.col("subscriber_count")).alias("tier"))
@@ -496,13 +515,13 @@ def class_histogram(spark, d):
 @query
 def kde(spark, d):
     rows = profile_rows(spark, d, *C.DENSITY_FEATURES)
-    return tidy(distributions.kde(rows, C.DENSITY_FEATURES), x=4, density=12)
+    return tidy(distributions.kde(rows, C.DENSITY_FEATURES), x=4, density=9)
 
 
 @query
 def kde_by_vertical(spark, d):
     rows = profile_rows(spark, d, "vertical", "view_count_24h")
-    return tidy(distributions.kde(rows, ["view_count_24h"], ["vertical"]), x=4, density=12)
+    return tidy(distributions.kde(rows, ["view_count_24h"], ["vertical"]), x=4, density=9)
 
 
 @query
@@ -809,6 +828,8 @@ _SMALL = {
     "rf": {"n_estimators": 20, "max_depth": 6},
     "gbt": {"n_estimators": 10, "max_depth": 4},
 }
+#: Trees of the query on second-order boosting; each takes a job per level.
+BOOSTED = 20
 _INPUTS = VELOCITY + RATIOS + [c for c in PER_SUB if not c.endswith("7d")] + ["duration_seconds"]
 
 
@@ -831,6 +852,23 @@ def train_and_compare(spark, d):
     return model_store.compare_models(model_store.model_records(spark, root))
 
 
+@query
+def boosting_first_splits(spark, d):
+    """What the best first split of a booster gains on each column, over all model rows."""
+    rows = cut(numeric_rows(spark, d).select("video_id", C.TARGET, *_INPUTS))
+    found = boosting.first_splits(rows, _INPUTS, C.TARGET, "video_id", boosting.Settings(gamma=0.0))
+    return tidy(spark.createDataFrame(found, "feature string, gain double, threshold double, missing_left boolean").withColumn(
+        "threshold", F.when(~F.isnan("threshold"), F.col("threshold"))))
+
+
+@query
+def boosted_trees(spark, d):
+    """Scores of the holdout by second-order boosting of the train rows."""
+    train, _, val = _by_split(_divided(spark, d))
+    booster = boosting.fit(train, _INPUTS, C.TARGET, "video_id", boosting.Settings(n_estimators=BOOSTED))
+    return boosting.predict(val, booster, ["video_id", C.TARGET])
+
+
 @query
 def retro_validate(spark, d):
     """Two saved versions of a model, loaded and validated on the holdout, beside their test metrics."""
