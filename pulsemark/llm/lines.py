@@ -70,25 +70,28 @@ def _copies(parsed: DataFrame, min_docs: int) -> DataFrame:
     return held.where("n * 2 >= total").select("k")
 
 
-def _templates(parsed: DataFrame, held: DataFrame, min_docs: int, constant: float, choices: int) -> DataFrame:
-    """Rows (hash, template) of the masked lines that keep enough of their tokens in their leaf."""
+def _templates(parsed: DataFrame, held: DataFrame, depth: int, min_docs: int, constant: float, choices: int) -> DataFrame:
+    """Rows (hash, template) of the masked lines that keep enough of their tokens in their leaf.
+
+    Only leaves that enough documents with texts of their own reach can hold a template that recurs.
+    """
     leaves = held.where("leaf is not null").groupBy("leaf").agg(
-        F.count("*").alias("n"), F.min("hash").alias("h0"), F.max("hash").alias("h1"))
-    wanted = few(cut(leaves.where(f"n >= {min_docs} and h0 <> h1").select("leaf")))
+        F.count_if(F.col("copy").isNull()).alias("own"), F.min("hash").alias("h0"), F.max("hash").alias("h1"))
+    wanted = few(cut(leaves.where(f"own >= {min_docs} and h0 <> h1").select("leaf")))
     lines = parsed.select(F.explode(F.array_distinct(F.arrays_zip("line", "hash", "leaf"))).alias("z")).select(
         "z.line", "z.hash", "z.leaf").where("leaf is not null")
     distinct = lines.join(wanted, "leaf", "left_semi").groupBy("hash", "leaf").agg(
         F.min("line").alias("line"), F.count("*").alias("docs"))
     tokens = F.transform(F.split("line", " "), lambda t: F.xxhash64(t))
     fields = cut(distinct.select("hash", "leaf", "docs", tokens.alias("t")).select(
-        "hash", "leaf", "docs", F.size("t").alias("size"), F.posexplode("t").alias("at", "token")))
+        "hash", "leaf", "docs", F.size("t").alias("size"), F.posexplode("t").alias("at", "token")).where(F.col("at") >= depth))
     votes = cut(fields.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs")).where(
         F.col("docs") >= min_docs).select("leaf", "at", "token"))
     kinds = votes.groupBy("leaf", "at").agg(F.count("*").alias("n")).where(F.col("n") > choices).select("leaf", "at")
     stay = cut(votes.join(few(cut(kinds)), ["leaf", "at"], "left_anti").withColumn("name", F.xxhash64("at", "token")))
     named = fields.join(few(stay), ["leaf", "at", "token"], "left").groupBy("hash", "leaf", "size").agg(
         F.count("name").alias("n"), F.bit_xor("name").alias("names"))
-    return named.where(F.col("n") >= constant * F.col("size")).select(
+    return named.where(F.col("n") + depth >= constant * F.col("size")).select(  # a leaf has its first tokens in common
         "hash", F.xxhash64(F.lit("template"), "leaf", "names").alias("template"))
 
 
@@ -109,16 +112,15 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.xxhash64(
         F.col(f"`{id_column}`"), F.col(f"`{text_column}`")).alias("k"), F.col(f"`{text_column}`").alias("x"))
     parsed = cut(_parsed(rows.where("x is not null").select("k", "x"), depth))
-    copies = few(cut(_copies(parsed, min_docs)))
+    copies = few(cut(_copies(parsed, min_docs).withColumn("copy", F.lit(1))))
     held = parsed.select("k", F.explode(F.array_distinct(F.arrays_zip("hash", "leaf"))).alias("z")).select(
-        "k", "z.hash", "z.leaf").where(F.col("hash") != F.xxhash64(F.lit("")))
-    general = cut(_templates(parsed, held, min_docs, constant, choices))
+        "k", "z.hash", "z.leaf").where(F.col("hash") != F.xxhash64(F.lit(""))).join(copies, "k", "left")
+    general = cut(_templates(parsed, held, depth, min_docs, constant, choices))
 
-    docs_of = held.groupBy("hash").agg(F.count("*").alias("n"))
-    named = docs_of.join(general, "hash", "left").where((F.col("n") >= min_docs) | F.col("template").isNotNull())
+    alone = held.groupBy("hash").agg(F.count_if(F.col("copy").isNull()).alias("own")).where(F.col("own") >= min_docs)
+    named = alone.select("hash").join(general, "hash", "full")
     often = few(cut(named.select("hash", F.coalesce("template", "hash").alias("template"))))
-    own = held.join(often, "hash").join(copies.withColumn("copy", F.lit(1)), "k", "left")
-    found = own.select("template", "k", "copy").distinct().groupBy("template").agg(
+    found = held.join(often, "hash").select("template", "k", "copy").distinct().groupBy("template").agg(
         F.count("*").alias("docs"), F.count_if(F.col("copy").isNull()).alias("own"))
     recurring = found.where((F.col("own") >= min_docs) & (F.col("own") * one_in >= F.col("docs")))
     bad = few(cut(often.join(recurring.select("template"), "template", "left_semi").select("hash")))
