@@ -10,35 +10,41 @@ in byte pieces. The marker character itself in a text is spelt in bytes too, whi
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
-from pulsemark.llm.text import short_batches
+from pulsemark.llm.columns import add_columns
 from pulsemark.llm.vocab import SPACE
 
 UNKNOWN = 10.0
-#: Spans whose pieces a task remembers.
-REMEMBERED = 250_000
+#: Bytes of spans and pieces that a task remembers, and of a span that is worth it.
+REMEMBERED, LONGEST = 24_000_000, 100
+#: What a remembered span takes beside its text and pieces.
+_ENTRY = 190
 _SPANS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 class _Memory(dict):
-    """Encoded spans by their text, as bytes of 32-bit ids; forgets all when full."""
+    """Encoded spans by their text, as bytes of 32-bit ids; forgets all when full. Long spans are not remembered."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.held = encode, 0
 
     def __missing__(self, text: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[text] = array("i", self.encode(text)).tobytes()
+        found = array("i", self.encode(text)).tobytes()
+        if len(text) <= LONGEST:
+            if self.held >= REMEMBERED:
+                self.clear()
+                self.held = 0
+            self.held += _ENTRY + 2 * len(text) + len(found)
+            self[text] = found
         return found
 
 
@@ -122,32 +128,28 @@ class Encoder:
         return text[1:] if text[:1] == " " else text
 
 
-def _encoded(shared):
-    def run(batches):
-        encoder = shared.value  # one per Python worker, with what it remembers
-        for batch in batches:
-            for lo in range(0, max(1, batch.num_rows), 512):
-                part = batch.slice(lo, 512)
-                rows = [encoder.encode_bytes(x) if x else b"" for x in part.column(0).to_pylist()]
-                offsets = np.zeros(len(rows) + 1, np.int32)
-                np.cumsum([len(x) // 4 for x in rows], out=offsets[1:])
-                flat = np.frombuffer(b"".join(rows), np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                numbers = flat.tolist()
-                decoded = pa.array([encoder.decode(numbers[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())],
-                                   pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], ids, decoded], [*part.schema.names[1:], "piece_ids", "decoded"])
-    return run
+def _start(shared):
+    encoder = shared.value  # one per Python worker, with what it remembers
+
+    def make(texts: pa.Array) -> Iterator[tuple[int, int, list[pa.Array]]]:
+        for lo in range(0, len(texts), 512):
+            part = texts.slice(lo, 512)
+            rows = [encoder.encode_bytes(x) for x in part.to_pylist()]
+            offsets = np.zeros(len(rows) + 1, np.int32)
+            np.cumsum([len(x) // 4 for x in rows], out=offsets[1:])
+            flat = np.frombuffer(b"".join(rows), np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            numbers, at = flat.tolist(), offsets.tolist()
+            decoded = pa.array([encoder.decode(numbers[a:b]) for a, b in zip(at, at[1:])], pa.string())
+            yield lo, lo + len(part), [ids, decoded]
+    return make
 
 
 def encode(docs: DataFrame, keep: list[str], text_column: str = "text", path: str = vocab.PIECES) -> DataFrame:
     """The columns ``keep`` with ``piece_ids`` and ``decoded``, the text read back from the ids.
 
     A null or empty text has no ids and is decoded to an empty text. Each row stands alone: repeated rows
-    and null ids are kept, an empty table gives an empty result. No kept column may have the new names.
+    and null ids are kept, an empty table gives an empty result. A kept column with a new name is refused.
     """
-    shared = short_batches(docs.sparkSession).sparkContext.broadcast(Encoder(vocab.load(path)))
-    asked = docs.select(F.col(f"`{text_column}`").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    return asked.mapInArrow(_encoded(shared), f"{kept}piece_ids array<int>, decoded string")
+    shared = docs.sparkSession.sparkContext.broadcast(Encoder(vocab.load(path)))
+    return add_columns(docs, keep, "piece_ids array<int>, decoded string", lambda: _start(shared), text_column)

@@ -294,3 +294,22 @@ def test_leaks_of_frames(spark):
         assert sorted((r.id or 0, r.item_id, r.edits) for r in decontaminate.find_leaks(docs, bench).collect()) == got
     finally:
         decontaminate.BLOCK_CHARS = split
+
+
+def test_sentencepiece_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(spiece, "REMEMBERED", 5000)
+    encoder, fresh = spiece.Encoder(vocab.load()), spiece.Encoder(vocab.load())
+    texts = [" ".join(f"word{k}x{j}" for j in range(40)) + "   " + "y" * 3000 + " 你好" * 50 for k in range(30)]
+    for text in texts:
+        assert encoder.encode(text) == spiece.Encoder.encode(fresh, text)
+        for memory in (encoder.spans, encoder.words):
+            size = sum(190 + 2 * len(a) + len(b) for a, b in memory.items())
+            assert size == memory.held <= 5000 + 190 + 6 * spiece.LONGEST and all(len(a) <= spiece.LONGEST for a in memory)
+
+
+def test_sentencepiece_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", "p", "q"), (None, None, "r", None)], "doc_id long, text string, _text string, t string")
+    got = spiece.encode(docs, ["doc_id", "_text", "t"]).collect()
+    assert [(r.doc_id, r._text, r.t, r.decoded) for r in got] == [(1, "p", "q", "a b"), (None, "r", None, "")]
+    with pytest.raises(ValueError, match="decoded"):
+        spiece.encode(docs.withColumn("decoded", docs.t), ["decoded"])
