@@ -698,6 +698,9 @@ _add("stream_snapshots", f"""SELECT video_id, poll_label, strftime(min(poll_time
 _add("stream_tracking", f"""SELECT video_id, concat('UC', lpad(cast(cast(substr(video_id, 2) as bigint) % 40 as varchar), 8, '0')) channel_id,
     bool_or(poll_label = 'upload') upload_poll_done,
     bool_or(poll_label = '24h') day1_poll_done, bool_or(poll_label = '7d') day7_poll_done FROM ({_LABELLED}) GROUP BY 1""")
+_add("stream_new_videos", """SELECT video_id, concat('UC', lpad(cast(cast(substr(video_id, 2) as bigint) % 40 as varchar), 8, '0')) channel_id,
+    strftime(min(published_at), '%Y-%m-%d %H:%M:%S') published_at, strftime(min(poll_timestamp), '%Y-%m-%d %H:%M:%S') first_seen_at,
+    false upload_poll_done FROM obs WHERE video_id NOT IN (SELECT video_id FROM vid WHERE is_tracked AND o_orderkey % 97 <> 0) GROUP BY 1""")
 _add("augmented_train", """SELECT split, false contains_synthetic_data, count(*) n FROM spl GROUP BY 1
     UNION ALL SELECT 'train', true, cast(floor(n / cast(0.8 as double)) - n as bigint) FROM
     (SELECT count(*) n FROM spl WHERE split = 'train')""", **_SPLIT)

@@ -959,3 +959,16 @@ def stream_tracking(spark, d):
     return collector.Recorder(spark, f"{root}/tables").tracking.read().select(
         "video_id", "channel_id", "upload_poll_done", "day1_poll_done", "day7_poll_done"
     )
+
+
+@query
+def stream_new_videos(spark, d):
+    """Videos of the events that the tracking table lacks, inserted by two runs over the same events."""
+    root = _place(spark)
+    for run in ("a", "b"):
+        collector.insert_new_videos(
+            _stream(spark, d), f"{root}/log", f"{root}/state-{run}", lambda: X.tracking(spark, d)).awaitTermination()
+    schema = collector.VIDEOS_TO_TRACK
+    rows = spark.read.schema(schema).parquet(f"{root}/log")  # as inserted: a second insertion would be a second row
+    return rows.select("video_id", "channel_id", *[
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("published_at", "first_seen_at")], "upload_poll_done")

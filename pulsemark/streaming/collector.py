@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsemark.constants import POLL_STAGES
@@ -106,3 +108,45 @@ def record_stream(labelled: DataFrame, root: str, checkpoint: str) -> StreamingQ
         labelled.writeStream.foreachBatch(recorder).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+class NewVideos:
+    """T4: put the videos of a stream that no one tracks yet into the tracking log, one folder per micro-batch.
+
+    ``tracked`` gives the tracking table as it is now. It is read anew in every batch, as a static side that is read
+    once would not see what other runs or writers add meanwhile. Videos that other batches or runs have put into
+    the log are left out too. A batch that is repeated after a failure replaces its own folder, and is not kept from
+    it by what it wrote before. Runs follow each other; two at the same time could both insert a video, which the
+    log's merge makes one row again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, tracked: Callable[[], DataFrame], run: str = "0"):
+        self.log, self.tracked = TrackingLog(spark, path, run), tracked
+
+    def _logged(self, batch_id: int) -> DataFrame | None:
+        """Video ids in the folders of all other batches; None before the first folder."""
+        spark, own = self.log.spark, batch_name(self.log.run, batch_id).removeprefix("batch=")
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.log.path)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return None
+        schema = T.StructType([*VIDEOS_TO_TRACK.fields, T.StructField("batch", T.StringType())])
+        return spark.read.schema(schema).parquet(self.log.path).where(F.col("batch") != own).select("video_id")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        flags = [F.lit(False).alias(flag) for flag, _, _ in POLL_STAGES.values()]
+        seen = batch.where("video_id is not null").groupBy("video_id").agg(
+            F.min("channel_id").alias("channel_id"), F.min("published_at").alias("published_at"),
+            F.min("poll_timestamp").alias("first_seen_at")).select("*", *flags)
+        for known in (self.tracked().select("video_id"), self._logged(batch_id)):
+            if known is not None:
+                seen = seen.join(known, "video_id", "left_anti")
+        self.log.add(seen, batch_id)
+
+
+def insert_new_videos(observations: DataFrame, path: str, checkpoint: str, tracked: Callable[[], DataFrame]) -> StreamingQuery:
+    """Insert what is available now, then stop; ``NewVideos`` says which videos are new."""
+    sink = NewVideos(observations.sparkSession, path, tracked, run_of(checkpoint))
+    return (
+        observations.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )

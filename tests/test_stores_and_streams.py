@@ -140,3 +140,41 @@ def test_recorder_keeps_flags_behind_snapshots(spark, folder):
     last = stored.where("batch like '%-0000000000'").drop("batch")
     recorder(last, 0)
     assert (recorder.tracking.read().count(), spark.read.parquet(recorder.snapshots).count()) == before
+
+
+def test_new_videos_are_inserted_once(spark, folder):
+    observed = X.observation_columns(X.table(spark, SMALL, "events"))
+    ids = sorted(r[0] for r in observed.select("video_id").distinct().collect())
+    tracked, asked = set(ids[:5]), []
+
+    def table():
+        asked.append(set(tracked))
+        return spark.createDataFrame([(v,) for v in sorted(tracked)], "video_id string")
+
+    def rows():
+        return spark.read.parquet(f"{folder}/log")
+
+    def run(state):
+        collector.insert_new_videos(stream, f"{folder}/log", f"{folder}/{state}", table).awaitTermination()
+
+    stream = in_parts(spark, folder)
+    run("one")
+    assert len(asked) == 4  # the table is read in every batch
+    assert sorted(r.video_id for r in rows().select("video_id").collect()) == ids[5:]
+    first = {r.video_id: r.first_seen_at for r in rows().collect()}
+    want = {r.video_id: r.t for r in observed.groupBy("video_id").agg(F.min("poll_timestamp").alias("t")).collect()}
+    assert all(first[v] == want[v] for v in first)
+    tracked |= set(ids[5:8])
+    run("two")  # another run sees the first one's videos, and the table's new ones
+    run("one")  # nothing is left for a run that goes on from its checkpoint
+    assert rows().count() == len(ids) - 5 and len(asked) == 8
+    sink = collector.NewVideos(spark, f"{folder}/log", table, collector.run_of(f"{folder}/one"))
+    before = sorted(map(tuple, rows().drop("batch").collect()), key=str)
+    sink(observed, 99)
+    assert sorted(map(tuple, rows().drop("batch").collect()), key=str) == before
+    batch = rows().where("batch like '%-0000000000'")
+    kept = sorted(r.video_id for r in batch.collect())
+    tracked -= set(ids[5:8])  # as the table was when the batch ran first
+    again = observed.where(F.col("video_id").isin(kept + ids[:5]))
+    sink(again, 0)  # the repeated batch writes its own videos again
+    assert sorted(r.video_id for r in rows().where("batch like '%-0000000000'").collect()) == kept
