@@ -710,6 +710,12 @@ _INPUTS = [f"{m}_velocity_24h" for m in METRIC_COLS] + [
     "view_velocity_ratio", "view_velocity_acceleration", "like_velocity_acceleration", "view_count_upload_vs_baseline",
     "like_count_upload_vs_baseline", "like_rate_upload", "like_rate_24h",
     *[f"{m}s_per_sub_{p}" for p in ("upload", "24h") for m in ("view", "like", "comment")], "duration_seconds"]
+_FIRST = dict(
+    lng=" UNION ALL ".join(f"""SELECT above_baseline, '{c}' feature,
+         case when isfinite(cast({c} as double)) then cast({c} as double) end AS value FROM eng""" for c in _INPUTS),
+    edge="""SELECT DISTINCT feature, e FROM (SELECT feature, unnest(quantile_cont(value, [k / 64.0 for k in range(1, 64)])) e
+         FROM lng GROUP BY 1) UNION ALL SELECT DISTINCT feature, NULL FROM lng""",
+)
 # At the first split every gradient is 0.5 less the label and every Hessian 0.25.
 _add("boosting_first_splits", """SELECT feature, round(gain, 6) gain, round(e, 6) threshold, missing_left FROM (
     SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, e NULLS LAST, missing_left DESC) k FROM (
@@ -721,7 +727,13 @@ _add("boosting_first_splits", """SELECT feature, round(gain, 6) gain, round(e, 6
             case when l.value IS NULL then missing_left else e IS NULL OR l.value <= e end goes
           FROM lng l JOIN edge USING (feature), (VALUES (true), (false)) m(missing_left)) GROUP BY ALL))
       WHERE hl >= 5 AND hr >= 5 AND gain > 0) WHERE k = 1""",
-     lng=" UNION ALL ".join(f"""SELECT above_baseline, '{c}' feature,
-         case when isfinite(cast({c} as double)) then cast({c} as double) end AS value FROM eng""" for c in _INPUTS),
-     edge="""SELECT DISTINCT feature, e FROM (SELECT feature, unnest(quantile_cont(value, [k / 64.0 for k in range(1, 64)])) e
-         FROM lng GROUP BY 1) UNION ALL SELECT DISTINCT feature, NULL FROM lng""")
+     **_FIRST)
+# Missing values lie below every value; without an edge they alone go left.
+_add("forest_first_splits", """SELECT feature, round(gain, 6) gain, round(e, 6) threshold FROM (
+    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY round(gain, 12) DESC, e NULLS FIRST) k FROM (
+      SELECT feature, e, l, n - l r, ((yl * yl + (l - yl) * (l - yl)) / l + ((y - yl) * (y - yl) + (n - l - y + yl) * (n - l - y + yl)) / (n - l)) / n
+          - (y * y + (n - y) * (n - y)) / (n * n) gain FROM (
+        SELECT feature, e, cast(count(*) as double) n, cast(sum(above_baseline) as double) y,
+          cast(count(*) FILTER (goes) as double) l, coalesce(cast(sum(above_baseline) FILTER (goes) as double), 0) yl FROM (
+          SELECT l.feature, e, above_baseline, value IS NULL OR coalesce(l.value <= e, false) goes
+          FROM lng l JOIN edge USING (feature)) GROUP BY ALL) WHERE l >= 5 AND n - l >= 5)) WHERE k = 1""", **_FIRST)

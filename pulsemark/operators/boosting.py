@@ -127,12 +127,17 @@ def gradients(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.rint((p - label) * UNIT).astype(np.int64), np.rint(p * (1 - p) * UNIT).astype(np.int64)
 
 
-def chosen(keys: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
-    """Whether each row takes part in a tree, from a hash of its key and the tree."""
+def draws(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """A number from 0 to 1 for each row and tree, from a hash of the row's key and the tree."""
     x = keys.astype(np.uint64) ^ np.uint64(((tree * 2 + 1) * _MIX ^ seed << 32) % (1 << 64))
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return (x ^ (x >> np.uint64(31))).astype(float) / 2.0 ** 64 < share
+    return (x ^ (x >> np.uint64(31))).astype(float) / 2.0 ** 64
+
+
+def chosen(keys: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
+    """Whether each row takes part in a tree."""
+    return draws(keys, tree, seed) < share
 
 
 def columns_of(tree: int, n: int, share: float, seed: int) -> np.ndarray:
@@ -213,11 +218,11 @@ _ROWS = "key bigint, label double, margin double, bins array<int>"
 _CELLS = "cell bigint, g bigint, h bigint"
 
 
-def _matrix(column) -> np.ndarray:
+def as_matrix(column) -> np.ndarray:
     return np.stack([np.asarray(x, np.int64) for x in column]) if len(column) else np.zeros((0, 0), np.int64)
 
 
-def prepared(rows: DataFrame, columns: Sequence[str], label: str, key: str, settings: Settings):
+def prepared(rows: DataFrame, columns: Sequence[str], label: str, key: str, max_bin: int):
     """The stored rows (key, label, margin, bins) and the edges of the bins; (None, []) if there is nothing to learn from."""
     # Infinite values have no place between edges; they are missing like NaN.
     numbers = [F.when(F.abs(F.col(c).cast("double")) < math.inf, F.col(c).cast("double")).alias(c) for c in columns]
@@ -225,7 +230,7 @@ def prepared(rows: DataFrame, columns: Sequence[str], label: str, key: str, sett
         F.xxhash64(key).alias("_key"), F.col(label).cast("double").alias("_label"), *numbers))
     if not columns or known.isEmpty():
         return None, []
-    edges = edges_of(known, columns, settings.max_bin)
+    edges = edges_of(known, columns, max_bin)
 
     def store(batches):
         for batch in batches:
@@ -242,7 +247,7 @@ def first_splits(rows: DataFrame, columns: Sequence[str], label: str, key: str,
     without a split of positive gain are left out.
     """
     columns, out = list(columns), []
-    table, edges = prepared(rows, columns, label, key, settings)
+    table, edges = prepared(rows, columns, label, key, settings.max_bin)
     if table is not None:
         width, whole = max(len(e) for e in edges) + 2, replace(settings, subsample=1.0)
         features = np.arange(len(columns))
@@ -266,7 +271,7 @@ def fit(rows: DataFrame, columns: Sequence[str], label: str, key: str, settings:
     An empty table or one without columns gives trees of one leaf with value 0.
     """
     columns = list(columns)
-    table, edges = prepared(rows, columns, label, key, settings)
+    table, edges = prepared(rows, columns, label, key, settings.max_bin)
     booster = Booster(columns, edges, [], settings)
     if table is None:
         booster.trees = [Tree() for _ in range(settings.n_estimators)]
@@ -289,7 +294,7 @@ def fit(rows: DataFrame, columns: Sequence[str], label: str, key: str, settings:
 def _moved(trees: list[Tree], settings: Settings):
     def run(batches):
         for batch in batches:
-            bins = _matrix(batch["bins"])
+            bins = as_matrix(batch["bins"])
             yield batch.assign(margin=added(batch["margin"].to_numpy(), trees, bins, settings.max_depth))
     return run
 
@@ -304,7 +309,7 @@ def _summed(trees: list[Tree], tree: Tree, nodes, features, width: int, number:
             batch = batch[chosen(batch["key"].to_numpy(np.int64), number, settings.subsample, settings.seed)]
             if not len(batch):
                 continue
-            bins = _matrix(batch["bins"])
+            bins = as_matrix(batch["bins"])
             at = tree.route(bins, settings.max_depth)
             here = np.isin(at, wanted)
             bins, margin = bins[here], batch["margin"].to_numpy()[here]
@@ -318,11 +323,15 @@ def _summed(trees: list[Tree], tree: Tree, nodes, features, width: int, number:
     return run
 
 
+def added_numbers(columns: Sequence[str]) -> list:
+    """The columns as doubles named _0, _1 and so on; infinite values are missing."""
+    return [F.when(F.abs(F.col(c).cast("double")) < math.inf, F.col(c).cast("double")).alias(f"_{k}")
+            for k, c in enumerate(columns)]
+
+
 def predict(rows: DataFrame, booster: Booster, keep: Sequence[str]) -> DataFrame:
     """The columns ``keep`` of every row and the probability ``score`` of label 1."""
-    numbers = [F.when(F.abs(F.col(c).cast("double")) < math.inf, F.col(c).cast("double")).alias(f"_{k}")
-               for k, c in enumerate(booster.columns)]
-    asked = rows.select(*keep, *numbers)
+    asked = rows.select(*keep, *added_numbers(booster.columns))
     shared = rows.sparkSession.sparkContext.broadcast(booster)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
 

@@ -18,7 +18,7 @@ from pulsemark import constants as C
 from pulsemark.functions import polls as P
 from pulsemark.operators import baselines, boosting, cleaning, collection, correlation, discovery, distributions
 from pulsemark.operators import evaluate, features, health, learners, polls, profile, segments, splits
-from pulsemark.operators import ranges, synthetic
+from pulsemark.operators import forest, ranges, synthetic
 from pulsemark.operators.scaling import Scaler
 from pulsemark.plans import fixtures as X
 from pulsemark.plans.dataset import build_clean, engineer
@@ -869,6 +869,23 @@ def boosted_trees(spark, d):
     return boosting.predict(val, booster, ["video_id", C.TARGET])
 
 
+@query
+def forest_first_splits(spark, d):
+    """How much the best first split of a tree on each column lowers impurity, over all model rows."""
+    rows = cut(numeric_rows(spark, d).select("video_id", C.TARGET, *_INPUTS))
+    found = forest.first_splits(rows, _INPUTS, C.TARGET, "video_id")
+    return tidy(spark.createDataFrame(found, "feature string, gain double, threshold double").withColumn(
+        "threshold", F.when(~F.isnan("threshold"), F.col("threshold"))))
+
+
+@query
+def forest_trees(spark, d):
+    """Scores of the holdout by a forest of the train rows, with the default settings: 500 trees of any depth."""
+    train, _, val = _by_split(_divided(spark, d))
+    grown = forest.fit(train, _INPUTS, C.TARGET, "video_id")
+    return forest.predict(val, grown, ["video_id", C.TARGET])
+
+
 @query
 def retro_validate(spark, d):
     """Two saved versions of a model, loaded and validated on the holdout, beside their test metrics."""
