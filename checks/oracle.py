@@ -698,6 +698,13 @@ _add("stream_snapshots", f"""SELECT video_id, poll_label, strftime(min(poll_time
 _add("stream_tracking", f"""SELECT video_id, concat('UC', lpad(cast(cast(substr(video_id, 2) as bigint) % 40 as varchar), 8, '0')) channel_id,
     bool_or(poll_label = 'upload') upload_poll_done,
     bool_or(poll_label = '24h') day1_poll_done, bool_or(poll_label = '7d') day7_poll_done FROM ({_LABELLED}) GROUP BY 1""")
+_add("stream_sorted_out", """SELECT video_id, poll_label, kind, count(*) n,
+    strftime(min(poll_timestamp) FILTER (kind <> 'repeat'), '%Y-%m-%d %H:%M:%S') polled FROM (
+      SELECT *, case when late then 'late' when row_number() OVER (PARTITION BY video_id, poll_label, late ORDER BY part, poll_timestamp) = 1
+        then 'first' else 'repeat' end kind FROM (
+        SELECT p.*, coalesce(epoch_ms(poll_timestamp) < (SELECT max(epoch_ms(q.poll_timestamp)) FROM parts q WHERE q.part < p.part)
+          - 25 * 3600000, false) late FROM parts p)) GROUP BY ALL""",
+     parts=f"""SELECT *, least(3, (dayofmonth(poll_timestamp) - 1 + event_id % 3 * 4) // 5) part FROM ({_LABELLED})""")
 _add("stream_new_videos", """SELECT video_id, concat('UC', lpad(cast(cast(substr(video_id, 2) as bigint) % 40 as varchar), 8, '0')) channel_id,
     strftime(min(published_at), '%Y-%m-%d %H:%M:%S') published_at, strftime(min(poll_timestamp), '%Y-%m-%d %H:%M:%S') first_seen_at,
     false upload_poll_done FROM obs WHERE video_id NOT IN (SELECT video_id FROM vid WHERE is_tracked AND o_orderkey % 97 <> 0) GROUP BY 1""")

@@ -978,6 +978,28 @@ def stream_tracking(spark, d):
     )
 
 
+@query
+def stream_sorted_out(spark, d):
+    """First, repeated and late observations of events that come in up to eight days after each other, in four runs."""
+    root, events = _place(spark), X.table(spark, d, "events")
+    # How many days after the first one an event comes in decides the run that reads it.
+    comes = F.dayofmonth("ts") - 1 + F.col("event_id") % 3 * 4
+    parted = cut(events.withColumn("part", F.least(F.lit(3), F.floor(comes / 5))))
+    for part in range(4):
+        parted.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{root}/in")
+        arrived = X.observation_columns(spark.readStream.schema(events.schema).parquet(f"{root}/in"))
+        collector.record_with_state(
+            collector.label_stream(arrived), f"{root}/tables", f"{root}/state").awaitTermination()
+    recorder = collector.StatefulRecorder(spark, f"{root}/tables")
+    keys = ["video_id", "poll_label"]
+    polled = F.date_format(F.min("poll_timestamp"), "yyyy-MM-dd HH:mm:ss").alias("polled")
+    first = recorder.recorder.read_snapshots().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), polled)
+    late = recorder.late().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), polled)
+    repeats = recorder.repeats().withColumn("polled", F.lit(None).cast("string"))
+    return first.withColumn("kind", F.lit("first")).unionByName(late.withColumn("kind", F.lit("late"))).unionByName(
+        repeats.withColumn("kind", F.lit("repeat"))).select(*keys, "kind", "n", "polled")
+
+
 @query
 def stream_new_videos(spark, d):
     """Videos of the events that the tracking table lacks, inserted by two runs over the same events."""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pulsemark.constants import POLL_STAGES
 from pulsemark.operators.collection import first_observations, label_observations
@@ -35,6 +37,98 @@ def first_per_label(labelled: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame
     ).drop("_event_time")
 
 
+KINDS = ("first", "repeat", "late")
+
+
+def sorted_out(labelled: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame:
+    """T2 with state of its own: every row of a stream, with ``kind`` first, repeat or late.
+
+    ``first`` is the earliest row per (video_id, poll_label) of the first micro-batch that has one, ``late`` a row whose poll time is
+    below the watermark, which ``dropDuplicatesWithinWatermark`` would drop without a word. Rows without a poll time are
+    late too. Of rows at the same time the one that comes first in order of all columns is taken. A pair's state is its first
+    poll time; a timer removes it once the watermark is beyond that time by ``delay``: rows of its window are late by then, and
+    a row after it would be first again. State and rows of a pair are read batch by batch, so that a pair of any size fits into one task.
+    """
+    keys, columns = ["video_id", "poll_label"], labelled.columns
+    # Spark takes late rows from an operator with timers by the column that carries the watermark. So each row is doubled before
+    # the shuffle: one that moves the watermark and ends there, and one without a time in that column, which no filter takes.
+    at = F.col("poll_timestamp").cast("timestamp")
+    doubled = labelled.select("*", F.unix_millis(at).alias("_ms"), F.xxhash64(*columns).alias("_order"), F.explode(
+        F.when(at.isNotNull(), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))).alias("_clock"))
+    stated = doubled.withColumn("_at", F.when(F.col("_clock"), at)).withWatermark("_at", delay).where("_at is null")
+    schema = T.StructType([*labelled.schema.fields, T.StructField("kind", T.StringType())])
+    span = int(pd.Timedelta(delay).total_seconds() * 1000)
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs()
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known, held = state.exists and state.get[0] + span >= watermark, None
+        for batch in batches:
+            # 0 and below: there is no watermark yet
+            late = batch["_ms"].isna() | ((batch["_ms"] < watermark) if watermark > 0 else False)
+            kind = late.map({True: "late", False: "repeat"})
+            on_time = batch[~late]
+            if not known and len(on_time):
+                best = on_time.sort_values(["_ms", "_order"]).iloc[[0]]
+                if held is None or tuple(best[["_ms", "_order"]].iloc[0]) < tuple(held[["_ms", "_order"]].iloc[0]):
+                    held, best = best, held
+                    kind = kind.drop(held.index)
+                    batch = batch.drop(held.index)
+                    if best is not None:  # an earlier Arrow batch's candidate is a repeat after all
+                        yield best[columns].assign(kind="repeat")
+            if len(batch):
+                yield batch[columns].assign(kind=kind)
+        if held is not None:
+            state.update((int(held["_ms"].iloc[0]),))
+            yield held[columns].assign(kind="first")
+        elif not known and state.exists:
+            state.remove()
+        if state.exists:
+            state.setTimeoutTimestamp(max(state.get[0] + span, watermark + 1))
+
+    return stated.groupBy(*keys).applyInPandasWithState(
+        run, schema, "first_ms bigint", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+class StatefulRecorder:
+    """T3 over ``sorted_out``: first rows into the snapshot table and the tracking log, late rows into a table of their own.
+
+    Repeats are counted beside them, per video and label. A repeated batch replaces its own folders.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run: str = "0"):
+        self.spark, self.root, self.run = spark, root.rstrip("/"), run
+        self.recorder = Recorder(spark, root, run)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(self.run, batch_id)
+        # One run of the state function feeds all three tables.
+        batch.write.mode("overwrite").parquet(f"{self.root}/sorted/{name}")
+        rows = self.spark.read.schema(batch.schema).parquet(f"{self.root}/sorted/{name}")
+        rows.where("kind = 'late'").drop("kind").write.mode("overwrite").parquet(f"{self.root}/late_observations/{name}")
+        rows.where("kind = 'repeat'").groupBy("video_id", "poll_label").agg(F.count(F.lit(1)).alias("n")).write.mode(
+            "overwrite").parquet(f"{self.root}/repeats/{name}")
+        self.recorder(rows.where("kind = 'first'").drop("kind"), batch_id)
+
+    def late(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/late_observations").drop("batch")
+
+    def repeats(self) -> DataFrame:
+        rows = self.spark.read.parquet(f"{self.root}/repeats")
+        return rows.groupBy("video_id", "poll_label").agg(F.sum("n").alias("n"))
+
+
+def record_with_state(labelled: DataFrame, root: str, checkpoint: str, delay: str = REPEAT_DELAY) -> StreamingQuery:
+    """Run the stateful recorder over what is available now, then stop. A restart goes on from the checkpoint's state."""
+    recorder = StatefulRecorder(labelled.sparkSession, root, run_of(checkpoint))
+    return (
+        sorted_out(labelled, delay).writeStream.foreachBatch(recorder).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def batch_name(run: str, batch_id: int) -> str:
     """A batch's folder. The run keeps batches of another checkpoint, which count from 0 too, apart."""
     return f"batch={run}-{batch_id:010d}"

@@ -178,3 +178,78 @@ def test_new_videos_are_inserted_once(spark, folder):
     again = observed.where(F.col("video_id").isin(kept + ids[:5]))
     sink(again, 0)  # the repeated batch writes its own videos again
     assert sorted(r.video_id for r in rows().where("batch like '%-0000000000'").collect()) == kept
+
+
+def simulated(parts, delay_ms):
+    """Kinds of rows (time, video, label, row) batch by batch, by the rules: (kind, row id) pairs."""
+    out, seen, watermark = [], {}, 0
+    for part in parts:
+        best = {}
+        for at, key, rid in part:
+            if watermark > 0 and at < watermark:
+                out.append(("late", rid))
+            elif key in seen and seen[key] + delay_ms >= watermark:
+                out.append(("repeat", rid))
+            else:
+                best.setdefault(key, []).append((at, rid))
+        for key, rows in best.items():
+            at, rid = min(rows)
+            seen[key] = at
+            out += [("first" if r == rid else "repeat", r) for _, r in rows]
+        watermark = max([watermark] + [at - delay_ms for at, _, _ in part])
+    return sorted(out)
+
+
+def test_stateful_recorder_sorts_rows_out(spark, folder):
+    """First, repeated and late rows, over batches and a restart from the checkpoint."""
+    rng = __import__("random").Random(5)
+    base, hour, parts, rid = 1_700_000_000_000, 3_600_000, [], 0
+    for step in range(5):
+        part = []
+        for _ in range(60):
+            at = base + step * 20 * hour + rng.randrange(-60 * hour, 20 * hour) // 1000 * 1000 + rid
+            part.append((at, (f"v{rng.randrange(8)}", rng.choice(["upload", "24h"])), rid))
+            rid += 1
+        parts.append(part)
+    schema = "rid long, video_id string, channel_id string, published_at timestamp_ntz, poll_timestamp timestamp_ntz, poll_label string"
+
+    def put(part):
+        rows = [(rid, v, "c", at, at, label) for at, (v, label), rid in part]
+        ms = spark.createDataFrame(rows, "rid long, video_id string, channel_id string, published_at long, poll_timestamp long, poll_label string")
+        ms.selectExpr("rid", "video_id", "channel_id", *[f"cast(timestamp_millis({c}) as timestamp_ntz) {c}" for c in (
+            "published_at", "poll_timestamp")], "poll_label").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def drain():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        collector.record_with_state(stream, f"{folder}/tables", f"{folder}/state").awaitTermination()
+
+    for part in parts[:3]:
+        put(part)
+    drain()
+    for part in parts[3:]:  # a new query goes on with the state of the first
+        put(part)
+    drain()
+    want = simulated(parts, 25 * hour)
+    got = sorted((r.kind, r.rid) for r in spark.read.parquet(f"{folder}/tables/sorted").collect())
+    assert got == want and {k for k, _ in want} == set(collector.KINDS)
+    recorder = collector.StatefulRecorder(spark, f"{folder}/tables", collector.run_of(f"{folder}/state"))
+    assert sorted(r.rid for r in recorder.late().collect()) == [i for k, i in want if k == "late"]
+    assert sum(r.n for r in recorder.repeats().collect()) == sum(k == "repeat" for k, _ in want)
+    first = spark.read.parquet(recorder.recorder.snapshots)
+    assert sorted(r.rid for r in first.collect()) == [i for k, i in want if k == "first"]
+    flags = {r.video_id: r.day1_poll_done for r in recorder.recorder.tracking.read().collect()}
+    assert flags == {v: any(r.video_id == v and r.poll_label == "24h" for r in first.collect()) for v in flags}
+
+
+def test_timers_remove_state(spark, folder):
+    """State goes once its timer finds the watermark beyond it, and stays as long as a repeat can come."""
+    schema = "video_id string, poll_timestamp timestamp_ntz, poll_label string"
+    counts = []
+    for day, video in ((1, "a"), (2, "b"), (9, "c"), (10, "d")):
+        spark.createDataFrame([(video, datetime(2026, 1, day), "upload")], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        query = collector.sorted_out(stream).writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+        counts.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert counts[1] == 2 and counts[-1] == 2  # a and b are gone, c and d may still be repeated
