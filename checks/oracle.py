@@ -530,6 +530,7 @@ _add("mark_consumed", f"""SELECT channel_id, added_to_tracking OR channel_id IN
     FROM cand""", plan=_PLAN, drained=_DRAIN)
 _add("mark_flags", """SELECT video_id, upload_poll_done, day1_poll_done OR video_id IN
     (SELECT video_id FROM lab WHERE poll_label = '24h') day1_poll_done, day7_poll_done FROM trk""")
+ORACLE["mark_flags_in_place"] = ORACLE["mark_flags"]
 _NULLS = [
     "title", "description", "channel_id", "video_id", "channel_handle", "duration_seconds", "category_id", "category_name",
     "published_at", "vertical", "tier", "contains_synthetic_media", "face_count", "brightness", "colorfulness",

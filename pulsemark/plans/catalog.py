@@ -24,7 +24,8 @@ from pulsemark.plans import fixtures as X
 from pulsemark.plans.dataset import build_clean, engineer
 from pulsemark.plans.training import augment
 from pulsemark.session import cut, shared_dir
-from pulsemark.sources import holdout_store, model_store, raw_items, snapshots as snapshot_store
+from pulsemark.schemas import VIDEOS_TO_TRACK
+from pulsemark.sources import holdout_store, model_store, raw_items, snapshots as snapshot_store, tracking_store
 from pulsemark.streaming import collector
 
 HEALTH_NOW = "2001-08-15 00:00:00"
@@ -347,6 +348,16 @@ def mark_flags(spark, d):
     return marked.select("video_id", "upload_poll_done", "day1_poll_done", "day7_poll_done")
 
 
+@query
+def mark_flags_in_place(spark, d):
+    """The same flags set in a table of folders by hash, of which those with a changed row are rewritten."""
+    table = tracking_store.BucketedTable(spark, f"{_place(spark)}/tracking", VIDEOS_TO_TRACK, buckets=16)
+    table.add(X.tracking(spark, d))
+    done = X.labelled(spark, d, with_text=False).where("poll_label = '24h'")
+    table.set_flag(done, "day1_poll_done")
+    return table.read().select("video_id", "upload_poll_done", "day1_poll_done", "day7_poll_done")
+
+
 # --- health ---------------------------------------------------------------------------------
 def _polls(spark, d):
     return X.snapshots(spark, d, with_text=False)

@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,8 @@ from pulsemark.operators.collection import first_observations, label_observation
 from pulsemark.plans import catalog
 from pulsemark.plans import fixtures as X
 from pulsemark.sources import raw_items, snapshots, tables
-from pulsemark.sources.tracking_store import VersionedTable
+from pulsemark.schemas import VIDEOS_TO_TRACK
+from pulsemark.sources.tracking_store import BucketedTable, VersionedTable
 from pulsemark.streaming import collector
 
 SMALL = "/root/testdata/sf0.001"
@@ -253,3 +255,32 @@ def test_timers_remove_state(spark, folder):
         query.awaitTermination()
         counts.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
     assert counts[1] == 2 and counts[-1] == 2  # a and b are gone, c and d may still be repeated
+
+
+def test_update_rewrites_touched_folders_only(spark, folder):
+    table = BucketedTable(spark, f"{folder}/t", VIDEOS_TO_TRACK, buckets=16)
+    assert table.read().count() == 0 and table.set_flag(spark.createDataFrame([("x",)], "video_id string"), "day7_poll_done") == []
+    track = X.tracking(spark, SMALL).select(*VIDEOS_TO_TRACK.names)
+    nameless = track.limit(1).withColumn("video_id", F.lit(None).cast("string"))
+    table.add(track.limit(40))
+    table.add(track.unionByName(track).unionByName(nameless))
+    assert table.add(track.unionByName(nameless)) == []
+    assert table.read().count() == track.count() + 1
+    before = {r.video_id: r for r in table.read().collect()}
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in Path(f"{folder}/t").rglob("*.parquet")}
+
+    ids = track.where("not day7_poll_done").select("video_id").limit(3)
+    chosen, old = {r.video_id for r in ids.collect()}, files()
+    touched = table.set_flag(ids.unionByName(ids).unionByName(spark.createDataFrame([(None,), ("absent",)], "video_id string")), "day7_poll_done")
+    after, new = {r.video_id: r for r in table.read().collect()}, files()
+    assert after.keys() == before.keys()
+    for video, row in after.items():
+        want = before[video].asDict() | ({"day7_poll_done": True} if video in chosen else {})
+        assert row.asDict() == want
+    assert 1 <= len(touched) <= 3
+    kept = {p: t for p, t in old.items() if not any(f"/bucket={b}/" in p for b in touched)}
+    assert kept and all(new.get(p) == t for p, t in kept.items())
+    assert not any(p in new for p in old if p not in kept)
+    assert table.set_flag(ids, "day7_poll_done") == [] and files() == new
