@@ -713,6 +713,11 @@ _add("augmented_train", """SELECT split, false contains_synthetic_data, count(*)
     UNION ALL SELECT 'train', true, cast(floor(n / cast(0.8 as double)) - n as bigint) FROM
     (SELECT count(*) n FROM spl WHERE split = 'train')""", **_SPLIT)
 
+_add("stratified_folds", """SELECT video_id, cast(above_baseline as bigint) above_baseline,
+    cast((n // 5 < k)::int + (n * 2 // 5 < k)::int + (n * 3 // 5 < k)::int + (n * 4 // 5 < k)::int as bigint) fold FROM (SELECT video_id, above_baseline,
+      count(*) OVER (PARTITION BY above_baseline) n,
+      row_number() OVER (PARTITION BY above_baseline ORDER BY md5(concat(video_id, ':42')), video_id) k FROM eng)""")
+
 _INPUTS = [f"{m}_velocity_24h" for m in METRIC_COLS] + [
     "view_velocity_upload", "like_velocity_upload", "view_velocity_per_sub_24h", "like_velocity_per_sub_24h",
     "view_velocity_ratio", "view_velocity_acceleration", "like_velocity_acceleration", "view_count_upload_vs_baseline",

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pulsemark.constants import TARGET
 from pulsemark.operators.evaluate import evaluate, training_composition
 from pulsemark.operators.scaling import Scaler
+from pulsemark.operators.splits import with_folds
 from pulsemark.session import cut
 
 MAX_DEPTH = 30  # the deepest tree MLlib builds; stands for "no limit"
@@ -245,7 +246,7 @@ def combinations(grid: Mapping[str, Sequence]) -> list[dict]:
 def _cross_validate(
     kind: str, trials: list[dict], rows: DataFrame, n: int, cv: int, seed: int, parallelism: int
 ) -> list[float]:
-    """Mean area under ROC of each trial over the same hash folds."""
+    """Mean area under ROC of each trial over the same folds."""
     base = make(kind, {}, n, seed)
     maps = []
     for trial in trials:
@@ -273,7 +274,7 @@ def tune(
     """M8: search a grid by cross-validated area under ROC.
 
     ``random`` tries ``n_iter`` seeded combinations, ``grid`` all of them, and ``halving`` all of them on
-    few rows, then the best third on three times as many, until one round sees every row. Columns are
+    few rows, then the best third on three times as many, until one round sees every row. Folds are stratified on the target. Columns are
     scaled first, as in training, so that a penalty means the same in both.
     """
     if strategy not in STRATEGIES:
@@ -282,10 +283,9 @@ def tune(
     hashed = F.pmod(F.xxhash64("video_id", F.lit(seed)), F.lit(1 << 30))
     scaled = Scaler().fit(real_rows(train_rows), columns).transform(train_rows)
     rows = assemble(scaled, columns, "video_id", TARGET).select(
-        TARGET, "features", F.pmod(F.xxhash64("video_id", F.lit(seed + 1)), F.lit(cv)).cast("int").alias("fold"),
-        (hashed / float(1 << 30)).alias("place"),
+        "video_id", TARGET, "features", (hashed / float(1 << 30)).alias("place"),
     )
-    rows = cut(rows)
+    rows = cut(with_folds(cut(rows), cv, seed + 1).drop("video_id"))
     n = rows.count()
     history: list[tuple[dict, float]] = []
     if strategy == "halving":

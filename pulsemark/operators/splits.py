@@ -136,6 +136,45 @@ def split(
     )
 
 
+def with_folds(df: DataFrame, folds: int, seed: int = 42, label: str = TARGET, key: str = "video_id") -> DataFrame:
+    """M8: the table with an int column ``fold`` from 0, stratified on the label.
+
+    The folds of a class differ by one row at most. A class with fewer rows than folds leaves some of them out; a NULL
+    label is a class of its own. Rows with one key have one fold, which can make a class with repeated keys less even. All
+    edges of all classes come from one histogram of hash prefixes; no class is ranked as a whole. An older column ``fold`` is replaced.
+    """
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    named = df.select(
+        F.struct(*[df[c] for c in df.columns if c != "fold"]).alias("_row"),
+        F.coalesce(F.col(label).cast("string"), F.lit("None")).alias("_class"), name.alias("_key"),
+        F.md5(F.concat_ws(":", name, F.lit(str(seed))).cast("binary")).alias("_hash"))
+    keyed = cut(named.select("_class", "_key", "_hash"))
+    prefix = F.substring("_hash", 1, _PREFIX)
+    histogram = cut(keyed.groupBy("_class", prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("n")))
+    classes = cut(histogram.groupBy("_class").agg(F.sum("n").alias("rows")))
+    beside = F.broadcast if classes.count() <= BROADCAST_STRATA else lambda rows: rows
+    # The first j folds hold this many rows.
+    wanted = classes.select("_class", F.explode(F.sequence(F.lit(1), F.lit(max(folds - 1, 1)))).alias("j"), "rows").withColumn(
+        "quota", F.floor(F.col("rows") * F.col("j") / F.lit(folds)))
+    upto = F.sum("n").over(Window.partitionBy("_class").orderBy("_prefix"))
+    edges = histogram.withColumn("upto", upto).join(beside(wanted), "_class").where(
+        (F.col("quota") > F.col("upto") - F.col("n")) & (F.col("quota") <= F.col("upto"))
+    ).groupBy("_class", "_prefix").agg(F.collect_set(F.col("quota") - (F.col("upto") - F.col("n"))).alias("inside"))
+    order = Window.partitionBy("_class", "_prefix").orderBy("_hash", "_key")
+    last = (
+        keyed.withColumn("_prefix", prefix).join(beside(edges), ["_class", "_prefix"])
+        .withColumn("rank", F.row_number().over(order)).where(F.array_contains("inside", F.col("rank").cast("long")))
+        .groupBy("_class").agg(F.collect_list(F.struct("_hash", "_key")).alias("_last"))
+    )
+    empty = wanted.where("quota = 0").groupBy("_class").agg(F.count(F.lit(1)).cast("int").alias("_empty"))
+    limits = cut(classes.select("_class").join(last, "_class", "left").join(empty, "_class", "left"))
+    passed = F.size(F.filter(F.coalesce("_last", F.array()), lambda x: x < F.struct("_hash", "_key")))
+    if folds < 2:
+        passed = F.lit(0)
+    return named.join(beside(limits), "_class").select(
+        "_row.*", (F.coalesce("_empty", F.lit(0)) * F.lit(int(folds > 1)) + passed).cast("int").alias("fold"))
+
+
 def vanished_ids(df: DataFrame, holdout_ids: DataFrame) -> DataFrame:
     """M2: recorded ids that the table no longer has."""
     return holdout_ids.select("video_id").distinct().join(

@@ -922,6 +922,13 @@ def tune_model(spark, d):
     return spark.createDataFrame(rows, "C double, max_iter int, roc_auc double")
 
 
+@query
+def stratified_folds(spark, d):
+    """Five folds of all model rows, stratified on the target."""
+    rows = engineer(full_clean(spark, d)).select("video_id", C.TARGET)
+    return tidy(splits.with_folds(rows, 5), "video_id", C.TARGET, "fold")
+
+
 @query
 def feature_weights(spark, d):
     """Features of a linear model by absolute weight."""

@@ -8,7 +8,7 @@ from pulsemark.plans.catalog import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 NAMES = ["entry_label_rates", "latest_poll", "clean_table", "engineered", "health_warnings", "spot_check",
-         "iqr_outliers", "kde", "label_rates_bootstrap", "range_join", "boosting_first_splits", "forest_first_splits",
+         "iqr_outliers", "kde", "label_rates_bootstrap", "range_join", "boosting_first_splits", "forest_first_splits", "stratified_folds",
          "correlation", "channel_draw", "stream_labels", "stream_sorted_out", "raw_items_parsed"]
 
 

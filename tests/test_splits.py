@@ -102,3 +102,19 @@ def test_thresholds_equal_plain_ranking(spark):
         ranked = sorted(videos, key=lambda v: (hashlib.md5(f"{v}:42".encode()).hexdigest(), v))
         want |= set(ranked[: quota[s]])
     assert got == want
+
+
+@pytest.mark.parametrize("folds", [1, 2, 3, 7])
+def test_folds_differ_by_one_row(spark, folds):
+    """Classes of any size, NULL labels and keys, classes smaller than the number of folds, and any partitioning."""
+    rows = [(f"k{i}", 0, i) for i in range(101)] + [(f"l{i}", 1, i) for i in range(20)] + [("m", 2, 0), (None, 2, 1)] + [
+        (f"n{i}", None, i) for i in range(9)]
+    df = spark.createDataFrame(rows, "video_id string, above_baseline int, _last int").repartition(3)
+    found = splits.with_folds(df, folds).collect()
+    assert len(found) == len(rows) and {r.fold for r in found} <= set(range(folds))
+    for label in (0, 1, 2, None):
+        sizes = [sum(r.fold == k and r.above_baseline == label for r in found) for k in range(folds)]
+        assert max(sizes) - min(sizes) <= 1 and sum(sizes) == sum(r[1] == label for r in rows)
+    again = splits.with_folds(df.repartition(5), folds).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+    assert splits.with_folds(df.limit(0), folds).count() == 0
