@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pulsemark.operators import correlation, distributions, evaluate, profile
+from pulsemark.operators import correlation, distributions, evaluate, profile, quantiles
 from pulsemark.operators.ordering import running_total, value_buckets
 from pulsemark.operators.quantiles import exact_quantiles
 
@@ -148,3 +148,37 @@ def test_running_total_equals_a_plain_sum(spark):
     df = column(spark, sorted(set(values))).withColumn("n", F.lit(1)).repartition(6)
     out = running_total(value_buckets(df, "x", 16), "n", ["x"], "before").orderBy("x").collect()
     assert [r.before for r in out] == list(range(len(out)))
+
+
+def _adversarial(kind):
+    rng = np.random.default_rng(11)
+    if kind == "one value":
+        return np.where(rng.random(6000) < 0.9, 5.0, rng.normal(5, 1e-9, 6000))
+    if kind == "powers":
+        return 2.0 ** rng.integers(-300, 300, 6000) * rng.choice([-1.0, 1.0], 6000)
+    if kind == "neighbours":
+        return np.nextafter(1.0, 2.0) + rng.integers(0, 40, 6000) * np.spacing(1.0)
+    return np.concatenate([np.zeros(2999), [1.0], np.full(3000, 2.0)])
+
+
+@pytest.mark.parametrize("kind", ["one value", "powers", "neighbours", "halves"])
+def test_quantiles_narrow_by_rounds(spark, kind):
+    values = _adversarial(kind)
+    got = {r.p: r.value for r in exact_quantiles(column(spark, values), [], ["x"], SHARES, 40, finish=8).collect()}
+    assert len(got) == len(SHARES)
+    for p in SHARES:
+        assert got[p] == pytest.approx(np.quantile(values, p), rel=1e-12), p
+
+
+@pytest.mark.parametrize("lo,hi", [(0.0, 3.0), (990.0, 999.0), (500.0, 500.0), (0.0, 999.0), (498.5, 499.2)])
+def test_narrowing_from_any_bracket(spark, lo, hi):
+    """Brackets that miss the rank on either side, hold it, or are one value."""
+    long = spark.range(2000).selectExpr("'g' k", "cast(id div 2 as double) value")
+    targets = long.groupBy("k").agg(F.count("*").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest")).selectExpr(
+        "k", "n", "lowest", "highest", "0 i", "0.5D p", f"{lo}D lo", f"{hi}D hi", "999.5D rank", "999L first", "1000L second")
+    row = quantiles._narrowed(long, ["k"], targets, 100, 10).collect()
+    assert [(r.a, r.b) for r in row] == [(499.0, 500.0)]
+
+
+def test_quantiles_of_an_empty_table(spark):
+    assert exact_quantiles(column(spark, [None]), [], ["x"], [0.5]).collect() == []
