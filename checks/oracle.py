@@ -10,8 +10,8 @@ import math
 import re
 
 from pulsemark.constants import (
-    CATEGORY_NAMES, DENSITY_FEATURES, DENSITY_PAIRS, EMOJI_CLASS, LISTICLE_WORDS, METRIC_COLS, TIER_RANGES, TIERS,
-    VERTICALS, WHITESPACE_CLASS,
+    CATEGORY_NAMES, DENSITY_FEATURES, DENSITY_PAIRS, EMOJI_CLASS, LISTICLE_WORDS, METRIC_COLS, SYNTHETIC_COUNTS,
+    SYNTHETIC_REALS, TIER_RANGES, TIERS, VERTICALS, WHITESPACE_CLASS,
 )
 
 HEALTH_NOW = "2001-08-15 00:00:00"
@@ -581,6 +581,75 @@ _add("density_2d", """SELECT cast(above_baseline as bigint) above_baseline, pair
     cast(least(floor((y - yl) / ((yh - yl) / 40)) + 1, 40) as bigint) bin_y, count(*) n
     FROM cap2 JOIN (SELECT above_baseline, pair, min(x) xl, max(x) xh, min(y) yl, max(y) yh FROM cap2 GROUP BY ALL)
     USING (above_baseline, pair) GROUP BY ALL""", cap2=" UNION ALL ".join(_cap2(x, y) for x, y in DENSITY_PAIRS))
+def _fine_sql(lo: str, hi: str, h: str, points: int, share: float) -> str:
+    return f"greatest(ceil(({hi} - {lo}) / ({h} * {(points - 1) * math.sqrt(8 * share)!r})), 1)"
+
+
+_add("kde_binned", """SELECT feature, cast(i as bigint) i, round(any_value(lo) + i * any_value(hi - lo) / 199, 4) x,
+    round(sum(w * exp(-0.5 * pow((i - j / fine) * (hi - lo) / 199 / h, 2))) / any_value(n * h * sqrt(2 * pi())), 9) density,
+    round(any_value(pow((hi - lo) / 199 / fine / h, 2) / (8 * sqrt(2 * pi())) / h), 9) error_bound
+    FROM nodes, generate_series(0, 199) g(i) GROUP BY feature, i""",
+     long=_features(DENSITY_FEATURES),
+     st=f"""SELECT *, {_fine_sql('lo', 'hi', 'h', 200, 1e-3)} fine FROM (SELECT feature, count(*) n, min(value) lo, max(value) hi,
+         stddev_samp(value) * pow(count(*), -0.2) h FROM long GROUP BY feature HAVING count(*) >= 2 AND stddev_samp(value) > 0)""",
+     spot="""SELECT s.*, (value - lo) / (hi - lo) * (fine * 199) place, least(floor(place), fine * 199 - 1) node
+         FROM long JOIN st s USING (feature)""",
+     nodes="""SELECT feature, n, lo, hi, h, fine, node + side j, sum(case side when 0 then 1 - (place - node) else place - node end) w
+         FROM spot, generate_series(0, 1) t(side) GROUP BY ALL""")
+_clamp = "exp(greatest(least({0}, 700.0), -700.0))".format
+
+
+def _normal_sql(z: str) -> str:
+    a = f"(abs({z}) / sqrt(2))"
+    t = f"(1 / (1 + 0.3275911 * {a}))"
+    tail = (f"{t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429)))) * "
+            + _clamp(f"-{a} * {a}") + " / 2")
+    return f"(case when {z} >= 0 then 1 - {tail} else {tail} end)"
+
+
+_FAMILY = {
+    "exponential": "1 - " + _clamp("(a - value) / (m - a)"),
+    "gumbel": _clamp("-" + _clamp("(m - 0.5772156649015329 * (s * sqrt(6) / pi()) - value) / (s * sqrt(6) / pi())")),
+    "laplace": f"case when value >= m then 1 - {_clamp('-abs(value - m) * sqrt(2) / s')} / 2 else {_clamp('-abs(value - m) * sqrt(2) / s')} / 2 end",
+    "logistic": f"1 / (1 + {_clamp('(m - value) * pi() / sqrt(3) / s')})",
+    "lognormal": f"case when ls > 0 then {_normal_sql('((ln(1 + value - a) - lm) / ls)')} else 1 end",
+    "normal": _normal_sql("((value - m) / s)"),
+    "uniform": "greatest(least((value - m) / (2 * sqrt(3) * s) + 0.5, 1), 0)",
+}
+_SYNTHETIC = SYNTHETIC_COUNTS + SYNTHETIC_REALS
+_add("fitted_marginals", """SELECT feature, family, cast(n as bigint) n, round(ks, 6) ks,
+    row_number() OVER (PARTITION BY feature ORDER BY ks, family) = 1 chosen FROM told""",
+     long=" UNION ALL ".join(f"SELECT '{c}' feature, value FROM (SELECT cast({c} as double) value FROM eng) WHERE value IS NOT NULL"
+                             for c in _SYNTHETIC),
+     mo="""SELECT feature, count(*) n, avg(value) m, coalesce(stddev_samp(value), 0) s, min(value) a, max(value) b FROM long GROUP BY 1""",
+     lo="""SELECT feature, avg(ln(1 + value - a)) lm, coalesce(stddev_samp(ln(1 + value - a)), 0) ls FROM long JOIN mo USING (feature) GROUP BY 1""",
+     vals="""SELECT feature, value, count(*) c, sum(count(*)) OVER (PARTITION BY feature ORDER BY value) upto FROM long GROUP BY feature, value""",
+     cdfs="SELECT v.*, n, " + ", ".join(f"{e} AS {f}" for f, e in _FAMILY.items())
+     + " FROM vals v JOIN mo USING (feature) JOIN lo USING (feature) WHERE a < b",
+     told=" UNION ALL ".join(f"SELECT feature, '{f}' family, max(n) n, max(greatest(upto / cdfs.n - {f}, {f} - (upto - c) / cdfs.n)) ks "
+                             "FROM cdfs GROUP BY feature" for f in _FAMILY)
+     + " UNION ALL SELECT feature, 'constant', n, 0 FROM mo WHERE a = b")
+_add("synthetic_rows_fitted", "SELECT (SELECT count(*) FROM eng) n, unnest([" + ", ".join(f"'{c}'" for c in _SYNTHETIC)
+     + "]) feature, cast(0 as bigint) n_outside")
+_KEY2 = "above_baseline, pair, n, lx, hx, bx, fx, ly, hy, by_, fy"
+_add("kde_2d", """SELECT cast(above_baseline as bigint) above_baseline, pair, cast(n as bigint) n, cast(i_x as bigint) i_x, cast(i_y as bigint) i_y,
+    round(lx + i_x * (hx - lx) / 49, 6) x, round(ly + i_y * (hy - ly) / 49, 6) y,
+    round(sum(w * exp(-0.5 * pow((i_y - jy / fy) * (hy - ly) / 49 / by_, 2))) / (2 * pi() * n), 8) density,
+    round((pow((hx - lx) / 49 / fx / bx, 2) / 8 + pow((hy - ly) / 49 / fy / by_, 2) / 8) / (2 * pi()), 8) error_bound
+    FROM along, generate_series(0, 49) g(i_y) GROUP BY """ + _KEY2 + ", i_x, i_y",
+     cap2=" UNION ALL ".join(_cap2(x, y) for x, y in DENSITY_PAIRS),
+     st0="""SELECT above_baseline, pair, count(*) n, min(x) x0, max(x) x1, stddev_samp(x) * pow(count(*), -1 / 6.0) bx,
+         min(y) y0, max(y) y1, stddev_samp(y) * pow(count(*), -1 / 6.0) by_ FROM cap2 WHERE x IS NOT NULL AND y IS NOT NULL
+         GROUP BY ALL HAVING count(*) >= 2 AND stddev_samp(x) > 0 AND stddev_samp(y) > 0""",
+     st=f"""SELECT *, {_fine_sql('lx', 'hx', 'bx', 50, 5e-3)} fx, {_fine_sql('ly', 'hy', 'by_', 50, 5e-3)} fy FROM (
+         SELECT above_baseline, pair, n, x0 - 3 * bx lx, x1 + 3 * bx hx, bx, y0 - 3 * by_ ly, y1 + 3 * by_ hy, by_ FROM st0)""",
+     spot="""SELECT s.*, (x - lx) / (hx - lx) * (fx * 49) px, least(floor(px), fx * 49 - 1) cx,
+         (y - ly) / (hy - ly) * (fy * 49) py, least(floor(py), fy * 49 - 1) cy FROM cap2 JOIN st s USING (above_baseline, pair)
+         WHERE x IS NOT NULL AND y IS NOT NULL""",
+     nodes=f"""SELECT {_KEY2}, cx + a jx, cy + b jy, sum((case a when 0 then 1 - (px - cx) else px - cx end)
+         * (case b when 0 then 1 - (py - cy) else py - cy end)) w FROM spot, generate_series(0, 1) s(a), generate_series(0, 1) t(b) GROUP BY ALL""",
+     along=f"""SELECT {_KEY2}, jy, i_x, sum(w * exp(-0.5 * pow((i_x - jx / fx) * (hx - lx) / 49 / bx, 2))) w
+         FROM nodes, generate_series(0, 49) g(i_x) GROUP BY ALL""")
 _add("correlation", "SELECT feature_a, feature_b, cast(n as bigint) n, round(r, 6) r FROM prs WHERE feature_a IN (SELECT c FROM keep) "
      "AND feature_b IN (SELECT c FROM keep)", prs=_pairs(), keep=_varied())
 _add("target_correlation", "SELECT case when feature_a = 'above_baseline' then feature_b else feature_a end feature, "

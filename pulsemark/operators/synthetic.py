@@ -19,6 +19,7 @@ from pulsemark.operators.correlation import pair_moments
 from pulsemark.operators.features import (
     add_duration, add_per_subscriber, add_target, add_velocity,
 )
+from pulsemark.operators.marginals import chosen_grids
 from pulsemark.operators.ordering import running_total
 from pulsemark.session import cut
 
@@ -32,17 +33,23 @@ _Z = np.linspace(-6.0, 6.0, 4001)
 _P = np.array([NormalDist().cdf(z) for z in _Z])
 
 
-def fit_copula(rows: DataFrame, max_categories: int = MAX_CATEGORIES) -> dict:
+def fit_copula(rows: DataFrame, max_categories: int = MAX_CATEGORIES, marginals: str = "grid") -> dict:
     """Marginals as quantile grids and category shares, and the correlation of normal scores.
 
-    What reaches the driver is bounded: a fixed grid per column, the categories of three columns and
+    ``marginals`` is "grid" for the quantiles of the rows or "fitted" for those of the nearest
+    distribution family (``operators.marginals``). What reaches the driver is bounded: a fixed grid per column, the categories of three columns and
     one number per column pair. A column with more than ``max_categories`` values is refused, not cut.
     """
-    shares = [i / (GRID_POINTS - 1) for i in range(GRID_POINTS)]
-    row = rows.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c) for c in NUMERIC
-    ]).first()
-    grids = {c: np.asarray(row[c] or [0.0] * GRID_POINTS, dtype="float64") for c in NUMERIC}
+    if marginals not in ("grid", "fitted"):
+        raise ValueError(f"unknown marginals {marginals!r}")
+    if marginals == "fitted":
+        grids = chosen_grids(rows, NUMERIC, GRID_POINTS)
+    else:
+        shares = [i / (GRID_POINTS - 1) for i in range(GRID_POINTS)]
+        row = rows.agg(*[
+            F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c) for c in NUMERIC
+        ]).first()
+        grids = {c: np.asarray(row[c] or [0.0] * GRID_POINTS, dtype="float64") for c in NUMERIC}
     categories = {}
     for c in SYNTHETIC_CATEGORIES:
         counted = rows.groupBy(c).count().orderBy(F.desc("count"), c).limit(max_categories + 1).collect()
@@ -201,10 +208,12 @@ def add_synthetic_features(rows: DataFrame) -> DataFrame:
     })
 
 
-def generate(real: DataFrame, n: int, seed: int = 42, max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def generate(
+    real: DataFrame, n: int, seed: int = 42, max_categories: int = MAX_CATEGORIES, marginals: str = "grid"
+) -> DataFrame:
     """``n`` synthetic rows with the real frame's columns and the flag."""
     spark = real.sparkSession
-    measured = sample_copula(spark, fit_copula(real, max_categories), n, seed).drop("vertical", "tier")
+    measured = sample_copula(spark, fit_copula(real, max_categories, marginals), n, seed).drop("vertical", "tier")
     placed = measured.join(draw_channels(spark.range(n), real, seed), "id")
     known = placed.join(channel_lookup(real), "channel_id")
     rows = add_synthetic_features(add_placeholders(clean_synthetic(known)))

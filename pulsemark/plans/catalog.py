@@ -18,7 +18,7 @@ from pulsemark import constants as C
 from pulsemark.functions import polls as P
 from pulsemark.operators import baselines, boosting, cleaning, collection, correlation, discovery, distributions
 from pulsemark.operators import evaluate, features, health, learners, polls, profile, segments, splits
-from pulsemark.operators import forest, ranges, synthetic
+from pulsemark.operators import forest, marginals, ranges, synthetic
 from pulsemark.operators.scaling import Scaler
 from pulsemark.plans import fixtures as X
 from pulsemark.plans.dataset import build_clean, engineer
@@ -564,6 +564,27 @@ def density_2d(spark, d):
     return tidy(reduce(DataFrame.unionByName, parts))
 
 
+@query
+def kde_binned(spark, d):
+    """The density curves by linear binning, with the bound of their error."""
+    rows = profile_rows(spark, d, *C.DENSITY_FEATURES)
+    curves = distributions.binned_kde(rows, C.DENSITY_FEATURES)
+    return tidy(curves, "feature", "i", "x", "density", "error_bound", x=4, density=9, error_bound=9)
+
+
+@query
+def kde_2d(spark, d):
+    """Two-dimensional densities of both pairs per class, as shares of a kernel of one row's height."""
+    rows = profile_rows(spark, d, C.TARGET, *{c: None for pair in C.DENSITY_PAIRS for c in pair})
+    parts = [
+        distributions.kde_2d(rows.select(C.TARGET, x, y), x, y, [C.TARGET]).withColumn("pair", F.lit(f"{x} {y}"))
+        for x, y in C.DENSITY_PAIRS
+    ]
+    scaled = reduce(DataFrame.unionByName, parts).withColumns({
+        c: F.col(c) * F.col("h_x") * F.col("h_y") for c in ("density", "error_bound")})
+    return tidy(scaled, C.TARGET, "pair", "n", "i_x", "i_y", "x", "y", "density", "error_bound", density=8, error_bound=8)
+
+
 @query
 def correlation_matrix(spark, d):
     return tidy(correlation.correlations(profile_rows(spark, d, *CORRELATED), CORRELATED))
@@ -715,6 +736,26 @@ def channel_draw(spark, d):
     return synthetic.draw_channels(ids, real)
 
 
+@query
+def fitted_marginals(spark, d):
+    """Every family's distance to every synthesised column, and the family chosen."""
+    columns = synthetic.NUMERIC
+    return tidy(marginals.fitted(profile_rows(spark, d, *columns), columns), "feature", "family", "n", "ks", "chosen")
+
+
+@query
+def synthetic_rows_fitted(spark, d):
+    """Synthetic rows from the chosen families: their number and each column's range against the real one."""
+    real = profile_rows(spark, d, *synthetic.NUMERIC, *C.SYNTHETIC_CATEGORIES)
+    ranges_of = [f(F.col(c).cast("double")).alias(f"{c}_{e}") for c in synthetic.NUMERIC for e, f in (("lo", F.min), ("hi", F.max))]
+    total = real.count()
+    made = synthetic.sample_copula(spark, synthetic.fit_copula(real, marginals="fitted"), total)
+    limits = real.agg(*ranges_of)
+    outside = [F.count_if((F.col(c) < F.col(f"{c}_lo")) | (F.col(c) > F.col(f"{c}_hi"))).alias(c) for c in synthetic.NUMERIC]
+    told = made.join(F.broadcast(limits)).agg(F.count(F.lit(1)).alias("n"), *outside)  # one row beside
+    return told.unpivot("n", synthetic.NUMERIC, "feature", "n_outside")
+
+
 @query
 def synthetic_rows(spark, d):
     """A quarter as many synthetic rows as real ones, with the real table's columns."""

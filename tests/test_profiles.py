@@ -182,3 +182,53 @@ def test_narrowing_from_any_bracket(spark, lo, hi):
 
 def test_quantiles_of_an_empty_table(spark):
     assert exact_quantiles(column(spark, [None]), [], ["x"], [0.5]).collect() == []
+
+
+def _kernels(z):
+    return np.exp(-0.5 * z * z) / np.sqrt(2 * np.pi)
+
+
+@pytest.mark.parametrize("share", [1e-2, 1e-4])
+def test_binned_kde_stays_within_its_bound(spark, share):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(10, 3, 300), rng.pareto(1.5, 200) * 20])
+    rows = distributions.binned_kde(column(spark, values), ["x"], share=share).orderBy("i").collect()
+    h = values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min(), values.max(), 200)
+    want = _kernels((grid[:, None] - values) / h).sum(1) / (len(values) * h)
+    assert [r.x for r in rows] == pytest.approx(list(grid))
+    bound = rows[0].error_bound
+    assert bound <= share / (np.sqrt(2 * np.pi) * h) * (1 + 1e-9)
+    assert np.abs(np.array([r.density for r in rows]) - want).max() <= bound + 1e-12
+
+
+def test_binned_kde_per_group(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("b", 2.0), ("c", 1.0), ("c", 2.0), ("c", None)], "k string, x double")
+    rows = distributions.binned_kde(df, ["x"], ["k"], 20).collect()
+    assert {r.k for r in rows} == {"c"} and len(rows) == 20
+
+
+def test_kde_2d_against_the_formula(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, 400)
+    y = x * 0.5 + rng.exponential(2.0, 400)
+    df = spark.createDataFrame([("a", float(u), float(v)) for u, v in zip(x, y)] + [("b", 1.0, 1.0), ("a", None, 2.0)],
+                               "k string, x double, y double")
+    rows = distributions.kde_2d(df, "x", "y", ["k"], points=30).orderBy("i_x", "i_y").collect()
+    x, y = np.minimum(x, np.quantile(x, 0.99)), np.minimum(y, np.quantile(y, 0.99))
+    hx, hy = (v.std(ddof=1) * 400 ** (-1 / 6) for v in (x, y))
+    gx, gy = (np.linspace(v.min() - 3 * h, v.max() + 3 * h, 30) for v, h in ((x, hx), (y, hy)))
+    kx, ky = _kernels((gx[:, None] - x) / hx), _kernels((gy[:, None] - y) / hy)
+    want = (kx @ ky.T / (400 * hx * hy)).ravel()
+    got = np.array([r.density for r in rows])
+    assert {r.k for r in rows} == {"a"} and len(rows) == 900
+    assert np.abs(got - want).max() <= rows[0].error_bound + 1e-12
+    assert rows[0].error_bound <= 2 * 5e-3 * 1.7 / (2 * np.pi * hx * hy)
+    assert 0.98 < got.sum() * (gx[1] - gx[0]) * (gy[1] - gy[0]) <= 1.0 + 1e-6
+
+
+def test_binned_densities_take_no_python(spark):
+    df = spark.range(100).selectExpr("cast(id as double) x", "cast(id * id as double) y", "id % 2 k")
+    for frame in (distributions.binned_kde(df, ["x"]), distributions.kde_2d(df, "x", "y", ["k"])):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "InPandas" not in plan
