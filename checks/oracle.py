@@ -732,6 +732,25 @@ _add("channel_draw", """SELECT id, channel_id FROM (SELECT o_orderkey id,
 _add("snapshot_roundtrip", """SELECT 'videos' part, count(*) n FROM lab UNION ALL SELECT 'baselines', count(*) FROM bvid
     UNION ALL SELECT 'medians', count(*) FROM med UNION ALL SELECT 'listed_videos', count(*) FROM lab
     UNION ALL SELECT 'listed_baselines', count(*) FROM bvid""")
+_TEXT_TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') {0}".format
+_POLLED = f"""video_id, poll_label, channel_id, channel_handle, vertical, tier,
+    {big('view_count', 'like_count', 'comment_count', 'subscriber_count', 'duration_seconds')}, category_name, contains_synthetic_media,
+    {_TEXT_TIME('poll_timestamp')}, {r('hours_since_publish')}"""
+_add("snapshot_videos_loaded", f"SELECT {_POLLED}, {_TEXT_TIME('published_at')} FROM lab")
+_add("tables_appended", f"SELECT {_POLLED} FROM lab")
+_add("snapshot_baselines_loaded", f"""SELECT video_id, channel_id, channel_handle, vertical, tier,
+    {big('view_count', 'like_count', 'comment_count', 'subscriber_count')}, {_TEXT_TIME('published_at')} FROM bvid""")
+_add("snapshot_medians_loaded", f"SELECT channel_id, channel_handle, video_count, {rs(*_MEDIANS)}, (SELECT count(*) FROM med) listed FROM med")
+_add("tables_medians", f"SELECT channel_id, channel_handle, video_count, {rs(*_MEDIANS)}, stored FROM med, (VALUES (true), (false)) t(stored)")
+_add("final_snapshot", f"""SELECT video_id, cast(above_baseline as bigint) above_baseline, {_FAKE} contains_synthetic_data, count(*) OVER () total_rows,
+    count(*) FILTER (NOT {_FAKE}) OVER () real_rows, count(*) FILTER ({_FAKE}) OVER () synthetic_rows,
+    round(100.0 * count(*) FILTER ({_FAKE}) OVER () / count(*) OVER (), 1) synthetic_pct FROM eng""")
+_add("json_appended", f"""SELECT video_id, channel_id, {_TEXT_TIME('published_at')}, {_TEXT_TIME('first_seen_at')}, upload_poll_done,
+    day1_poll_done, day7_poll_done FROM trk""")
+_add("csv_sample", "SELECT least(count(*), 100) n, true all_known FROM lab")
+_add("split_loaded", "SELECT video_id, vertical, tier, cast(above_baseline as bigint) above_baseline, split FROM spl", **_SPLIT)
+_add("augmented_real_rows", """SELECT video_id, split, cast(above_baseline as bigint) above_baseline, cast(view_count_7d as bigint) view_count_7d
+    FROM spl JOIN (SELECT video_id, view_count_7d FROM eng) USING (video_id)""", **_SPLIT)
 _add("split_roundtrip", "SELECT split, cast(above_baseline as bigint) above_baseline, count(*) n FROM spl GROUP BY ALL", **_SPLIT)
 _add("raw_items_parsed", f"""SELECT video_id, channel_handle, vertical, concat('t', video_id) title, '' description, 0 tag_count,
     cast(duration_seconds as bigint) duration_seconds, category_name,

@@ -25,7 +25,7 @@ from pulsemark.plans.dataset import build_clean, engineer
 from pulsemark.plans.training import augment
 from pulsemark.session import cut, shared_dir
 from pulsemark.schemas import VIDEOS_TO_TRACK
-from pulsemark.sources import holdout_store, model_store, raw_items, snapshots as snapshot_store, tracking_store
+from pulsemark.sources import holdout_store, model_store, raw_items, snapshots as snapshot_store, tables, tracking_store
 from pulsemark.streaming import collector
 
 HEALTH_NOW = "2001-08-15 00:00:00"
@@ -750,9 +750,9 @@ def synthetic_rows_fitted(spark, d):
     ranges_of = [f(F.col(c).cast("double")).alias(f"{c}_{e}") for c in synthetic.NUMERIC for e, f in (("lo", F.min), ("hi", F.max))]
     total = real.count()
     made = synthetic.sample_copula(spark, synthetic.fit_copula(real, marginals="fitted"), total)
-    limits = real.agg(*ranges_of)
-    outside = [F.count_if((F.col(c) < F.col(f"{c}_lo")) | (F.col(c) > F.col(f"{c}_hi"))).alias(c) for c in synthetic.NUMERIC]
-    told = made.join(F.broadcast(limits)).agg(F.count(F.lit(1)).alias("n"), *outside)  # one row beside
+    limits = real.agg(*ranges_of).first()
+    outside = [F.count_if(~F.col(c).between(limits[f"{c}_lo"], limits[f"{c}_hi"])).alias(c) for c in synthetic.NUMERIC]
+    told = made.agg(F.count(F.lit(1)).alias("n"), *outside)
     return told.unpivot("n", synthetic.NUMERIC, "feature", "n_outside")
 
 
@@ -791,6 +791,121 @@ def snapshot_roundtrip(spark, d):
     return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(listed)
 
 
+POLLED = ["video_id", "poll_label", "channel_id", "channel_handle", "vertical", "tier", "view_count", "like_count",
+          "comment_count", "subscriber_count", "duration_seconds", "category_name", "contains_synthetic_media"]
+HISTORY = ["video_id", "channel_id", "channel_handle", "vertical", "tier", "view_count", "like_count", "comment_count",
+           "subscriber_count"]
+
+
+def _day_time(column: str):
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(column)
+
+
+@query
+def snapshot_videos_loaded(spark, d):
+    """Every poll row as it is read back from a saved snapshot."""
+    root = _place(spark)
+    snapshot_store.save_videos(X.labelled(spark, d, with_text=False), root, "v1.0", _STAMP)
+    rows, _ = snapshot_store.load_videos(spark, root, "v1.0")
+    return tidy(rows.withColumns({c: _day_time(c) for c in ("published_at", "poll_timestamp")}),
+                *POLLED, "published_at", "poll_timestamp", "hours_since_publish")
+
+
+def _loaded_baselines(spark, d):
+    root = _place(spark)
+    snapshot_store.save_baselines(X.baseline_videos(spark, d), medians(spark, d), root, "v1.0", _STAMP)
+    return snapshot_store.load_baselines(spark, root, "v1.0")
+
+
+@query
+def snapshot_baselines_loaded(spark, d):
+    """Every baseline video as it is read back."""
+    history, _, _ = _loaded_baselines(spark, d)
+    return tidy(history.withColumn("published_at", _day_time("published_at")), *HISTORY, "published_at")
+
+
+@query
+def snapshot_medians_loaded(spark, d):
+    """Every channel's medians as they are read back beside their videos."""
+    _, middle, record = _loaded_baselines(spark, d)
+    return tidy(middle.withColumn("listed", F.lit(record["baseline_median_rows"])),
+                "channel_id", "channel_handle", "video_count", *MEDIANS, "listed")
+
+
+@query
+def final_snapshot(spark, d):
+    """K3: the model table with real and synthetic counts in its record, and the target as read back."""
+    root = _place(spark)
+    rows = numeric_rows(spark, d).select(
+        "video_id", "channel_id", "vertical", "tier", "published_at", C.TARGET,
+        F.expr("cast(substr(video_id, 2) as bigint) % 7 = 0").alias("contains_synthetic_data"))
+    record = snapshot_store.save_final(rows, root, "v1.0", _STAMP)
+    loaded, _ = snapshot_store.load_videos(spark, root, "v1.0")
+    told = {c: F.lit(record[c]) for c in ("total_rows", "real_rows", "synthetic_rows", "synthetic_pct")}
+    return tidy(loaded.withColumns(told), "video_id", C.TARGET, "contains_synthetic_data", *told)
+
+
+@query
+def tables_appended(spark, d):
+    """Poll rows appended in two parts and read back with the table's schema."""
+    root = _place(spark)
+    rows = X.snapshots(spark, d, with_text=False)
+    first = F.expr("cast(substr(video_id, 2) as bigint) % 2 = 0")
+    tables.append(rows.where(first), root, "video_snapshots")
+    tables.append(rows.where(~first), root, "video_snapshots")
+    read = tables.poll_snapshots(spark, root).withColumn("poll_timestamp", _day_time("poll_timestamp"))
+    return tidy(read, *POLLED, "poll_timestamp", "hours_since_publish")
+
+
+@query
+def tables_medians(spark, d):
+    """Baseline videos and medians appended, and medians read as stored and as computed."""
+    root = _place(spark)
+    tables.append(X.baseline_videos(spark, d), root, "channel_baseline_videos")
+    tables.append(medians(spark, d), root, "channel_baseline_medians")
+    parts = [tables.baseline_medians(spark, root, stored).withColumn("stored", F.lit(stored)) for stored in (True, False)]
+    return tidy(parts[0].select(*parts[1].columns).unionByName(parts[1]),
+                "channel_id", "channel_handle", "video_count", *MEDIANS, "stored")
+
+
+@query
+def json_appended(spark, d):
+    """K5: tracking rows appended twice as lines of JSON and read back."""
+    path = f"{_place(spark)}/tracking"
+    rows = X.tracking(spark, d)
+    for done in (True, False):
+        tables.append_json(rows.where(F.col("day1_poll_done") == done), path)
+    read = spark.read.schema(VIDEOS_TO_TRACK).json(path)
+    return tidy(read.withColumns({c: _day_time(c) for c in ("published_at", "first_seen_at")}))
+
+
+@query
+def csv_sample(spark, d):
+    """A sample of poll rows written as CSV: its rows, and how many of them are rows of the table."""
+    path = f"{_place(spark)}/sample"
+    rows = X.labelled(spark, d, with_text=False).select(
+        "video_id", "poll_label", "view_count", "like_count", "comment_count")
+    tables.sample_csv(rows, path, 100)
+    sample = spark.read.schema(rows.schema).csv(path, header=True)
+    # At most 100 rows on either broadcast side.
+    found = rows.join(F.broadcast(sample.distinct()), rows.columns, "left_semi").distinct().withColumn("known", F.lit(True))
+    return sample.join(F.broadcast(found), rows.columns, "left").agg(
+        F.count(F.lit(1)).alias("n"), (F.count_if(F.col("known").isNull()) == 0).alias("all_known"))
+
+
+@query
+def split_loaded(spark, d):
+    """Every row's split as read back from a saved split."""
+    root = _place(spark)
+    rows = cut(numeric_rows(spark, d).select(*_SPLIT_KEYS))
+    store = holdout_store.HoldoutStore(spark, root)
+    holdout_store.create_holdout(rows, store, _STAMP)
+    snapshot_store.save_splits(holdout_store.split_against(rows, store), root, "v1.0", _STAMP)
+    loaded = [snapshot_store.load_splits(spark, root, "v1.0", part) for part in ("train", "test", "val")]
+    return tidy(reduce(DataFrame.unionByName, loaded).withColumn("split", F.col("split").cast("string")),
+                "video_id", "vertical", "tier", C.TARGET, "split")
+
+
 @query
 def split_roundtrip(spark, d):
     """Lock a holdout, split against it, save the splits and load them back."""
@@ -987,6 +1102,14 @@ def augmented_train(spark, d):
     return augment(divided, 0.8).groupBy("split", "contains_synthetic_data").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def augmented_real_rows(spark, d):
+    """The real rows after synthetic ones joined the train split, with split, target and a count."""
+    rows = cut(engineer(full_clean(spark, d)))
+    made = augment(cut(_with_new_holdout(rows)), 0.8)
+    return tidy(made.where("not contains_synthetic_data"), "video_id", "split", C.TARGET, "view_count_7d")
+
+
 # --- streams --------------------------------------------------------------------------------
 def _stream(spark, d):
     """The events table as a stream of observations."""

@@ -166,10 +166,25 @@ def load_videos(spark: SparkSession, root: str, tag: str) -> tuple[DataFrame, di
     return spark.read.parquet(path), read_record(spark, f"{path}_meta")
 
 
+def _newest_pair(spark: SparkSession, root: str, tag: str) -> tuple[str, str]:
+    """Baseline videos and medians of the newest save that wrote both; they carry one time stamp."""
+    stamp = "[0-9]" * 8 + "_" + "[0-9]" * 6
+    found = [
+        {path[-15:]: path for path in complete(spark, f"{_folder(root)}/{_PREFIX[kind]}_{tag}_{stamp}")}
+        for kind in ("baselines", "medians")
+    ]
+    both = sorted(found[0].keys() & found[1].keys())
+    if not both:
+        raise FileNotFoundError(f"no complete baselines snapshot for tag {tag!r} under {root}")
+    return found[0][both[-1]], found[1][both[-1]]
+
+
 def load_baselines(spark: SparkSession, root: str, tag: str) -> tuple[DataFrame, DataFrame, dict | None]:
-    """Baseline videos, medians and the record if there is one."""
-    path = _newest(spark, root, "baselines", tag)
-    medians = _newest(spark, root, "medians", tag)
+    """Baseline videos, the medians of the same save, and the record if there is one.
+
+    A save that was lost between its two parts is passed over, so videos never meet older medians.
+    """
+    path, medians = _newest_pair(spark, root, tag)
     record = read_record(spark, f"{path}_meta") if exists(spark, f"{path}_meta") else None
     return spark.read.parquet(path), spark.read.parquet(medians), record
 

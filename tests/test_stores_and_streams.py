@@ -284,3 +284,23 @@ def test_update_rewrites_touched_folders_only(spark, folder):
     assert kept and all(new.get(p) == t for p, t in kept.items())
     assert not any(p in new for p in old if p not in kept)
     assert table.set_flag(ids, "day7_poll_done") == [] and files() == new
+
+
+def test_medians_come_from_the_save_of_their_videos(spark, folder):
+    def save(day, views, both=True):
+        videos = spark.createDataFrame([("c", f"v{day}", views)], "channel_id string, video_id string, view_count long")
+        middle = spark.createDataFrame([("c", float(views))], "channel_id string, median_views double")
+        snapshots.save_baselines(videos, middle, folder, "v1", datetime(2026, 1, day), overwrite=True)
+        if not both:  # lost between its two parts: no marker of a finished write
+            (Path(folder) / "snapshots" / f"medians_v1_2026010{day}_000000" / "_SUCCESS").unlink()
+
+    save(1, 10)
+    save(2, 20, both=False)
+    videos, middle, record = snapshots.load_baselines(spark, folder, "v1")
+    assert videos.first().video_id == "v1" and middle.first().median_views == 10.0
+    assert record["snapshot_timestamp"].startswith("2026-01-01")
+    save(3, 30)
+    videos, middle, _ = snapshots.load_baselines(spark, folder, "v1")
+    assert videos.first().video_id == "v3" and middle.first().median_views == 30.0
+    with pytest.raises(FileNotFoundError):
+        snapshots.load_baselines(spark, folder, "v9")
