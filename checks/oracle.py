@@ -745,6 +745,13 @@ _add("tables_medians", f"SELECT channel_id, channel_handle, video_count, {rs(*_M
 _add("final_snapshot", f"""SELECT video_id, cast(above_baseline as bigint) above_baseline, {_FAKE} contains_synthetic_data, count(*) OVER () total_rows,
     count(*) FILTER (NOT {_FAKE}) OVER () real_rows, count(*) FILTER ({_FAKE}) OVER () synthetic_rows,
     round(100.0 * count(*) FILTER ({_FAKE}) OVER () / count(*) OVER (), 1) synthetic_pct FROM eng""")
+_BYTE = "cast(concat('0x', substr(h, (i + {0}) % 16 * 2 + 1, 2)) as bigint)".format
+_add("thumbnail_scan", """SELECT name, round(avg(round_even(0.299::double * r + 0.587::double * g + 0.114::double * b, 0)), 6) brightness,
+    round(sqrt(var_pop(abs(r - g)) + var_pop(abs(0.5::double * (r + g) - b)))
+      + 0.3 * sqrt(pow(avg(abs(r - g)), 2) + pow(avg(abs(0.5::double * (r + g) - b)), 2)), 6) colorfulness,
+    (SELECT count(*) FROM documents WHERE text IS NOT NULL) written FROM px GROUP BY name""",
+     px=f"""SELECT concat('d', cast(doc_id as varchar)) name, {_BYTE(0)} r, {_BYTE(5)} g, {_BYTE(11)} b
+         FROM (SELECT doc_id, md5(text) h FROM documents WHERE text IS NOT NULL), generate_series(0, 15) t(i)""")
 _add("json_appended", f"""SELECT video_id, channel_id, {_TEXT_TIME('published_at')}, {_TEXT_TIME('first_seen_at')}, upload_poll_done,
     day1_poll_done, day7_poll_done FROM trk""")
 _add("csv_sample", "SELECT least(count(*), 100) n, true all_known FROM lab")

@@ -1,14 +1,20 @@
 """brightness and colourfulness of thumbnails read with ``spark.read.format("image")``.
 
 The only Python function over row values in the package: Spark has no pixel arithmetic. It takes the
-decoded bytes in Arrow batches.
+decoded bytes in Arrow batches. ``write_images`` is the sink that belongs to it: one file per row, written by
+the tasks.
 """
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,3 +46,49 @@ def thumbnail_stats(images: DataFrame) -> DataFrame:
     return images.select(F.col("image.origin").alias("origin"), image_stats(F.col("image")).alias("s")).select(
         "origin", "s.brightness", "s.colorfulness"
     )
+
+
+def read_thumbnails(spark: SparkSession, root: str) -> DataFrame:
+    """Brightness and colourfulness of every image file below a folder; broken files give (0, 0).
+
+    Files are listed and decoded by Spark's image source, so tasks hold a batch of images at a time.
+    """
+    images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(root)
+    return thumbnail_stats(images)
+
+
+def bitmap(width: int, height: int, pixels: bytes) -> bytes:
+    """A 24-bit bitmap file of blue, green, red bytes, rows from the top."""
+    padding = b"\0" * (-3 * width % 4)
+    rows = [pixels[3 * width * y: 3 * width * (y + 1)] + padding for y in range(height)]
+    data = b"".join(reversed(rows))
+    head = struct.pack("<2sIHHI", b"BM", 54 + len(data), 0, 0, 54)
+    return head + struct.pack("<IiiHHIIiiII", 40, width, height, 1, 24, 0, len(data), 2835, 2835, 0, 0) + data
+
+
+def write_images(images: DataFrame, root: str) -> int:
+    """Write (name, width, height, pixels) rows as ``name``.bmp below a folder; how many were written.
+
+    The folder is any that pyarrow can reach (file, hdfs, s3). A row's file has its own name in one of 256
+    folders by hash, so a repeated task writes the same file again. Rows with a null or another number
+    of pixels are written as files of one byte, which readers see as broken images (the file source skips
+    empty ones).
+    """
+    root = root.rstrip("/")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = pa.fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+        done = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{base}/{row['part']:02x}"
+                system.create_dir(folder, recursive=True)
+                whole = row["pixels"] is not None and len(row["pixels"]) == 3 * (row["width"] or 0) * (row["height"] or 0)
+                with system.open_output_stream(f"{folder}/{row['name']}.bmp") as out:
+                    out.write(bitmap(row["width"], row["height"], row["pixels"]) if whole else b"\0")
+                done += 1
+        yield pa.RecordBatch.from_pydict({"n": [done]})
+
+    named = images.where("name is not null").select(
+        "name", "width", "height", "pixels", F.pmod(F.xxhash64("name"), F.lit(256)).cast("int").alias("part"))
+    return named.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0

@@ -49,16 +49,16 @@ def channel_medians(videos: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) ->
         "channel_id", "channel_handle", *[finite(F.col(c)).alias(c) for c in _COUNTED],
     ).withColumn("engagement_rate", finite(F.try_divide(
         (F.col("like_count") + F.col("comment_count")).cast("double"), F.col("view_count"))))
-    # A null channel is a group of its own and keeps to the built-in median.
-    hot = (
-        rated.groupBy("channel_id").count()
-        .where((F.col("count") > hot_group_rows) & F.col("channel_id").isNotNull()).select("channel_id")
-    )
+    hot = rated.groupBy("channel_id").count().where(F.col("count") > hot_group_rows).select("channel_id")
     if hot.isEmpty():  # the same medians without the second way's passes
         return _plain_medians(rated)
-    cold = _plain_medians(rated.join(hot, "channel_id", "left_anti"))
-    large = _hot_medians(rated.join(hot, "channel_id", "left_semi"))
-    return cold.unionByName(large)
+    # Joins drop null keys, so a null channel, which is a group of its own, has a key without the mark.
+    marked = F.coalesce(F.concat(F.lit("+"), "channel_id"), F.lit("-"))
+    named, hot = rated.withColumn("channel_id", marked), hot.select(marked.alias("channel_id"))
+    cold = _plain_medians(named.join(hot, "channel_id", "left_anti"))
+    large = _hot_medians(named.join(hot, "channel_id", "left_semi"))
+    key = F.col("channel_id")
+    return cold.unionByName(large).withColumn("channel_id", F.when(key != "-", F.substr(key, F.lit(2))))
 
 
 def attach_baselines(wide: DataFrame, medians: DataFrame) -> DataFrame:

@@ -6,12 +6,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 512
+# Rows that one task sorts at once, and the least and most parts a table is cut into.
+PART_ROWS = 100_000
+PARTS = (8, 20_000)
 
 
-def value_buckets(df: DataFrame, column: str, buckets: int = BUCKETS) -> DataFrame:
+def parts_for(rows: int, each: int = PART_ROWS) -> int:
+    """Into how many parts to cut a table of so many rows."""
+    return min(PARTS[1], max(PARTS[0], -(-rows // each)))
+
+
+def value_buckets(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     """Add ``_bucket``, an ordered bucket of near-equal size by value. The cuts are approximate; the
-    order of the buckets is exact."""
+    order of the buckets is exact. Their number follows the counted rows unless it is given."""
+    buckets = buckets or parts_for(df.count())
     shares = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(column, shares, 0.25 / buckets))) or [0.0]
     edges = [-float("inf"), *cuts, float("inf")]

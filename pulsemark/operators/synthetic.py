@@ -20,13 +20,12 @@ from pulsemark.operators.features import (
     add_duration, add_per_subscriber, add_target, add_velocity,
 )
 from pulsemark.operators.marginals import chosen_grids
-from pulsemark.operators.ordering import running_total
+from pulsemark.operators.ordering import parts_for, running_total
 from pulsemark.session import cut
 
 NUMERIC = SYNTHETIC_COUNTS + SYNTHETIC_REALS
 GRID_POINTS = 201
 MAX_CATEGORIES = 10_000
-SLICES = 1024
 
 # Standard normal values and probabilities, read in both directions by interpolation.
 _Z = np.linspace(-6.0, 6.0, 4001)
@@ -123,20 +122,21 @@ def sample_copula(spark: SparkSession, copula: dict, n: int, seed: int = 42) ->
     return draws.mapInPandas(place, schema)
 
 
-def draw_channels(ids: DataFrame, real: DataFrame, seed: int = 42, slices: int = SLICES) -> DataFrame:
+def draw_channels(ids: DataFrame, real: DataFrame, seed: int = 42, slices: int | None = None) -> DataFrame:
     """A real channel for every id, drawn in proportion to the channel's rows.
 
     Channels get consecutive spans of positions, ids a hashed position, and the last span start at or
-    before a position is its channel. Positions are cut into even slices that are sorted apart; a
-    channel with a third of all rows spans a third of the slices.
+    before a position is its channel. Positions are cut into even slices that are sorted apart, as many
+    as the counted ids and channels ask for; a channel with a third of all rows spans a third of them.
     """
     bucket = F.conv(F.substring(F.md5(F.col("channel_id").cast("binary")), 1, 3), 16, 10).cast("int")
     weights = cut(
         real.groupBy("channel_id").agg(F.count(F.lit(1)).alias("n")).withColumn("_bucket", bucket)
     )
-    total = weights.agg(F.sum("n")).first()[0] or 0
+    total, channels = weights.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     if total == 0:
         raise ValueError("no real rows to draw channels from")
+    slices = slices or parts_for(ids.count() + channels)
     spans = running_total(weights, "n", ["channel_id"], "position")
     first = F.expr(f"position * {slices} div {total}")
     last = F.expr(f"(position + n - 1) * {slices} div {total}")

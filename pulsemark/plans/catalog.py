@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from pulsemark import constants as C
 from pulsemark.functions import polls as P
+from pulsemark.functions.images import read_thumbnails, write_images
 from pulsemark.operators import baselines, boosting, cleaning, collection, correlation, discovery, distributions
 from pulsemark.operators import evaluate, features, health, learners, polls, profile, segments, splits
 from pulsemark.operators import forest, marginals, ranges, synthetic
@@ -868,6 +869,23 @@ def tables_medians(spark, d):
                 "channel_id", "channel_handle", "video_count", *MEDIANS, "stored")
 
 
+@query
+def thumbnail_scan(spark, d):
+    """brightness and colourfulness of image files made from the bytes of each document's digest."""
+    root = f"{_place(spark)}/images"
+    # A picture of 4 x 4 pixels; blue, green and red of a pixel are three bytes of the digest.
+    at = F.sequence(F.lit(0), F.lit(15))
+    pixels = F.array_join(F.transform(at, lambda i: F.concat(*[
+        F.substr("h", (i + shift) % 16 * 2 + 1, F.lit(2)) for shift in (11, 5, 0)])), "")
+    images = X.table(spark, d, "documents").where("text is not null").select(
+        F.concat(F.lit("d"), "doc_id").alias("name"), F.md5(F.col("text").cast("binary")).alias("h")).select(
+        "name", F.lit(4).alias("width"), F.lit(4).alias("height"), F.unhex(pixels).alias("pixels"))
+    written = write_images(images, root)
+    told = read_thumbnails(spark, root).select(
+        F.regexp_extract("origin", r"(d\d+)\.bmp$", 1).alias("name"), "brightness", "colorfulness", F.lit(written).alias("written"))
+    return tidy(told)
+
+
 @query
 def json_appended(spark, d):
     """K5: tracking rows appended twice as lines of JSON and read back."""

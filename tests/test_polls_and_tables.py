@@ -207,3 +207,15 @@ def test_one_video_with_a_third_of_all_rows(spark):
     track = tracking(spark, ("hot", True, True, True))
     lost = {r.stage: r.orphaned_snapshots for r in health.orphans(track, df).collect()}
     assert lost == {"upload": 600, "24h": 600, "7d": 600}
+
+
+@pytest.mark.parametrize("limit", [1, 10, 1000])
+def test_medians_of_a_large_null_channel(spark, limit):
+    """A null channel and a channel named like its placeholder are groups of their own on either way."""
+    rows = [(None, "n", i, 2 * i, 1) for i in range(50)] + [("-", "m", i, i, i) for i in range(1, 21)] + [("a", "a", 7, 1, None)]
+    df = spark.createDataFrame(rows, "channel_id string, channel_handle string, view_count long, like_count long, comment_count long")
+    got = {r.channel_id: r for r in baselines.channel_medians(df, limit).collect()}
+    assert len(got) == 3 and got[None].video_count == 50
+    assert got[None].median_views == 24.5 and got[None].median_likes == 49.0
+    assert (got["-"].median_views, got["-"].median_engagement_rate) == (10.5, 2.0)
+    assert got["a"].median_views == 7.0 and got["a"].median_comments is None
