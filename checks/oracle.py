@@ -470,6 +470,31 @@ _add("last_30_baseline", """SELECT video_id, channel_id FROM (SELECT *, row_numb
     WHERE pick <= 30""")
 _add("run_counts", """SELECT poll_label, count(*) rows_written, count(DISTINCT video_id) videos,
     count(DISTINCT channel_id) channels_done FROM lab GROUP BY 1""")
+_add("run_report", """SELECT vertical, count(*) FILTER (planned) channels_planned, count(*) FILTER (planned AND n > 0) channels_done,
+    count(*) FILTER (planned AND n = 0) channels_skipped, cast(coalesce(sum(n) FILTER (planned), 0) as bigint) rows_written,
+    cast(coalesce(sum(n) FILTER (NOT planned), 0) as bigint) rows_elsewhere FROM (
+      SELECT ch.vertical, c_custkey % 4 <> 0 planned, count(bvid.video_id) n FROM ch LEFT JOIN bvid USING (channel_id)
+      GROUP BY ch.vertical, c_custkey, channel_id) GROUP BY 1""")
+_add("skipped_channels", """SELECT channel_id, channel_handle, vertical, tier FROM tch
+    WHERE channel_id NOT IN (SELECT channel_id FROM bvid)""")
+_add("combined_polls", f"SELECT video_id, poll_label, {big('view_count', 'like_count', 'comment_count')} FROM lab")
+_add("segments_restored", f"SELECT video_id, vertical, tier, {big('above_baseline', 'view_count_24h')} FROM eng")
+_INPUTS = [
+    "duration_seconds", "brightness", "colorfulness",
+    *[f"{m}_count_{p}" for p in ("upload", "24h") for m in ("view", "like", "comment", "subscriber")],
+    *[f"{m}_count_velocity_24h" for m in ("view", "like", "comment", "subscriber")],
+    "view_velocity_upload", "like_velocity_upload", "view_velocity_per_sub_24h", "like_velocity_per_sub_24h",
+    "view_velocity_ratio", "view_velocity_acceleration", "like_velocity_acceleration",
+    "view_count_upload_vs_baseline", "like_count_upload_vs_baseline", "like_rate_upload", "like_rate_24h",
+    *[f"{m}s_per_sub_{p}" for p in ("upload", "24h") for m in ("view", "like", "comment")],
+]
+_add("model_inputs", " UNION ALL ".join(
+    f"SELECT '{c}' feature, count({c}) n, round(min(cast({c} as double)), 6) least, round(max(cast({c} as double)), 6) most FROM eng"
+    for c in _INPUTS))
+_add("real_and_synthetic", """SELECT video_id, cast(above_baseline as bigint) above_baseline,
+    case when cast(substr(video_id, 2) as bigint) % 7 = 0 then 'synthetic' else 'real' end part FROM eng""")
+_add("aligned_rows", """SELECT video_id, cast(NULL as varchar) poll_label, channel_id, view_count, like_count,
+    cast(NULL as double) hours_since_publish, tier FROM bvid""")
 _add("completion", _COMPLETION)
 _add("mismatches", _MISMATCH)
 _add("mismatch_examples", f"SELECT stage, video_id, channel_id FROM ({_MISMATCH}) ORDER BY stage, video_id LIMIT 5")

@@ -97,3 +97,28 @@ def set_flag(table: DataFrame, ids: DataFrame, key: str, flag: str) -> DataFrame
 def distinct_channels(batch: DataFrame) -> DataFrame:
     """U4: the channels of a batch."""
     return batch.select("channel_id").distinct()
+
+
+def run_report(planned: DataFrame, written: DataFrame) -> DataFrame:
+    """Of the channels planned for a run, how many were done and skipped, and the rows written for them.
+
+    Rows of a channel are counted before the join, so a channel with a third of them is one row. A
+    channel planned twice counts once; rows of channels that were not planned are in ``rows_elsewhere``.
+    """
+    rows = written.groupBy("channel_id").agg(F.count(F.lit(1)).alias("n"))
+    wanted = planned.where("channel_id is not null").select("channel_id", F.lit(1).alias("planned")).distinct()
+    both = wanted.join(rows, "channel_id", "full")
+    is_planned = F.col("planned").isNotNull()
+    return both.agg(
+        F.count("planned").alias("channels_planned"),
+        F.count_if(is_planned & F.col("n").isNotNull()).alias("channels_done"),
+        F.count_if(F.col("n").isNull()).alias("channels_skipped"),
+        F.coalesce(F.sum(F.when(is_planned, F.col("n"))), F.lit(0)).alias("rows_written"),
+        F.coalesce(F.sum(F.when(~is_planned, F.col("n"))), F.lit(0)).alias("rows_elsewhere"),
+    )
+
+
+def skipped_channels(planned: DataFrame, written: DataFrame) -> DataFrame:
+    """The planned channels for which nothing was written, each once."""
+    known = planned.where("channel_id is not null").dropDuplicates(["channel_id"])
+    return known.join(written.select("channel_id").distinct(), "channel_id", "left_anti")

@@ -19,7 +19,7 @@ from pulsemark.functions import polls as P
 from pulsemark.functions.images import read_thumbnails, write_images
 from pulsemark.operators import baselines, boosting, cleaning, collection, correlation, discovery, distributions
 from pulsemark.operators import evaluate, features, health, learners, polls, profile, segments, splits
-from pulsemark.operators import forest, marginals, ranges, synthetic
+from pulsemark.operators import forest, marginals, quantiles, ranges, synthetic
 from pulsemark.operators.scaling import Scaler
 from pulsemark.plans import fixtures as X
 from pulsemark.plans.dataset import build_clean, engineer
@@ -342,6 +342,66 @@ def run_counts(spark, d):
     return polls.run_counts(X.labelled(spark, d, with_text=False))
 
 
+@query
+def run_report(spark, d):
+    """Channels planned, done and skipped by a run that wrote the baseline videos, by vertical of the channel."""
+    planned, written = X.tracked_channels(spark, d), X.baseline_videos(spark, d)
+    parts = [collection.run_report(planned.where(F.col("vertical") == v), written.where(F.col("vertical") == v)).withColumn(
+        "vertical", F.lit(v)) for v in C.VERTICALS]
+    return tidy(reduce(DataFrame.unionByName, parts))
+
+
+@query
+def skipped_channels(spark, d):
+    return collection.skipped_channels(X.tracked_channels(spark, d), X.baseline_videos(spark, d)).select(
+        "channel_id", "channel_handle", "vertical", "tier")
+
+
+@query
+def combined_polls(spark, d):
+    """The three batches of a run, collected apart and put together."""
+    rows = X.labelled(spark, d, with_text=False)
+    batches = [rows.where(F.col("poll_label") == label) for label in C.POLL_LABELS]
+    return tidy(polls.combine_polls(*batches), "video_id", "poll_label", "view_count", "like_count", "comment_count")
+
+
+@query
+def segments_restored(spark, d):
+    """A narrow frame that lost vertical and tier gets them back by video id."""
+    base = cut(numeric_rows(spark, d).select("video_id", "vertical", "tier", C.TARGET, "view_count_24h"))
+    bare = base.select("video_id", C.TARGET, "view_count_24h")
+    return tidy(segments.with_segments(bare, base), "video_id", "vertical", "tier", C.TARGET, "view_count_24h")
+
+
+@query
+def model_inputs(spark, d):
+    """The numeric model inputs among the columns of the model rows, with their known values and range."""
+    rows = numeric_rows(spark, d)
+    chosen = cleaning.numeric_columns(rows, C.NOT_FEATURES)
+    chosen = [c for c in features.feature_columns(rows) if c in chosen]
+    long = quantiles.unpivot(rows, [], chosen)
+    return tidy(long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most")))
+
+
+@query
+def real_and_synthetic(spark, d):
+    """Real rows and synthetic rows of the flagged table, each by its own filter."""
+    rows = cut(numeric_rows(spark, d).select("video_id", C.TARGET, F.expr(
+        "cast(substr(video_id, 2) as bigint) % 7 = 0").alias("contains_synthetic_data")))
+    parts = [cleaning.only_real(rows, real).withColumn("part", F.lit(name)) for real, name in ((True, "real"), (False, "synthetic"))]
+    return tidy(reduce(DataFrame.unionByName, parts), "video_id", C.TARGET, "part")
+
+
+@query
+def aligned_rows(spark, d):
+    """Baseline videos in the columns of poll rows, missing ones as NULL."""
+    wanted = ["video_id", "poll_label", "channel_id", "view_count", "like_count", "hours_since_publish", "tier"]
+    rows = cleaning.align(X.baseline_videos(spark, d), wanted)
+    return rows.withColumns({"poll_label": F.col("poll_label").cast("string"),
+                             "hours_since_publish": F.col("hours_since_publish").cast("double")})
+
+
 @query
 def mark_flags(spark, d):
     done = X.labelled(spark, d, with_text=False).where("poll_label = '24h'")

@@ -219,3 +219,13 @@ def test_medians_of_a_large_null_channel(spark, limit):
     assert got[None].median_views == 24.5 and got[None].median_likes == 49.0
     assert (got["-"].median_views, got["-"].median_engagement_rate) == (10.5, 2.0)
     assert got["a"].median_views == 7.0 and got["a"].median_comments is None
+
+
+def test_run_report_counts_skipped_channels(spark):
+    planned = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4), (None, 5)], "channel_id string, x int")
+    written = spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "channel_id string")
+    row = collection.run_report(planned, written).first()
+    assert row.asDict() == {"channels_planned": 3, "channels_done": 1, "channels_skipped": 2, "rows_written": 2, "rows_elsewhere": 2}
+    assert sorted(r.channel_id for r in collection.skipped_channels(planned, written).collect()) == ["b", "c"]
+    nothing = collection.run_report(planned.limit(0), written.limit(0)).first()
+    assert set(nothing.asDict().values()) == {0}
