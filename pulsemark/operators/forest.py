@@ -7,13 +7,16 @@ and picks the best split of each node, and the driver sees one row per node. A n
 rows is finished in one task, which holds these rows only. All sums are whole numbers and a node draws its features from
 its own name, so that the trees depend neither on the partitioning nor on which way a node was split.
 
-The model is held by the driver and sent to the tasks that predict; ``min_samples_leaf`` bounds its nodes.
+The nodes are a stored table, as they grow with the rows and the trees. The driver holds only the splits of nodes of more than
+``LOCAL_ROWS`` rows. Rows to predict are led down these splits and meet the rest of each tree, a part of at most
+``LOCAL_ROWS`` training rows, in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -21,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.operators.boosting import added_numbers, as_matrix, binned, draws, prepared
+from pulsemark.session import cut
 
 #: Open nodes whose histograms are summed in one pass.
 QUEUE = 512
@@ -28,6 +32,10 @@ QUEUE = 512
 LOCAL_ROWS = 50_000
 #: Rows that a pass may carry to small nodes: as many trees grow at the same time as keep to it, one at least.
 CARRIED_ROWS = 20_000_000
+#: Rows to predict that meet one part of a tree in one task.
+SCORED_ROWS = 500_000
+#: Steps of a share in one unit when shares of many trees are added, so that the sum does not depend on their order.
+SHARE_UNIT = 1 << 50
 
 
 @dataclass(frozen=True)
@@ -57,11 +65,12 @@ class Tree:
     rows: np.ndarray
     share: np.ndarray  # weighted share of label 1
 
-    def shares(self, bins: np.ndarray) -> np.ndarray:
-        return self.share[self._walk(bins)]
+    def shares(self, bins: np.ndarray, top: int = 1) -> np.ndarray:
+        """The share of the leaf below the node ``top`` that each row ends in."""
+        return self.share[self._walk(bins, top)]
 
-    def _walk(self, bins: np.ndarray) -> np.ndarray:
-        at = np.full(len(bins), np.searchsorted(self.name, np.uint64(1)))
+    def _walk(self, bins: np.ndarray, top: int) -> np.ndarray:
+        at = np.full(len(bins), np.searchsorted(self.name, np.uint64(top)))
         inner = np.flatnonzero(self.feature[at] >= 0)
         while len(inner):
             node = at[inner]
@@ -83,13 +92,28 @@ class Tree:
 
 @dataclass
 class Forest:
+    """``nodes`` is a stored table: a node of ``tree``, and by ``top`` the part of the tree that it is in."""
+
     columns: list[str]
     edges: list[np.ndarray]
-    trees: list[Tree]
     settings: Settings
+    nodes: DataFrame | None = None
+    upper: _Growing = field(default_factory=lambda: _Growing())  # the splits above the parts
+    n_trees: int = 0
+
+    @cached_property
+    def trees(self) -> list[Tree]:
+        """All trees, gathered in this process: for a look at a small forest. ``predict`` does without."""
+        if self.nodes is None:
+            return []
+        nodes, out = self.nodes.toPandas(), []
+        for _, part in nodes.assign(name=nodes["name"].astype("int64").astype("uint64")).groupby("tree"):
+            part = part.sort_values("name")
+            out.append(Tree(*[part[c].to_numpy() for c in ("name", "feature", "cut", "rows", "share")]))
+        return out
 
     def shares(self, bins: np.ndarray) -> np.ndarray:
-        """The mean share of label 1 in the leaves of all trees."""
+        """The mean share of label 1 in the leaves of all trees, gathered as ``trees`` are."""
         return sum((t.shares(bins) for t in self.trees), np.zeros(len(bins))) / max(len(self.trees), 1)
 
 
@@ -189,6 +213,12 @@ class _Growing:
         self.split.setdefault(tree, {})[name] = feature, cut_
         self.sorted.pop(tree, None)
 
+    def of(self, trees) -> _Growing:
+        """The splits of some trees, to be sent to tasks."""
+        out = _Growing()
+        out.split = {t: dict(self.split[t]) for t in set(trees) if t in self.split}
+        return out
+
     def place(self, tree: int, bins: np.ndarray) -> np.ndarray:
         """The name of the open node or leaf that each row is in."""
         at = np.ones(len(bins), np.uint64)
@@ -251,7 +281,20 @@ def _picked(queue: list[_Open], n_columns: int, width: int, settings: Settings):
     return run
 
 
-def _carried(growing: _Growing, small: list[_Open], settings: Settings):
+def packed(bins: np.ndarray, width: int) -> list[bytes]:
+    """The bins of each row as bytes, which pass a shuffle and a worker faster than arrays of numbers."""
+    return [row.tobytes() for row in np.ascontiguousarray(bins, _kind(width))]
+
+
+def unpacked(column, n_columns: int, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), _kind(width)).reshape(-1, n_columns).astype(np.int64)
+
+
+def _kind(width: int):
+    return np.uint8 if width <= 1 << 8 else np.uint16 if width <= 1 << 16 else np.int64
+
+
+def _carried(growing: _Growing, small: list[_Open], width: int, settings: Settings):
     """Rows of the small nodes, each with the number of its node."""
     slots = {(o.tree, o.name): k for k, o in enumerate(small)}
 
@@ -266,29 +309,42 @@ def _carried(growing: _Growing, small: list[_Open], settings: Settings):
                 drawn, slot = drawn[slot >= 0], slot[slot >= 0]
                 if len(drawn):
                     yield pd.DataFrame({"slot": slot, "w": w[drawn], "y": batch["label"].to_numpy().astype(np.int64)[drawn],
-                                        "bins": list(bins[drawn])})
+                                        "bins": packed(bins[drawn], width)})
     return run
 
 
-def _finish(small: list[_Open], width: int, settings: Settings):
+_NODES = "tree int, top bigint, name bigint, feature int, cut int, rows bigint, share double"
+
+
+def signed(name: int) -> int:
+    """The same 64 bits as Spark's numbers have them."""
+    return int(np.uint64(name).astype(np.int64))
+
+
+def _finish(small: list[_Open], n_columns: int, width: int, settings: Settings):
     def run(key, rows):
         o = small[int(key[0])]
-        nodes = finished(o.tree, o.name, o.depth, as_matrix(rows["bins"]), rows["w"].to_numpy(), rows["y"].to_numpy(), width, settings)
+        bins = unpacked(rows["bins"], n_columns, width)
+        nodes = finished(o.tree, o.name, o.depth, bins, rows["w"].to_numpy(), rows["y"].to_numpy(), width, settings)
         out = pd.DataFrame(nodes, columns=["name", "feature", "cut", "rows", "share"])
-        out["name"] = out["name"].astype("uint64").astype("int64")  # the same 64 bits
-        return out.assign(tree=o.tree)[["tree", "name", "feature", "cut", "rows", "share"]]
+        out["name"] = out["name"].astype("uint64").astype("int64")
+        return out.assign(tree=o.tree, top=signed(o.name))[["tree", "top", "name", "feature", "cut", "rows", "share"]]
     return run
 
 
-def _grow(table: DataFrame, n_rows: int, trees: Sequence[int], n_columns: int, width: int, settings: Settings) -> pd.DataFrame:
-    """The nodes of some trees: (tree, name, feature, cut, rows, share), names as signed numbers."""
-    growing, done = _Growing(), []
+def _grow(table: DataFrame, n_rows: int, trees: Sequence[int], n_columns: int, width: int, settings: Settings,
+          growing: _Growing) -> DataFrame:
+    """The stored nodes of some trees; their splits of large nodes are added to ``growing``.
+
+    ``top`` is the node whose rows one task finished, the leaf itself for a large leaf, and 0 for a split large node.
+    """
+    done = []
     roots = [_Open(t, 1, 0, n_rows) for t in trees]  # a bag holds no more rows
     small, large = (roots, []) if n_rows <= LOCAL_ROWS else ([], roots)
     while large:
         large.sort(key=lambda o: (-o.rows, o.tree, o.name))
         queue, large = large[:QUEUE], large[QUEUE:]
-        cells = table.mapInPandas(_cells(growing, queue, n_columns, width, settings), _SUMS)
+        cells = table.mapInPandas(_cells(growing.of(o.tree for o in queue), queue, n_columns, width, settings), _SUMS)
         summed = cells.groupBy("slot", "place").agg(*[F.sum(c).alias(c) for c in ("n", "w", "y")])
         picked = summed.groupBy("slot").applyInPandas(
             _picked(queue, n_columns, width, settings),
@@ -297,19 +353,20 @@ def _grow(table: DataFrame, n_rows: int, trees: Sequence[int], n_columns: int, w
             o = queue[r.slot]
             deep = settings.max_depth is not None and o.depth >= settings.max_depth
             feature = -1 if deep else int(r.feature)
-            done.append((o.tree, int(np.uint64(o.name).astype(np.int64)), feature, int(r.cut) if feature >= 0 else 0, int(r.rows), r.share))
+            name = signed(o.name)
+            done.append((o.tree, name if feature < 0 else 0, name, feature, int(r.cut) if feature >= 0 else 0, int(r.rows), float(r.share)))
             if feature < 0:
                 continue
             growing.add(o.tree, o.name, feature, int(r.cut))
             for side, rows in ((False, r.left), (True, r.rows - r.left)):
                 child = int(children(np.array([o.name], np.uint64), np.array([side]))[0])
                 (small if rows <= LOCAL_ROWS else large).append(_Open(o.tree, child, o.depth + 1, int(rows)))
-    parts = [pd.DataFrame(done, columns=["tree", "name", "feature", "cut", "rows", "share"])] if done else []
+    parts = [table.sparkSession.createDataFrame(done, _NODES)] if done else []
     if small:
-        carried = table.mapInPandas(_carried(growing, small, settings), "slot int, w bigint, y bigint, bins array<int>")
-        parts.append(carried.groupBy("slot").applyInPandas(
-            _finish(small, width, settings), "tree int, name bigint, feature int, cut int, rows bigint, share double").toPandas())
-    return pd.concat(parts, ignore_index=True)
+        carried = table.mapInPandas(
+            _carried(growing.of(o.tree for o in small), small, width, settings), "slot int, w bigint, y bigint, bins binary")
+        parts.append(carried.groupBy("slot").applyInPandas(_finish(small, n_columns, width, settings), _NODES))
+    return cut(reduce(DataFrame.unionByName, parts))
 
 
 def fit(rows: DataFrame, columns: Sequence[str], label: str, key: str, settings: Settings = Settings()) -> Forest:
@@ -320,20 +377,25 @@ def fit(rows: DataFrame, columns: Sequence[str], label: str, key: str, settings:
     """
     columns = list(columns)
     table, edges = prepared(rows, columns, label, key, settings.max_bin)
-    forest = Forest(columns, edges, [], settings)
+    forest = Forest(columns, edges, settings)
     if table is None:
         return forest
-    width, n_rows = max(len(e) for e in edges) + 2, table.count()
+    width, n_rows = _width(edges), table.count()
     at_once = max(1, CARRIED_ROWS // n_rows)
+    parts = []
     for first in range(0, settings.n_estimators, at_once):
         numbers = range(first, min(first + at_once, settings.n_estimators))
-        nodes = _grow(table, n_rows, numbers, len(columns), width, settings)
-        for _, part in nodes.assign(name=nodes["name"].astype("int64").astype("uint64")).groupby("tree"):
-            part = part.sort_values("name")
-            forest.trees.append(Tree(*[part[c].to_numpy() for c in ("name", "feature", "cut", "rows", "share")]))
+        parts.append(_grow(table, n_rows, numbers, len(columns), width, settings, forest.upper))
+    if parts:
+        forest.nodes = reduce(DataFrame.unionByName, parts)
+        forest.n_trees = forest.nodes.select("tree").distinct().count()
     return forest
 
 
+def _width(edges: Sequence[np.ndarray]) -> int:
+    return max(len(e) for e in edges) + 2
+
+
 def first_splits(rows: DataFrame, columns: Sequence[str], label: str, key: str, settings: Settings = Settings()) -> pd.DataFrame:
     """How much the best first split on each column lowers Gini impurity over all rows: (feature, gain, threshold).
 
@@ -359,15 +421,66 @@ def first_splits(rows: DataFrame, columns: Sequence[str], label: str, key: str,
 
 
 def predict(rows: DataFrame, forest: Forest, keep: Sequence[str]) -> DataFrame:
-    """The columns ``keep`` of every row and the probability ``score`` of label 1."""
-    numbers = added_numbers(forest.columns)
-    shared = rows.sparkSession.sparkContext.broadcast(forest)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
+    """The columns ``keep`` of every row and the probability ``score`` of label 1.
+
+    Rows are stored with a number each, as they are read once for the trees and once for the result. A task holds one part of
+    one tree and at most about ``SCORED_ROWS`` of the rows that come to it; a part with more rows goes to several tasks.
+    """
+    if not forest.n_trees:
+        return rows.select(*keep, F.lit(0.0).alias("score"))
+    named = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(rows.select(*keep).columns)]
+    stored = cut(rows.select(*named, *added_numbers(forest.columns), F.monotonically_increasing_id().alias("row")))
+    n_columns, width = len(forest.columns), _width(forest.edges)
+    numbers = stored.select("row", *[f"_{k}" for k in range(n_columns)])
+    trees = [r["tree"] for r in forest.nodes.select("tree").distinct().orderBy("tree").collect()]
+    spark, counts = rows.sparkSession, {}
+    if stored.count() > SCORED_ROWS:
+        coming = numbers.mapInPandas(_led(forest, trees, None), "tree int, top bigint, n bigint")
+        counts = {(r["tree"], r["top"]): -(-r["n"] // SCORED_ROWS) for r in coming.groupBy("tree", "top").agg(
+            F.sum("n").alias("n")).where(F.col("n") > SCORED_ROWS).collect()}
+    led = numbers.mapInPandas(_led(forest, trees, counts), "tree int, top bigint, part int, row bigint, bins binary")
+    parts = forest.nodes.where("top != 0").withColumn("parts", F.lit(1))
+    if counts:
+        shared = spark.createDataFrame([(t, top, int(n)) for (t, top), n in counts.items()], "tree int, top bigint, parts int")
+        parts = parts.drop("parts").join(shared, ["tree", "top"], "left").fillna(1, ["parts"])
+    parts = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "rows")
+    met = led.groupBy("tree", "top", "part").cogroup(parts.groupBy("tree", "top", "part"))
+    shares = met.applyInPandas(_met(n_columns, width), "row bigint, share bigint")
+    mean = F.sum("share") / F.lit(float(SHARE_UNIT)) / F.lit(forest.n_trees)
+    scored = shares.groupBy("row").agg(mean.alias("score"))
+    return stored.join(scored, "row").select(
+        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(rows.select(*keep).columns)], "score")
+
+
+def _led(forest: Forest, trees: list[int], parts: dict[tuple[int, int], int] | None):
+    """For every row and tree the part of the tree that the row comes to; without ``parts`` only how many come."""
+    edges, upper, width = forest.edges, forest.upper, _width(forest.edges)
 
     def run(batches):
-        model = shared.value
-        names = [f"_{k}" for k in range(len(model.columns))]
         for batch in batches:
-            yield batch[list(keep)].assign(score=model.shares(binned(batch[names].to_numpy(float), model.edges)))
+            bins = binned(batch[[f"_{k}" for k in range(len(edges))]].to_numpy(float), edges)
+            row, told = batch["row"].to_numpy(), np.array(packed(bins, width) if parts is not None else [], object)
+            for tree in trees:
+                top = upper.place(tree, bins).astype(np.int64)
+                if parts is None:
+                    found, n = np.unique(top, return_counts=True)
+                    yield pd.DataFrame({"tree": tree, "top": found, "n": n})
+                    continue
+                part = np.zeros(len(row), np.int64)
+                for name in np.unique(top) if parts else ():
+                    if (tree, int(name)) in parts:
+                        part = np.where(top == name, row % parts[tree, int(name)], part)
+                yield pd.DataFrame({"tree": tree, "top": top, "part": part, "row": row, "bins": told})
+    return run
+
 
-    return rows.select(*keep, *numbers).mapInPandas(run, f"{kept}, score double")
+def _met(n_columns: int, width: int):
+    """The share, in whole steps, of the leaf that each row ends in."""
+    def run(key, rows, nodes):
+        if not len(rows):
+            return pd.DataFrame({"row": [], "share": []}).astype("int64")
+        nodes = nodes.assign(name=nodes["name"].astype("int64").astype("uint64")).sort_values("name")
+        part = Tree(nodes["name"].to_numpy(), nodes["feature"].to_numpy(), nodes["cut"].to_numpy(), None, nodes["share"].to_numpy())
+        share = part.shares(unpacked(rows["bins"], n_columns, width), int(np.int64(key[1]).astype(np.uint64)))
+        return pd.DataFrame({"row": rows["row"], "share": np.rint(share * SHARE_UNIT).astype(np.int64)})
+    return run

@@ -100,3 +100,23 @@ def test_no_rows_columns_or_labels(spark):
         assert model.trees == [] and {r.score for r in forest.predict(df, model, ["id", "a"]).collect()} == {0.0}
     pure = forest.fit(df.withColumn("y", df.y * 0 + 1), COLUMNS, "y", "id", Settings(n_estimators=2))
     assert [t.share.tolist() for t in pure.trees] == [[1.0], [1.0]]
+
+
+def test_nodes_do_not_pass_through_the_driver(spark, monkeypatch):
+    """Fitting and predicting gather less than one row per node; a part of a tree that many rows come to is dealt to several tasks."""
+    df = table(spark, 150, 3)
+    frame, gathered = type(df), []
+    for name in ("toPandas", "collect"):
+        def told(self, *a, call=getattr(frame, name), **b):
+            out = call(self, *a, **b)
+            gathered.append(len(out))
+            return out
+        monkeypatch.setattr(frame, name, told)
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 60)
+    model = forest.fit(df, COLUMNS, "y", "id", Settings(n_estimators=9, min_samples_leaf=1, max_bin=16))
+    scores = forest.predict(df, model, ["id"])
+    passed = sum(gathered) - len(COLUMNS) * 16  # without the edges of the bins
+    whole = {r.id: r.score for r in scores.collect()}
+    assert passed < sum(len(t.name) for t in model.trees) / 2
+    monkeypatch.setattr(forest, "SCORED_ROWS", 7, raising=False)
+    assert {r.id: r.score for r in forest.predict(df, model, ["id"]).collect()} == whole and len(whole) == df.count()
