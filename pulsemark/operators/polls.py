@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.constants import METRIC_COLS, POLL_LABELS, STATIC_COLS, THUMBNAIL_COLS
+from pulsemark.constants import LONG_COLS, METRIC_COLS, POLL_LABELS, STATIC_COLS, THUMBNAIL_COLS
+from pulsemark.session import cut
 
 # Rows of one poll are ordered by time; equal times fall back on the measured values, so the
 # latest row is the same whichever task sees it first.
@@ -47,19 +48,66 @@ def pivot_polls(
     static_cols: Sequence[str] | None = None,
     metric_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Deduplicate, keep complete triplets and pivot, in one aggregation.
+    """Deduplicate, keep complete triplets and pivot.
 
-    Static and thumbnail columns come from the upload row. Pass only the columns needed: texts
-    travel through the shuffle, so a plan that does not read them should not carry them.
+    Static and thumbnail columns come from the upload row. Pass only the columns needed: without texts
+    this is one aggregation, with them it is ``pivot_parts`` and ``with_late``.
     """
+    return with_late(*pivot_parts(snapshots, static_cols, metric_cols))
+
+
+def _wanted(snapshots: DataFrame, static_cols, metric_cols) -> tuple[list[str], list[str], list[str]]:
+    """The static, metric and ordering columns of a pivot."""
     static = list(static_cols) if static_cols is not None else STATIC_COLS + THUMBNAIL_COLS
     static = [c for c in static if c != "video_id" and c in snapshots.columns]
     metrics = list(metric_cols) if metric_cols is not None else list(METRIC_COLS)
     metrics += ["hours_since_publish", "poll_timestamp"]
-    order = [c for c in _ORDER if c in snapshots.columns]
+    return static, metrics, [c for c in _ORDER if c in snapshots.columns]
 
+
+def pivot_parts(
+    snapshots: DataFrame,
+    static_cols: Sequence[str] | None = None,
+    metric_cols: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """A pivot in two parts, to be put together by ``with_late``, and its columns.
+
+    The first part, which is stored, has no texts, so that they do not pass its aggregation and joins. The second has the
+    texts, and what ranks behind them among equal polls, of the upload rows of complete videos alone. Both
+    pick by the same order, of which the first part knows the beginning, so they pick the same row.
+    """
+    static, metrics, order = _wanted(snapshots, static_cols, metric_cols)
+    ranked = order + [c for c in dict.fromkeys(static + metrics) if c not in order]
+    columns = ["video_id", *static, *[f"{c}_{label}" for label in POLL_LABELS for c in metrics]]
+    long = [i for i, c in enumerate(ranked) if c in LONG_COLS]
+    if not long:
+        return _pivoted(snapshots, static, metrics, metrics, order), None, columns
+    late = ranked[long[0]:]
+    # Joins drop null keys, so a null video, which is a group of its own, has a key without the mark.
+    key = F.coalesce(F.concat(F.lit("+"), F.col("video_id").cast("string")), F.lit("-"))
+    early = [[c for c in part if c not in late] for part in (static, metrics)]
+    wide = cut(_pivoted(snapshots, early[0], early[1], metrics, order).withColumn("_key", key))
+    uploads = snapshots.where(F.col("poll_label") == POLL_LABELS[0]).select(key.alias("_key"), *ranked)
+    picked = uploads.join(wide.select("_key"), "_key", "left_semi").groupBy("_key").agg(
+        F.max(F.struct(*ranked)).alias("r"))
+    return wide, picked.select("_key", *[
+        F.col(f"r.{c}").alias(c if c in static else f"{c}_{POLL_LABELS[0]}") for c in late]), columns
+
+
+def with_late(wide: DataFrame, late: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+    """The parts of a pivot together; columns that were added to the first part follow."""
+    if late is None:
+        return wide
+    added = [c for c in wide.columns if c not in columns and c != "_key"]
+    return wide.join(late, "_key").select(*columns, *added)
+
+
+def _pivoted(snapshots: DataFrame, static: Sequence[str], upload_metrics: Sequence[str], metrics: Sequence[str],
+             order: Sequence[str]) -> DataFrame:
+    """Complete triplets with their latest polls, in one aggregation."""
+    own = [upload_metrics, *[metrics] * (len(POLL_LABELS) - 1)]
     slots = [
-        _latest(label, (static + metrics) if label == "upload" else metrics, order).alias(f"p{i}")
+        _latest(label, [*static, *own[i]] if i == 0 else own[i], order).alias(f"p{i}")
         for i, label in enumerate(POLL_LABELS)
     ]
     triplets = (
@@ -68,7 +116,7 @@ def pivot_polls(
     )
     wide = ["video_id"] + [F.col(f"p0.{c}").alias(c) for c in static]
     for i, label in enumerate(POLL_LABELS):
-        wide += [F.col(f"p{i}.{c}").alias(f"{c}_{label}") for c in metrics]
+        wide += [F.col(f"p{i}.{c}").alias(f"{c}_{label}") for c in own[i]]
     return triplets.select(*wide)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pulsemark.operators.baselines import attach_baselines
 from pulsemark.operators.cleaning import clean, drop_bad_baselines, fill_missing
 from pulsemark.operators.features import add_encodings, derive_features
-from pulsemark.operators.polls import pivot_polls
+from pulsemark.operators.polls import pivot_parts, with_late
 
 
 def build_clean(
@@ -18,9 +18,12 @@ def build_clean(
     static_cols: Sequence[str] | None = None,
     metric_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Poll rows and channel medians to one clean row per complete video."""
-    wide = pivot_polls(snapshots, static_cols, metric_cols)
-    return clean(attach_baselines(wide, medians))
+    """Poll rows and channel medians to one clean row per complete video; medians are joined before texts."""
+    wide, late, columns = pivot_parts(snapshots, static_cols, metric_cols)
+    if "channel_id" not in wide.columns:  # it ranks behind the texts
+        return clean(attach_baselines(with_late(wide, late, columns), medians))
+    joined = attach_baselines(wide, medians)
+    return clean(joined if late is None else with_late(joined, late, columns))
 
 
 def engineer(clean_table: DataFrame) -> DataFrame:

@@ -81,7 +81,17 @@ def timed_videos(spark: SparkSession, folder: str) -> DataFrame:
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Title, description and tags per order; documents and parts are matched by equi-joins."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    joined = _text_keys(spark, folder).join(_documents(spark, folder), "doc_id", "left")
+    return joined.selectExpr("o_orderkey", *_text_columns())
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "text")
+
+
+def _text_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The document's key and the part's name per order."""
+    docs = _documents(spark, folder)
     parts = table(spark, folder, "part").select("p_partkey", "p_name")
     n_docs, n_parts = docs.count(), parts.count()
     keyed = table(spark, folder, "orders").select(
@@ -89,11 +99,13 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("o_orderkey") % n_docs).alias("doc_id"),
         (F.col("o_orderkey") % n_parts).alias("p_partkey"),
     )
-    joined = keyed.join(docs, "doc_id", "left").join(parts, "p_partkey", "left")
+    return keyed.join(parts, "p_partkey", "left").drop("p_partkey")
+
+
+def _text_columns() -> list[str]:
     start = "substring(text, 1, 60)"
     links = "' http://a.example/1 https://a.example/2 http://a.example/3 https://a.example/4 https://a.example/5'"
-    return joined.selectExpr(
-        "o_orderkey",
+    return [
         f"""case o_orderkey % 9
               when 0 then {start} when 1 then concat('How to ', {start})
               when 2 then concat('TOP 10 ', {start}) when 3 then concat({start}, '?')
@@ -107,7 +119,7 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
               when 4 then concat(text, ' #tag_é') when 5 then substring(text, 1, 20)
             end AS description""",
         "case when o_orderkey % 11 <> 0 then split(p_name, ' ') end AS tags",
-    )
+    ]
 
 
 _POLLS = [
@@ -125,9 +137,14 @@ _POLLS = [
 
 
 def snapshots(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
-    """Poll rows of tracked videos, with natural duplicates and unlabelled rows."""
+    """Poll rows of tracked videos, with natural duplicates and unlabelled rows.
+
+    Documents are joined last, so that no other join moves their texts.
+    """
     lines = table(spark, folder, "lineitem").selectExpr(*_POLLS)
     tracked = timed_videos(spark, folder).where("is_tracked").drop("is_tracked")
+    if with_text:
+        tracked = tracked.join(_text_keys(spark, folder), "o_orderkey")
     rows = lines.join(tracked, "o_orderkey").join(channels(spark, folder).drop("c_custkey"), "channel_id")
     rows = rows.withColumn("poll_timestamp", F.expr(
         "published_at + make_dt_interval(0, 0, 0, cast(round(hours_since_publish * 3600, 6) as decimal(18,6)))"
@@ -140,7 +157,9 @@ def snapshots(spark: SparkSession, folder: str, with_text: bool = True) -> DataF
     ]
     if not with_text:
         return rows.select(*[c for c in columns if c not in ("title", "description", "tags")])
-    return rows.join(texts(spark, folder), "o_orderkey").select(*columns)
+    return rows.join(_documents(spark, folder), "doc_id", "left").withColumns({
+        c: F.expr(e.removesuffix(f" AS {c}")) for c, e in zip(("title", "description", "tags"), _text_columns())
+    }).select(*columns)
 
 
 def labelled(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:

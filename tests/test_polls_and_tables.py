@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 
 from pulsemark import schemas
 from pulsemark.operators import baselines, cleaning, collection, discovery, health, polls, segments
+from pulsemark.plans import fixtures as X
+from pulsemark.plans.catalog import QUERIES
+from pulsemark.plans.dataset import build_clean
+from tests.conftest import SMALL
 
 T0 = datetime(2026, 1, 1)
 COLUMNS = [f.name for f in schemas.VIDEO_SNAPSHOTS.fields]
@@ -229,3 +233,40 @@ def test_run_report_counts_skipped_channels(spark):
     assert sorted(r.channel_id for r in collection.skipped_channels(planned, written).collect()) == ["b", "c"]
     nothing = collection.run_report(planned.limit(0), written.limit(0)).first()
     assert set(nothing.asDict().values()) == {0}
+
+
+def test_texts_join_after_the_pivot_and_pick_the_same_row(spark):
+    """Equal polls rank by channel, then texts, then the rest; a null video is a group of its own; repeats change nothing."""
+    def tied(video, title, tags, seconds):
+        row = dict(zip(COLUMNS, poll(video, "upload", 1)))
+        row.update(title=title, description=None, tags=tags, duration_seconds=seconds, tier="S")
+        return tuple(row[c] for c in COLUMNS)
+
+    rows = [tied("a", "x", ["t"], 9), tied("a", "y", None, 5), tied("a", "y", ["b"], 4), tied("a", "y", ["b"], 4)]
+    rows += [tied(None, None, None, 7), tied("lone", "z", ["z"], 1)]
+    rows += [poll(v, label, h) for v in ("a", None) for label, h in (("24h", 24), ("7d", 160))]
+    df = frame(spark, *rows, *rows)
+    wide, late, columns = polls.pivot_parts(df)
+    assert not {"title", "description", "tags"} & set(wide.columns)
+    assert {r["_key"] for r in late.collect()} == {"+a", "-"}  # complete videos alone
+    got = {r.video_id: (r.title, r.tags, r.duration_seconds, r.tier, r.view_count_upload) for r in polls.pivot_polls(df).collect()}
+    assert got == {"a": ("y", ["b"], 4, "S", 10), None: (None, None, 7, "S", 10)}
+    assert polls.pivot_polls(df).columns == columns
+    plain = polls.pivot_polls(df, ["channel_id", "tier"])
+    assert plain.columns[:3] == ["video_id", "channel_id", "tier"] and plain.count() == 2
+    late_key = baselines.channel_medians(spark.createDataFrame(
+        [("c1", "@1", 10, 1, 1)], "channel_id string, channel_handle string, view_count long, like_count long, comment_count long"))
+    built = build_clean(df, late_key, ["title", "channel_id"]).collect()
+    assert {(r.video_id, r.title, r.baseline_median_views) for r in built} == {("a", "y", 10.0), (None, None, 10.0)}
+
+
+def test_folds_compute_the_model_rows_once(spark):
+    plan = QUERIES["stratified_folds"](spark, SMALL)._jdf.queryExecution().toString()
+    assert "lineitem" not in plan and "l_orderkey" not in plan
+
+
+def test_documents_are_joined_last(spark):
+    """Nothing but the pivot of the texts lies above the join that brings them in."""
+    plan = X.snapshots(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line.strip(" :+-") for line in plan.split("\n") if "Join" in line]
+    assert joins[0].startswith("Join LeftOuter") and "doc_id" in joins[0]
