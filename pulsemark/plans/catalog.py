@@ -1159,7 +1159,7 @@ def tune_model(spark, d):
 @query
 def stratified_folds(spark, d):
     """Five folds of all model rows, stratified on the target."""
-    rows = engineer(full_clean(spark, d)).select("video_id", C.TARGET)
+    rows = cut(engineer(full_clean(spark, d)).select("video_id", C.TARGET))  # folds are edges first, then rows
     return tidy(splits.with_folds(rows, 5), "video_id", C.TARGET, "fold")
 
 
