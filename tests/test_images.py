@@ -1,7 +1,11 @@
+import os
+import struct
+
 import numpy as np
 import pytest
 
-from pulsemark.functions.images import read_thumbnails, write_images
+from pulsemark.functions import images
+from pulsemark.functions.images import bitmap, read_thumbnails, write_images
 
 
 def test_written_images_are_read_back(spark, folder):
@@ -23,3 +27,29 @@ def test_written_images_are_read_back(spark, folder):
         assert got[f"{k}.bmp"].colorfulness == pytest.approx(
             np.hypot(rg.std(), yb.std()) + 0.3 * np.hypot(rg.mean(), yb.mean()))
     assert (got["none.bmp"].brightness, got["short.bmp"].colorfulness) == (0.0, 0.0)
+
+
+def test_plain_bitmaps_pass_by_the_image_decoder(spark, folder):
+    rows = spark.range(300).selectExpr("concat('n', id) name", "5 width", "2 height", "unhex(substr(sha2(cast(id as string), 256), 1, 60)) pixels")
+    write_images(rows, folder)
+    decoded = spark.read.format("image").option("recursiveFileLookup", True).load(folder)
+    wanted = {tuple(r) for r in images.thumbnail_stats(decoded).collect()}
+    read = read_thumbnails(spark, folder)
+    assert {tuple(r) for r in read.collect()} == wanted and len(wanted) == 300
+    assert not any(f.endswith(".bmp") for f in read.inputFiles())  # nothing is left to the image source
+
+
+def test_other_files_are_decoded_by_the_image_source(spark, folder):
+    data = bitmap(2, 2, bytes(range(12)))
+    os.makedirs(f"{folder}/x")
+    named = {"a.bmp": data, "b.BMP": data, "x/c.png": data, "p": data, "mp": data, "bmp": data, "d.jpg": b"broken file",
+             "e.bmp": b"neither is this", "f.bmp": b"\0", "g.bmp": b"", "xbmp": data,
+             "long.bmp": data + b"more", "short.bmp": data[:-1],
+             "down.bmp": data[:22] + struct.pack("<i", -2) + data[26:]}
+    for name, content in named.items():
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(content)
+    source = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(folder)
+    wanted = sorted(tuple(r) for r in images.thumbnail_stats(source).collect())
+    assert sorted(tuple(r) for r in read_thumbnails(spark, folder).collect()) == wanted
+    assert len(wanted) == len(named) - 1  # empty files are passed over
