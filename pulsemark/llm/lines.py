@@ -51,21 +51,26 @@ def _leaf(line, depth: int):
 
 
 def _parsed(texts: DataFrame, depth: int) -> DataFrame:
-    """One row per document (k, x): its lines with hashes and leaves, and the hashes and sizes of its sentences."""
-    sentences = F.array_distinct(F.filter(F.split("raw", r"[.\n] ?", -1), lambda s: s != ""))
-    docs = _masked(texts).select("k", "line", sentences.alias("s"))
+    """One row per document (k, x): the hashes of its lines in their places, its different lines with hashes and leaves,
+    and the hashes and sizes of its different sentences with the size of them all.
+    """
+    ends = F.replace(F.replace("raw", F.lit("\n"), F.lit(".")), F.lit(". "), F.lit("."))
+    sentences = F.array_distinct(F.array_remove(F.split(ends, r"\.", -1), ""))
+    docs = _masked(texts).select(
+        "k", F.transform("line", lambda y: F.xxhash64(y)).alias("places"), F.array_distinct("line").alias("line"),
+        sentences.alias("s"))
     return docs.select(
-        "k", "line", F.transform("line", lambda y: F.xxhash64(y)).alias("hash"),
+        "k", "places", "line", F.transform("line", lambda y: F.xxhash64(y)).alias("hash"),
         F.transform("line", lambda y: _leaf(y, depth)).alias("leaf"),
-        F.transform("s", lambda y: F.xxhash64(y)).alias("s"), F.transform("s", lambda y: F.length(y)).alias("n"))
+        F.transform("s", lambda y: F.xxhash64(y)).alias("s"), F.transform("s", lambda y: F.length(y)).alias("n"),
+        F.length(F.array_join("s", "")).cast("long").alias("total"))
 
 
 def _copies(parsed: DataFrame, min_docs: int) -> DataFrame:
     """(k) of the documents of which sentences in ``min_docs`` documents make up half or more."""
     often = cut(parsed.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("docs")).where(
         F.col("docs") >= min_docs).select("s"))
-    sizes = parsed.select("k", F.explode(F.arrays_zip("s", "n")).alias("z"), F.aggregate(
-        "n", F.lit(0).cast("long"), lambda a, b: a + b).alias("total")).select("k", "z.s", "z.n", "total")
+    sizes = parsed.select("k", "n", "total", F.posexplode("s").alias("at", "s")).select("k", "s", F.get("n", "at").alias("n"), "total")
     held = sizes.join(few(often), "s").groupBy("k").agg(F.sum("n").alias("n"), F.max("total").alias("total"))
     return held.where("n * 2 >= total").select("k")
 
@@ -78,8 +83,8 @@ def _templates(parsed: DataFrame, held: DataFrame, depth: int, min_docs: int, co
     leaves = held.where("leaf is not null").groupBy("leaf").agg(
         F.count_if(F.col("copy").isNull()).alias("own"), F.min("hash").alias("h0"), F.max("hash").alias("h1"))
     wanted = few(cut(leaves.where(f"own >= {min_docs} and h0 <> h1").select("leaf")))
-    lines = parsed.select(F.explode(F.array_distinct(F.arrays_zip("line", "hash", "leaf"))).alias("z")).select(
-        "z.line", "z.hash", "z.leaf").where("leaf is not null")
+    lines = parsed.select("line", "hash", F.posexplode("leaf").alias("at", "leaf")).where("leaf is not null").select(
+        F.get("line", "at").alias("line"), F.get("hash", "at").alias("hash"), "leaf")
     distinct = lines.join(wanted, "leaf", "left_semi").groupBy("hash", "leaf").agg(
         F.min("line").alias("line"), F.count("*").alias("docs"))
     tokens = F.transform(F.split("line", " "), lambda t: F.xxhash64(t))
@@ -113,8 +118,8 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.col(f"`{id_column}`"), F.col(f"`{text_column}`")).alias("k"), F.col(f"`{text_column}`").alias("x"))
     parsed = cut(_parsed(rows.where("x is not null").select("k", "x"), depth))
     copies = few(cut(_copies(parsed, min_docs).withColumn("copy", F.lit(1))))
-    held = parsed.select("k", F.explode(F.array_distinct(F.arrays_zip("hash", "leaf"))).alias("z")).select(
-        "k", "z.hash", "z.leaf").where(F.col("hash") != F.xxhash64(F.lit(""))).join(copies, "k", "left")
+    held = parsed.select("k", "leaf", F.posexplode("hash").alias("at", "hash")).where(
+        F.col("hash") != F.xxhash64(F.lit(""))).select("k", "hash", F.get("leaf", "at").alias("leaf")).join(copies, "k", "left")
     general = cut(_templates(parsed, held, depth, min_docs, constant, choices))
 
     alone = held.groupBy("hash").agg(F.count_if(F.col("copy").isNull()).alias("own")).where(F.col("own") >= min_docs)
@@ -124,17 +129,19 @@ def drop_recurring(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.count("*").alias("docs"), F.count_if(F.col("copy").isNull()).alias("own"))
     recurring = found.where((F.col("own") >= min_docs) & (F.col("own") * one_in >= F.col("docs")))
     bad = few(cut(often.join(recurring.select("template"), "template", "left_semi").select("hash")))
-    places = parsed.select("k", F.posexplode("hash").alias("at", "hash")).join(bad, "hash", "left_semi")
+    places = parsed.select("k", F.posexplode("places").alias("at", "hash")).join(bad, "hash", "left_semi")
     places = cut(places.select("k", "at").distinct())
     dropped = places.groupBy("k").agg(F.collect_list("at").alias("drop"))
     if places.count() <= FEW:
         dropped = F.broadcast(dropped)
 
-    lines = F.split("x", "\n", -1)
-    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop"), lambda i: F.get(lines, i))
+    # The lines are a column, as an expression inside the function would be computed again for each line.
+    split = rows.join(dropped, "k", "left").withColumn(
+        "lines", F.when(F.col("drop").isNotNull(), F.split("x", "\n", -1)))
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop"), lambda i: F.get("lines", i))
     text = F.when(F.col("drop").isNull(), F.col("x")).otherwise(F.array_join(rest, "\n"))
     ends = F.octet_length("x") - F.octet_length(F.replace(F.col("x"), F.lit("\n"), F.lit("")))
-    return rows.join(dropped, "k", "left").select(
+    return split.select(
         *[text.alias(c) if c == text_column else F.col("row").getField(c).alias(c) for c in kept],
         F.coalesce(ends + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
 from pulsemark.llm import catalog, lines, ngram_join
@@ -202,3 +204,14 @@ def test_lines_position_of_many_values_is_a_field(spark):
     rows = [(k, f"{plain_words(k, 40)}\nsend our news and offers to {towns[k % 20]} and also to {towns[k * 7 // 20 % 20]} by mail each week")
             for k in range(100)]
     assert both(spark, rows) == {k: plain_words(k, 40) for k in range(100)}
+
+
+def test_lines_of_one_text_take_time_in_proportion(spark):
+    rows = [(k, "\n".join(f"{plain_words(50_000 * k + j, 3)}." for j in range(10_000)) + "\n" + BANNER) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    lines.drop_recurring(docs.limit(0)).count()  # compiled before
+    began = time.perf_counter()
+    out = lines.drop_recurring(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("h")).collect()
+    took = time.perf_counter() - began
+    assert {tuple(r) for r in out} == {(k, 10_001, 1, hashlib.sha256(t[:-len(BANNER) - 1].encode()).hexdigest()) for k, t in rows}
+    assert took < 30, took
