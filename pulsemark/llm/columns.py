@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsemark.llm.text import short_batches
+from pulsemark.llm.text import released, short_batches
 
 #: From the texts of a batch: parts of its rows (first, after the last) with the new columns of these rows.
 Make = Callable[[pa.Array], Iterator[tuple[int, int, list[pa.Array]]]]
@@ -31,18 +31,21 @@ def add_columns(docs: DataFrame, keep: Sequence[str], added: str, start: Callabl
     clash = sorted(set(keep) & set(new.names))
     if clash:
         raise ValueError(f"kept columns have the names of new ones: {', '.join(clash)}")
-    # Kept columns travel under numbers, so that none is taken for the text.
+    # Kept columns travel under numbers, so that none is taken for the text. A text that is kept travels once.
+    kinds = [f.dataType for f in docs.select(*[F.col(quoted(c)) for c in keep]).schema.fields]
+    sent = [None if c == text_column and kind == T.StringType() else i for i, (c, kind) in enumerate(zip(keep, kinds))]
+    others = [i for i in sent if i is not None]
+    places = [0 if i is None else 1 + others.index(i) for i in sent]
     asked = docs.select(F.col(quoted(text_column)).cast("string").alias("t"),
-                        *[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)])
-    kinds = [f.dataType for f in asked.schema.fields[1:]]
+                        *[F.col(quoted(keep[i])).alias(f"k{i}") for i in others])
     schema = T.StructType([*(T.StructField(c, kind) for c, kind in zip(keep, kinds)), *new.fields])
     names = schema.names
 
     def run(batches):
         make = start()
-        for batch in batches:
+        for batch in released(batches):
             texts = pc.fill_null(batch.column(0), "")
-            rest = [batch.column(k) for k in range(1, batch.num_columns)]
+            rest = [batch.column(k) for k in places]
             for lo, hi, arrays in make(texts):
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in rest), *arrays], names)
 

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import mix, short_batches
+from pulsemark.llm.text import mix, released, short_batches
 
 Q, PERCENT = 10, 8
 #: Characters of benchmark items in one index; a larger benchmark is searched in several blocks.
@@ -179,7 +179,7 @@ def search(index: Index, texts: list[str | None]):
 
 def _searched(shared):
     def run(batches):
-        for batch in batches:
+        for batch in released(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             out, some, held = [], [], 0
             for number, text in zip(ids, texts):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
-from pulsemark.llm.text import Memory, Words, prefix_sums, runs, short_batches, span_hashes, sum_by_row
+from pulsemark.llm.text import Memory, Words, prefix_sums, released, runs, short_batches, span_hashes, sum_by_row
 
 #: The fit takes about this many documents of each language, drawn by hash; everything else sees all rows.
 FIT_DOCS = 600
@@ -181,12 +181,12 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, path: str = vocab.PIECES) ->
     return Model(languages, np.stack(columns, axis=1), table)
 
 
-def _predict(shared):
+def _predict(shared, places, kept):
     def run(batches):
         model = shared.value
         memory = Memory(len(model.languages))
         names = np.array([*model.languages, "und"], object)
-        for batch in batches:
+        for batch in released(batches):
             best, score = [], []
             lowered = pc.utf8_lower(pc.fill_null(batch.column(0), "").cast(pa.large_string()))
             for lo, hi, data, at in runs(lowered):
@@ -204,10 +204,10 @@ def _predict(shared):
             letters = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.where(letters, best, len(names) - 1), np.where(letters, score, 0.0)
             score = np.where(best == len(names) - 1, 0.0, score)
-            rest = [batch.column(k) for k in range(2, batch.num_columns)]
+            rest = [batch.column(k) for k in places]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())],
-                [*batch.schema.names[2:], "lang_pred", "score"])
+                [*kept, "lang_pred", "score"])
     return run
 
 
@@ -219,7 +219,10 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     the first language in alphabetical order. No column in ``keep`` may be called lang_pred or score.
     """
     shared = short_batches(docs.sparkSession).sparkContext.broadcast(model)
+    others = [c for c in keep if c != "text"]  # a text that is kept travels once
+    places = [0 if c == "text" else 2 + others.index(c) for c in keep]
     asked = docs.select(
-        F.col("text").alias("_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), *keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return asked.mapInArrow(_predict(shared), f"{kept}, lang_pred string, score double")
+        F.col("text").alias("_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), *others)
+    schema = docs.select(*keep).schema
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return asked.mapInArrow(_predict(shared, places, schema.names), f"{kept}, lang_pred string, score double")

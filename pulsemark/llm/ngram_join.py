@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pulsemark.llm.components import connected, relabel
 from pulsemark.llm.sizes import store
-from pulsemark.llm.text import Words, mix, runs, short_batches
+from pulsemark.llm.text import Words, mix, released, runs, short_batches
 from pulsemark.session import cut
 
 #: Counters of the frequency sketch, in slots of SLOT counters each. Only the quality of the order depends on it.
@@ -77,7 +77,7 @@ def _measure(n: int):
     """Names and sizes of all sets, and the task's counts of the sketch."""
     def run(batches):
         counts = np.zeros(SKETCH, np.int64)
-        for batch in batches:
+        for batch in released(batches):
             names, sizes, pending, held = [], [], [], 0
             for found in shingle_sets(batch.column(1), n):
                 names.append(_name(found) if len(found) else None)
@@ -145,7 +145,7 @@ def _rare_ends(n: int, percent: int, shared):
     """Each set's rarest places, as many as a similar set cannot all miss."""
     def run(batches):
         classes = shared.value
-        for batch in batches:
+        for batch in released(batches):
             keys, nodes, sizes, ranks, spots = [], [], [], [], []
             for found in shingle_sets(batch.column(0), n):
                 if not len(found):
@@ -226,7 +226,7 @@ def _segments(n: int, shared, wanted, pivots: np.ndarray):
     """The segments, one per fragment, of the sets of the wanted rows and of a few others by chance."""
     def run(batches):
         classes, bits = shared.value, wanted.value
-        for batch in batches:
+        for batch in released(batches):
             nodes, counts, places = [], [], []
             at = _place(batch.column(1).fill_null(0).to_numpy())
             hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1

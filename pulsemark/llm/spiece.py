@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -25,6 +26,8 @@ from pulsemark.llm.vocab import SPACE
 UNKNOWN = 10.0
 #: Bytes of spans and pieces that a task remembers, and of a span that is worth it.
 REMEMBERED, LONGEST = 24_000_000, 100
+#: Bytes of texts that are encoded at once. Their ids are Python numbers for a while, which take many times as much.
+PART_BYTES = 1 << 19
 #: What a remembered span takes beside its text and pieces.
 _ENTRY = 190
 _SPANS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -128,20 +131,29 @@ class Encoder:
         return text[1:] if text[:1] == " " else text
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Split texts into parts of PART_BYTES at most; a longer text is one of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PART_BYTES, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def _start(shared):
     encoder = shared.value  # one per Python worker, with what it remembers
 
     def make(texts: pa.Array) -> Iterator[tuple[int, int, list[pa.Array]]]:
-        for lo in range(0, len(texts), 512):
-            part = texts.slice(lo, 512)
-            rows = [encoder.encode_bytes(x) for x in part.to_pylist()]
+        for lo, hi in _parts(texts):
+            rows = [encoder.encode_bytes(x) for x in texts.slice(lo, hi - lo).to_pylist()]
             offsets = np.zeros(len(rows) + 1, np.int32)
             np.cumsum([len(x) // 4 for x in rows], out=offsets[1:])
             flat = np.frombuffer(b"".join(rows), np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             numbers, at = flat.tolist(), offsets.tolist()
             decoded = pa.array([encoder.decode(numbers[a:b]) for a, b in zip(at, at[1:])], pa.string())
-            yield lo, lo + len(part), [ids, decoded]
+            yield lo, hi, [ids, decoded]
     return make
 
 

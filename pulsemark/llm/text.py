@@ -75,6 +75,17 @@ def short_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
     return spark
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; what Arrow keeps of earlier ones goes back to the system before each.
+
+    A Python worker lives on after its task, beside the executor, and Arrow would keep the memory of its largest batches.
+    """
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the offsets of its rows; null counts as empty."""
     column = (pc.fill_null(column, "") if column.null_count else column).cast(pa.large_string())

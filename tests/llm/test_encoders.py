@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -313,3 +314,31 @@ def test_sentencepiece_keeps_columns_of_any_name(spark):
     assert [(r.doc_id, r._text, r.t, r.decoded) for r in got] == [(1, "p", "q", "a b"), (None, "r", None, "")]
     with pytest.raises(ValueError, match="decoded"):
         spiece.encode(docs.withColumn("decoded", docs.t), ["decoded"])
+
+
+def test_sentencepiece_encodes_few_bytes_at_once():
+    words = " ".join(f"w{k}" for k in range(4000))
+    texts = pa.array([words] * 200 + ["", "a b", words * 40, "c"] + [""] * 600)
+
+    class Shared:
+        value = spiece.Encoder(vocab.load())
+    parts = list(spiece._start(Shared)(texts))
+    assert [lo for lo, *_ in parts] == [0] + [hi for _, hi, _ in parts[:-1]] and parts[-1][1] == len(texts)
+    sizes = [(hi - lo, sum(len(x) for x in texts[lo:hi].to_pylist())) for lo, hi, _ in parts]
+    assert all(n == 1 or size <= 1 << 19 for n, size in sizes) and sum(size > 1 << 19 for _, size in sizes) == 1
+    assert [x for *_, (_, decoded) in parts for x in decoded.to_pylist()] == texts.to_pylist()
+    assert list(spiece._start(Shared)(texts[:0])) == []
+
+
+def test_sentencepiece_sends_a_kept_text_once(spark):
+    rows = [(1, "a b", None), (2, None, "x"), (None, "", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = spiece.encode(docs, ["lang", "text", "doc_id"])
+    assert got.columns == ["lang", "text", "doc_id", "piece_ids", "decoded"]
+    assert sorted(((r.doc_id, r.text, r.lang) for r in got.collect()), key=str) == sorted(rows, key=str)
+    assert [r.decoded for r in spiece.encode(docs, []).orderBy("decoded").collect()] == ["", "", "a b"]
+    plan = got._jdf.queryExecution().analyzed().toString()
+    sent = next(line for line in plan.split("\n") if "Project" in line)
+    assert sent.count("text#") == 1, plan
+    numbers = spiece.encode(docs.selectExpr("doc_id", "doc_id as text"), ["text"])  # a text of another type keeps it
+    assert sorted(((r.text, r.decoded) for r in numbers.collect()), key=str) == [(1, "1"), (2, "2"), (None, "")]
