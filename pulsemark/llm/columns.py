@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsemark.llm.text import released, short_batches
+from pulsemark.llm.text import gives_back, light_batches, released
 
 #: From the texts of a batch: parts of its rows (first, after the last) with the new columns of these rows.
 Make = Callable[[pa.Array], Iterator[tuple[int, int, list[pa.Array]]]]
@@ -49,5 +49,5 @@ def add_columns(docs: DataFrame, keep: Sequence[str], added: str, start: Callabl
             for lo, hi, arrays in make(texts):
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in rest), *arrays], names)
 
-    short_batches(docs.sparkSession)
-    return asked.mapInArrow(run, schema)
+    light_batches(docs.sparkSession)
+    return asked.mapInArrow(gives_back(run), schema)

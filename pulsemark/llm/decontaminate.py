@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import mix, released, short_batches
+from pulsemark.llm.text import gives_back, light_batches, mix, released
 
 Q, PERCENT = 10, 8
 #: Characters of benchmark items in one index; a larger benchmark is searched in several blocks.
@@ -192,7 +192,7 @@ def _searched(shared):
             out += _found(shared.value, some)
             names = ["id", "item_id", "edits", "end"]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names)
-    return run
+    return gives_back(run)
 
 
 def _found(indexes: list[Index], rows) -> list[tuple]:
@@ -213,7 +213,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, percent: int =
     The benchmark is the stated query set: it is read in blocks of about BLOCK_CHARS characters by hash of
     the id, each block a broadcast index and one scan of the documents.
     """
-    spark = short_batches(docs.sparkSession)
+    spark = light_batches(docs.sparkSession)
     items = benchmark.select("item_id", "text")
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_CHARS))

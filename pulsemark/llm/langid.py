@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemark.llm import vocab
-from pulsemark.llm.text import Memory, Words, prefix_sums, released, runs, short_batches, span_hashes, sum_by_row
+from pulsemark.llm.text import Memory, Words, gives_back, light_batches, prefix_sums, released, runs, span_hashes, sum_by_row
 
 #: The fit takes about this many documents of each language, drawn by hash; everything else sees all rows.
 FIT_DOCS = 600
@@ -208,7 +208,7 @@ def _predict(shared, places, kept):
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())],
                 [*kept, "lang_pred", "score"])
-    return run
+    return gives_back(run)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -218,7 +218,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     or has no letter is `und` with score 0, and so is every text if the model has no language. Ties go to
     the first language in alphabetical order. No column in ``keep`` may be called lang_pred or score.
     """
-    shared = short_batches(docs.sparkSession).sparkContext.broadcast(model)
+    shared = light_batches(docs.sparkSession).sparkContext.broadcast(model)
     others = [c for c in keep if c != "text"]  # a text that is kept travels once
     places = [0 if c == "text" else 2 + others.index(c) for c in keep]
     asked = docs.select(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pulsemark.llm.components import connected, relabel
 from pulsemark.llm.sizes import store
-from pulsemark.llm.text import Words, mix, released, runs, short_batches
+from pulsemark.llm.text import Words, gives_back, light_batches, mix, released, runs
 from pulsemark.session import cut
 
 #: Counters of the frequency sketch, in slots of SLOT counters each. Only the quality of the order depends on it.
@@ -78,29 +78,23 @@ def _measure(n: int):
     def run(batches):
         counts = np.zeros(SKETCH, np.int64)
         for batch in released(batches):
-            names, sizes, pending, held = [], [], [], 0
+            names, sizes = [], []
             for found in shingle_sets(batch.column(1), n):
                 names.append(_name(found) if len(found) else None)
                 sizes.append(len(found))
-                pending.append((found & np.uint64(SKETCH - 1)).astype(np.int64))
-                held += len(found)
-                if held > 1 << 20:
-                    counts += np.bincount(np.concatenate(pending), minlength=SKETCH)
-                    pending, held = [], 0
-            if held:
-                counts += np.bincount(np.concatenate(pending), minlength=SKETCH)
+                np.add.at(counts, (found & np.uint64(SKETCH - 1)).astype(np.int64), 1)
             nothing = pa.nulls(len(names))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
                  nothing.cast(pa.int32()), nothing.cast(pa.binary())], ["id", "node", "n", "slot", "counts"])
-        if counts.any():
-            small = np.minimum(counts, 2**31 - 1).astype(np.int32).reshape(-1, SLOT)
+        for lo in range(0, SKETCH // SLOT if counts.any() else 0, 64):
+            small = np.minimum(counts.reshape(-1, SLOT)[lo: lo + 64], 2**31 - 1).astype(np.int32)
             nothing = pa.nulls(len(small))
             yield pa.RecordBatch.from_arrays(
                 [nothing.cast(pa.int64()), nothing.cast(pa.int64()), nothing.cast(pa.int64()),
-                 pa.array(range(len(small)), pa.int32()), pa.array([x.tobytes() for x in small], pa.binary())],
+                 pa.array(range(lo, lo + len(small)), pa.int32()), pa.array([x.tobytes() for x in small], pa.binary())],
                 ["id", "node", "n", "slot", "counts"])
-    return run
+    return gives_back(run)
 
 
 def _add_up(batches):
@@ -118,7 +112,7 @@ def _add_up(batches):
 def _order(sketched: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Frequency class per counter and the pivots of the fragments; SKETCH / SLOT rows reach the driver."""
     rows = sketched.select("slot", "counts").repartition("slot").mapInArrow(
-        _add_up, "slot int, counts binary").collect()
+        gives_back(_add_up), "slot int, counts binary").collect()
     counts = np.zeros(SKETCH, np.int64)
     for row in rows:
         counts[row.slot * SLOT: (row.slot + 1) * SLOT] = np.frombuffer(row.counts, np.int64)
@@ -164,7 +158,7 @@ def _rare_ends(n: int, percent: int, shared):
                     keys, nodes, sizes, ranks, spots = [], [], [], [], []
             if keys:
                 yield _rare_rows(keys, nodes, sizes, ranks, spots)
-    return run
+    return gives_back(run)
 
 
 def _rare_rows(keys, nodes, sizes, ranks, spots):
@@ -216,7 +210,7 @@ def _id_places(batches):
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
     """A bit per hashed id; at most FILTER_BITS / 64 rows reach the driver."""
-    words = ids.mapInArrow(_id_places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    words = ids.mapInArrow(gives_back(_id_places), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     out = np.zeros(FILTER_BITS // 64, np.uint64)
     out[words.word.to_numpy(np.int64)] = words.bits.to_numpy(np.int64).view(np.uint64)
     return out
@@ -245,7 +239,7 @@ def _segments(n: int, shared, wanted, pivots: np.ndarray):
                 outer = pa.array(np.arange(0, FRAGMENTS * len(nodes) + 1, FRAGMENTS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(outer, segments)], ["node", "segments"])
-    return run
+    return gives_back(run)
 
 
 def _possible(percent: int):
@@ -284,7 +278,7 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     returned. A null id stays null and is never a component's name unless all ids of the component are null.
     An empty table gives an empty result. Further columns are ignored.
     """
-    spark = short_batches(docs.sparkSession)
+    spark = light_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     measured = cut(rows.mapInArrow(_measure(n), "id long, node long, n long, slot int, counts binary"))
     members = measured.where("slot is null").select("id", "node", "n")
@@ -294,7 +288,7 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
         _rare_ends(n, percent, shared), "key long, node long, n int, rank int, spot int")
     grouped = rare.repartition("key").sortWithinPartitions("key", "rank", "node")
     around = cut(grouped.select("key", "node", "n", "spot").mapInArrow(
-        _around_centers,
+        gives_back(_around_centers),
         "key long, node long, n int, spot int, center long, center_n int, center_spot int"))
 
     met = around.select(
@@ -307,6 +301,8 @@ def near_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column: s
     wanted = spark.sparkContext.broadcast(_filter_of(holders.select("id")))
     segments = cut(rows.select("text", "id").mapInArrow(
         _segments(n, shared, wanted, pivots), "node long, segments array<array<long>>"))
+    shared.unpersist()
+    wanted.unpersist()
 
     # 1: every node with the center it shares most rare shingles with.
     best = store(pairs.groupBy("a", "a_n").agg(F.max(F.struct("hits", "b", "b_n")).alias("m")).select(

@@ -7,7 +7,8 @@ bytes followed by a finalizer; two given words collide with a probability of abo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from pyspark.sql import SparkSession
 
 #: Bytes of text handled at once; a longer text is one run of its own.
 RUN_BYTES = 1 << 19
+#: Bytes of an Arrow batch, and rows that Parquet's reader holds at once, in light_batches.
+BATCH_BYTES, READ_ROWS = 1 << 20, 512
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -75,6 +78,34 @@ def short_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
     return spark
 
 
+def light_batches(spark: SparkSession) -> SparkSession:
+    """``short_batches`` that also end at BATCH_BYTES, and Parquet read by READ_ROWS rows.
+
+    Both limits are on what a task holds at once, in the executor and beside it. No result depends on them.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) <= BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    if int(spark.conf.get(name)) > READ_ROWS:
+        spark.conf.set(name, READ_ROWS)
+    return short_batches(spark)
+
+
+def gives_back(run: Callable) -> Callable:
+    """A task's function over batches that ends by returning the worker's free memory to the system.
+
+    The worker waits beside the executor for its next task. What numpy and Python have freed would stay with it.
+    """
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+    return whole
+
+
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches of a task; what Arrow keeps of earlier ones goes back to the system before each.
 

@@ -1,19 +1,23 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
-from pulsemark.llm import catalog, lines, ngram_join
+from pulsemark.llm import catalog, lines, ngram_join, text
 from pulsemark.llm.components import connected
 from pulsemark.llm.text import Memory, Words, plain, runs, sum_by_row
 
@@ -215,3 +219,69 @@ def test_lines_of_one_text_take_time_in_proportion(spark):
     took = time.perf_counter() - began
     assert {tuple(r) for r in out} == {(k, 10_001, 1, hashlib.sha256(t[:-len(BANNER) - 1].encode()).hexdigest()) for k, t in rows}
     assert took < 30, took
+
+
+def test_batches_of_long_texts_end_at_a_size(spark):
+    names = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    for name in names:
+        spark.conf.unset(name)
+    docs = spark.range(0, 1500, 1, 1).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), 1000) as text")
+    assert ngram_join.near_components(docs).count() == 1500
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+    found = docs.select("text").mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in found) == 1500 and max(r.size for r in found) < 1_200_000
+    assert int(spark.conf.get(names[1])) <= 512
+    for name in names:  # what is smaller stays
+        spark.conf.set(name, "64")
+    text.light_batches(spark)
+    assert [spark.conf.get(name) for name in names] == ["64", "64"]
+    spark.conf.set(names[0], "16k")
+    text.light_batches(spark)
+    assert spark.conf.get(names[0]) == "16k"
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_a_task_that_measures_sets_holds_little_and_gives_it_back():
+    code = """
+import re, sys, tracemalloc
+import numpy as np, pyarrow as pa
+from pulsemark.llm import ngram_join
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+def batches(count):
+    for k in range(count):
+        texts = [" ".join(f"w{k * 77 + r * 13 + i * i % 997}" for i in range(300)) for r in range(500)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(texts)], ["id", "text"])
+def rows(count):
+    return sum(b.num_rows for b in ngram_join._measure(5)(batches(count)))
+rows(1)
+before = held()
+got = rows(24)
+after = held()
+tracemalloc.start()
+rows(8)
+print(got, after - before, tracemalloc.get_traced_memory()[1] / 1e6)
+"""
+    said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True)
+    rows, more, peak = said.stdout.split()
+    assert int(rows) == 24 * 500 + ngram_join.SKETCH // ngram_join.SLOT
+    assert float(more) < 25 and float(peak) < 38, said.stdout
+
+
+def test_counts_of_a_task_are_those_of_its_shingles():
+    texts = ["a b c d e f g", None, "", "a b c d e f g", "x y", "q " * 40]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    out = pa.Table.from_batches(ngram_join._measure(5)([batch, batch.slice(2, 2)]))
+    slots = out.filter(pc.is_valid(out["slot"]))
+    assert slots["slot"].to_pylist() == list(range(ngram_join.SKETCH // ngram_join.SLOT))
+    counts = np.concatenate([np.frombuffer(x, np.int32) for x in slots["counts"].to_pylist()])
+    want = np.zeros(ngram_join.SKETCH, np.int64)
+    for found in ngram_join.shingle_sets(pa.array(texts + texts[2:4]), 5):
+        want += np.bincount((found & np.uint64(ngram_join.SKETCH - 1)).astype(np.int64), minlength=ngram_join.SKETCH)
+    assert (counts == want).all() and want.sum() == 3 * 3 + 1 + 1
+    assert out.filter(pc.is_null(out["slot"]))["n"].to_pylist() == [3, 0, 0, 3, 1, 1, 0, 3]
+    assert not pa.Table.from_batches(ngram_join._measure(5)([batch.slice(1, 2)]))["slot"].drop_null().to_pylist()
