@@ -179,6 +179,36 @@ def test_fingerprints_of_repeated_and_single_rows(spark):
     assert lz_print.fingerprints_with_next(df.where("false")).count() == 0
 
 
+def test_phrases_of_long_repeats_and_edits_of_them():
+    random.seed(8)
+    noise = "".join(random.choices("abcdefgh ", k=30_000))
+    for text in ("ab" * 30_000, noise + "q" * 40_000 + noise, "x" * 8191, "".join(map(chr, range(50_000, 70_000)))):
+        assert lz_print.phrases(text, set()) == plain_phrases(text)
+        edited, fingerprint = lz_print.Printed(text).edited(noise)
+        assert fingerprint.tolist() == lz_print.Printed(edited).print.tolist()
+
+
+def test_texts_of_a_batch_are_hashed_together(monkeypatch):
+    random.seed(9)
+    hashed = []
+    plain_hashes = lz_print.span_hashes
+    texts = ["".join(random.choices("abé \0", k=random.choice([0, 1, 30, 900]))) for _ in range(300)]
+    monkeypatch.setattr(lz_print, "span_hashes", lambda *args: hashed.append(1) or plain_hashes(*args))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(300)), pa.array(texts), pa.array([False] * 300), pa.array([k // 250 for k in range(300)])],
+        ["id", "text", "tail", "part"])
+    rows = [r for b in lz_print._walk([batch.slice(0, 170), batch.slice(170)]) for r in b.to_pylist()]
+    assert len(hashed) <= 4
+    assert [r["id"] for r in rows] == [k for k in range(299) if k != 249]
+    for r in rows:
+        own, after = (lz_print.Printed(texts[k]) for k in (r["id"], r["id"] + 1))
+        edited, fingerprint = own.edited(after.text)
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (lz_print.digest(own.print), lz_print.digest(fingerprint))
+        assert r["near_edited"] == lz_print.likeness(own.print, fingerprint)
+        assert r["near_next"] == lz_print.likeness(own.print, after.print)
+
+
 CHARS = st.lists(st.sampled_from([*"\\<>[]/SI s\n", "[INST]", "</s>", "<<SYS>>", "INST]"]), max_size=12).map("".join)
 
 
