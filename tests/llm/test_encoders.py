@@ -338,6 +338,26 @@ def test_sentencepiece_memory_is_bounded(monkeypatch):
             assert size == memory.held <= 5000 + 190 + 6 * spiece.LONGEST and all(len(a) <= spiece.LONGEST for a in memory)
 
 
+def test_sentencepiece_encodes_new_words_together():
+    random.seed(6)
+    parts = ["the", "er", "in", "a", "x", "ü", "日", "ing", "\n", "🙂", "....", "\0"]
+    words = sorted({"".join(random.choices(parts, k=random.randrange(1, 20))) for _ in range(3000)})
+    encoder, fresh = spiece.Encoder(vocab.load()), spiece.Encoder(vocab.load())
+    together, found = encoder.words_together(words)
+    assert sorted(together) == words and found == [fresh.words[w] for w in together]
+    for one in ("a", "🙂", "addEventListener"):
+        assert encoder.words_together([one]) == ([one], [fresh.words[one]])
+    single = []
+    encoder.words.encode = lambda word: single.append(word) or fresh.word(word)
+    texts = [" ".join(words[k:k + 300]) for k in range(0, len(words), 300)] + ["", " lead", "two  blanks", "▁", "y" * 300, "end "]
+
+    class Shared:
+        value = encoder
+    ids = [x for *_, (x, _) in spiece._start(Shared)(pa.array(texts)) for x in x.to_pylist()]
+    assert ids == [fresh.encode(x) for x in texts]
+    assert all(len(w) > spiece.LONGEST or not w for w in single)
+
+
 def test_sentencepiece_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, "a b", "p", "q"), (None, None, "r", None)], "doc_id long, text string, _text string, t string")
     got = spiece.encode(docs, ["doc_id", "_text", "t"]).collect()
