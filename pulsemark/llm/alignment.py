@@ -6,6 +6,9 @@ each probed end by bisection in the other tokenizer's ends, and both halves are
 interval without a cut is a leaf; the tokens between neighbouring cuts are a group. Two tokens are linked if
 their bytes overlap.
 
+A blank between two characters that are no white space begins a token of both tokenizers, and so a group. The
+units between such blanks are tokenized, aligned and spelt by themselves, and a task remembers what it found of them.
+
 How many documents hold a link is counted over all documents. Links are then scored by these counts. A link that a large
 share of all documents hold would put all their rows in one task, so the few hot links are sent to every task:
 at most ``HOT`` links can be held ``rows / HOT`` times or more. All others meet their counts by a shuffle.
@@ -14,7 +17,10 @@ at most ``HOT`` links can be held ``rows / HOT`` times or more. All others meet
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +37,14 @@ BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece
 RUN_BYTES = 1 << 18
 #: Ends probed on each side of the middles of all intervals at once, before the rest are searched one by one.
 NEAR = 8
+#: Bytes of units and their results that a task remembers, and characters of a unit that is worth it.
+REMEMBERED, LONGEST = 80_000_000, 100
+#: What a remembered unit takes beside its text, groups and links, and units that are tokenized as one text.
+_ENTRY, _SOME = 300, 64
 #: Links whose counts are sent to every task.
 HOT = 200_000
 _BLANK = "▁"
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: how byte-level vocabularies of this kind cut a text before pieces are merged.
 _CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -73,6 +84,8 @@ class Encoders:
             self.a_bytes[k] = data
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.b_bytes = [self._piece(k) for k in range(self.b.vocab_size())]
+        # No piece has a blank behind another character.
+        self.by_units = not any(" " in self.b.id_to_piece(k).replace(_BLANK, " ").lstrip(" ") for k in range(len(self.b_bytes)))
 
     def _piece(self, k: int) -> bytes:
         piece = self.b.id_to_piece(k)
@@ -187,31 +200,116 @@ def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
 _LINK = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("times", pa.int32())])
 
 
+class _Found(NamedTuple):
+    """What was found of several texts: numbers of tokens and groups, spelt groups, and the links (a << 20 | b) in order."""
+
+    sizes: np.ndarray  # rows n_a, n_b, n_groups, n_links
+    spelt: list[str]
+    links: np.ndarray
+
+    def and_(self, other: _Found) -> _Found:
+        return _Found(np.concatenate([self.sizes, other.sizes], axis=1), self.spelt + other.spelt,
+                      np.concatenate([self.links, other.links]))
+
+
+_NONE = _Found(np.zeros((4, 0), np.int64), [], np.zeros(0, np.int64))
+
+
+class _Aligner:
+    """Finds groups and links unit by unit; a text is taken whole if one of its units is not spelt by itself."""
+
+    def __init__(self, coders: Encoders):
+        self.coders = coders
+        self.names = [f"{k}{mark}" for k in range(max(len(coders.a_bytes), len(coders.b_bytes))) for mark in (",", "|", ";", "")]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (coders.a_bytes, coders.b_bytes))
+        self.forget()
+
+    def forget(self):
+        self.numbers, self.known, self.held = {}, _NONE, 0  # numbers of units in known; -1 if not spelt
+
+    def find(self, a_ids: np.ndarray, b_ids: np.ndarray, a_counts: np.ndarray, b_counts: np.ndarray) -> _Found:
+        n = len(a_counts)
+        a_bounds, b_bounds = (np.concatenate([[0], np.cumsum(x)]) for x in (a_counts, b_counts))
+        a_group, b_group, a_at, b_at = align(self.a_sizes[a_ids], self.b_sizes[b_ids], a_counts, b_counts)
+        text = np.searchsorted(a_bounds, a_at, "right") - 1
+        groups = np.bincount(np.repeat(np.arange(n), a_counts)[_last(a_group)], minlength=n)
+        sizes = np.array([a_counts, b_counts, groups, np.bincount(text, minlength=n)], np.int64)
+        return _Found(sizes, _spelt(a_ids, b_ids, a_group, b_group, a_bounds, b_bounds, self.names),
+                      (a_ids[a_at] << 20) | b_ids[b_at])  # ids take 20 bits each
+
+    def learn(self, units: set[str]):
+        """Find what is not known yet of short units."""
+        new = units.difference(self.numbers)
+        if self.held > REMEMBERED:
+            self.forget()
+            new = units
+        self.numbers.update(dict.fromkeys(new, -1))
+        # Some at a time are one text and are counted by the bytes at which they end; white space at an end goes on.
+        plain = [u for u in new if u and not u[-1].isspace()]
+        rows = [plain[k: k + _SOME] for k in range(0, len(plain), _SOME)]
+        ids = self.coders.encode([" ".join(row) for row in rows])
+        odd = [u for row, x in zip(rows, ids) if not x[0] for u in row] + [u for u in new if u[-1:].isspace()]
+        rows += [[u] for u in odd]
+        ids += self.coders.encode(odd)
+        taken = [k for k, x in enumerate(ids) if x[0]]
+        spelt = [u for k in taken for u in rows[k]]
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in spelt), np.int64, len(spelt)) + 1)
+        flat, counts = [], []
+        for side, sizes in enumerate((self.a_sizes, self.b_sizes)):
+            flat.append(np.fromiter(chain.from_iterable(ids[k][side] for k in taken), np.int64))
+            last = np.searchsorted(np.cumsum(sizes[flat[-1]]), ends)
+            counts.append(np.diff(last + 1, prepend=0))
+        found = self.find(*flat, *counts)
+        self.numbers.update(zip(spelt, range(len(self.known.spelt), len(self.known.spelt) + len(spelt))))
+        self.known = self.known.and_(found)
+        self.held += _ENTRY * len(new) + 2 * sum(map(len, new)) + sum(map(len, found.spelt)) + found.links.nbytes
+
+    def parts(self, texts: list[str]) -> tuple[_Found, list[list[int]]]:
+        """What was found of units, and the numbers of each text's units in it."""
+        split = [_BETWEEN.split(t) if self.coders.by_units else [t] for t in texts]
+        units = set().union(*split)
+        long = [u for u in units if len(u) > LONGEST]
+        self.learn(units.difference(long))
+        known, ids = len(self.known.spelt), self.coders.encode(long)
+        here = {u: known + k for k, (u, x) in enumerate(zip(long, ids)) if x[0]}
+        number, rows = self.numbers.get, []
+        for text, row in zip(texts, split):
+            numbers = [number(u, -1) for u in row]
+            if -1 in numbers:
+                numbers = [here.get(u, -1) if k < 0 else k for u, k in zip(row, numbers)]
+            if -1 in numbers:
+                numbers = [known + len(ids)]
+                ids += self.coders.encode([text])
+            rows.append(numbers)
+        if not ids:
+            return self.known, rows
+        counts = [np.array([len(x[side]) for x in ids], np.int64) for side in (0, 1)]
+        flat = [np.fromiter(chain.from_iterable(x[side] for x in ids), np.int64) for side in (0, 1)]
+        return self.known.and_(self.find(*flat, *counts)), rows
+
+
 def _make(byte_level: str, pieces: str):
-    coders = Encoders(byte_level, pieces)
-    names = [f"{k}{mark}" for k in range(max(len(coders.a_bytes), len(coders.b_bytes))) for mark in (",", "|", ";", "")]
-    a_sizes, b_sizes = (np.array([len(x) for x in t], np.int64) for t in (coders.a_bytes, coders.b_bytes))
+    aligner = _Aligner(Encoders(byte_level, pieces))
 
     def make(texts: pa.Array) -> Iterator[tuple[int, int, list[pa.Array]]]:
         for lo, hi in _runs(texts):
-            ids = coders.encode(texts.slice(lo, hi - lo).to_pylist())
-            a_counts, b_counts = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
-            a_ids, b_ids = (np.array([i for x in ids for i in x[k]], np.int64) for k in (0, 1))
-            a_bounds, b_bounds = (np.concatenate([[0], np.cumsum(x)]) for x in (a_counts, b_counts))
-            a_group, b_group, a_at, b_at = align(a_sizes[a_ids], b_sizes[b_ids], a_counts, b_counts)
-            text = np.searchsorted(a_bounds, a_at, "right") - 1
-            # Links of a text, each once with the number of times; ids take 20 bits each.
-            links, times = np.unique((text << 40) | (a_ids[a_at] << 20) | b_ids[b_at], return_counts=True)
-            groups = np.bincount(np.repeat(np.arange(hi - lo), a_counts)[_last(a_group)], minlength=hi - lo)
+            found, rows = aligner.parts(texts.slice(lo, hi - lo).to_pylist())
+            text = np.repeat(np.arange(hi - lo), [len(x) for x in rows])
+            part = np.fromiter(chain.from_iterable(rows), np.int64, len(text))
+            sizes = np.zeros((4, hi - lo), np.int64)
+            np.add.at(sizes, (slice(None), text), found.sizes[:, part])
+            held = found.sizes[3, part]
+            firsts = (np.cumsum(found.sizes[3]) - found.sizes[3])[part] - (np.cumsum(held) - held)
+            places = np.arange(held.sum()) + np.repeat(firsts, held)
+            # Links of a text, each once with the number of times.
+            links, times = np.unique((np.repeat(text, held) << 40) | found.links[places], return_counts=True)
             offsets = np.searchsorted(links >> 40, np.arange(hi - lo + 1)).astype(np.int32)
             low = (1 << 20) - 1
             items = pa.StructArray.from_arrays(
                 [pa.array(x.astype(np.int32)) for x in ((links >> 20) & low, links & low, times)], fields=list(_LINK))
-            yield lo, hi, [
-                pa.array(a_counts), pa.array(b_counts), pa.array(groups.astype(np.int64)),
-                pa.array(np.bincount(text, minlength=hi - lo).astype(np.int64)),
-                pa.array(_spelt(a_ids, b_ids, a_group, b_group, a_bounds, b_bounds, names), pa.string()),
-                pa.ListArray.from_arrays(pa.array(offsets), items)]
+            spelt = found.spelt
+            yield lo, hi, [*map(pa.array, sizes), pa.array([";".join([spelt[k] for k in row]) for row in rows], pa.string()),
+                           pa.ListArray.from_arrays(pa.array(offsets), items)]
     return make
 
 

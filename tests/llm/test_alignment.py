@@ -134,6 +134,34 @@ def test_edge_rows(spark, hot):
     assert all(r.key == "x" for r in got)
 
 
+def test_units_are_found_once_and_as_in_whole_texts(monkeypatch):
+    rng = random.Random(7)
+    parts = ["the", "er", "x", " ", " ", " ", "  ", "\n", " \n", "\n ", "日", "🙂", "...", "'s", "12", "\xa0", "\u3000", "\x1c", "▁", "y" * 101]
+    texts = ["".join(rng.choices(parts, weights=[9] * 18 + [1, 1], k=rng.randrange(40))) for _ in range(2000)]
+    coders = alignment.Encoders(alignment.BYTE_LEVEL, alignment.PIECES)
+    want = coders.encode(texts)
+    for remembered in (alignment.REMEMBERED, 20_000):
+        monkeypatch.setattr(alignment, "REMEMBERED", remembered)
+        aligner, seen = alignment._Aligner(coders), 0
+        for lo in range(0, len(texts), 100):
+            found, rows = aligner.parts(texts[lo:lo + 100])
+            seen += len(rows)
+            for row, (a, b) in zip(rows, want[lo:lo + 100]):
+                whole = aligner.find(*(np.array(x, np.int64) for x in (a, b)), *(np.array([len(x)]) for x in (a, b)))
+                assert found.sizes[:, row].sum(axis=1).tolist() == whole.sizes[:, 0].tolist()
+                assert ";".join(found.spelt[k] for k in row) == whole.spelt[0]
+                at = np.concatenate([[0], np.cumsum(found.sizes[3])])
+                assert [x for k in row for x in found.links[at[k]:at[k + 1]].tolist()] == whole.links.tolist()
+        assert seen == len(texts)
+    again, coded = ["one two three"] * 500, []
+    encode = coders.encode
+    monkeypatch.setattr(coders, "encode", lambda texts: coded.extend(texts) or encode(texts))
+    aligner = alignment._Aligner(coders)
+    for _ in range(3):
+        aligner.parts(again)
+    assert sum(map(len, coded)) == len("one two three")
+
+
 def test_empty_table_and_clashes(spark):
     docs = spark.createDataFrame([], "id long, text string, n_a long")
     assert alignment.with_link_counts(alignment.aligned(docs, ["id"])).collect() == []
