@@ -7,7 +7,8 @@ words, so that the probabilities of all known words and `unknown` sum to one.
 
 Texts are cut once into blocks that hold their words as numbers in the block's own dictionary. Counting,
 training and scoring read the blocks; only the dictionaries are shuffled by word. Every task trains on its
-blocks from one start and the results are averaged by tokens.
+blocks from one start and the results are averaged by tokens. A task holds one block at a time, its tokens and classes
+in the narrowest numbers that they fit in.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsemark.llm.text import _LOWER, Words, mix, runs, short_batches
+from pulsemark.llm.text import _LOWER, Words, give_back, gives_back, light_batches, mix, released, runs
 from pulsemark.session import cut
 
 #: Classes: words of their own, and classes of word endings.
@@ -38,12 +39,25 @@ _BLOCKS = "block long, ids array<long>, held array<boolean>, lengths binary, tok
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """32-bit numbers as four planes of bytes, the high ones mostly zero, which compress well."""
+    """Numbers below 2**31 as four planes of bytes, the high ones mostly zero, which compress well."""
     return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def _numbers(planes: bytes | pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct values, where each comes first, and every value's place among them, as ``np.unique`` has them."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    found, first = ordered[new], order[new]
+    del ordered
+    back = np.empty(len(values), np.int32)
+    back[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return found, first, back
 
 
 class _Block:
@@ -64,9 +78,11 @@ class _Block:
 
     def row(self, number: int) -> pa.RecordBatch:
         hashes, held, lengths = (np.concatenate(x) for x in (self.hashes, self.held, self.lengths))
-        found, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        self.hashes = []
+        found, first, back = _distinct(hashes)
+        del hashes
         order = np.argsort(-np.bincount(back), kind="stable")  # small numbers for frequent words
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         tokens = place[back]
         seen = np.bincount(tokens[~np.repeat(held, lengths)], minlength=len(order)).astype(np.int32)
@@ -81,7 +97,7 @@ class _Block:
 
 def _into_blocks(batches):
     number, block = TaskContext.get().partitionId() << 32, _Block()
-    for batch in batches:
+    for batch in released(batches):
         ids = batch.column(0).to_pylist()
         held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         for lo, hi, data, at in runs(batch.column(2)):
@@ -106,7 +122,7 @@ class Counts:
 
     def classes(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == hashes, self.of[at], FREQUENT + endings)
+        return np.where(self.frequent[at] == hashes, self.of[at], FREQUENT + endings).astype(np.int16)
 
 
 def _counts(words: DataFrame) -> Counts:
@@ -223,7 +239,7 @@ def _unpacked(batch: pa.RecordBatch, k: int, counts: Counts):
     hashes = of("words").values.to_numpy().view(np.uint64)
     classes = counts.classes(hashes, of("endings").values.to_numpy().astype(np.int64))
     held = of("held").values.to_numpy(zero_copy_only=False).astype(bool)
-    return classes, _numbers(of("tokens").as_py()), _numbers(of("lengths").as_py()), held
+    return classes, _numbers(of("tokens").as_buffer()), _numbers(of("lengths").as_buffer()), held
 
 
 def _train(shared):
@@ -231,10 +247,11 @@ def _train(shared):
         counts = shared.value
         model = Bilinear.start(counts.class_tokens)
         trainer = Trainer(model, counts.class_tokens, TaskContext.get().partitionId())
-        for batch in batches:
+        for batch in released(batches):
             for k in range(batch.num_rows):
                 classes, tokens, lengths, held = _unpacked(batch, k, counts)
                 w = classes[tokens]
+                del tokens
                 c1, c2 = _contexts(w, lengths)
                 mine = ~np.repeat(held, lengths)
                 trainer.learn(w[mine], c1[mine], c2[mine])
@@ -288,32 +305,38 @@ def _score(shared):
                 base = np.log10((c + 1) / (counts.tokens + counts.words + 1))
                 inside = np.log10((c + 1) / (counts.class_tokens + counts.class_words + 1)[classes])
                 inside[classes < FREQUENT] = 0
-                w = classes[tokens]
-                c1, c2 = _contexts(w, lengths)
-                steps = _class_logs(model, w, c1, c2) / np.log(10) + inside[tokens]
                 starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
                 outs["id"].extend(batch.column(batch.schema.names.index("ids"))[k].as_py())
                 outs["held_out"].append(held)
-                outs["n_tokens"].append(lengths)
-                outs["n_known"].append(np.add.reduceat((c[tokens] > 0).astype(np.int64), starts))
+                outs["n_tokens"].append(lengths.astype(np.int64))
+                outs["n_known"].append(np.add.reduceat((c > 0)[tokens], starts, dtype=np.int64))
                 outs["base_score"].append(np.add.reduceat(base[tokens], starts))
+                w = classes[tokens]
+                steps = _class_logs(model, w, *_contexts(w, lengths))
+                steps /= np.log(10)
+                steps += inside[tokens]
                 outs["score"].append(np.add.reduceat(steps, starts))
         ids = pa.array(outs.pop("id"), pa.int64())
-        return pa.table({"id": ids, **{name: np.concatenate(v) for name, v in outs.items()}})
+        out = pa.table({"id": ids, **{name: np.concatenate(v) for name, v in outs.items()}})
+        give_back()
+        return out
     return run
 
 
 def _class_logs(model: Bilinear, w, c1, c2) -> np.ndarray:
     """Log probability of each class after its context; each distinct context is normalised once."""
-    contexts, back = np.unique(c1 * CLASSES + c2, return_inverse=True)
-    order = np.argsort(back, kind="stable")
-    ends = np.cumsum(np.bincount(back, minlength=len(contexts)))
+    pair = c1.astype(np.int32) * np.int32(CLASSES) + c2
+    contexts = np.flatnonzero(np.bincount(pair, minlength=CLASSES ** 2))
+    place = np.empty(CLASSES ** 2, np.int32)
+    place[contexts] = np.arange(len(contexts))
+    back, step = place[pair], 4096
+    del pair
+    part = (back // np.int32(step)).astype(np.uint8)  # at most CLASSES ** 2 / step of them
     out = np.empty(len(w), np.float64)
-    step = 4096
     for lo in range(0, len(contexts), step):
         some = contexts[lo: lo + step]
         logs = model.log_probs(some // CLASSES, some % CLASSES)
-        of = order[(ends[lo - 1] if lo else 0): ends[min(lo + step, len(contexts)) - 1]]
+        of = np.flatnonzero(part == lo // step)
         out[of] = logs[back[of] - lo, w[of]]
     return out
 
@@ -327,9 +350,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     held_out counts as false. Without training rows the model knows no word and every class is alike. An empty
     table gives an empty result.
     """
-    spark = short_batches(docs.sparkSession)
+    spark = light_batches(docs.sparkSession)
     rows = docs.select("id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
-    blocks = cut(rows.mapInArrow(_into_blocks, _BLOCKS))
+    blocks = cut(rows.mapInArrow(gives_back(_into_blocks), _BLOCKS))
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "seen", "endings")).alias("at", "z")).select(
         "block", "at", F.col("z.words").alias("word"), F.col("z.seen").alias("seen"), F.col("z.endings").alias("ending"))
     of_word = Window.partitionBy("word")
@@ -338,7 +361,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         (F.row_number().over(of_word.orderBy("block")) == 1).alias("first")))
     counts = _counts(words)
     trained = cut(blocks.mapInArrow(
-        _train(spark.sparkContext.broadcast(counts)), "slice int, task int, sums binary, tokens double"))
+        gives_back(_train(spark.sparkContext.broadcast(counts))), "slice int, task int, sums binary, tokens double"))
     model = _averaged(trained, counts.class_tokens)
     scored = blocks.groupBy("block").cogroup(words.select("block", "at", "c").groupBy("block")).applyInArrow(
         _score(spark.sparkContext.broadcast((counts, model))),

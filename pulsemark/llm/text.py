@@ -99,13 +99,18 @@ def gives_back(run: Callable) -> Callable:
     """
     def whole(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim:
-            trim(0)
+        give_back()
     return whole
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches of a task; what Arrow keeps of earlier ones goes back to the system before each.
 

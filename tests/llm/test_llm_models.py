@@ -1,15 +1,17 @@
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pulsemark.llm import catalog, langid, lm, quality, vocab
-from pulsemark.llm.text import Words
+from pulsemark.llm.text import Words, plain
 
 SMALL = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -63,6 +65,33 @@ def test_lm_is_normalised_and_learns():
     assert (lm._numbers(lm._planes(planes)) == planes).all()
 
 
+def test_lm_holds_few_bytes_per_token():
+    """Making a block and scoring it, which an executor does in several workers at once."""
+    words = [f"w{k * k % 4093}" for k in range(400_000)]
+    texts = pa.array([" ".join(words[lo: lo + 500]) for lo in range(0, len(words), 500)])
+    block, (data, at) = lm._Block(), plain(texts)
+    block.add(list(range(len(texts))), np.arange(len(texts)) % 7 == 2, data, at)
+    tracemalloc.start()
+    row = block.row(1)
+    made = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    hashes, seen = (row.column(k)[0].values.to_numpy() for k in (5, 6))
+    counts = lm.Counts(int(seen.sum()), len(hashes), np.sort(hashes.view(np.uint64)[:300]), np.arange(300),
+                       np.ones(lm.CLASSES), np.ones(lm.CLASSES))
+
+    class Shared:
+        value = counts, lm.Bilinear.start(counts.class_tokens)
+
+    block, dictionary = pa.table(row), pa.table({"at": np.arange(len(hashes)), "c": seen.astype(np.int64)})
+    tracemalloc.start()
+    scored = lm._score(Shared)(block, dictionary)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    tokens = sum(scored["n_tokens"].to_pylist())
+    assert tokens == len(words) + len(texts) and made < 45 * tokens
+    assert held < 80 * tokens + 40e6, held / tokens  # a step's log probabilities, of a fixed size, come on top
+
+
 def test_forward_sums_all_segmentations():
     pieces = vocab.Pieces({"▁a": 0, "ab": 1, "b": 2, "▁ab": 3, "é": 4, "ba": 5, "abb": 6}, {}, [], 0, 7)
     table = langid.PieceTable(pieces)
