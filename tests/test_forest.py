@@ -120,3 +120,55 @@ def test_nodes_do_not_pass_through_the_driver(spark, monkeypatch):
     assert passed < sum(len(t.name) for t in model.trees) / 2
     monkeypatch.setattr(forest, "SCORED_ROWS", 7, raising=False)
     assert {r.id: r.score for r in forest.predict(df, model, ["id"]).collect()} == whole and len(whole) == df.count()
+
+
+@pytest.mark.parametrize("columns, settings", [
+    (3, Settings(min_samples_leaf=1)), (21, Settings()), (21, Settings(max_features=None, max_depth=5)),
+    (5, Settings(min_samples_leaf=0, min_samples_split=31, max_features=2)), (1, Settings(bootstrap=False))])
+@pytest.mark.parametrize("together", [1 << 18, 64])
+def test_all_nodes_of_a_depth_at_once_equal_one_after_the_other(columns, settings, together, monkeypatch):
+    monkeypatch.setattr(forest, "ROWS_TOGETHER", together)
+    random, width = np.random.default_rng(columns), 20
+    bins = np.minimum(random.integers(0, width, (700, columns)), random.integers(2, width, (1, columns)))
+    w, y = random.integers(1, 5, 700), (random.random(700) < bins[:, 0] / width).astype(int)
+    wanted, open_nodes = [], [(1, 0, np.arange(700))]
+    while open_nodes:
+        name, depth, at = open_nodes.pop()
+        features = forest.features_of(9, name, columns, settings)
+        deep = settings.max_depth is not None and depth >= settings.max_depth
+        split = None if deep else forest.best_split(forest.counted(bins[at], w[at], y[at], features, width), features, settings)
+        f, b = split[:2] if split else (-1, 0)
+        wanted.append((name, f, b, len(at), (w[at] * y[at]).sum() / w[at].sum()))
+        for side in (False, True) if split else ():
+            child = int(forest.children(np.array([name], np.uint64), np.array([side]))[0])
+            open_nodes.append((child, depth + 1, at[(bins[at, f] > b) == side]))
+    got = forest.grown(9, 1, 0, bins.astype(np.uint8), w.astype(np.int8), y.astype(np.int8), width, settings)
+    assert sorted(zip(*[v.tolist() for v in got])) == sorted(wanted) and len(wanted) > 3
+
+
+def test_features_of_all_nodes():
+    names = np.append(np.random.default_rng(5).integers(0, 2 ** 64, 3000, dtype=np.uint64), np.array([1, 2 ** 32], np.uint64))
+    for n in (1, 2, 3, 21, 64):
+        for tree, s in ((0, Settings()), (499, Settings(max_features="log2", seed=0)), (3, Settings(seed=1 << 40))):
+            some = names if s.seed < 1 << 32 else names[:20]
+            wanted = [forest.features_of(tree, int(x), n, s).tolist() for x in some]
+            assert forest.features_of_all(tree, some, n, s).tolist() == wanted
+
+
+@pytest.mark.parametrize("local", [0, 40, 60])
+def test_sent_and_shuffled_tables_give_the_same_forest(spark, local, monkeypatch):
+    """A small table is sent to the tasks, which grow whole trees and shuffle no row; others are shuffled by node."""
+    df, s = table(spark, 150, 3), Settings(n_estimators=6, min_samples_leaf=2, max_bin=16, max_depth=4 if local == 0 else None)
+    monkeypatch.setattr(forest, "PIECE", 7)
+    sent = forest.fit(df, COLUMNS, "y", "id", s)
+    whole = {r.id: r.score for r in forest.predict(df, sent, ["id"]).collect()}
+    monkeypatch.setattr(forest, "SENT_CELLS", 0)
+    by_parts = {r.id: r.score for r in forest.predict(df, sent, ["id"]).collect()}
+    monkeypatch.setattr(forest, "LOCAL_ROWS", local)
+    monkeypatch.setattr(forest, "CARRIED_ROWS", 300)
+    shuffled = forest.fit(df, COLUMNS, "y", "id", s)
+    assert sent.whole and not shuffled.whole and sent.n_trees == shuffled.n_trees == 6
+    for a, b in zip(sent.trees, shuffled.trees):
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("name", "feature", "cut", "rows", "share"))
+    monkeypatch.setattr(forest, "SCORED_ROWS", 7)
+    assert {r.id: r.score for r in forest.predict(df, shuffled, ["id"]).collect()} == whole == by_parts and len(whole) == df.count()
