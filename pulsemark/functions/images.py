@@ -3,13 +3,16 @@
 The only Python functions over row values in the package: Spark has no pixel arithmetic. They take bytes in Arrow batches,
 those of plain bitmaps as the files have them, others as decoded by ``spark.read.format("image")``, whose
 decoder puts each file into a temporary one. ``write_images`` is the sink that belongs to it: one file per row, written by
-the tasks.
+the tasks. Folders are listed by tasks too, into a table, so that the driver holds no list of files.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -18,13 +21,15 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemark.session import cut
+from pulsemark.session import cut, cut_all
 
 #: File names that end in .bmp, and all others.
 BITMAPS = "*.[bB][mM][pP]"
 OTHERS = "{*[!pP],*[!mM][pP],*[!bB][mM][pP],*[!.][bB][mM][pP],[bB][mM][pP],[mM][pP],[pP]}"
 #: Partitions of small files that one task reads, and the least tasks for each core.
 READ_TOGETHER, TASKS = 32, 8
+#: Files that one task measures, and files named to the image source at once.
+FILES, NAMED = 10_000, 20_000
 
 
 def _measure(height: int, width: int, channels: int, data: bytes) -> tuple[float, float]:
@@ -60,9 +65,92 @@ def thumbnail_stats(images: DataFrame) -> DataFrame:
 def read_thumbnails(spark: SparkSession, root: str) -> DataFrame:
     """Brightness and colourfulness of every image file below a folder; broken files give (0, 0).
 
-    Files are listed by Spark and tasks hold a batch of them at a time. Files named .bmp are read as bytes; those that
-    are no plain bitmaps, and all other files, are decoded by Spark's image source.
+    Tasks list the folders, one level after the other, and read the files named .bmp as bytes; a task holds the list of
+    one folder. Those that are no plain bitmaps, and all other files, are decoded by Spark's image source, to which ``NAMED``
+    of them are named at a time. A folder that pyarrow cannot reach is listed by Spark, whose driver holds all names.
     """
+    try:
+        system, base = pa.fs.FileSystem.from_uri(_uri(root))
+    except (pa.ArrowInvalid, ImportError, OSError):
+        return _read_by_spark(spark, root)
+    whole = spark._jvm.org.apache.hadoop.fs.Path(root)
+    above = re.sub("^file:/+", "file:///", whole.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(whole).toString())
+    files = _listed(spark, system, base)
+    tasks = _tasks(spark, files.count(), FILES)
+    seen = cut(files.repartition(tasks).mapInArrow(
+        _measured(system, base), "path string, brightness double, colorfulness double, plain boolean"))
+    told = seen.where("plain").select(F.concat(F.lit(f"{above}/"), "path").alias("origin"), "brightness", "colorfulness")
+    odd = seen.where("not plain").select("path")
+    if odd.isEmpty():
+        return told
+    return told.unionByName(cut_all(thumbnail_stats(part) for part in _decoded(spark, root, odd)))
+
+
+def _uri(root: str) -> str:
+    return root if "://" in root else f"file://{root.removeprefix('file:')}"
+
+
+def _tasks(spark: SparkSession, n: int, each: int) -> int:
+    return max(-(-n // each), min(n, TASKS * spark.sparkContext.defaultParallelism), 1)
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's file sources pass over."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _listed(spark: SparkSession, system: pa.fs.FileSystem, base: str) -> DataFrame:
+    """The paths below a folder of all its files but hidden and empty ones, stored."""
+    def run(batches):
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                found = [x for x in system.get_file_info(pa.fs.FileSelector(f"{base}/{folder}".rstrip("/") or "/")) if not _hidden(x.base_name)]
+                found = [x for x in found if x.type == pa.fs.FileType.Directory or x.size]
+                for lo in range(0, len(found), FILES):
+                    some = found[lo: lo + FILES]
+                    yield pa.RecordBatch.from_pydict({
+                        "path": [f"{folder}/{x.base_name}".lstrip("/") for x in some],
+                        "folder": [x.type == pa.fs.FileType.Directory for x in some]})
+
+    folders, n, levels = spark.createDataFrame([("",)], "path string"), 1, []
+    while n:
+        levels.append(cut(folders.repartition(_tasks(spark, n, FILES)).mapInArrow(run, "path string, folder boolean")))
+        folders = levels[-1].where("folder").select("path")
+        n = folders.count()
+    return reduce(DataFrame.unionByName, levels).where("not folder").select("path")
+
+
+def _measured(system: pa.fs.FileSystem, base: str):
+    """Measures of the files of these paths; those not named .bmp are not opened."""
+    def run(batches):
+        for batch in batches:
+            paths, rows = batch.column("path").to_pylist(), []
+            for path in paths:
+                data = None
+                if path[-4:].lower() == ".bmp":
+                    with system.open_input_stream(f"{base}/{path}") as file:
+                        data = file.read()
+                rows.append((0.0, 0.0, False) if data is None else _plain(data))
+            b, c, plain = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(b, pa.float64()), pa.array(c, pa.float64()), pa.array(plain, pa.bool_())],
+                ["path", "brightness", "colorfulness", "plain"])
+    return run
+
+
+def _decoded(spark: SparkSession, root: str, odd: DataFrame) -> Iterator[DataFrame]:
+    """The image source over files of these paths, ``NAMED`` at a time."""
+    images = spark.read.format("image").option("dropInvalid", False)
+    # A path is a pattern to Spark.
+    paths = (re.sub(r"([{}\[\]*?\\])", r"\\\1", f"{root}/{r['path']}") for r in odd.toLocalIterator())
+    while some := list(islice(paths, NAMED)):
+        yield images.load(some)
+
+
+def _read_by_spark(spark: SparkSession, root: str) -> DataFrame:
+    """``read_thumbnails`` of a folder that only Spark's readers can reach."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", BITMAPS).load(root)
     parts = files.rdd.getNumPartitions()
     together = max(-(-parts // READ_TOGETHER), min(parts, TASKS * spark.sparkContext.defaultParallelism), 1)
@@ -127,7 +215,7 @@ def write_images(images: DataFrame, root: str) -> int:
     root = root.rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = pa.fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+        system, base = pa.fs.FileSystem.from_uri(_uri(root))
         done = 0
         for batch in batches:
             for row in batch.to_pylist():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,15 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_all(frames: Iterable[DataFrame]) -> DataFrame:
+    """Write frames of one schema, one at least, one after the other to one folder, and go on from the files."""
+    path = None
+    for df in frames:
+        path = path or f"{_cuts(df.sparkSession)}/{uuid.uuid4().hex}"
+        df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _cuts(spark: SparkSession) -> str:
     """The folder of this application's cuts, which no other application writes to."""
     return f"{shared_dir(spark)}/cut/{spark.sparkContext.applicationId}"

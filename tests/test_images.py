@@ -1,5 +1,6 @@
 import os
 import struct
+from urllib.parse import unquote
 
 import numpy as np
 import pytest
@@ -53,3 +54,34 @@ def test_other_files_are_decoded_by_the_image_source(spark, folder):
     wanted = sorted(tuple(r) for r in images.thumbnail_stats(source).collect())
     assert sorted(tuple(r) for r in read_thumbnails(spark, folder).collect()) == wanted
     assert len(wanted) == len(named) - 1  # empty files are passed over
+
+
+def test_folders_are_listed_by_tasks(spark, folder, monkeypatch):
+    """The driver names a bounded number of files to Spark at a time; names that are patterns or have blanks are found."""
+    data = bitmap(2, 2, bytes(range(12)))
+    wanted = {"a b.bmp": 5.5, "s/[z].bmp": 5.5, "s/bad one.bmp": 0.0, "s/t/{q}.png": 5.5, "s/t/o*.bmp": 0.0, "s/t/p.png": 5.5, "_k=1/a.bmp": 5.5}
+    others = ["_u.bmp", ".v.bmp", "s/_hidden/a.bmp", ".h/a.bmp", "w._COPYING_", "s/e.bmp"]
+    for name in [*wanted, *others]:
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(b"" if name == "s/e.bmp" else b"no image" if wanted.get(name) == 0.0 else data)
+    os.makedirs(f"{folder}/none/below")
+    given, reader = [], type(spark.read)
+
+    def load(self, path=None, *a, call=reader.load, **b):
+        given.append(path)
+        return call(self, path, *a, **b)
+    monkeypatch.setattr(reader, "load", load)
+    monkeypatch.setattr(images, "NAMED", 2, raising=False)
+    monkeypatch.setattr(images, "FILES", 2, raising=False)
+    got = [(unquote(r.origin.removeprefix(f"file://{folder}/")), r.brightness) for r in read_thumbnails(spark, folder).collect()]
+    assert sorted(got) == sorted(wanted.items())
+    given = [paths for paths in given if paths is not None]  # parquet() passes none
+    assert given and all(isinstance(paths, list) and len(paths) <= 2 for paths in given)
+
+
+def test_a_folder_that_only_spark_reaches(spark, folder, monkeypatch):
+    write_images(spark.createDataFrame([("a", 1, 1, b"abc")], "name string, width int, height int, pixels binary"), folder)
+    wanted = read_thumbnails(spark, folder).collect()
+    monkeypatch.setattr(images, "_uri", lambda root: "viewfs://store/x")
+    assert read_thumbnails(spark, folder).collect() == wanted and len(wanted) == 1
