@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,27 +69,34 @@ def pivot_parts(
     snapshots: DataFrame,
     static_cols: Sequence[str] | None = None,
     metric_cols: Sequence[str] | None = None,
+    texts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame | None, list[str]]:
     """A pivot in two parts, to be put together by ``with_late``, and its columns.
 
     The first part, which is stored, has no texts, so that they do not pass its aggregation and joins. The second has the
     texts, and what ranks behind them among equal polls, of the upload rows of complete videos alone. Both
     pick by the same order, of which the first part knows the beginning, so they pick the same row.
+
+    Where ``snapshots`` lacks the texts, ``texts`` adds them to such rows, each of which it keeps at least once. It is given
+    the upload rows of complete videos: Spark does not move that semi join below a join that adds texts.
     """
-    static, metrics, order = _wanted(snapshots, static_cols, metric_cols)
+    whole = texts(snapshots) if texts else snapshots
+    static, metrics, order = _wanted(whole, static_cols, metric_cols)
     ranked = order + [c for c in dict.fromkeys(static + metrics) if c not in order]
     columns = ["video_id", *static, *[f"{c}_{label}" for label in POLL_LABELS for c in metrics]]
     long = [i for i, c in enumerate(ranked) if c in LONG_COLS]
     if not long:
-        return _pivoted(snapshots, static, metrics, metrics, order), None, columns
+        return _pivoted(whole, static, metrics, metrics, order), None, columns
     late = ranked[long[0]:]
     # Joins drop null keys, so a null video, which is a group of its own, has a key without the mark.
     key = F.coalesce(F.concat(F.lit("+"), F.col("video_id").cast("string")), F.lit("-"))
     early = [[c for c in part if c not in late] for part in (static, metrics)]
-    wide = cut(_pivoted(snapshots, early[0], early[1], metrics, order).withColumn("_key", key))
-    uploads = snapshots.where(F.col("poll_label") == POLL_LABELS[0]).select(key.alias("_key"), *ranked)
-    picked = uploads.join(wide.select("_key"), "_key", "left_semi").groupBy("_key").agg(
-        F.max(F.struct(*ranked)).alias("r"))
+    wide = cut(_pivoted(snapshots, early[0], early[1], metrics, order).withColumn("_key", key), free=True)
+    uploads = snapshots.where(F.col("poll_label") == POLL_LABELS[0]).withColumn("_key", key)
+    known = uploads.join(wide.select("_key"), "_key", "left_semi")
+    if texts:  # stored, so that what the narrow rows have shuffled is gone before the texts are
+        known = texts(cut(known, free=True))
+    picked = known.groupBy("_key").agg(F.max(F.struct(*ranked)).alias("r"))
     return wide, picked.select("_key", *[
         F.col(f"r.{c}").alias(c if c in static else f"{c}_{POLL_LABELS[0]}") for c in late]), columns
 

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pulsemark.constants import (
     BASELINE_COLS, POLL_LABELS, SYNTHETIC_CATEGORIES, SYNTHETIC_COUNTS, SYNTHETIC_REALS, SYNTHETIC_TEXT,
@@ -208,16 +209,23 @@ def add_synthetic_features(rows: DataFrame) -> DataFrame:
     })
 
 
+def read_by_generate(real: DataFrame) -> list[str]:
+    """The columns of the real rows that ``generate`` reads, in their order."""
+    wanted = {*NUMERIC, *SYNTHETIC_CATEGORIES, *BASELINE_COLS, "video_id", "channel_id", "channel_handle", "vertical", "tier"}
+    return [c for c in real.columns if c in wanted]
+
+
 def generate(
-    real: DataFrame, n: int, seed: int = 42, max_categories: int = MAX_CATEGORIES, marginals: str = "grid"
+    real: DataFrame, n: int, seed: int = 42, max_categories: int = MAX_CATEGORIES, marginals: str = "grid",
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """``n`` synthetic rows with the real frame's columns and the flag."""
+    """``n`` synthetic rows with the real frame's columns, or those of ``schema``, and the flag."""
     spark = real.sparkSession
     measured = sample_copula(spark, fit_copula(real, max_categories, marginals), n, seed).drop("vertical", "tier")
     placed = measured.join(draw_channels(spark.range(n), real, seed), "id")
     known = placed.join(channel_lookup(real), "channel_id")
     rows = add_synthetic_features(add_placeholders(clean_synthetic(known)))
-    kept = [f for f in real.schema.fields if f.name != "contains_synthetic_data"]
+    kept = [f for f in (schema or real.schema).fields if f.name != "contains_synthetic_data"]
     return rows.select(*[
         (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in kept

@@ -91,7 +91,8 @@ def numeric_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def full_clean(spark: SparkSession, d: str) -> DataFrame:
-    return build_clean(X.labelled(spark, d), medians(spark, d))
+    rows, texts = X.labelled_parts(spark, d)
+    return build_clean(rows, medians(spark, d), texts=texts)
 
 
 def numeric_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -1175,16 +1176,16 @@ def feature_weights(spark, d):
 @query
 def augmented_train(spark, d):
     """Train rows with synthetic rows added until four in five are real; the other splits unchanged."""
-    rows = cut(engineer(full_clean(spark, d)))
-    divided = cut(_with_new_holdout(rows))
+    rows = cut(engineer(full_clean(spark, d)), free=True)
+    divided = _with_new_holdout(rows)  # a join with the stored rows, whose texts are not stored again
     return augment(divided, 0.8).groupBy("split", "contains_synthetic_data").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def augmented_real_rows(spark, d):
     """The real rows after synthetic ones joined the train split, with split, target and a count."""
-    rows = cut(engineer(full_clean(spark, d)))
-    made = augment(cut(_with_new_holdout(rows)), 0.8)
+    rows = cut(engineer(full_clean(spark, d)), free=True)
+    made = augment(_with_new_holdout(rows), 0.8)
     return tidy(made.where("not contains_synthetic_data"), "video_id", "split", C.TARGET, "view_count_7d")
 
 

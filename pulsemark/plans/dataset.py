@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -17,9 +17,13 @@ def build_clean(
     medians: DataFrame,
     static_cols: Sequence[str] | None = None,
     metric_cols: Sequence[str] | None = None,
+    texts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Poll rows and channel medians to one clean row per complete video; medians are joined before texts."""
-    wide, late, columns = pivot_parts(snapshots, static_cols, metric_cols)
+    """Poll rows and channel medians to one clean row per complete video; medians are joined before texts.
+
+    ``texts`` adds the texts to poll rows that lack them, as in ``pivot_parts``.
+    """
+    wide, late, columns = pivot_parts(snapshots, static_cols, metric_cols, texts)
     if "channel_id" not in wide.columns:  # it ranks behind the texts
         return clean(attach_baselines(with_late(wide, late, columns), medians))
     joined = attach_baselines(wide, medians)

@@ -5,6 +5,8 @@ Each function reads whole tables and returns a lazy frame, so work grows with th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,30 +138,49 @@ _POLLS = [
 ]
 
 
-def snapshots(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
-    """Poll rows of tracked videos, with natural duplicates and unlabelled rows.
+_SNAPSHOT = [
+    "video_id", "poll_timestamp", "poll_label", "channel_id", "channel_handle", "vertical", "tier",
+    "title", "description", "tags", "duration_seconds", "category_id", "category_name",
+    "published_at", "hours_since_publish", "view_count", "like_count", "comment_count",
+    "subscriber_count", "face_count", "brightness", "colorfulness", "contains_synthetic_media",
+]
 
-    Documents are joined last, so that no other join moves their texts.
-    """
+
+def _polled(spark: SparkSession, folder: str, with_keys: bool) -> DataFrame:
+    """Poll rows of tracked videos without texts, with the keys of these if wanted."""
     lines = table(spark, folder, "lineitem").selectExpr(*_POLLS)
     tracked = timed_videos(spark, folder).where("is_tracked").drop("is_tracked")
-    if with_text:
+    if with_keys:
         tracked = tracked.join(_text_keys(spark, folder), "o_orderkey")
     rows = lines.join(tracked, "o_orderkey").join(channels(spark, folder).drop("c_custkey"), "channel_id")
-    rows = rows.withColumn("poll_timestamp", F.expr(
+    return rows.withColumn("poll_timestamp", F.expr(
         "published_at + make_dt_interval(0, 0, 0, cast(round(hours_since_publish * 3600, 6) as decimal(18,6)))"
     ))
-    columns = [
-        "video_id", "poll_timestamp", "poll_label", "channel_id", "channel_handle", "vertical", "tier",
-        "title", "description", "tags", "duration_seconds", "category_id", "category_name",
-        "published_at", "hours_since_publish", "view_count", "like_count", "comment_count",
-        "subscriber_count", "face_count", "brightness", "colorfulness", "contains_synthetic_media",
-    ]
+
+
+def snapshots(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:
+    """Poll rows of tracked videos, with natural duplicates and unlabelled rows.
+
+    Documents are joined last, so that no other join moves their texts.
+    """
     if not with_text:
-        return rows.select(*[c for c in columns if c not in ("title", "description", "tags")])
-    return rows.join(_documents(spark, folder), "doc_id", "left").withColumns({
-        c: F.expr(e.removesuffix(f" AS {c}")) for c, e in zip(("title", "description", "tags"), _text_columns())
-    }).select(*columns)
+        return _polled(spark, folder, False).select(*[c for c in _SNAPSHOT if c not in _TEXTS])
+    rows, add_texts = labelled_parts(spark, folder, "true")
+    return add_texts(rows).select(*_SNAPSHOT)
+
+
+_TEXTS = ("title", "description", "tags")
+
+
+def labelled_parts(
+    spark: SparkSession, folder: str, where: str = "poll_label is not null"
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Labelled poll rows with the keys of their texts, and the function that adds the texts to any such rows."""
+    def add_texts(rows: DataFrame) -> DataFrame:
+        return rows.join(_documents(spark, folder), "doc_id", "left").withColumns({
+            c: F.expr(e.removesuffix(f" AS {c}")) for c, e in zip(_TEXTS, _text_columns())})
+
+    return _polled(spark, folder, True).where(where), add_texts
 
 
 def labelled(spark: SparkSession, folder: str, with_text: bool = True) -> DataFrame:

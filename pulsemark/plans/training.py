@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from pulsemark.operators.features import feature_columns
 from pulsemark.operators.learners import Entry, train, tune, validate
-from pulsemark.operators.synthetic import append_to_train, generate, rows_needed
+from pulsemark.operators.synthetic import append_to_train, generate, read_by_generate, rows_needed
 from pulsemark.plans.dataset import build_clean, engineer
 from pulsemark.session import cut
 
 
 def augment(split: DataFrame, target_real_pct: float, seed: int = 42) -> DataFrame:
-    """Synthetic rows, engineered like real ones, added to train; nothing if none are needed."""
-    real = cut(split.where("split = 'train'").drop("split"))
-    n = rows_needed(real.count(), target_real_pct)
+    """Synthetic rows, engineered like real ones, added to train; nothing if none are needed.
+
+    Of the train rows only the columns that generating reads are stored again, no texts.
+    """
+    real = split.where("split = 'train'").drop("split")
+    read = cut(real.select(*read_by_generate(real)))
+    n = rows_needed(read.count(), target_real_pct)
     if n <= 0:
         return split.withColumn("contains_synthetic_data", F.lit(False))
-    made = cut(generate(real, n, seed))
+    made = cut(generate(read, n, seed, schema=real.schema))
     return append_to_train(split, engineer(made).withColumn("contains_synthetic_data", F.lit(True)))
 
 

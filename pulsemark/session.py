@@ -44,15 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, free: bool = False) -> DataFrame:
     """Write a frame to the shared folder and go on from the files.
 
     Later passes do not recompute it, also when executors are lost. Parquet keeps column pruning,
-    filter pushdown and a known size, which a checkpoint of rows would not.
+    filter pushdown and a known size, which a checkpoint of rows would not. With ``free`` the driver then collects its
+    garbage, upon which Spark deletes the shuffle files of plans that are gone; they would stay until it does so by itself.
     """
     spark = df.sparkSession
     path = f"{_cuts(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if free:
+        spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -153,3 +153,19 @@ def test_augment_adds_to_train_only(spark):
     row = extra.first()
     assert (row.title_length, row.desc_category) == (11, 5)
     assert augment(divided, 1.0).count() == divided.count()
+
+
+def test_augmenting_stores_texts_once(spark, monkeypatch):
+    """Of the train rows only what generating reads is written again; what is made does not depend on it."""
+    from pulsemark.plans import training
+
+    stored, real = [], catalog.engineer(catalog.full_clean(spark, "/root/testdata/sf0.01"))
+    divided = cut(real.withColumn("split", F.when(F.xxhash64("video_id") % 2 == 0, "train").otherwise("val")))
+    train = divided.where("split = 'train'").drop("split")
+    wanted = synthetic.generate(train, synthetic.rows_needed(train.count(), 0.8))
+    monkeypatch.setattr(training, "cut", lambda df: stored.append(df) or cut(df))
+    out = augment(divided, 0.8)
+    assert not {"title", "description", "tags"} & set(stored[0].columns) and stored[0].count() == train.count()
+    made = stored[1]
+    assert made.schema == wanted.schema and made.exceptAll(wanted).isEmpty() and wanted.exceptAll(made).isEmpty()
+    assert set(out.columns) == {*divided.columns, "contains_synthetic_data"}

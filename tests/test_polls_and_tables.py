@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pulsemark import schemas
 from pulsemark.operators import baselines, cleaning, collection, discovery, health, polls, segments
-from pulsemark.plans import fixtures as X
+from pulsemark.plans import catalog, fixtures as X
 from pulsemark.plans.catalog import QUERIES
 from pulsemark.plans.dataset import build_clean
 from tests.conftest import SMALL
@@ -260,6 +260,27 @@ def test_texts_join_after_the_pivot_and_pick_the_same_row(spark):
     assert {(r.video_id, r.title, r.baseline_median_views) for r in built} == {("a", "y", 10.0), (None, None, 10.0)}
 
 
+def test_texts_are_added_to_complete_videos_alone(spark):
+    """Texts that come by a join are not shuffled for other videos; repeated texts change nothing."""
+    rows = [poll(v, label, h) for v in ("a", None) for label, h in (("upload", 1), ("24h", 24), ("7d", 160))]
+    rows += [poll(v, "upload", 1) for v in ("lone", "b", "c", "a")] + [poll("b", "24h", 24)]
+    bare, given = frame(spark, *rows).drop("title", "description", "tags"), []
+    texts = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), ("lone", "z")], "vid string, title string")
+
+    def add(df):
+        given.append(df)
+        found = df.join(texts, df.video_id == texts.vid, "left").drop("vid")
+        return found.withColumns({"description": F.lit(None).cast("string"), "tags": F.array(F.col("title"))})
+
+    wide, late, columns = polls.pivot_parts(bare, texts=add)
+    assert {r.video_id for r in given[-1].collect()} == {"a", None} and not {"title", "_key"} & set(given[0].columns)
+    got = sorted(tuple(r) for r in polls.with_late(wide, late, columns).select("title", "tags", "view_count_7d").collect() if r.title)
+    whole = sorted(tuple(r) for r in polls.pivot_polls(add(bare)).select("title", "tags", "view_count_7d").collect() if r.title)
+    assert got == whole == [("y", ["y"], 10)]
+    full, plain = catalog.full_clean(spark, SMALL), build_clean(X.labelled(spark, SMALL), catalog.medians(spark, SMALL))
+    assert full.columns == plain.columns and full.exceptAll(plain).isEmpty() and plain.exceptAll(full).isEmpty()
+
+
 def test_folds_compute_the_model_rows_once(spark):
     plan = QUERIES["stratified_folds"](spark, SMALL)._jdf.queryExecution().toString()
     assert "lineitem" not in plan and "l_orderkey" not in plan
